@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import eval_jobs, prep_jobs, text_jobs
+from . import eval_jobs, model_jobs, prep_jobs, text_jobs
 
-_MODULES = [text_jobs, prep_jobs, eval_jobs]
+_MODULES = [text_jobs, prep_jobs, eval_jobs, model_jobs]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
