@@ -51,8 +51,13 @@ def key_folds(df: DataFrame, key: str | Column, k: int = 3, seed: int = 0,
     return df.withColumn(col, key_bucket(key, k, seed))
 
 
+PAIR_SHIFT = 2**31
+
+
 def pair_key(a: str | Column, b: str | Column) -> Column:
-    """One integer key from two int ids (e.g. user, item) for pair-level splits."""
+    """One integer key from two int ids (e.g. user, item) for pair-level
+    splits: ``a · 2³¹ + b`` (no overflow for int ids; the shift is not a
+    multiple of the hash prime, so both ids reach the hash)."""
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
-    return ca.cast("bigint") * F.lit(HASH_PRIME) + cb.cast("bigint")
+    return ca.cast("bigint") * F.lit(PAIR_SHIFT) + cb.cast("bigint")

@@ -6,8 +6,7 @@ parameters, never by the data).
 
 Classification pipelines follow the reference's shape — label indexer,
 vector indexer, learner, label decoder — with its defects fixed: the
-label indexer is fitted on the training rows (``handleInvalid='keep'``
-for unseen labels), metrics are computed in indexed-label space, and
+label indexer is fitted on the training rows, metrics are computed in indexed-label space, and
 regression never decodes its predictions as class labels.
 """
 
@@ -59,18 +58,21 @@ def glm(family: str = "gaussian", link: str = "identity", label: str = "label",
 
 def classification_pipeline(learner, train: DataFrame, label: str = "label",
                             features: str = "features", max_categories: int = 4,
-                            decode: bool = True) -> Pipeline:
+                            decode: bool = True, handle_invalid: str = "error") -> Pipeline:
     """[label indexer (fitted on ``train``), vector indexer, learner, decoder].
 
     The learner must read ``indexedLabel`` / ``indexedFeatures``. The label
-    indexer is fitted once here so the decoder knows the labels."""
+    indexer is fitted once here so the decoder knows the labels. A label
+    never seen in ``train`` raises (``handle_invalid='error'``); 'keep'
+    would add an extra class, which binary metrics cannot score."""
     label_model = StringIndexer(inputCol=label, outputCol="indexedLabel",
-                                handleInvalid="keep").fit(train)
+                                handleInvalid=handle_invalid).fit(train)
     stages = [label_model, vector_indexer(features, "indexedFeatures", max_categories,
                                           handle_invalid="keep"), learner]
     if decode:
         stages.append(IndexToString(inputCol="prediction", outputCol="predictedLabel",
-                                    labels=list(label_model.labels) + ["__unseen__"]))
+                                    labels=list(label_model.labels)
+                                    + (["__unseen__"] if handle_invalid == "keep" else [])))
     return Pipeline(stages=stages)
 
 
