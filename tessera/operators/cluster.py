@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import euclidean, squared_distance
+from ..session import spread
 from . import linalg
 
 
@@ -24,7 +25,7 @@ def kmeans(df: DataFrame, k: int, max_iter: int = 20, seed: int = 1,
            init: str = "k-means||") -> KMeansModel:
     est = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, tol=tol,
                  initMode=init, predictionCol="cluster")
-    x = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    x = spread(df.select(features)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return est.fit(x)
     finally:
@@ -87,7 +88,7 @@ def reduce_and_cluster(spark: SparkSession, df: DataFrame, k: int, share: float
     """k-means on the raw rows and on their projection onto the P principal
     components that keep ``share`` of the variance; returns P and both
     WSSSEs (as a small dict; the projected table stays distributed)."""
-    x = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    x = spread(df.select(features)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = linalg.matrix_width(x, features)
         full = linalg.pca(x, features, n)

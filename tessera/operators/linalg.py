@@ -56,10 +56,16 @@ def from_long(df: DataFrame, n_cols: int, row: str = "i", col: str = "j", value:
     if n_cols > max_width:
         raise ValueError(f"row width {n_cols} exceeds max_width {max_width}; keep the long form")
     g = df.groupBy(F.col(row).alias(out_id)).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(col).cast("int"),
-                                                   F.col(value).cast("double")))).alias("_m"))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(n_cols - 1)),
-                      lambda k: F.coalesce(F.element_at("_m", k), F.lit(0.0)))
+        F.array_sort(F.collect_list(F.struct(F.col(col).cast("int").alias("k"),
+                                             F.col(value).cast("double").alias("v"))))
+        .alias("_e"))
+    # dense row (every position present): the sorted values are the row;
+    # otherwise place entries by position through a map, zeros elsewhere
+    dense = F.transform("_e", lambda e: e["v"])
+    sparse = F.transform(F.sequence(F.lit(0), F.lit(n_cols - 1)),
+                         lambda k: F.coalesce(F.element_at(F.map_from_entries("_e"), k),
+                                              F.lit(0.0)))
+    arr = F.when(F.size("_e") == n_cols, dense).otherwise(sparse)
     return g.select(out_id, array_to_vector(arr).alias(out))
 
 

@@ -16,7 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, spread
 
 INT_MAX = 2**31 - 1
 
@@ -32,7 +32,7 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     est = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user,
               itemCol=item, ratingCol=rating, coldStartStrategy="drop",
               checkpointInterval=checkpoint_interval, **kw)
-    r = ratings.select(user, item, rating).persist(StorageLevel.MEMORY_AND_DISK)
+    r = spread(ratings.select(user, item, rating)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return est.fit(r)
     finally:

@@ -27,17 +27,22 @@ from .features import vector_indexer
 
 def tree_classifier(label: str = "indexedLabel", features: str = "indexedFeatures",
                     max_depth: int = 5, max_bins: int = 32, impurity: str = "gini",
-                    seed: int = 0, checkpoint_interval: int = 10) -> DecisionTreeClassifier:
+                    seed: int = 0, cache_node_ids: bool = False,
+                    checkpoint_interval: int = 10) -> DecisionTreeClassifier:
+    """``cache_node_ids`` (with checkpoints every ``checkpoint_interval``
+    levels in the shared checkpoint folder) pays off for deep trees only."""
     return DecisionTreeClassifier(labelCol=label, featuresCol=features, maxDepth=max_depth,
                                   maxBins=max_bins, impurity=impurity, seed=seed,
-                                  cacheNodeIds=True, checkpointInterval=checkpoint_interval)
+                                  cacheNodeIds=cache_node_ids,
+                                  checkpointInterval=checkpoint_interval)
 
 
 def tree_regressor(label: str = "label", features: str = "indexedFeatures",
                    max_depth: int = 5, max_bins: int = 32, seed: int = 0,
+                   cache_node_ids: bool = False,
                    checkpoint_interval: int = 10) -> DecisionTreeRegressor:
     return DecisionTreeRegressor(labelCol=label, featuresCol=features, maxDepth=max_depth,
-                                 maxBins=max_bins, seed=seed, cacheNodeIds=True,
+                                 maxBins=max_bins, seed=seed, cacheNodeIds=cache_node_ids,
                                  checkpointInterval=checkpoint_interval)
 
 
@@ -67,8 +72,7 @@ def classification_pipeline(learner, train: DataFrame, label: str = "label",
     would add an extra class, which binary metrics cannot score."""
     label_model = StringIndexer(inputCol=label, outputCol="indexedLabel",
                                 handleInvalid=handle_invalid).fit(train)
-    stages = [label_model, vector_indexer(features, "indexedFeatures", max_categories,
-                                          handle_invalid="keep"), learner]
+    stages = [label_model, _fitted_vector_indexer(train, features, max_categories), learner]
     if decode:
         stages.append(IndexToString(inputCol="prediction", outputCol="predictedLabel",
                                     labels=list(label_model.labels)
@@ -76,11 +80,20 @@ def classification_pipeline(learner, train: DataFrame, label: str = "label",
     return Pipeline(stages=stages)
 
 
-def regression_pipeline(learner, features: str = "features",
-                        max_categories: int = 4) -> Pipeline:
-    """[vector indexer, learner] — no label indexing or decoding."""
-    return Pipeline(stages=[vector_indexer(features, "indexedFeatures", max_categories,
-                                           handle_invalid="keep"), learner])
+def regression_pipeline(learner, features: str = "features", max_categories: int = 4,
+                        train: DataFrame | None = None) -> Pipeline:
+    """[vector indexer, learner] — no label indexing or decoding. With
+    ``train`` the (untuned) indexer is fitted once up front."""
+    vi = (_fitted_vector_indexer(train, features, max_categories) if train is not None
+          else vector_indexer(features, "indexedFeatures", max_categories, handle_invalid="keep"))
+    return Pipeline(stages=[vi, learner])
+
+
+def _fitted_vector_indexer(train: DataFrame, features: str, max_categories: int):
+    """Fitted once on the training rows: inside cross-validation the indexer
+    is not tuned, so refitting it per fold and per grid point is waste."""
+    return vector_indexer(features, "indexedFeatures", max_categories,
+                          handle_invalid="keep").fit(train.select(features))
 
 
 def find_stage(model, kind):

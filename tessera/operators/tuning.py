@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, StringType,
                                StructField, StructType)
 
+from ..session import spread
+
 
 def param_grid(estimator, **lists) -> list[dict]:
     """``param_grid(dt, maxDepth=[3,4,5], maxBins=[10,20,30])`` → cartesian grid."""
@@ -26,12 +28,12 @@ def param_grid(estimator, **lists) -> list[dict]:
 
 def cross_validate(estimator, grid: list[dict], evaluator, train: DataFrame, k: int = 3,
                    seed: int = 0, fold_col: str | None = None,
-                   parallelism: int = 4) -> CrossValidatorModel:
+                   parallelism: int = 8) -> CrossValidatorModel:
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
                         numFolds=k, seed=seed, parallelism=parallelism)
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return cv.fit(train)
     finally:

@@ -12,6 +12,7 @@ by row counts and pytest.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ..operators import evaluate as EV
 from ..operators import split as S
 from ..operators import supervised as SV
 from ..operators import tuning as TU
+from ..session import spread
 from .prep_jobs import FOLD_SEED, SPLIT_SEED, _hash_sql
 from .tables import table
 
@@ -38,14 +40,17 @@ HIGGS_FEATURES = ["l_quantity", "p_retailprice", "l_discount", "l_tax", "p_size"
 
 def higgs_like(spark, sf_dir):
     """Label + 6 numeric features (one of them categorical) from
-    lineitem ⋈ part; the label is an interaction of two features."""
+    lineitem ⋈ part. ``label`` (0/1) and ``target`` (revenue / 1000) are
+    interactions of the features, so the learners have signal to find."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax",
         "l_extendedprice", (-(F.col("l_linenumber") % 3)).cast("double").alias("neg_mod"))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice",
                                             F.col("p_size").cast("double").alias("p_size"))
-    d = li.join(p, li.l_partkey == p.p_partkey).withColumn(
-        "label", (F.col("l_extendedprice") > 36000).cast("double"))
+    gross = F.col("l_quantity") * F.col("p_retailprice")
+    d = (li.join(p, li.l_partkey == p.p_partkey)
+         .withColumn("label", (gross > 35000).cast("double"))
+         .withColumn("target", gross * (1 - F.col("l_discount")) / 1000.0))
     return VectorAssembler(inputCols=HIGGS_FEATURES, outputCol="features").transform(d)
 
 
@@ -275,16 +280,21 @@ TREE_GRID = {"maxDepth": [3, 4, 5], "maxBins": [10, 20, 30]}
 def _cv_tree(spark, sf_dir, kind: str):
     d = S.key_folds(higgs_like(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
     train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
+    train = spread(train.select("label", "target", "features", "fold")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     if kind == "classifier":
         learner = SV.tree_classifier()
         pipe = SV.classification_pipeline(learner, train, "label", "features")
         ev = EV.evaluator("areaUnderROC", label="indexedLabel")
     else:
-        learner = SV.tree_regressor(label="l_extendedprice")
-        pipe = SV.regression_pipeline(learner, "features")
-        ev = EV.evaluator("rmse", label="l_extendedprice")
+        learner = SV.tree_regressor(label="target")
+        pipe = SV.regression_pipeline(learner, "features", train=train)
+        ev = EV.evaluator("rmse", label="target")
     grid = TU.param_grid(learner, **TREE_GRID)
-    cvm = TU.cross_validate(pipe, grid, ev, train, k=3, fold_col="fold")
+    try:
+        cvm = TU.cross_validate(pipe, grid, ev, train, k=3, fold_col="fold")
+    finally:
+        train.unpersist()
     test_metric = ev.evaluate(cvm.transform(test))
     return (TU.cv_report(spark, cvm)
             .withColumn("metric", F.lit(ev.getMetricName()))
@@ -304,7 +314,7 @@ def q_cv_tree_regressor(spark, sf_dir):
 
 def q_tree_report(spark, sf_dir):
     d = higgs_like(spark, sf_dir)
-    model = SV.regression_pipeline(SV.tree_regressor(label="l_extendedprice", max_depth=3),
+    model = SV.regression_pipeline(SV.tree_regressor(label="target", max_depth=3),
                                    "features").fit(d)
     return SV.tree_report(spark, model)
 

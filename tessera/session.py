@@ -60,3 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             os.makedirs(d, exist_ok=True)
         sc.setCheckpointDir(d)
     return d
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over at least the cluster's default parallelism.
+
+    Used only before persisting the input of an iterative fit (trees, CV,
+    k-means, ALS): every later pass then uses all cores. Inputs that already
+    have enough partitions (any real-scale scan) are returned unchanged, so
+    no extra shuffle happens at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
