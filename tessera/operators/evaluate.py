@@ -8,9 +8,12 @@ one half), computed without a global sort or a single-task window:
 
 1. rows → distinct (group, score) with positive / negative counts
    (partial aggregation before the shuffle, so a score value that holds a
-   third of all rows is one row after the map side);
-2. scores are cut into ~``buckets`` ranges at approximate quantiles (one
-   bounded list of split points on the driver);
+   third of all rows is one row after the map side); this table is
+   checkpointed to the shared checkpoint folder, so the input (often a
+   model's predictions) is computed exactly once and the later branches
+   re-read a small table instead of re-running its lineage;
+2. distinct scores are cut into ~``buckets`` ranges at approximate
+   quantiles (one bounded list of split points on the driver);
 3. running negative count inside each (group, range) by a window, plus an
    offset per (group, range) from a table of (#groups × #ranges) rows.
 
@@ -25,6 +28,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -57,19 +62,21 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
     """
     by = list(by)
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = df.select(*by, _c(score).cast("double").alias("_s"),
                   _c(label).cast("double").alias("_y"))
+    d = (s.groupBy(*by, "_s")
+         .agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1.0) - F.col("_y")).alias("_neg"))
+         .checkpoint(eager=True))
     probs = [i / nb for i in range(1, nb)]
-    qs = s.approxQuantile("_s", probs, rel_error) if probs else []
+    qs = d.approxQuantile("_s", probs, rel_error) if probs else []
     cuts = sorted({q for q in qs if q == q})
     splits = [float("-inf")] + cuts + [float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
-    s = Bucketizer(splits=splits, inputCol="_s", outputCol="_b",
-                   handleInvalid="keep").transform(s)
-    d = (s.groupBy(*by, "_b", "_s")
-         .agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1.0) - F.col("_y")).alias("_neg")))
+    d = Bucketizer(splits=splits, inputCol="_s", outputCol="_b",
+                   handleInvalid="keep").transform(d)
     w_in = (Window.partitionBy(*by, "_b").orderBy("_s")
             .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_below", F.coalesce(F.sum("_neg").over(w_in), F.lit(0.0)))
