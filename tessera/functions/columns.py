@@ -53,3 +53,23 @@ def key_hash(key: str | Column, seed: int = 0) -> Column:
 def key_bucket(key: str | Column, n: int, seed: int = 0) -> Column:
     """Bucket ``0..n-1`` from ``key_hash``."""
     return F.pmod(key_hash(key, seed), F.lit(int(n))).cast("int")
+
+
+def with_row_index(df, col: str = "row_id"):
+    """Dense 0-based row positions in scan order, without a single-task window.
+
+    ``monotonically_increasing_id`` packs (partition, row-in-partition); the
+    per-partition row counts (one row per partition, so a bounded table) give
+    each partition's offset. Deterministic for a deterministic input (a file
+    scan): positions follow file order, like ``zipWithIndex``.
+    """
+    from pyspark.sql import Window
+    mono = df.withColumn("_mono", F.monotonically_increasing_id())
+    mono = mono.withColumn("_pid", F.shiftright("_mono", 33)).withColumn(
+        "_r", F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = mono.groupBy("_pid").agg((F.max("_r") + 1).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    return (mono.join(F.broadcast(offsets), "_pid")
+            .withColumn(col, F.col("_off") + F.col("_r"))
+            .drop("_mono", "_pid", "_r", "_off"))
