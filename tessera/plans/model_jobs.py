@@ -214,9 +214,17 @@ def q_glm_poisson_summary(spark, sf_dir):
 
 
 def q_glm_residuals(spark, sf_dir):
+    """Deviance residuals of the reference-setting gaussian fit (= y − ŷ)."""
     d = _lineitem_xy(spark, sf_dir)
     m = SV.glm("gaussian", "identity", "label", "features", 10, 0.3).fit(d)
-    return SV.glm_residuals(m, "deviance")
+    r = SV.glm_residuals(m, "deviance")
+    return r.select(F.round("devianceResiduals", 6).alias("devianceResiduals"))
+
+
+GLM_RESIDUALS_SQL = f"""
+WITH d AS ({_XY_SQL}), m AS ({_moments_sql()}),
+c AS (SELECT cxy / (vx * (1 + 0.3 / sqrt(vy))) AS b1, mx, my FROM m)
+SELECT round(y - (my - b1 * mx) - b1 * x, 6) AS devianceResiduals FROM d, c"""
 
 
 # --- logistic ------------------------------------------------------------------
@@ -352,6 +360,7 @@ ORACLE = {
     "glm_gaussian": GLM_GAUSSIAN_SQL,
     "glm_gaussian_summary": GLM_GAUSSIAN_SUMMARY_SQL,
     "glm_poisson": GLM_POISSON_SQL,
+    "glm_residuals": GLM_RESIDUALS_SQL,
     "logistic_ref": LOGISTIC_REF_SQL,
     "cv_glm": CV_GLM_SQL,
 }
