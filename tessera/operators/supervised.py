@@ -96,6 +96,28 @@ def _fitted_vector_indexer(train: DataFrame, features: str, max_categories: int)
                           handle_invalid="keep").fit(train.select(features))
 
 
+def fit_preprocessing(train: DataFrame, features: str = "features", label: str | None = None,
+                      max_categories: int = 4, handle_invalid: str = "error") -> PipelineModel:
+    """Fitted [label indexer (when ``label``), vector indexer] on the training
+    rows. Apply it once and tune only the learner: the indexers are not
+    part of the grid, so refitting / re-applying them per fold and grid
+    point is wasted work."""
+    stages = []
+    if label is not None:
+        stages.append(StringIndexer(inputCol=label, outputCol="indexedLabel",
+                                    handleInvalid=handle_invalid).fit(train))
+    stages.append(_fitted_vector_indexer(train, features, max_categories))
+    return PipelineModel(stages=stages)
+
+
+def label_decoder(prep: PipelineModel, col: str = "prediction",
+                  out: str = "predictedLabel") -> IndexToString:
+    """``IndexToString`` for the label indexer inside ``prep``."""
+    from pyspark.ml.feature import StringIndexerModel
+    idx = find_stage(prep, StringIndexerModel)
+    return IndexToString(inputCol=col, outputCol=out, labels=list(idx.labels))
+
+
 def find_stage(model, kind):
     """The first stage of a (possibly nested) fitted pipeline of type ``kind``."""
     if isinstance(model, kind):

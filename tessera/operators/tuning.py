@@ -5,6 +5,8 @@ evaluation re-reads them) and fits the grid in parallel threads; with a
 ``fold_col`` (see ``split.key_folds``) the folds are a pure function of
 the key, so the result does not depend on partitioning. The best model is
 picked in the evaluator's own direction (``isLargerBetter``).
+Indexers that are not tuned belong outside the CV (see
+``supervised.fit_preprocessing``): applied once, not per fold and grid point.
 """
 
 from __future__ import annotations
@@ -28,7 +30,11 @@ def param_grid(estimator, **lists) -> list[dict]:
 
 def cross_validate(estimator, grid: list[dict], evaluator, train: DataFrame, k: int = 3,
                    seed: int = 0, fold_col: str | None = None,
-                   parallelism: int = 8) -> CrossValidatorModel:
+                   parallelism: int = 3) -> CrossValidatorModel:
+    """k-fold CV. ``parallelism`` = grid points fitted at once; every fit is
+    itself a distributed job using all cores, so a few concurrent fits
+    fill the gaps between its small per-level stages while many oversubscribe
+    the executors (measured on local[8]: 3 → 20 s, 8 → 27 s, 1 → 34 s)."""
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
                         numFolds=k, seed=seed, parallelism=parallelism)
     if fold_col:

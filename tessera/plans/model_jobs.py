@@ -288,22 +288,26 @@ TREE_GRID = {"maxDepth": [3, 4, 5], "maxBins": [10, 20, 30]}
 def _cv_tree(spark, sf_dir, kind: str):
     d = S.key_folds(higgs_like(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
     train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
-    train = spread(train.select("label", "target", "features", "fold")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    if kind == "classifier":
-        learner = SV.tree_classifier()
-        pipe = SV.classification_pipeline(learner, train, "label", "features")
-        ev = EV.evaluator("areaUnderROC", label="indexedLabel")
-    else:
-        learner = SV.tree_regressor(label="target")
-        pipe = SV.regression_pipeline(learner, "features", train=train)
-        ev = EV.evaluator("rmse", label="target")
-    grid = TU.param_grid(learner, **TREE_GRID)
+    cols = ["label", "target", "features", "fold"]
+    train = spread(train.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cvm = TU.cross_validate(pipe, grid, ev, train, k=3, fold_col="fold")
+        if kind == "classifier":
+            prep = SV.fit_preprocessing(train, "features", "label")
+            learner = SV.tree_classifier()
+            ev = EV.evaluator("areaUnderROC", label="indexedLabel")
+        else:
+            prep = SV.fit_preprocessing(train, "features")
+            learner = SV.tree_regressor(label="target")
+            ev = EV.evaluator("rmse", label="target")
+        indexed = prep.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+        grid = TU.param_grid(learner, **TREE_GRID)
+        try:
+            cvm = TU.cross_validate(learner, grid, ev, indexed, k=3, fold_col="fold")
+        finally:
+            indexed.unpersist()
     finally:
         train.unpersist()
-    test_metric = ev.evaluate(cvm.transform(test))
+    test_metric = ev.evaluate(cvm.bestModel.transform(prep.transform(test)))
     return (TU.cv_report(spark, cvm)
             .withColumn("metric", F.lit(ev.getMetricName()))
             .withColumn("test_metric", F.when(F.col("is_best"), F.lit(test_metric))))
@@ -329,13 +333,18 @@ def q_tree_report(spark, sf_dir):
 
 def q_logistic_cv(spark, sf_dir):
     """Logistic regression (elastic net .8) CV over regParam {.3,.6,.9},
-    accuracy, 3 key folds."""
+    accuracy in indexed-label space, 3 key folds."""
     d = S.key_folds(higgs_like(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
-    learner = SV.logistic()
-    pipe = SV.classification_pipeline(learner, d, "label", "features")
-    ev = EV.evaluator("accuracy", label="indexedLabel")
-    grid = TU.param_grid(learner, regParam=[0.3, 0.6, 0.9])
-    return TU.cv_report(spark, TU.cross_validate(pipe, grid, ev, d, k=3, fold_col="fold"))
+    d = spread(d.select("label", "features", "fold")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prep = SV.fit_preprocessing(d, "features", "label")
+        learner = SV.logistic()
+        ev = EV.evaluator("accuracy", label="indexedLabel")
+        grid = TU.param_grid(learner, regParam=[0.3, 0.6, 0.9])
+        cvm = TU.cross_validate(learner, grid, ev, prep.transform(d), k=3, fold_col="fold")
+    finally:
+        d.unpersist()
+    return TU.cv_report(spark, cvm)
 
 
 QUERIES = {

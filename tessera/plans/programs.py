@@ -63,25 +63,37 @@ def _split(df: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     return S.key_split(df, "split_key", 0.7, seed)
 
 
+def _tune(spark, train: DataFrame, learner, grid, ev, folds: int, seed: int,
+          label: str | None) -> tuple:
+    """Fit the untuned indexers once on ``train``, persist the indexed rows,
+    cross-validate the bare learner; returns (preprocessing, cv model)."""
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prep = SV.fit_preprocessing(train, "features", label)
+        indexed = prep.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            cvm = TU.cross_validate(learner, grid, ev, indexed, folds, seed, fold_col="fold")
+        finally:
+            indexed.unpersist()
+    finally:
+        train.unpersist()
+    return prep, cvm
+
+
 def tree_classifier_cv(spark: SparkSession, path: str, *, sep: str = ",",
                        label_idx: int = 0, start: int = 1, length: int = 28,
                        header: bool = False, depths=(3, 4, 5), bins=(10, 20, 30),
                        folds: int = 3, seed: int = 100) -> dict:
     """Decision-tree classifier tuned by k-fold CV on AUC (indexed-label
-    space); test accuracy / error of the refit best model; its tree report."""
+    space); test accuracy / AUC of the refit best model; its tree report."""
     data = read_labeled(spark, path, sep, label_idx, start, length, header)
     train, test = _split(data, seed)
-    train = spread(S.key_folds(train, "split_key", folds, seed + 1)).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        learner = SV.tree_classifier()
-        pipe = SV.classification_pipeline(learner, train, "label", "features")
-        ev = EV.evaluator("areaUnderROC", label="indexedLabel")
-        grid = TU.param_grid(learner, maxDepth=list(depths), maxBins=list(bins))
-        cvm = TU.cross_validate(pipe, grid, ev, train, folds, seed, fold_col="fold")
-    finally:
-        train.unpersist()
-    pred = cvm.transform(test)
+    learner = SV.tree_classifier()
+    grid = TU.param_grid(learner, maxDepth=list(depths), maxBins=list(bins))
+    ev = EV.evaluator("areaUnderROC", label="indexedLabel")
+    prep, cvm = _tune(spark, S.key_folds(train, "split_key", folds, seed + 1), learner, grid,
+                      ev, folds, seed, "label")
+    pred = SV.label_decoder(prep).transform(cvm.bestModel.transform(prep.transform(test)))
     return {"cv": TU.cv_report(spark, cvm),
             "test_accuracy": EV.accuracy(pred, "indexedLabel", "prediction"),
             "test_auc": EV.auc(pred, "indexedLabel", vector_to_array("probability")[1]),
@@ -95,25 +107,17 @@ def tree_regressor_cv(spark: SparkSession, path: str, *, sep: str = ",",
                       folds: int = 3, seed: int = 100, index_features: bool = True) -> dict:
     """Decision-tree regressor tuned by k-fold CV on RMSE (lower is better).
     The wine program is ``sep=';', label_idx=11, start=0, length=11,
-    header=True, depths=(1,3,5), bins=(5,10,20), folds=5``."""
+    header=True, depths=(1,3,5), bins=(5,10,20), folds=5,
+    index_features=False``."""
     data = read_labeled(spark, path, sep, label_idx, start, length, header)
     train, test = _split(data, seed)
-    train = spread(S.key_folds(train, "split_key", folds, seed + 1)).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        if index_features:
-            learner = SV.tree_regressor(label="label")
-            pipe = SV.regression_pipeline(learner, "features", train=train)
-        else:
-            learner = SV.tree_regressor(label="label", features="features")
-            from pyspark.ml import Pipeline
-            pipe = Pipeline(stages=[learner])
-        ev = EV.evaluator("rmse")
-        grid = TU.param_grid(learner, maxDepth=list(depths), maxBins=list(bins))
-        cvm = TU.cross_validate(pipe, grid, ev, train, folds, seed, fold_col="fold")
-    finally:
-        train.unpersist()
-    pred = cvm.transform(test)
+    feats = "indexedFeatures" if index_features else "features"
+    learner = SV.tree_regressor(label="label", features=feats)
+    grid = TU.param_grid(learner, maxDepth=list(depths), maxBins=list(bins))
+    ev = EV.evaluator("rmse")
+    prep, cvm = _tune(spark, S.key_folds(train, "split_key", folds, seed + 1), learner, grid,
+                      ev, folds, seed, None)
+    pred = cvm.bestModel.transform(prep.transform(test))
     return {"cv": TU.cv_report(spark, cvm),
             "test": EV.regression_metrics(pred, "label", "prediction"),
             "preview": preview(pred, ["prediction", "label", "features"], 5),
@@ -127,17 +131,12 @@ def logistic_cv(spark: SparkSession, path: str, *, sep: str = ",", label_idx: in
     accuracy in indexed-label space."""
     data = read_labeled(spark, path, sep, label_idx, start, length, header)
     train, test = _split(data, seed)
-    train = spread(S.key_folds(train, "split_key", folds, seed + 1)).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        learner = SV.logistic()
-        pipe = SV.classification_pipeline(learner, train, "label", "features")
-        ev = EV.evaluator("accuracy", label="indexedLabel")
-        grid = TU.param_grid(learner, regParam=list(reg_params))
-        cvm = TU.cross_validate(pipe, grid, ev, train, folds, seed, fold_col="fold")
-    finally:
-        train.unpersist()
-    pred = cvm.transform(test)
+    learner = SV.logistic()
+    grid = TU.param_grid(learner, regParam=list(reg_params))
+    ev = EV.evaluator("accuracy", label="indexedLabel")
+    prep, cvm = _tune(spark, S.key_folds(train, "split_key", folds, seed + 1), learner, grid,
+                      ev, folds, seed, "label")
+    pred = cvm.bestModel.transform(prep.transform(test))
     return {"cv": TU.cv_report(spark, cvm),
             "test_accuracy": EV.accuracy(pred, "indexedLabel", "prediction")}
 
