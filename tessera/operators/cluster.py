@@ -95,7 +95,10 @@ def reduce_and_cluster(spark: SparkSession, df: DataFrame, k: int, share: float
         p = linalg.components_for_variance(full.explained_variance, share)
         raw_model = kmeans(x, k, max_iter, seed, features)
         raw_cost = wssse(spark, raw_model, x, features).first()["wssse"]
-        proj = linalg.project(x, features, full.pc[:, :p], out="reduced").select("reduced")
+        # refit with exactly P components so the projection is MLlib's JVM
+        # transform (covariance path); the wide path projects in Arrow batches
+        red = linalg.pca(x, features, p) if p < n else full
+        proj = linalg.project_pca(x, features, red, out="reduced").select("reduced")
         proj = proj.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             red_model = kmeans(proj, k, max_iter, seed, "reduced")

@@ -111,6 +111,18 @@ def pca(df: DataFrame, vec_col: str, k: int, method: str = "auto") -> PCAResult:
     return PCAResult(res.V, ratios, None)
 
 
+def project_pca(df: DataFrame, vec_col: str, res: PCAResult, k: int | None = None,
+                out: str = "projected") -> DataFrame:
+    """Project on the first ``k`` components of a PCA result: through MLlib's
+    ``PCAModel.transform`` (JVM) when the covariance path produced a model
+    with exactly these components, else through ``project``."""
+    k = k or res.pc.shape[1]
+    if res.model is not None and k == res.pc.shape[1]:
+        m = res.model.copy().setInputCol(vec_col).setOutputCol(out)
+        return m.transform(df)
+    return project(df, vec_col, res.pc[:, :k], out)
+
+
 def project(df: DataFrame, vec_col: str, pc: np.ndarray, out: str = "projected",
             scale: np.ndarray | None = None) -> DataFrame:
     """Append ``out`` = row · pc (un-centred), optionally divided by ``scale``

@@ -22,9 +22,24 @@ from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegr
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from pyspark import StorageLevel
+
+from ..session import spread
 from .features import vector_indexer
 
 
+def fit_spread(estimator, df: DataFrame, cols: list[str] | None = None):
+    """Fit an iterative estimator on a persisted copy of just the columns it
+    reads, spread over the default parallelism when the input has fewer
+    partitions (a no-op for real-scale inputs); released after the fit."""
+    x = df.select(*cols) if cols else df
+    x = spread(x).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(x)
+    finally:
+        x.unpersist()
+
+
 def tree_classifier(label: str = "indexedLabel", features: str = "indexedFeatures",
                     max_depth: int = 5, max_bins: int = 32, impurity: str = "gini",
                     seed: int = 0, cache_node_ids: bool = False,

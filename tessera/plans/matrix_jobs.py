@@ -99,7 +99,7 @@ def q_pca_projection(spark, sf_dir):
     """Rows projected (un-centred) on both principal components, |value|."""
     d = _two_cols(spark, sf_dir, PCA_A, PCA_B)
     r = LA.pca(d, "features", 2, method="cov")
-    p = LA.project(d, "features", r.pc, "projected")
+    p = LA.project_pca(d, "features", r, out="projected")
     a = vector_to_array("projected")
     return p.select("l_orderkey", "l_linenumber", F.round(F.abs(a[0]), 6).alias("p1"),
                     F.round(F.abs(a[1]), 6).alias("p2"))

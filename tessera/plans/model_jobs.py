@@ -60,8 +60,9 @@ def q_tree_regressor_stump(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     d = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
-    model = SV.tree_regressor(label="l_extendedprice", features="features", max_depth=1,
-                              max_bins=64).fit(d)
+    model = SV.fit_spread(SV.tree_regressor(label="l_extendedprice", features="features",
+                                            max_depth=1, max_bins=64),
+                          d, ["l_extendedprice", "features"])
     return model.transform(d).select("l_orderkey", "l_linenumber",
                                      F.round("prediction", 4).alias("prediction"))
 
@@ -94,7 +95,8 @@ def q_tree_classifier_stump(spark, sf_dir):
         F.expr(STUMP_LABEL).cast("double").alias("label"))
     d = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
     learner = SV.tree_classifier(max_depth=1, max_bins=64)
-    model = SV.classification_pipeline(learner, d, "label", "features").fit(d)
+    train = d.select("label", "features")
+    model = SV.fit_spread(SV.classification_pipeline(learner, train, "label", "features"), train)
     return model.transform(d).select("l_orderkey", "l_linenumber", "predictedLabel")
 
 
@@ -120,7 +122,8 @@ def _coef_table(spark, names, coefs, intercept, digits=9):
 def q_glm_gaussian(spark, sf_dir):
     """Gaussian / identity, λ = 0.3, 10 iterations (the reference setting)."""
     d = _lineitem_xy(spark, sf_dir)
-    m = SV.glm("gaussian", "identity", "label", "features", 10, 0.3).fit(d)
+    m = SV.fit_spread(SV.glm("gaussian", "identity", "label", "features", 10, 0.3), d,
+                      ["label", "features"])
     return _coef_table(spark, ["x"], m.coefficients.toArray(), m.intercept)
 
 
@@ -154,7 +157,8 @@ def q_glm_gaussian_summary(spark, sf_dir):
     """Unpenalised gaussian fit: the full inference summary (p-values are
     produced by ``glm_summary`` but have no SQL twin)."""
     d = _lineitem_xy(spark, sf_dir)
-    m = SV.glm("gaussian", "identity", "label", "features", 10, 0.0).fit(d)
+    m = SV.fit_spread(SV.glm("gaussian", "identity", "label", "features", 10, 0.0), d,
+                      ["label", "features"])
     return _round_stats(SV.glm_summary(spark, m, ["x"]))
 
 
@@ -193,8 +197,8 @@ def _poisson_data(spark, sf_dir):
 def q_glm_poisson(spark, sf_dir):
     """Poisson / identity on one 0/1 feature, unpenalised: the MLE is the
     pair of group means."""
-    m = SV.glm("poisson", "identity", "label", "features", 25, 0.0).fit(
-        _poisson_data(spark, sf_dir))
+    m = SV.fit_spread(SV.glm("poisson", "identity", "label", "features", 25, 0.0),
+                      _poisson_data(spark, sf_dir))
     return _coef_table(spark, ["g"], m.coefficients.toArray(), m.intercept, 6)
 
 
@@ -208,8 +212,8 @@ UNION ALL SELECT 'intercept', round(m0, 6) FROM m"""
 def q_glm_poisson_summary(spark, sf_dir):
     """The reference setting (poisson / identity, λ = 0.3, 10 iterations):
     full summary table, row-count check."""
-    m = SV.glm("poisson", "identity", "label", "features", 10, 0.3).fit(
-        _poisson_data(spark, sf_dir))
+    m = SV.fit_spread(SV.glm("poisson", "identity", "label", "features", 10, 0.3),
+                      _poisson_data(spark, sf_dir))
     return SV.glm_summary(spark, m, ["g"])
 
 
@@ -238,7 +242,7 @@ def q_logistic_ref(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(
         *LOGIT_FEATURES, (F.col("l_returnflag") == "A").cast("double").alias("label"))
     d = VectorAssembler(inputCols=LOGIT_FEATURES, outputCol="features").transform(li)
-    m = SV.logistic("label", "features", 10, 0.3, 0.8).fit(d)
+    m = SV.fit_spread(SV.logistic("label", "features", 10, 0.3, 0.8), d, ["label", "features"])
     return _coef_table(spark, LOGIT_FEATURES, m.coefficients.toArray(), m.intercept)
 
 

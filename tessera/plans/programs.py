@@ -202,7 +202,7 @@ def matrix_report(spark: SparkSession, path: str, *, k: int = 2, take_rows: int
     words = read_matrix(spark, path, take_rows=take_rows, min_partitions=min_partitions)
     papers = LA.transpose(words, "id", "features").persist(StorageLevel.MEMORY_AND_DISK)
     r = LA.pca(papers, "features", k)
-    projected = LA.project(papers, "features", r.pc, "projected").select("id", "projected")
+    projected = LA.project_pca(papers, "features", r, out="projected").select("id", "projected")
     if out_dir:
         write_vectors(projected, "projected", out_dir)
     sv = LA.svd(papers, "features", k, compute_u=True, id_col="id")
