@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import cluster as CL
 from ..operators import recommend as RC
 from ..operators import split as S
+from ..session import ensure_checkpoint_dir
 from .prep_jobs import _hash_sql
 from .tables import RATINGS_SQL, ratings, table
 
@@ -97,8 +98,12 @@ ALS_SEED = 3
 
 
 def _als_split(spark, sf_dir):
-    r = ratings(spark, sf_dir).withColumnRenamed("user", "user_id").withColumnRenamed(
-        "item", "item_id")
+    """Ratings (orders ⋈ lineitem, aggregated per pair) are derived once and
+    checkpointed to the shared folder: training and scoring both read them,
+    and the join is not replayed after an executor loss."""
+    ensure_checkpoint_dir(spark)
+    r = (ratings(spark, sf_dir).withColumnRenamed("user", "user_id")
+         .withColumnRenamed("item", "item_id").checkpoint(eager=True))
     return S.key_split(r, S.pair_key("user_id", "item_id"), 0.7, ALS_SEED)
 
 
