@@ -70,6 +70,8 @@ def spread(df, min_partitions: int | None = None):
     have enough partitions (any real-scale scan) are returned unchanged, so
     no extra shuffle happens at scale.
     """
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
