@@ -54,7 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     lineage there, so a lost executor does not replay every iteration.
     """
     d = checkpoint_dir(spark)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return d
     if sc.getCheckpointDir() is None:
         if "://" not in d:
             os.makedirs(d, exist_ok=True)
@@ -72,7 +75,9 @@ def spread(df, min_partitions: int | None = None):
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave partitioning to AQE
+        return df
+    return df.repartition(target) if have < target else df

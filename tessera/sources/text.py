@@ -43,7 +43,12 @@ def read_table(spark: SparkSession, path: str | list[str], *,
     """Delimited table scan. An explicit schema avoids the inference pass;
     ``infer_schema=True`` reproduces the reference's inferred-type read.
     With ``header=True`` every file's header line is dropped (two files with
-    headers give the data rows of both)."""
+    headers give the data rows of both).
+
+    Caveat (Spark's CSV reader): with column pruning a ``FAILFAST`` read only
+    parses the selected columns, so a bad value in an unselected column is
+    not reported. Numeric files that must be checked field by field go
+    through ``read_lines`` + ``parse_numeric`` (strict on every field)."""
     reader = (spark.read.option("header", str(header).lower())
               .option("sep", sep).option("mode", mode))
     if schema is not None:
