@@ -45,17 +45,22 @@ def text_mining(spark: SparkSession, path: str, k: int = 15, min_len: int = 6) -
 
 def read_labeled(spark: SparkSession, path: str, sep: str = ",", label_idx: int = 0,
                  start: int = 1, length: int = 28, header: bool = False) -> DataFrame:
-    """Numeric text table → ``label, features`` plus a content key for
-    reproducible splits (rows are keyed by a hash of their line, so the split
-    does not depend on partitioning)."""
+    """Numeric text table → ``label, features`` plus a ``split_key``.
+
+    The key hashes the line together with its position in the input
+    (``with_row_index``): reproducible for the same files, and duplicate
+    lines — a block of copies may be a third of the data — get different
+    keys, so they are split like any other rows instead of all landing on
+    one side."""
     lines = read_lines(spark, path)
     if header:
         first = lines.first()
         if first is not None:
             lines = lines.where(F.col("value") != first.value)
     need = max(start + length, label_idx + 1)
-    parsed = parse_numeric(lines.withColumn("split_key", F.xxhash64("value")), sep,
-                           min_fields=need)
+    keyed = with_row_index(lines, "_pos").withColumn(
+        "split_key", F.xxhash64("value", "_pos")).drop("_pos")
+    parsed = parse_numeric(keyed, sep, min_fields=need)
     return label_features(parsed.drop("value"), label_idx, start, length)
 
 
@@ -155,8 +160,9 @@ def glm_report(spark: SparkSession, path: str, target: str, *, id_cols=("Row_ID"
     nums = [f.name for f in raw.schema.fields
             if isinstance(f.dataType, NumericType) and f.name != target
             and f.name not in id_cols]
-    key = F.xxhash64(*[F.col(c).cast("string") for c in raw.columns])
-    data = raw.withColumn("split_key", key).withColumn("label", F.col(target).cast("double"))
+    data = with_row_index(raw, "_pos")
+    data = (data.withColumn("split_key", F.xxhash64(*raw.columns, "_pos")).drop("_pos")
+            .withColumn("label", F.col(target).cast("double")))
     train, test = _split(data, seed)
     if cats:
         model = FT.fit_indexer(train, cats, "_idx", handle_invalid="keep")

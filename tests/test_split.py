@@ -33,3 +33,18 @@ def test_pair_key_uses_both_ids(spark):
 def test_random_split_passthrough(spark):
     a, b = S.random_split(spark.range(1000), (0.7, 0.3), 100)
     assert a.count() + b.count() == 1000
+
+
+def test_copies_are_split_like_other_rows(spark, tmp_path):
+    """A block of identical lines (a third of the file) must not land on one side."""
+    from tessera.plans.programs import read_labeled
+    lines = ["1,0.5,0.5"] * 300 + [f"{i % 2},{i / 7:.3f},{i / 11:.3f}" for i in range(600)]
+    f = tmp_path / "dup.csv"
+    f.write_text("\n".join(lines) + "\n")
+    d = read_labeled(spark, str(f), ",", 0, 1, 2)
+    train, test = S.key_split(d, "split_key", 0.7, 100)
+    dup = F.expr("features[0] = 0.5 AND features[1] = 0.5")
+    from pyspark.ml.functions import vector_to_array
+    a = train.withColumn("features", vector_to_array("features")).where(dup).count()
+    b = test.withColumn("features", vector_to_array("features")).where(dup).count()
+    assert a + b == 300 and 150 < a < 260
