@@ -18,6 +18,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as EV
+from ..operators import features as FT
 from ..operators import split as S
 from ..operators import supervised as SV
 from ..operators import tuning as TU
@@ -351,7 +352,46 @@ def q_logistic_cv(spark, sf_dir):
     return TU.cv_report(spark, cvm)
 
 
+CLAIM_CATS = ["p_brand", "p_type", "l_returnflag", "l_linestatus"]
+CLAIM_NUMS = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
+
+
+def q_glm_claims(spark, sf_dir):
+    """The claims-model program on lineitem ⋈ part: string columns indexed
+    in one multi-column job (labels from the training rows), numeric columns
+    kept, target never a feature; gaussian and poisson GLMs (identity link,
+    λ = 0.3, 10 iterations): full summaries plus test RMSE."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_returnflag",
+        "l_linestatus", (F.col("l_extendedprice") / 1000.0).alias("label"))
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", "p_type", F.col("p_size").cast("double").alias("p_size"),
+        "p_retailprice")
+    d = li.join(p, li.l_partkey == p.p_partkey)
+    train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
+    idx = FT.fit_indexer(train, CLAIM_CATS, "_idx", handle_invalid="keep")
+    feats = CLAIM_NUMS + [c + "_idx" for c in CLAIM_CATS]
+    train = FT.assemble(idx.transform(train), feats, label="label").select("label", "features")
+    test = FT.assemble(idx.transform(test), feats, label="label")
+    # the summary statistics (deviances, AIC, standard errors) re-read the
+    # training rows, so they stay persisted until the summaries are built
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    out = None
+    try:
+        for fam in ("gaussian", "poisson"):
+            m = SV.glm(fam, "identity", "label", "features", 10, 0.3).fit(train)
+            rmse = EV.regression_metrics(m.transform(test), "label", "prediction").first().rmse
+            rows = SV.glm_summary(spark, m, feats).union(spark.createDataFrame(
+                [("test_rmse", None, float(rmse))], "stat string, term string, value double"))
+            rows = rows.withColumn("family", F.lit(fam))
+            out = rows if out is None else out.union(rows)
+    finally:
+        train.unpersist()
+    return out.select("family", "stat", "term", "value")
+
+
 QUERIES = {
+    "glm_claims": q_glm_claims,
     "tree_regressor_stump": q_tree_regressor_stump,
     "tree_classifier_stump": q_tree_classifier_stump,
     "glm_gaussian": q_glm_gaussian,
