@@ -36,10 +36,10 @@ def _lineitem_xy(spark, sf_dir):
     return VectorAssembler(inputCols=["x"], outputCol="features").transform(li)
 
 
-HIGGS_FEATURES = ["l_quantity", "p_retailprice", "l_discount", "l_tax", "p_size", "neg_mod"]
+NUMERIC_FEATURES = ["l_quantity", "p_retailprice", "l_discount", "l_tax", "p_size", "neg_mod"]
 
 
-def higgs_like(spark, sf_dir):
+def labeled_numeric(spark, sf_dir):
     """Label + 6 numeric features (one of them categorical) from
     lineitem ⋈ part. ``label`` (0/1) and ``target`` (revenue / 1000) are
     interactions of the features, so the learners have signal to find."""
@@ -52,7 +52,7 @@ def higgs_like(spark, sf_dir):
     d = (li.join(p, li.l_partkey == p.p_partkey)
          .withColumn("label", (gross > 35000).cast("double"))
          .withColumn("target", gross * (1 - F.col("l_discount")) / 1000.0))
-    return VectorAssembler(inputCols=HIGGS_FEATURES, outputCol="features").transform(d)
+    return VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="features").transform(d)
 
 
 # --- tree stumps ---------------------------------------------------------------
@@ -291,7 +291,7 @@ TREE_GRID = {"maxDepth": [3, 4, 5], "maxBins": [10, 20, 30]}
 
 
 def _cv_tree(spark, sf_dir, kind: str):
-    d = S.key_folds(higgs_like(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
+    d = S.key_folds(labeled_numeric(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
     train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
     cols = ["label", "target", "features", "fold"]
     train = spread(train.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -330,7 +330,7 @@ def q_cv_tree_regressor(spark, sf_dir):
 
 
 def q_tree_report(spark, sf_dir):
-    d = higgs_like(spark, sf_dir)
+    d = labeled_numeric(spark, sf_dir)
     model = SV.regression_pipeline(SV.tree_regressor(label="target", max_depth=3),
                                    "features").fit(d)
     return SV.tree_report(spark, model)
@@ -339,7 +339,7 @@ def q_tree_report(spark, sf_dir):
 def q_logistic_cv(spark, sf_dir):
     """Logistic regression (elastic net .8) CV over regParam {.3,.6,.9},
     accuracy in indexed-label space, 3 key folds."""
-    d = S.key_folds(higgs_like(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
+    d = S.key_folds(labeled_numeric(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
     d = spread(d.select("label", "features", "fold")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prep = SV.fit_preprocessing(d, "features", "label")

@@ -13,15 +13,15 @@ def files(tmp_path_factory):
     rng = np.random.default_rng(1)
     out = {}
     # text
-    (d / "chap.txt").write_text("All animals are equal.\nBut some animals are more equal\n\n"
+    (d / "story.txt").write_text("All animals are equal.\nBut some animals are more equal\n\n"
                                 "than others, said the pigs. Windmill windmill!\n")
-    out["text"] = str(d / "chap.txt")
-    # HIGGS-like: label first, 28 features
+    out["text"] = str(d / "story.txt")
+    # wide numeric table: label first, 28 features
     x = rng.normal(size=(400, 28))
     y = (x[:, 0] + 0.5 * x[:, 1] > 0).astype(float)
     lines = [",".join([f"{yy:.1f}"] + [f"{v:.5f}" for v in row]) for yy, row in zip(y, x)]
-    (d / "higgs.csv").write_text("\n".join(lines) + "\n")
-    out["higgs"] = str(d / "higgs.csv")
+    (d / "wide.csv").write_text("\n".join(lines) + "\n")
+    out["wide"] = str(d / "wide.csv")
     # wine-like: ';' header, 11 features then label
     w = rng.uniform(0, 10, size=(300, 11))
     q = np.round(w[:, 0] + w[:, 3] / 2)
@@ -41,26 +41,26 @@ def files(tmp_path_factory):
     # word x paper matrix
     m = rng.poisson(2.0, size=(10, 6)).astype(float)
     head = "word," + ",".join(f"p{j}" for j in range(6))
-    (d / "nips.csv").write_text(head + "\n" + "\n".join(
+    (d / "word_paper.csv").write_text(head + "\n" + "\n".join(
         f"w{i}," + ",".join(f"{v:.0f}" for v in m[i]) for i in range(10)) + "\n")
-    out["nips"], out["nips_m"] = str(d / "nips.csv"), m
+    out["word_paper"], out["word_paper_m"] = str(d / "word_paper.csv"), m
     # profiles: id + 6 values, two planted groups
     prof = np.vstack([rng.normal(0, 1, size=(30, 6)), rng.normal(50, 1, size=(20, 6))])
-    (d / "data.csv").write_text("id," + ",".join(f"c{j}" for j in range(6)) + "\n" + "\n".join(
+    (d / "profiles.csv").write_text("id," + ",".join(f"c{j}" for j in range(6)) + "\n" + "\n".join(
         f"{i}," + ",".join(f"{v:.4f}" for v in r) for i, r in enumerate(prof)) + "\n")
-    out["profiles"] = str(d / "data.csv")
+    out["profiles"] = str(d / "profiles.csv")
     # ratings (rank 1) + test with an unseen user
     a, b = 1 + 0.1 * np.arange(15), 0.5 + 0.2 * np.arange(12)
     tr = [f"{u}::{i}::{a[u] * b[i]:.4f}::0" for u in range(15) for i in range(12) if (u + i) % 5]
     te = [f"{u}::{i}::{a[u] * b[i]:.4f}::0" for u in range(15) for i in range(12) if not (u + i) % 5]
     te.append("77::1::3.0::0")
-    (d / "r1.train").write_text("\n".join(tr) + "\n")
-    (d / "r1.test").write_text("\n".join(te) + "\n")
-    out["train"], out["test"], out["n_test"] = str(d / "r1.train"), str(d / "r1.test"), len(te)
-    # semeion-like: space separated, 12 fields, keep 10
+    (d / "ratings.train").write_text("\n".join(tr) + "\n")
+    (d / "ratings.test").write_text("\n".join(te) + "\n")
+    out["train"], out["test"], out["n_test"] = str(d / "ratings.train"), str(d / "ratings.test"), len(te)
+    # space separated, 12 fields, keep 10
     s = np.vstack([rng.normal(0, 1, size=(40, 12)), rng.normal(8, 1, size=(40, 12))])
-    (d / "semeion.data").write_text("\n".join(" ".join(f"{v:.3f}" for v in r) for r in s) + "\n")
-    out["semeion"] = str(d / "semeion.data")
+    (d / "digits.txt").write_text("\n".join(" ".join(f"{v:.3f}" for v in r) for r in s) + "\n")
+    out["digits"] = str(d / "digits.txt")
     out["dir"] = d
     return out
 
@@ -74,7 +74,7 @@ def test_text_mining(spark, files):
 
 
 def test_tree_classifier_cv(spark, files):
-    r = P.tree_classifier_cv(spark, files["higgs"], depths=(2, 3), bins=(10,), folds=2)
+    r = P.tree_classifier_cv(spark, files["wide"], depths=(2, 3), bins=(10,), folds=2)
     cv = r["cv"].collect()
     assert len(cv) == 2 and sum(x.is_best for x in cv) == 1
     assert r["test_accuracy"].first().accuracy > 0.7
@@ -95,7 +95,7 @@ def test_tree_regressor_cv_wine(spark, files):
 
 
 def test_logistic_cv(spark, files):
-    r = P.logistic_cv(spark, files["higgs"], reg_params=(0.01, 0.3), folds=2)
+    r = P.logistic_cv(spark, files["wide"], reg_params=(0.01, 0.3), folds=2)
     assert r["cv"].count() == 2 and r["test_accuracy"].first().accuracy > 0.5
 
 
@@ -109,9 +109,9 @@ def test_glm_report(spark, files):
 
 
 def test_matrix_report(spark, files):
-    out = str(files["dir"] / "projected_real")
-    r = P.matrix_report(spark, files["nips"], k=2, out_dir=out)
-    m = files["nips_m"]
+    out = str(files["dir"] / "projected_out")
+    r = P.matrix_report(spark, files["word_paper"], k=2, out_dir=out)
+    m = files["word_paper_m"]
     t = sorted((x.id, list(x.features)) for x in r["transposed"].collect())
     assert np.allclose(np.array([v for _, v in t]), m.T)
     assert r["explained_variance"].count() == 2
@@ -121,7 +121,7 @@ def test_matrix_report(spark, files):
 
 
 def test_matrix_report_take_rows(spark, files):
-    r = P.matrix_report(spark, files["nips"], k=2, take_rows=4)
+    r = P.matrix_report(spark, files["word_paper"], k=2, take_rows=4)
     assert len(r["transposed"].first().features) == 4
 
 
@@ -142,7 +142,7 @@ def test_recommend_report(spark, files):
 
 
 def test_reduce_cluster_report(spark, files):
-    r = P.reduce_cluster_report(spark, files["semeion"], k=2, max_iter=20, take_cols=10)
+    r = P.reduce_cluster_report(spark, files["digits"], k=2, max_iter=20, take_cols=10)
     s = r["summary"].first()
     assert 1 <= s.components <= 10
     assert r["top_singular_values"].count() == min(5, s.components)
