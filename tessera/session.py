@@ -41,12 +41,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fresh scratch folder of our own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    try:  # a folder already given to this SparkContext
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:
+        d = None
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        global _LOCAL_CKPT
+        if _LOCAL_CKPT is None:
+            _LOCAL_CKPT = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        d = _LOCAL_CKPT
     return d
 
 
+_LOCAL_CKPT: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the SparkContext at the shared checkpoint folder.
 
