@@ -146,3 +146,19 @@ def test_reduce_cluster_report(spark, files):
     s = r["summary"].first()
     assert 1 <= s.components <= 10
     assert r["top_singular_values"].count() == min(5, s.components)
+
+
+def test_matrix_report_wide_path(spark, files, monkeypatch):
+    """Force the distributed-SVD PCA (used above WIDE_COLUMNS) and compare
+    ratios and |projections| with numpy."""
+    from tessera.operators import linalg as LA
+    monkeypatch.setattr(LA, "WIDE_COLUMNS", 3)
+    r = P.matrix_report(spark, files["word_paper"], k=2)
+    x = files["word_paper_m"].T                          # papers × words
+    ev = np.linalg.eigvalsh(np.cov(x, rowvar=False))[::-1]
+    got = [e.explained_variance for e in r["explained_variance"].orderBy("component").collect()]
+    assert np.allclose(got, (ev / ev.sum())[:2])
+    w, v = np.linalg.eigh(np.cov(x, rowvar=False))
+    pc = v[:, ::-1][:, :2]
+    proj = sorted((p.id, list(p.projected)) for p in r["projected"].collect())
+    assert np.allclose(np.abs([p for _, p in proj]), np.abs(x @ pc), atol=1e-8)
