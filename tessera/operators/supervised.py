@@ -40,6 +40,19 @@ def fit_spread(estimator, df: DataFrame, cols: list[str] | None = None):
         x.unpersist()
 
 
+def fit_with_summary(estimator, df: DataFrame, report, cols: list[str] | None = None):
+    """Fit, then build an eager report from the fitted model while the
+    training rows are still persisted (GLM summary statistics — deviances,
+    AIC, standard errors — re-read the training data lazily)."""
+    x = df.select(*cols) if cols else df
+    x = spread(x).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.fit(x)
+        return model, report(model)
+    finally:
+        x.unpersist()
+
+
 def tree_classifier(label: str = "indexedLabel", features: str = "indexedFeatures",
                     max_depth: int = 5, max_bins: int = 32, impurity: str = "gini",
                     seed: int = 0, cache_node_ids: bool = False,

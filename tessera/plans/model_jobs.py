@@ -158,9 +158,10 @@ def q_glm_gaussian_summary(spark, sf_dir):
     """Unpenalised gaussian fit: the full inference summary (p-values are
     produced by ``glm_summary`` but have no SQL twin)."""
     d = _lineitem_xy(spark, sf_dir)
-    m = SV.fit_spread(SV.glm("gaussian", "identity", "label", "features", 10, 0.0), d,
-                      ["label", "features"])
-    return _round_stats(SV.glm_summary(spark, m, ["x"]))
+    _, summary = SV.fit_with_summary(
+        SV.glm("gaussian", "identity", "label", "features", 10, 0.0), d,
+        lambda m: SV.glm_summary(spark, m, ["x"]), ["label", "features"])
+    return _round_stats(summary)
 
 
 def _r(expr: str, stat: str) -> str:
@@ -213,9 +214,10 @@ UNION ALL SELECT 'intercept', round(m0, 6) FROM m"""
 def q_glm_poisson_summary(spark, sf_dir):
     """The reference setting (poisson / identity, λ = 0.3, 10 iterations):
     full summary table, row-count check."""
-    m = SV.fit_spread(SV.glm("poisson", "identity", "label", "features", 10, 0.3),
-                      _poisson_data(spark, sf_dir))
-    return SV.glm_summary(spark, m, ["g"])
+    _, summary = SV.fit_with_summary(
+        SV.glm("poisson", "identity", "label", "features", 10, 0.3), _poisson_data(spark, sf_dir),
+        lambda m: SV.glm_summary(spark, m, ["g"]))
+    return summary
 
 
 def q_glm_residuals(spark, sf_dir):
