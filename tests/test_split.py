@@ -48,3 +48,20 @@ def test_copies_are_split_like_other_rows(spark, tmp_path):
     a = train.withColumn("features", vector_to_array("features")).where(dup).count()
     b = test.withColumn("features", vector_to_array("features")).where(dup).count()
     assert a + b == 300 and 150 < a < 260
+
+
+def test_with_row_index_dense_in_file_order(spark, tmp_path):
+    from tessera.functions import with_row_index
+    f = tmp_path / "lines.txt"
+    f.write_text("\n".join(f"line{i:05d}" for i in range(5000)) + "\n")
+    # several scan splits of one file
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = spark.read.text(str(f))
+        assert df.rdd.getNumPartitions() > 3
+        rows = with_row_index(df, "rid").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    ids = sorted(r.rid for r in rows)
+    assert ids == list(range(5000))
+    assert all(r.value == f"line{r.rid:05d}" for r in rows)
