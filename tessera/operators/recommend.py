@@ -18,13 +18,11 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, spread
 
-INT_MAX = 2**31 - 1
-
-
 def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.01,
             seed: int = 0, user: str = "user", item: str = "item", rating: str = "rating",
             checkpoint_interval: int = 10, blocks: int | None = None) -> ALSModel:
-    """Explicit ALS (the reference's rank 10, 10 iterations, λ = 0.01)."""
+    """Explicit ALS (rank 10, 10 iterations, λ = 0.01 by default). User and
+    item ids must fit in an int; MLlib rejects larger ones."""
     ensure_checkpoint_dir(ratings.sparkSession)
     kw = {}
     if blocks:
