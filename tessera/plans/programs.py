@@ -185,13 +185,28 @@ def glm_report(spark: SparkSession, path: str, target: str, *, id_cols=("Row_ID"
 def read_matrix(spark: SparkSession, path: str, *, sep: str = ",", header: bool = True,
                 drop_first: bool = True, take_rows: int | None = None,
                 take_cols: int | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Numeric text matrix → ``id`` (0-based line position after the header,
-    in file order) and ``features``. ``take_rows`` keeps the first n rows."""
-    lines = read_lines(spark, path, min_partitions=None)
+    """Numeric text matrix → ``id`` (0-based row position in scan order) and
+    ``features``. ``drop_first`` drops an id/word column, ``take_cols`` keeps
+    the first n remaining fields, ``take_rows`` the first n rows.
+
+    With ``header`` the CSV reader drops the header line of *every* file
+    (two files with headers give the data rows of both); fields are read as
+    strings and cast strictly, so a bad number raises."""
     if header:
-        lines = with_row_index(lines, "line").where("line > 0").drop("line")
-    parsed = parse_numeric(with_row_index(lines, "id"), sep, drop_first=drop_first,
-                           take=take_cols)
+        raw = (spark.read.option("header", "true").option("sep", sep)
+               .option("mode", "FAILFAST").csv(path))
+        cols = raw.columns[1:] if drop_first else raw.columns
+        if take_cols is not None:
+            cols = cols[:take_cols]
+        fields = F.array(*[F.col("`" + c.replace("`", "``") + "`") for c in cols])
+        rows = with_row_index(raw.select(fields.alias("_f")), "id")
+        ok = F.forall("_f", lambda x: x.try_cast("double").isNotNull())
+        parsed = rows.where(F.when(ok, F.lit(True)).otherwise(
+            F.raise_error(F.lit("malformed numeric row in " + str(path))))).select(
+            "id", F.transform("_f", lambda x: x.try_cast("double")).alias("values"))
+    else:
+        parsed = parse_numeric(with_row_index(read_lines(spark, path), "id"), sep,
+                               drop_first=drop_first, take=take_cols)
     if take_rows is not None:
         parsed = parsed.where(F.col("id") < take_rows)
     out = parsed.select("id", array_to_vector("values").alias("features"))
@@ -204,7 +219,9 @@ def matrix_report(spark: SparkSession, path: str, *, k: int = 2, take_rows: int
                   out_dir: str | None = None, min_partitions: int | None = None) -> dict:
     """word × paper table → papers × words (distributed transpose), PCA-k
     with explained variance, un-centred projection (optionally saved as
-    comma-joined text), truncated SVD with σ and σ²."""
+    comma-joined text), truncated SVD with σ and σ². The transposed table
+    is returned persisted (PCA, SVD and projection all read it); the caller
+    unpersists it when done."""
     words = read_matrix(spark, path, take_rows=take_rows, min_partitions=min_partitions)
     papers = LA.transpose(words, "id", "features").persist(StorageLevel.MEMORY_AND_DISK)
     r = LA.pca(papers, "features", k)

@@ -162,3 +162,18 @@ def test_matrix_report_wide_path(spark, files, monkeypatch):
     pc = v[:, ::-1][:, :2]
     proj = sorted((p.id, list(p.projected)) for p in r["projected"].collect())
     assert np.allclose(np.abs([p for _, p in proj]), np.abs(x @ pc), atol=1e-8)
+
+
+def test_read_matrix_every_file_header_dropped(spark, tmp_path):
+    d = tmp_path / "two"
+    d.mkdir()
+    (d / "a.csv").write_text("w,p0,p1\nx,1,2\ny,3,4\n")
+    (d / "b.csv").write_text("w,p0,p1\nz,5,6\nq,7,8\n")
+    m = P.read_matrix(spark, str(d))
+    rows = sorted(list(r.features) for r in m.collect())
+    assert rows == [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0], [7.0, 8.0]]
+    assert sorted(r.id for r in m.collect()) == [0, 1, 2, 3]
+    (d / "c.csv").write_text("w,p0,p1\nbad,1,oops\n")
+    from pyspark.errors import PySparkException
+    with pytest.raises(PySparkException):
+        P.read_matrix(spark, str(d)).collect()
