@@ -76,19 +76,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over at least the cluster's default parallelism.
-
-    Used only before persisting the input of an iterative fit (trees, CV,
-    k-means, ALS): every later pass then uses all cores. Inputs that already
-    have enough partitions (any real-scale scan) are returned unchanged, so
-    no extra shuffle happens at scale.
+def spread(df, min_partitions: int | None = None, max_growth: int = 8):
+    """Round-robin ``df`` over more partitions when it has fewer than the
+    cluster's default parallelism.
+
+    Used before persisting the input of an iterative fit (trees, CV, k-means,
+    ALS) and before tokenising text: a scan of one big file or row group
+    otherwise runs every later pass in one task. Growth is capped at
+    ``max_growth`` × the current count, so a tiny input on a large cluster
+    is not cut into thousands of empty partitions; inputs that already have
+    enough partitions (any real-scale scan) are returned unchanged, so no
+    extra shuffle happens at scale.
     """
     if df.isStreaming:
         return df
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
+        target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism,
+                                       max(have, 1) * max_growth)
     except Exception:  # no RDD view (Spark Connect): leave partitioning to AQE
         return df
     return df.repartition(target) if have < target else df

@@ -39,3 +39,8 @@ def test_spread_only_when_underpartitioned(spark):
     assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     big = spark.range(100).repartition(spark.sparkContext.defaultParallelism + 3)
     assert spread(big) is big
+
+
+def test_spread_growth_is_capped(spark):
+    one = spark.range(10).coalesce(1)
+    assert spread(one, max_growth=2).rdd.getNumPartitions() == 2
