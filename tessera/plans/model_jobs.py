@@ -277,7 +277,7 @@ CV_GLM_SQL = f"""
 WITH d AS (SELECT l_quantity AS y, l_extendedprice / 1000.0 AS x,
                   CAST({_hash_sql('l_orderkey', FOLD_SEED)} % 3 AS INTEGER) AS fold FROM lineitem),
 f AS (SELECT DISTINCT fold AS vf FROM d),
-g AS (SELECT unnest([{', '.join(str(x) for x in GLM_GRID)}]) AS lam),
+g AS (SELECT CAST(unnest([{', '.join(str(x) for x in GLM_GRID)}]) AS DOUBLE) AS lam),
 m AS (SELECT vf, avg(x) AS mx, avg(y) AS my, avg(x * x) - avg(x) * avg(x) AS vx,
              avg(x * y) - avg(x) * avg(y) AS cxy, avg(y * y) - avg(y) * avg(y) AS vy
       FROM f JOIN d ON d.fold <> f.vf GROUP BY vf),
