@@ -84,6 +84,16 @@ def q_kmeans_embeddings(spark, sf_dir):
     return CL.cluster_sizes(CL.assign(model, d))
 
 
+def q_kmeans_report(spark, sf_dir):
+    """The clustering-report program on the embeddings: k = 5, 100
+    iterations; largest / smallest cluster, their sizes and the distance
+    between their centres (any number of non-empty clusters)."""
+    d = _embeddings(spark, sf_dir)
+    model = CL.kmeans(d, 5, max_iter=100, seed=1)
+    ext = CL.cluster_extremes(CL.cluster_sizes(CL.assign(model, d)))
+    return CL.center_distances(ext, CL.cluster_centers(spark, model))
+
+
 def q_reduce_and_cluster(spark, sf_dir):
     """k = 10 WSSSE on raw embeddings vs on the components keeping 80 %."""
     r = CL.reduce_and_cluster(spark, _embeddings(spark, sf_dir), 10, 0.80, 250, 1)
@@ -149,6 +159,7 @@ QUERIES = {
     "kmeans_planted": q_kmeans_planted,
     "cluster_extremes": q_cluster_extremes,
     "kmeans_embeddings": q_kmeans_embeddings,
+    "kmeans_report": q_kmeans_report,
     "reduce_and_cluster": q_reduce_and_cluster,
     "als_scorable_pairs": q_als_scorable_pairs,
     "als_mse": q_als_mse,
