@@ -55,3 +55,28 @@ def test_word_counts_layout_free(spark, lines, parts):
     one = {(r.word, r.n) for r in T.word_counts(df).collect()}
     many = {(r.word, r.n) for r in T.word_counts(df.repartition(parts)).collect()}
     assert one == many
+
+
+@SETTINGS
+@given(data=st.data())
+def test_transpose_any_shape_with_gaps(spark, data):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from tessera.operators import linalg as LA
+    n_rows = data.draw(st.integers(min_value=1, max_value=12))
+    n_cols = data.draw(st.integers(min_value=1, max_value=6))
+    present = data.draw(st.lists(st.booleans(), min_size=n_rows, max_size=n_rows))
+    if not any(present):
+        present[0] = True
+    vals = data.draw(st.lists(st.integers(-9, 9), min_size=n_rows * n_cols,
+                              max_size=n_rows * n_cols))
+    m = np.array(vals, dtype=float).reshape(n_rows, n_cols)
+    rows = [(i, [float(v) for v in m[i]]) for i in range(n_rows) if present[i]]
+    df = spark.createDataFrame(rows, "id long, v array<double>").select(
+        "id", array_to_vector("v").alias("features"))
+    t = LA.transpose(df, "id", "features", n_rows=n_rows)
+    got = {r.id: r.a for r in t.select("id", vector_to_array("features").alias("a")).collect()}
+    exp = (m * np.array(present, dtype=float)[:, None]).T     # absent rows read as 0
+    assert sorted(got) == list(range(n_cols))
+    assert np.allclose(np.array([got[j] for j in range(n_cols)]), exp)

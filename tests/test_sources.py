@@ -108,3 +108,16 @@ def test_preview(spark):
     df = spark.range(100).withColumn("y", F.col("id") * 2)
     p = preview(df, ["y"], 5)
     assert p.columns == ["y"] and p.count() == 5
+
+
+def test_read_table_failfast_on_malformed_row(spark, tmp_path):
+    f = _write(tmp_path / "m.csv", "a,b\n1,2\n3,x\n")
+    df = read_table(spark, f, schema="a double, b double")
+    with pytest.raises(Exception):
+        df.collect()
+
+
+def test_vector_text_uses_jvm_double_format(spark):
+    df = spark.createDataFrame([([1e-05, 1234567.0, -0.5],)], "v array<double>")
+    # same text as the JVM's Double.toString, as the reference's mkString gives
+    assert vectors_as_text(df, "v").first().value == "1.0E-5,1234567.0,-0.5"
