@@ -168,15 +168,20 @@ def glm_report(spark: SparkSession, path: str, target: str, *, id_cols=("Row_ID"
         model = FT.fit_indexer(train, cats, "_idx", handle_invalid="keep")
         train, test = model.transform(train), model.transform(test)
     feats = nums + [c + "_idx" for c in cats]
-    train = FT.assemble(train, feats, label=target)
+    train = FT.assemble(train, feats, label=target).select("label", "features")
     test = FT.assemble(test, feats, label=target)
+    # every fit and every summary statistic re-reads the training rows
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     out = {}
-    for fam in families:
-        m = SV.glm(fam, "identity", "label", "features", max_iter, reg_param).fit(train)
-        pred = m.transform(test)
-        out[fam] = {"test": EV.regression_metrics(pred, "label", "prediction"),
-                    "summary": SV.glm_summary(spark, m, feats),
-                    "residuals": SV.glm_residuals(m)}
+    try:
+        for fam in families:
+            m = SV.glm(fam, "identity", "label", "features", max_iter, reg_param).fit(train)
+            pred = m.transform(test)
+            out[fam] = {"test": EV.regression_metrics(pred, "label", "prediction"),
+                        "summary": SV.glm_summary(spark, m, feats),   # built eagerly
+                        "residuals": SV.glm_residuals(m)}
+    finally:
+        train.unpersist()
     return out
 
 
@@ -242,7 +247,9 @@ def matrix_report(spark: SparkSession, path: str, *, k: int = 2, take_rows: int
 def cluster_report(spark: SparkSession, path: str, *, k: int = 5, max_iter: int = 100,
                    take_cols: int = 178, seed: int = 1) -> dict:
     """Profile table (header, id column dropped, first ``take_cols`` values):
-    k-means centres, sizes, largest/smallest cluster and their distance."""
+    k-means centres, sizes, largest/smallest cluster and their distance.
+    The parsed rows come back persisted as ``data`` (sizes and extremes
+    read them); the caller unpersists them when done."""
     x = read_matrix(spark, path, take_cols=take_cols)
     x = spread(x).persist(StorageLevel.MEMORY_AND_DISK)
     model = CL.kmeans(x, k, max_iter, seed)
@@ -279,8 +286,11 @@ def reduce_cluster_report(spark: SparkSession, path: str, *, k: int = 10,
     x = read_matrix(spark, path, sep=" ", header=False, drop_first=False,
                     take_cols=take_cols)
     x = spread(x.select("features")).persist(StorageLevel.MEMORY_AND_DISK)
-    r = CL.reduce_and_cluster(spark, x, k, share, max_iter, seed)
-    sv = LA.svd(x, "features", r["components"])
+    try:
+        r = CL.reduce_and_cluster(spark, x, k, share, max_iter, seed)
+        sv = LA.svd(x, "features", r["components"])
+    finally:
+        x.unpersist()
     top_sv = spark.createDataFrame([(i + 1, float(s)) for i, s in enumerate(sv.s[:top])],
                                    "component int, singular_value double")
     summary = spark.createDataFrame(
