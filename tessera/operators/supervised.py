@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from pyspark import StorageLevel
 
-from ..session import spread
+from ..session import ensure_checkpoint_dir, spread
 from .features import vector_indexer
 
 
@@ -59,6 +59,8 @@ def tree_classifier(label: str = "indexedLabel", features: str = "indexedFeature
                     checkpoint_interval: int = 10) -> DecisionTreeClassifier:
     """``cache_node_ids`` (with checkpoints every ``checkpoint_interval``
     levels in the shared checkpoint folder) pays off for deep trees only."""
+    if cache_node_ids:
+        ensure_checkpoint_dir(SparkSession.active())
     return DecisionTreeClassifier(labelCol=label, featuresCol=features, maxDepth=max_depth,
                                   maxBins=max_bins, impurity=impurity, seed=seed,
                                   cacheNodeIds=cache_node_ids,
@@ -69,6 +71,8 @@ def tree_regressor(label: str = "label", features: str = "indexedFeatures",
                    max_depth: int = 5, max_bins: int = 32, seed: int = 0,
                    cache_node_ids: bool = False,
                    checkpoint_interval: int = 10) -> DecisionTreeRegressor:
+    if cache_node_ids:
+        ensure_checkpoint_dir(SparkSession.active())
     return DecisionTreeRegressor(labelCol=label, featuresCol=features, maxDepth=max_depth,
                                  maxBins=max_bins, seed=seed, cacheNodeIds=cache_node_ids,
                                  checkpointInterval=checkpoint_interval)
