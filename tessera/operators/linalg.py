@@ -105,8 +105,9 @@ def pca(df: DataFrame, vec_col: str, k: int, method: str = "auto") -> PCAResult:
     scaler = StandardScaler(withMean=True, withStd=False, inputCol=vec_col, outputCol="_c").fit(x)
     centred = scaler.transform(x).select("_c")
     res = _row_svd(centred, "_c", k)
-    m = df.count()
-    var = x.select(Summarizer.variance(F.col(vec_col)).alias("v")).first()["v"].toArray()
+    stats = x.select(Summarizer.metrics("variance", "count").summary(F.col(vec_col))
+                     .alias("s")).first()["s"]
+    m, var = int(stats["count"]), stats["variance"].toArray()
     ratios = (res.s ** 2 / (m - 1)) / float(var.sum())
     return PCAResult(res.V, ratios, None)
 
