@@ -66,6 +66,8 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
     nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = df.select(*by, _c(score).cast("double").alias("_s"),
                   _c(label).cast("double").alias("_y"))
+    # only scored, labelled rows can be ranked
+    s = s.where(F.col("_s").isNotNull() & F.col("_y").isNotNull())
     d = (s.groupBy(*by, "_s")
          .agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1.0) - F.col("_y")).alias("_neg"))
          .checkpoint(eager=True))
@@ -83,8 +85,13 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
     tot = d.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bneg"))
     w_off = (Window.partitionBy(*by).orderBy("_b")
              .rowsBetween(Window.unboundedPreceding, -1))
-    off = tot.select(*by, "_b", F.coalesce(F.sum("_bneg").over(w_off), F.lit(0.0)).alias("_off"))
-    j = d.join(off, [*by, "_b"])
+    off = tot.select(*[F.col(c).alias("_k_" + c) for c in by], F.col("_b").alias("_k_b"),
+                     F.coalesce(F.sum("_bneg").over(w_off), F.lit(0.0)).alias("_off"))
+    # null-safe on the group keys: a NULL group is a group like any other
+    cond = F.col("_b") == F.col("_k_b")
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col("_k_" + c))
+    j = d.join(off, cond).drop(*["_k_" + c for c in by], "_k_b")
     num = F.sum(F.col("_pos") * (F.col("_off") + F.col("_below") + F.lit(0.5) * F.col("_neg")))
     den = F.sum("_pos") * F.sum("_neg")
     return j.groupBy(*by).agg(F.when(den > 0, num / den).alias("auc"))

@@ -50,3 +50,12 @@ def test_regression_and_accuracy(spark):
     a = EV.accuracy(df).first()
     assert a.accuracy == 0.5 and a.test_error == 0.5
     assert EV.evaluate(df, "rmse") == pytest.approx(m.rmse)
+
+
+def test_auc_null_group_and_null_scores(spark):
+    rows = [(None, 1.0, 0.9), (None, 0.0, 0.1), (None, 1.0, 0.4), (None, 0.0, 0.4),
+            ("g", 1.0, 0.2), ("g", 0.0, 0.3), ("g", 1.0, None)]
+    df = spark.createDataFrame(rows, "grp string, label double, score double")
+    got = {r.grp: r.auc for r in EV.auc(df, "label", "score", by=["grp"]).collect()}
+    assert got[None] == pytest.approx(brute_auc([(1, 0.9), (0, 0.1), (1, 0.4), (0, 0.4)]))
+    assert got["g"] == 0.0
