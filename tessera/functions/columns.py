@@ -46,7 +46,8 @@ def key_hash(key: str | Column, seed: int = 0) -> Column:
     sampling changes with the layout). ``pmod`` first keeps the product far
     below the bigint range.
     """
-    k = F.pmod(_c(key).cast("bigint"), F.lit(HASH_PRIME))
+    # a NULL key hashes like 0, so its row still lands on exactly one side
+    k = F.pmod(F.coalesce(_c(key).cast("bigint"), F.lit(0)), F.lit(HASH_PRIME))
     return F.pmod(k * F.lit(HASH_MULT) + F.lit(int(seed)), F.lit(HASH_PRIME))
 
 

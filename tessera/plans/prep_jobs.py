@@ -17,7 +17,8 @@ FOLD_SEED = 7
 
 def _hash_sql(key: str, seed: int) -> str:
     p = HASH_PRIME
-    return f"((((({key}) % {p} + {p}) % {p}) * {HASH_MULT} + {seed}) % {p} + {p}) % {p}"
+    return (f"((((coalesce({key}, 0) % {p} + {p}) % {p}) * {HASH_MULT} + {seed}) % {p} + {p})"
+            f" % {p}")
 
 
 # --- splits -----------------------------------------------------------------

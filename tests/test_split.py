@@ -65,3 +65,10 @@ def test_with_row_index_dense_in_file_order(spark, tmp_path):
     ids = sorted(r.rid for r in rows)
     assert ids == list(range(5000))
     assert all(r.value == f"line{r.rid:05d}" for r in rows)
+
+
+def test_null_keys_are_not_dropped(spark):
+    df = spark.createDataFrame([(None,), (None,), (1,), (2,)], "k long")
+    train, test = S.key_split(df, "k", 0.5, 3)
+    assert train.count() + test.count() == 4
+    assert S.key_folds(df, "k", 3).where("fold IS NULL").count() == 0
