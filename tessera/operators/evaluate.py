@@ -37,18 +37,20 @@ def _c(x: str | Column) -> Column:
 
 def regression_metrics(df: DataFrame, label: str | Column = "label",
                        prediction: str | Column = "prediction", by=()) -> DataFrame:
-    """``n, mse, rmse, mae`` per group."""
+    """``n, mse, rmse, mae`` per group (``n`` = rows with both a label and a
+    prediction, the rows the averages run over)."""
     err = _c(prediction).cast("double") - _c(label).cast("double")
     mse = F.avg(err * err)
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), mse.alias("mse"),
+    return df.groupBy(*by).agg(F.count(err).alias("n"), mse.alias("mse"),
                                F.sqrt(mse).alias("rmse"), F.avg(F.abs(err)).alias("mae"))
 
 
 def accuracy(df: DataFrame, label: str | Column = "label",
              prediction: str | Column = "prediction", by=()) -> DataFrame:
-    """``n, accuracy, test_error`` per group."""
-    hit = F.avg((_c(label).cast("double") == _c(prediction).cast("double")).cast("double"))
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), hit.alias("accuracy"),
+    """``n, accuracy, test_error`` per group (over rows with both values)."""
+    same = (_c(label).cast("double") == _c(prediction).cast("double")).cast("double")
+    hit = F.avg(same)
+    return df.groupBy(*by).agg(F.count(same).alias("n"), hit.alias("accuracy"),
                                (F.lit(1.0) - hit).alias("test_error"))
 
 
