@@ -369,17 +369,18 @@ def q_glm_claims(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(
         "p_partkey", "p_brand", "p_type", F.col("p_size").cast("double").alias("p_size"),
         "p_retailprice")
-    d = li.join(p, li.l_partkey == p.p_partkey)
-    train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
-    idx = FT.fit_indexer(train, CLAIM_CATS, "_idx", handle_invalid="keep")
-    feats = CLAIM_NUMS + [c + "_idx" for c in CLAIM_CATS]
-    train = FT.assemble(idx.transform(train), feats, label="label").select("label", "features")
-    test = FT.assemble(idx.transform(test), feats, label="label")
-    # the summary statistics (deviances, AIC, standard errors) re-read the
-    # training rows, so they stay persisted until the summaries are built
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    # the joined rows feed the indexer fit, both fits, every summary statistic
+    # and the test scoring; all results below are built eagerly, so the join
+    # is computed once and released before returning
+    d = spread(li.join(p, li.l_partkey == p.p_partkey)).persist(StorageLevel.MEMORY_AND_DISK)
     out = None
     try:
+        train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
+        idx = FT.fit_indexer(train, CLAIM_CATS, "_idx", handle_invalid="keep")
+        feats = CLAIM_NUMS + [c + "_idx" for c in CLAIM_CATS]
+        train = FT.assemble(idx.transform(train), feats, label="label").select(
+            "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+        test = FT.assemble(idx.transform(test), feats, label="label")
         for fam in ("gaussian", "poisson"):
             m = SV.glm(fam, "identity", "label", "features", 10, 0.3).fit(train)
             rmse = EV.regression_metrics(m.transform(test), "label", "prediction").first().rmse
@@ -387,8 +388,9 @@ def q_glm_claims(spark, sf_dir):
                 [("test_rmse", None, float(rmse))], "stat string, term string, value double"))
             rows = rows.withColumn("family", F.lit(fam))
             out = rows if out is None else out.union(rows)
-    finally:
         train.unpersist()
+    finally:
+        d.unpersist()
     return out.select("family", "stat", "term", "value")
 
 
