@@ -80,3 +80,18 @@ def test_transpose_any_shape_with_gaps(spark, data):
     exp = (m * np.array(present, dtype=float)[:, None]).T     # absent rows read as 0
     assert sorted(got) == list(range(n_cols))
     assert np.allclose(np.array([got[j] for j in range(n_cols)]), exp)
+
+
+@SETTINGS
+@given(values=st.lists(st.sampled_from(["a", "b", "B", "10", "2", "ab", "é"]), min_size=1,
+                       max_size=40))
+def test_string_index_order_matches_rule(spark, values):
+    from collections import Counter
+
+    from tessera.operators import features as FT
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    labels = FT.fit_indexer(df, ["s"], max_labels=None).labelsArray[0]
+    counts = Counter(values)
+    # frequency descending, ties by the string in code-point order
+    expected = sorted(counts, key=lambda v: (-counts[v], v))
+    assert list(labels) == expected
