@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from . import token_counts
+from . import exact_dedup, sentence_pieces, sharding, substring_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.q_token_counts,
+    "op2_sentence_pieces": sentence_pieces.q_sentence_pieces,
+    "op3_sharding": sharding.q_sharding,
+    "op4_exact_dedup": exact_dedup.q_exact_dedup,
+    "op6_substring_dedup": substring_dedup.q_substring_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+# DuckDB twins, where SQL can express the result
+ORACLE: dict[str, str] = {
+    "op4_exact_dedup": exact_dedup.SQL_EXACT_DEDUP,
+}
