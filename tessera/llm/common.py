@@ -178,16 +178,17 @@ def batches(it: Iterator[pa.RecordBatch], max_bytes: int, col: str = "text",
 
 
 def join_with_hot(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
-                  share: int = 1000) -> DataFrame:
+                  share: int = 1000, n: int | None = None) -> DataFrame:
     """``rows`` left-joined with ``groups`` (unique on ``keys``), safe for hot keys.
 
     A group of more than 1/``share`` of all rows is hot; there can be fewer
     than ``share`` of those, whatever the input, so they are broadcast and
     their rows never meet in one task. The other groups join by a shuffle in
-    which no key has more than 1/``share`` of the rows. Both inputs are read
-    twice: pass materialised tables. Keys are not null.
+    which no key has more than 1/``share`` of the rows. ``n`` is the number
+    of rows (counted if not given). Both inputs are read twice: pass tables
+    that are cheap to read. Keys are not null.
     """
-    n = rows.count()
+    n = rows.count() if n is None else n
     hot = groups.filter(F.col(size) * share > n)
     cold = groups.filter(F.col(size) * share <= n)
     with_hot = rows.join(F.broadcast(hot), keys, "inner")
