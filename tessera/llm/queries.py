@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, sentence_pieces, sharding, substring_dedup, token_counts
+from . import decontaminate, exact_dedup, near_dedup, sentence_pieces, sharding, substring_dedup, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.q_token_counts,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_sharding": sharding.q_sharding,
     "op4_exact_dedup": exact_dedup.q_exact_dedup,
     "op6_substring_dedup": substring_dedup.q_substring_dedup,
+    "op7_decontaminate": decontaminate.q_decontaminate,
+    "op8_near_dedup": near_dedup.q_near_dedup,
 }
 
 # DuckDB twins, where SQL can express the result
