@@ -28,7 +28,7 @@ from .common import (NOT_SPACE, batches, binary_column, hash_windows, hash_words
 
 WINDOW = 13
 PERIOD, COVER = 7, (1, 2, 4)     # every difference modulo 7 is one of two members
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 RANGE_ENTRIES = 2_000_000        # a hash range's share of all entries, about
 ANCHOR_BYTES = 5                 # sent of an anchor's hash, behind the range's bits
 
