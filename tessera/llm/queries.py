@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, near_dedup, sentence_pieces, sharding, substring_dedup, token_counts
+from . import (decontaminate, exact_dedup, hidden_markov, near_dedup, sentence_pieces, sharding, substring_dedup,
+               token_counts, toxicity, warc)
 
 QUERIES = {
     "op1_token_counts": token_counts.q_token_counts,
     "op2_sentence_pieces": sentence_pieces.q_sentence_pieces,
     "op3_sharding": sharding.q_sharding,
     "op4_exact_dedup": exact_dedup.q_exact_dedup,
+    "op5_hidden_markov": hidden_markov.q_hidden_markov,
     "op6_substring_dedup": substring_dedup.q_substring_dedup,
     "op7_decontaminate": decontaminate.q_decontaminate,
     "op8_near_dedup": near_dedup.q_near_dedup,
+    "op9_warc": warc.q_warc,
+    "op10_toxicity": toxicity.q_toxicity,
 }
 
 # DuckDB twins, where SQL can express the result
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.SQL_EXACT_DEDUP,
+    "op9_warc": warc.SQL_WARC,
 }
