@@ -21,8 +21,8 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from .common import batches, binary_column, text_bytes
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_PIECES = 1_000_000      # of the broadcast vocabulary; checked
-MAX_MEMO = 200_000          # distinct words a task remembers (speed only)
+MAX_MEMO = 400_000          # distinct words a task remembers (speed only)
 MAX_MEMO_WORD = 128         # characters; longer words are encoded each time
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -83,13 +83,33 @@ class Encoder:
         self.usable = {v.pieces[i]: i for i in usable}
         ends: dict[str, set[int]] = {}
         for p in self.usable:
-            ends.setdefault(p[-2:], set()).add(len(p))
-        # lengths of the pieces that end like this, longest first
-        self.ends = {k: tuple(sorted(x, reverse=True)) for k, x in ends.items()}
+            ends.setdefault(p[-3:], set()).add(len(p))
+        self.ends = {k: sorted(x, reverse=True) for k, x in ends.items()}
+        self.lengths: dict[str, tuple[int, ...]] = {}
+
+    def fitting(self, end: str) -> tuple[int, ...]:
+        """Lengths that pieces ending in these three characters (or all there
+        are) can have, longest first."""
+        if len(self.lengths) > 500_000:
+            self.lengths.clear()
+        shorter = (n for n in (2, 1) if n < len(end) and end[-n:] in self.usable)
+        out = self.lengths[end] = (*self.ends.get(end, ()), *shorter)
+        return out
 
     def merge(self, s: str) -> list[str]:
         """Merges of the best-scored neighbours, leftmost first, until none fits."""
         ids, scores = self.ids, self.v.scores
+        if len(s) <= 16:
+            short = list(s)
+            while True:
+                top, at = None, 0
+                for i in range(len(short) - 1):
+                    k = ids.get(short[i] + short[i + 1])
+                    if k is not None and (top is None or scores[k] > top):
+                        top, at = scores[k], i
+                if top is None:
+                    return short
+                short[at:at + 2] = [short[at] + short[at + 1]]
         parts: list[str | None] = list(s)
         left, right = list(range(-1, len(s) - 1)), list(range(1, len(s) + 1))
         heap: list[tuple[float, int, int, str]] = []
@@ -129,70 +149,67 @@ class Encoder:
 
     def encode_sorted(self, words: list[str]) -> list[bytes]:
         """Ids (int32 bytes) of each word; ``words`` are sorted."""
-        unigram, ends, usable, scores = self.v.kind == "unigram", self.ends, self.usable, self.v.scores
-        may_follow, pairs = self.may_follow, self.pairs
-        # per place of the current word: last piece (-1: unknown character) and, for unigram, the best sum
-        last: list[int] = [-1]
-        width: list[int] = [0]
-        best: list[float] = [0.0]
+        unigram, lengths, fitting, usable = self.v.kind == "unigram", self.lengths, self.fitting, self.usable
+        may_follow, pairs, scores, unk_score = self.may_follow, self.pairs, self.v.scores, self.unk_score
+        # per place of the current word: last piece (-1: unknown character), its
+        # length and, for unigram, the best sum
+        last, width, best = [-1], [0], [0.0]
         before, out = "", []
         for word in words:
-            keep = len(commonprefix((before, word)))
+            keep, most = 0, min(len(before), len(word))
+            while keep < most and before[keep] == word[keep]:
+                keep += 1
             del last[keep + 1:], width[keep + 1:], best[keep + 1:]
             for j in range(keep + 1, len(word) + 1):
+                end = word[j - 3 if j > 3 else 0:j]
+                fit = lengths.get(end)
+                if fit is None:
+                    fit = fitting(end)
                 found, size = -1, 1
-                lengths = ends.get(word[j - 2:j] if j > 1 else word[:1], ())
                 if unigram:
                     top = None
-                    for n in (*lengths, 1) if 1 not in lengths else lengths:
-                        if n > j:
-                            continue
-                        i = usable.get(word[j - n:j], -1)
+                    for n in fit if 1 in fit else (*fit, 1):
+                        i = usable.get(word[j - n:j], -1) if n <= j else -1
                         if i < 0 and n > 1:
                             continue
-                        sum_ = best[j - n] + (scores[i] if i >= 0 else self.unk_score)
-                        if top is None or sum_ > top:
-                            top, found, size = sum_, i, n
+                        score = best[j - n] + (scores[i] if i >= 0 else unk_score)
+                        if top is None or score > top:
+                            top, found, size = score, i, n
                     best.append(top)
                 else:
-                    for n in lengths:
+                    for n in fit:
                         if n > j:
                             continue
                         i = usable.get(word[j - n:j])
                         if i is None:
                             continue
                         a = last[j - n]
-                        ok = True if a < 0 else pairs.get((a, i))
-                        if ok is None:
-                            ok = may_follow(a, i)
-                        if ok:
+                        if a < 0 or (pairs[a, i] if (a, i) in pairs else may_follow(a, i)):
                             found, size = i, n
                             break
-                    else:
-                        i = usable.get(word[j - 1])
-                        if i is not None:
-                            found = i
-                    best.append(0.0)
                 last.append(found)
                 width.append(size)
             before = word
             j, back = len(word), []
             while j:
-                back.append((last[j], word[j - 1]))
+                i = last[j]
+                back.append(i if i >= 0 else word[j - 1])
                 j -= width[j]
-            out.append(self.finish(back[::-1]))
+            back.reverse()
+            out.append(array("i", back).tobytes() if str not in map(type, back) else self.finish(back))
         return out
 
-    def finish(self, steps: list[tuple[int, str]]) -> bytes:
+    def finish(self, steps: list[int | str]) -> bytes:
+        """Ids of a split that has unknown characters in it."""
         ids: list[int] = []
-        for i, char in steps:
-            if i >= 0:
+        for i in steps:
+            if isinstance(i, int):
                 ids.append(i)
             elif self.v.byte_ids:
-                ids.extend(self.v.byte_ids[b] for b in char.encode("utf-8", "replace"))
+                ids.extend(self.v.byte_ids[b] for b in i.encode("utf-8", "replace"))
             elif not ids or ids[-1] != self.v.unk:    # a run of unknowns is one piece
                 ids.append(self.v.unk)
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
 
 
 class Decoder:
