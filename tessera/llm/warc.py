@@ -215,7 +215,7 @@ SQL_WARC = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
 g AS (SELECT t, max(page_id) AS head, sha1(t) AS h FROM p GROUP BY t)
 SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('{BASE32}',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('{BASE32}',
     CAST(((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS INTEGER) >> CAST(5 * (3 - i % 4) AS INTEGER)) & 31) + 1 AS BIGINT), 1)), '')
     AS payload_digest,
   CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
