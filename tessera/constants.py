@@ -27,8 +27,6 @@ ENGLISH_STOP_WORDS = (
 # (anything but [A-Za-z0-9_]); RE2 in DuckDB reads it the same way.
 WORD_SPLIT = r"\W"
 
-# FIXED VALUES — multiplicative key hash used by reproducible splits.
-# h(key) = ((pmod(key, P) * A) + seed) mod P, P prime; bucket arithmetic
-# on integers only, so every engine and every partitioning agrees.
-HASH_PRIME = 1000003
-HASH_MULT = 2654435761
+# FIXED VALUES — range of the key hash of reproducible splits: the first 8
+# hex digits of an md5.
+HASH_RANGE = 1 << 32

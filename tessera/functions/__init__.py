@@ -1,7 +1,7 @@
 """Column expressions (JVM-side, codegen-friendly; no Python UDFs)."""
 
-from .columns import (array_dot, euclidean, key_bucket, key_hash, squared_distance,
-                      to_array, with_row_index)
+from .columns import (euclidean, key_bucket, key_hash, squared_distance, with_rank,
+                      with_row_index)
 
-__all__ = ["array_dot", "euclidean", "key_bucket", "key_hash", "squared_distance",
-           "to_array", "with_row_index"]
+__all__ = ["euclidean", "key_bucket", "key_hash", "squared_distance", "with_rank",
+           "with_row_index"]

@@ -2,8 +2,8 @@
 
 ``random_split`` is Spark's ``randomSplit`` (per-partition Bernoulli
 sampling: the same seed gives different rows when the partitioning
-changes). ``key_split`` / ``key_folds`` use integer arithmetic on a key
-column instead, so the assignment is a pure function of the row: stable on
+changes). ``key_split`` / ``key_folds`` hash a key column (and the
+seed) instead, so the assignment is a pure function of the row: stable on
 any cluster size, across re-reads, after executor loss, and reproducible
 in plain SQL. Neither shuffles: both are a filter / projection.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import HASH_PRIME
+from ..constants import HASH_RANGE
 from ..functions.columns import key_bucket, key_hash
 
 
@@ -25,7 +25,7 @@ def split_cut(ratio: float) -> int:
     """Hash threshold for a ``ratio`` share of the key space."""
     if not 0.0 < ratio < 1.0:
         raise ValueError("ratio must be in (0, 1)")
-    return int(round(ratio * HASH_PRIME))
+    return int(round(ratio * HASH_RANGE))
 
 
 def in_train(key: str | Column, ratio: float = 0.7, seed: int = 0) -> Column:
@@ -56,8 +56,7 @@ PAIR_SHIFT = 2**31
 
 def pair_key(a: str | Column, b: str | Column) -> Column:
     """One integer key from two int ids (e.g. user, item) for pair-level
-    splits: ``a · 2³¹ + b`` (no overflow for int ids; the shift is not a
-    multiple of the hash prime, so both ids reach the hash)."""
+    splits: ``a · 2³¹ + b`` (no overflow for int ids)."""
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
     return ca.cast("bigint") * F.lit(PAIR_SHIFT) + cb.cast("bigint")

@@ -6,7 +6,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..constants import HASH_MULT, HASH_PRIME
 from ..operators import features as FT
 from ..operators import split as S
 from .tables import RETURNFLAG_CODE_SQL, returnflag_code, table
@@ -16,9 +15,8 @@ FOLD_SEED = 7
 
 
 def _hash_sql(key: str, seed: int) -> str:
-    p = HASH_PRIME
-    return (f"((((coalesce({key}, 0) % {p} + {p}) % {p}) * {HASH_MULT} + {seed}) % {p} + {p})"
-            f" % {p}")
+    return (f"CAST('0x' || substr(md5('{seed}:' || CAST(CAST(coalesce({key}, 0) AS BIGINT) AS VARCHAR)), 1, 8)"
+            f" AS BIGINT)")
 
 
 # --- splits -----------------------------------------------------------------
@@ -42,10 +40,18 @@ def q_split_sizes(spark, sf_dir):
 
 
 def q_random_split(spark, sf_dir):
-    """Spark's seeded randomSplit (layout-dependent; row-count check only)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    train, _ = S.random_split(o, (0.7, 0.3), SPLIT_SEED)
-    return train
+    """Spark's seeded randomSplit: which rows fall where depends on the
+    layout, but each row falls on exactly one side (counts and checksums of
+    both parts together equal the table's)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    train, test = S.random_split(o, (0.7, 0.3), SPLIT_SEED)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    per = both.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("sides"),
+                                         F.max((F.col("part") == "train").cast("int")).alias("t"))
+    share = F.avg("t")
+    return per.select("o_orderkey", "sides", "t").groupBy("sides").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("key_sum"),
+        share.between(0.6, 0.8).alias("share_ok")).select(F.col("sides").cast("bigint").alias("sides"), "rows", "key_sum", "share_ok")
 
 
 # --- string indexing ---------------------------------------------------------
@@ -53,9 +59,9 @@ def q_random_split(spark, sf_dir):
 def q_string_index(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     cols = ["p_brand", "p_type", "p_size"]
-    model = FT.fit_indexer(p, cols, "_idx")
-    out = model.transform(p)
-    brand_labels = model.labelsArray[0]
+    out = FT.index_columns(p, cols, "_idx")
+    # MLlib's model decodes what the label table encoded: both rank alike
+    brand_labels = FT.fit_indexer(p, ["p_brand"], "_idx").labelsArray[0]
     out = FT.decode_label(out, brand_labels, "p_brand_idx", "p_brand_decoded")
     return out.select("p_partkey", "p_brand_idx", "p_type_idx", "p_size_idx",
                       (F.col("p_brand_decoded") == F.col("p_brand")).alias("roundtrip_ok"))
@@ -123,6 +129,8 @@ ORACLE = {
     "split_sizes": f"""SELECT CASE WHEN {_hash_sql('l_orderkey', SPLIT_SEED)} < {_CUT}
         THEN 'train' ELSE 'test' END AS part, CAST(count(*) AS BIGINT) AS n,
         round(sum(l_extendedprice), 2) AS revenue FROM lineitem GROUP BY 1""",
+    "random_split": """SELECT CAST(1 AS BIGINT) AS sides, count(*) AS "rows",
+        CAST(sum(o_orderkey) AS BIGINT) AS key_sum, TRUE AS share_ok FROM orders""",
     "string_index": STRING_INDEX_SQL,
     "vector_index": VECTOR_INDEX_SQL,
 }

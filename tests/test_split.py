@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import key_bucket, with_rank, with_row_index
 from tessera.operators import split as S
 
 
@@ -51,7 +53,6 @@ def test_copies_are_split_like_other_rows(spark, tmp_path):
 
 
 def test_with_row_index_dense_in_file_order(spark, tmp_path):
-    from tessera.functions import with_row_index
     f = tmp_path / "lines.txt"
     f.write_text("\n".join(f"line{i:05d}" for i in range(5000)) + "\n")
     # several scan splits of one file
@@ -67,6 +68,42 @@ def test_with_row_index_dense_in_file_order(spark, tmp_path):
     assert all(r.value == f"line{r.rid:05d}" for r in rows)
 
 
+@pytest.mark.parametrize("split_bytes", ["16k", "1m"])
+def test_row_index_follows_files_of_unequal_size(spark, tmp_path, split_bytes):
+    """Spark packs large files first; positions still follow path and place."""
+    sizes = [300, 9000, 700]
+    for i, n in enumerate(sizes):
+        (tmp_path / f"part-{i}.txt").write_text("".join(f"f{i} {k:06d}\n" for k in range(n)))
+    want = [f"f{i} {k:06d}" for i, n in enumerate(sizes) for k in range(n)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        rows = with_row_index(spark.read.text(str(tmp_path)), "rid").orderBy("rid").collect()
+        derived = with_row_index(spark.read.text(str(tmp_path)).select(F.upper("value").alias("u")), "rid").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.value for r in rows] == want and [r.rid for r in rows] == list(range(len(want)))
+    assert all(want[r.rid].upper() == r.u for r in derived)
+
+
+def test_seeds_give_independent_splits(spark):
+    keys = spark.range(1, 15001).withColumnRenamed("id", "k")
+    sides = keys.select(*[S.in_train("k", 0.7, s).alias(f"s{s}") for s in (0, 99, 100, 101)])
+    r = sides.agg(*[F.avg((F.col(a) & F.col(b)).cast("int")).alias(a + b) for a, b in
+                    (("s0", "s99"), ("s99", "s100"), ("s100", "s101"), ("s0", "s101"))]).first()
+    assert all(abs(x - 0.49) < 0.02 for x in r)
+    folds = keys.select(*[key_bucket("k", 3, s).alias(f"f{s}") for s in (7, 8)])
+    both = {(x.f7, x.f8): x["count"] for x in folds.groupBy("f7", "f8").count().collect()}
+    assert len(both) == 9 and min(both.values()) > 1400
+
+
+def test_with_rank_is_dense_and_ordered(spark):
+    df = spark.range(2000).select(((F.col("id") * 7919) % 501).alias("x"), "id").repartition(6)
+    rows = with_rank(df, [F.desc("x"), F.asc("id")]).orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(2000))
+    assert [(r.x, r.id) for r in rows] == sorted([(r.x, r.id) for r in rows], key=lambda t: (-t[0], t[1]))
+    assert with_rank(df.limit(0), [F.asc("x")]).count() == 0
+
+
 def test_null_keys_are_not_dropped(spark):
     df = spark.createDataFrame([(None,), (None,), (1,), (2,)], "k long")
     train, test = S.key_split(df, "k", 0.5, 3)
