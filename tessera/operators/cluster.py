@@ -1,7 +1,7 @@
 """k-means clustering and its report tables.
 
-The fit persists the input (``MEMORY_AND_DISK``: Lloyd iterations re-read
-it every pass) and releases it afterwards. Report tables are DataFrame
+The fit holds the input (Lloyd iterations re-read it every pass) unless the
+caller has persisted it. Report tables are DataFrame
 jobs: sizes are a partial+final count per cluster, extremes use
 ``max_by``/``min_by`` (ties → lower cluster id), distances and WSSSE join
 the k centres, a table of exactly k rows (size bound known up front).
@@ -9,14 +9,13 @@ the k centres, a table of exactly k rows (size bound known up front).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import euclidean, squared_distance
-from ..session import spread
+from ..session import held
 from . import linalg
 
 
@@ -25,11 +24,8 @@ def kmeans(df: DataFrame, k: int, max_iter: int = 20, seed: int = 1,
            init: str = "k-means||") -> KMeansModel:
     est = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, tol=tol,
                  initMode=init, predictionCol="cluster")
-    x = spread(df.select(features)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(df, [features]) as x:
         return est.fit(x)
-    finally:
-        x.unpersist()
 
 
 def assign(model: KMeansModel, df: DataFrame) -> DataFrame:
@@ -84,28 +80,30 @@ def wssse(spark: SparkSession, model: KMeansModel, df: DataFrame,
 
 def reduce_and_cluster(spark: SparkSession, df: DataFrame, k: int, share: float = 0.80,
                        max_iter: int = 250, seed: int = 1,
-                       features: str = "features") -> dict:
+                       features: str = "features", method: str = "cov") -> dict:
     """k-means on the raw rows and on their projection onto the P principal
     components that keep ``share`` of the variance; returns P and both
-    WSSSEs (as a small dict; the projected table stays distributed)."""
-    x = spread(df.select(features)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    WSSSEs (as a small dict; the projected table stays distributed).
+
+    ``method='cov'`` takes all components from one covariance matrix (n × n
+    on the driver); ``'svd'``, for wide tables, asks for more components step
+    by step until the share is reached, so it never makes n of them unless
+    the share needs them."""
+    with held(df, [features]) as x:
         n = linalg.matrix_width(x, features)
-        full = linalg.pca(x, features, n)
+        step = n if method == "cov" else min(n, 16)
+        while True:
+            full = linalg.pca(x, features, step, method)
+            if step == n or float(full.explained_variance.sum()) >= share:
+                break
+            step = min(n, 2 * step)
         p = linalg.components_for_variance(full.explained_variance, share)
         raw_model = kmeans(x, k, max_iter, seed, features)
         raw_cost = wssse(spark, raw_model, x, features).first()["wssse"]
-        # refit with exactly P components so the projection is MLlib's JVM
-        # transform (covariance path); the wide path projects in Arrow batches
-        red = linalg.pca(x, features, p) if p < n else full
-        proj = linalg.project_pca(x, features, red, out="reduced").select("reduced")
-        proj = proj.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            red_model = kmeans(proj, k, max_iter, seed, "reduced")
-            red_cost = wssse(spark, red_model, proj, "reduced").first()["wssse"]
-        finally:
-            proj.unpersist()
-    finally:
-        x.unpersist()
+        # the first P of the components found: one fit serves both
+        proj = linalg.project(x, features, full.pc[:, :p], out="reduced")
+        with held(proj, ["reduced"]) as rows:
+            red_model = kmeans(rows, k, max_iter, seed, "reduced")
+            red_cost = wssse(spark, red_model, rows, "reduced").first()["wssse"]
     return {"components": p, "wssse_raw": float(raw_cost), "wssse_reduced": float(red_cost),
             "explained_variance": [float(v) for v in full.explained_variance]}

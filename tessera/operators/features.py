@@ -8,31 +8,20 @@
 * ``assemble`` — ``VectorAssembler`` with a target-leak guard.
 * ``decode_label`` — ``IndexToString`` back to the original label.
 
-Scale: a ``StringIndexer`` keeps every distinct label on the driver and in
-each task, so the distinct count is checked first (``approx_count_distinct``,
-one pass, all columns in one job) against ``max_labels``.
+Scale: ``index_columns`` builds its label tables in Spark (one aggregation,
+a distributed ranking and a join for each column), so it takes any number of
+distinct values. ``fit_indexer`` gives MLlib's own model, for ML pipelines;
+that keeps every distinct label on the driver and in each task.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.feature import (IndexToString, StringIndexer, StringIndexerModel,
-                                VectorAssembler, VectorIndexer, VectorIndexerModel)
+                                VectorAssembler, VectorIndexer)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_LABELS = 1_000_000
-
-
-def check_cardinality(df: DataFrame, cols: list[str],
-                      max_labels: int = DEFAULT_MAX_LABELS) -> dict[str, int]:
-    """Approximate distinct counts of ``cols`` (one job); raises above the bound."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    counts = {c: int(row[c]) for c in cols}
-    big = {c: n for c, n in counts.items() if n > max_labels}
-    if big:
-        raise ValueError(f"too many distinct values to index on the driver: {big}")
-    return counts
-
+from ..functions.columns import with_rank
 
 def string_indexer(cols: list[str], suffix: str = "_idx", handle_invalid: str = "error",
                    order: str = "frequencyDesc") -> StringIndexer:
@@ -41,21 +30,56 @@ def string_indexer(cols: list[str], suffix: str = "_idx", handle_invalid: str =
 
 
 def fit_indexer(df: DataFrame, cols: list[str], suffix: str = "_idx",
-                handle_invalid: str = "error", max_labels: int | None = DEFAULT_MAX_LABELS
-                ) -> StringIndexerModel:
-    if max_labels is not None:
-        check_cardinality(df, cols, max_labels)
+                handle_invalid: str = "error") -> StringIndexerModel:
     return string_indexer(cols, suffix, handle_invalid).fit(df)
 
 
+def label_table(df: DataFrame, col: str) -> DataFrame:
+    """``label, n, idx``: the distinct non-null values of ``col`` as strings,
+    how often each occurs, and its 0-based rank by frequency (desc), then by
+    the string (asc)."""
+    counts = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("label"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return with_rank(counts, [F.desc("n"), F.asc("label")], "idx")
+
+
 def index_columns(df: DataFrame, cols: list[str], suffix: str = "_idx",
-                  handle_invalid: str = "error", fit_on: DataFrame | None = None,
-                  max_labels: int | None = DEFAULT_MAX_LABELS) -> DataFrame:
-    """Frequency-rank encode ``cols`` → ``<col><suffix>`` (double).
-    ``fit_on`` lets the labels come from the training rows only."""
-    model = fit_indexer(fit_on if fit_on is not None else df, cols, suffix,
-                        handle_invalid, max_labels)
-    return model.transform(df)
+                  handle_invalid: str = "error", fit_on: DataFrame | None = None) -> DataFrame:
+    """Frequency-rank encode ``cols`` → ``<col><suffix>`` (double), like a
+    fitted ``StringIndexer`` but for any number of labels. ``fit_on`` lets the
+    labels come from the training rows only. Null or unseen values: 'error'
+    raises, 'skip' drops the row, 'keep' gives the number of labels.
+
+    A label that holds more than 1/1000 of the fitted rows is hot; there are
+    fewer than 1000 of those, so they are broadcast, and only the others join
+    through a shuffle."""
+    if handle_invalid not in ("error", "skip", "keep"):
+        raise ValueError(handle_invalid)
+    src = fit_on if fit_on is not None else df
+    for c in cols:
+        out = c + suffix
+        labels = label_table(src, c)
+        size = labels.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("k")).first()
+        keys = labels.select(F.col("label").alias("_label"), F.col("idx").cast("double").alias("_idx"), "n")
+        hot = keys.where(F.col("n") * 1000 > size.n).drop("n").withColumnRenamed("_idx", "_hot")
+        cold = keys.where(F.col("n") * 1000 <= size.n).drop("n")
+        df = df.withColumn("_label", F.col(c).cast("string")).join(F.broadcast(hot), "_label", "left")
+        # rows that found their label keep out of the shuffle's buckets of labels
+        spread_key = F.when(F.col("_hot").isNull(), F.col("_label"))
+        salt = F.when(spread_key.isNull(), F.xxhash64(F.monotonically_increasing_id()))
+        df = (df.withColumn("_key", spread_key).withColumn("_salt", F.coalesce(salt, F.lit(0)))
+              .join(cold.withColumnRenamed("_label", "_key").withColumn("_salt", F.lit(0).cast("bigint")),
+                    ["_key", "_salt"], "left"))
+        found = F.coalesce("_hot", "_idx")
+        if handle_invalid == "keep":
+            found = F.coalesce(found, F.lit(float(size.k)))
+        elif handle_invalid == "error":
+            found = F.coalesce(found, F.raise_error(F.concat(
+                F.lit(f"{c}: unseen label "), F.coalesce("_label", F.lit("NULL")))).cast("double"))
+        df = df.withColumn(out, found).drop("_label", "_key", "_salt", "_hot", "_idx")
+        if handle_invalid == "skip":
+            df = df.where(F.col(out).isNotNull())
+    return df
 
 
 def index_vector(df: DataFrame, col: str = "features", out: str = "indexedFeatures",
@@ -72,20 +96,14 @@ def vector_indexer(col: str = "features", out: str = "indexedFeatures",
                          handleInvalid=handle_invalid)
 
 
-def category_maps(model: VectorIndexerModel) -> dict[int, dict[float, int]]:
-    """Slot → {value: category index} of a fitted vector indexer (small)."""
-    return {int(k): {float(a): int(b) for a, b in v.items()}
-            for k, v in model.categoryMaps.items()}
-
-
 def assemble(df: DataFrame, cols: list[str], out: str = "features",
              label: str | None = None, allow_leak: bool = False,
-             handle_invalid: str = "error") -> DataFrame:
-    """Assemble ``cols`` into one vector. The label (or any column derived
-    from it by name) inside the features is a target leak and raises unless
-    ``allow_leak``."""
+             handle_invalid: str = "error", suffix: str = "_idx") -> DataFrame:
+    """Assemble ``cols`` into one vector. The label, or its indexed form
+    (label + ``suffix``), inside the features is a target leak and raises
+    unless ``allow_leak``."""
     if label is not None and not allow_leak:
-        leaks = [c for c in cols if c == label or c.startswith(label + "_")]
+        leaks = [c for c in cols if c in (label, label + suffix)]
         if leaks:
             raise ValueError(f"target leak: {leaks} derive from label {label!r}")
     return VectorAssembler(inputCols=list(cols), outputCol=out,

@@ -1,15 +1,16 @@
 """Distributed matrix work on ``(id, vector)`` tables.
 
 * ``to_long`` / ``from_long`` — coordinate (i, j, v) form ↔ row vectors.
-* ``transpose`` — fully distributed (never collects the matrix): rows are
-  exploded to coordinates, re-keyed by column and re-assembled. Each output
-  row holds one input column, so its width (the input's row count) is
-  checked against ``max_width``; beyond it keep the long form.
-* ``pca`` — ``method='cov'``: MLlib ``PCA`` (n×n covariance on the driver,
-  fine for n up to a few thousand); ``method='svd'``: centre the rows, then
-  the distributed truncated SVD of ``RowMatrix`` (ARPACK on Gramian-vector
-  products, no n×n matrix) — for wide tables. ``auto`` switches at
-  ``WIDE_COLUMNS``.
+* ``transpose_long`` — the transpose in coordinate form: i and j change
+  places, no exchange, any size.
+* ``transpose`` — the transpose as row vectors. Each output row is one input
+  column, so it is as wide as the input has rows; for tables of any height
+  use the long form.
+* ``pca`` — ``method='cov'`` (default): MLlib ``PCA`` (n×n covariance on the
+  driver, fine for n up to a few thousand); ``method='svd'``, for wide
+  tables: centre the rows, then the distributed truncated SVD of
+  ``RowMatrix`` (ARPACK on Gramian-vector products, no n×n matrix). The
+  caller chooses; nothing switches by size.
 * ``project`` — rows × (n×k) components, un-centred like MLlib's
   ``PCAModel.transform``; the k×n matrix is broadcast (bounded by the
   width, never by the row count) and applied to Arrow batches with numpy.
@@ -32,8 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-MAX_WIDTH = 1 << 22          # widest dense row we assemble (4M doubles = 32 MB)
-WIDE_COLUMNS = 4096          # above this, PCA goes through the distributed SVD
+from ..session import held
 
 
 def _as_array(df: DataFrame, col: str):
@@ -50,35 +50,36 @@ def to_long(df: DataFrame, id_col: str, vec_col: str, row: str = "i", col: str =
 
 
 def from_long(df: DataFrame, n_cols: int, row: str = "i", col: str = "j", value: str = "v",
-              out_id: str = "id", out: str = "features",
-              max_width: int = MAX_WIDTH) -> DataFrame:
-    """(i, j, v) → (id, dense vector of width ``n_cols``); missing entries are 0."""
-    if n_cols > max_width:
-        raise ValueError(f"row width {n_cols} exceeds max_width {max_width}; keep the long form")
-    g = df.groupBy(F.col(row).alias(out_id)).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(col).cast("int").alias("k"),
-                                             F.col(value).cast("double").alias("v"))))
-        .alias("_e"))
-    # dense row (every position present): the sorted values are the row;
-    # otherwise place entries by position through a map, zeros elsewhere
-    dense = F.transform("_e", lambda e: e["v"])
-    sparse = F.transform(F.sequence(F.lit(0), F.lit(n_cols - 1)),
-                         lambda k: F.coalesce(F.element_at(F.map_from_entries("_e"), k),
-                                              F.lit(0.0)))
-    arr = F.when(F.size("_e") == n_cols, dense).otherwise(sparse)
-    return g.select(out_id, array_to_vector(arr).alias(out))
+              out_id: str = "id", out: str = "features") -> DataFrame:
+    """(i, j, v) → (id, dense vector of width ``n_cols``); missing entries are
+    0. A position that occurs twice in a row, or outside it, raises."""
+    entry = F.struct(F.col(col).cast("int").alias("k"), F.col(value).cast("double").alias("v"))
+    g = df.groupBy(F.col(row).alias(out_id)).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    # one pass over the sorted entries: each brings the zeros of the gap before it
+    before = F.concat(F.array(F.lit(-1)), F.transform("_e", lambda e: e["k"]))
+    gaps = F.zip_with("_e", before, lambda e, k: F.when(
+        e.isNotNull(), F.when((e["k"] > k) & (e["k"] < n_cols), F.concat(
+            F.array_repeat(F.lit(0.0), e["k"] - k - 1), F.array(e["v"]))).otherwise(
+        F.raise_error(F.concat(F.lit("position repeated or out of range: "), e["k"].cast("string"))))))
+    tail = F.array_repeat(F.lit(0.0), F.lit(n_cols - 1) - F.element_at("_e", -1)["k"])
+    dense = F.concat(F.flatten(F.filter(gaps, lambda x: x.isNotNull())), tail)
+    return g.select(out_id, array_to_vector(dense).alias(out))
+
+
+def transpose_long(df: DataFrame, id_col: str, vec_col: str, row: str = "i", col: str = "j",
+                   value: str = "v") -> DataFrame:
+    """The transpose in coordinate form: entry (i, j) = input row j, column i."""
+    return to_long(df, id_col, vec_col, col, row, value).select(row, col, value)
 
 
 def transpose(df: DataFrame, id_col: str, vec_col: str, n_rows: int | None = None,
-              out_id: str = "id", out: str = "features",
-              max_width: int = MAX_WIDTH) -> DataFrame:
-    """Transpose a row matrix whose ids are row positions ``0..n_rows-1``.
-    Output row j = input column j, entry i = input row i (absent ids → 0)."""
+              out_id: str = "id", out: str = "features") -> DataFrame:
+    """Transpose of a row matrix whose ids are row positions ``0..n_rows-1``,
+    as row vectors. Output row j = input column j, entry i = input row i
+    (absent ids → 0, repeated ids raise)."""
     if n_rows is None:
-        n_rows = int(df.agg(F.max(id_col)).first()[0]) + 1
-    long = to_long(df, id_col, vec_col, "i", "j", "v")
-    swapped = long.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
-    return from_long(swapped, n_rows, out_id=out_id, out=out, max_width=max_width)
+        n_rows = int(df.agg(F.coalesce(F.max(id_col), F.lit(-1))).first()[0]) + 1
+    return from_long(transpose_long(df, id_col, vec_col), n_rows, out_id=out_id, out=out)
 
 
 def matrix_width(df: DataFrame, vec_col: str) -> int:
@@ -92,10 +93,7 @@ class PCAResult:
     model: PCAModel | None = None   # set by method='cov'
 
 
-def pca(df: DataFrame, vec_col: str, k: int, method: str = "auto") -> PCAResult:
-    n = matrix_width(df, vec_col)
-    if method == "auto":
-        method = "svd" if n > WIDE_COLUMNS else "cov"
+def pca(df: DataFrame, vec_col: str, k: int, method: str = "cov") -> PCAResult:
     if method == "cov":
         model = PCA(k=k, inputCol=vec_col, outputCol="_pca").fit(df.select(vec_col))
         return PCAResult(model.pc.toArray(), model.explainedVariance.toArray(), model)
@@ -103,8 +101,9 @@ def pca(df: DataFrame, vec_col: str, k: int, method: str = "auto") -> PCAResult:
         raise ValueError(method)
     x = df.select(vec_col)
     scaler = StandardScaler(withMean=True, withStd=False, inputCol=vec_col, outputCol="_c").fit(x)
-    centred = scaler.transform(x).select("_c")
-    res = _row_svd(centred, "_c", k)
+    # each step of the solver reads all centred rows
+    with held(scaler.transform(x), ["_c"]) as centred:
+        res = _row_svd(centred, "_c", k)
     stats = x.select(Summarizer.metrics("variance", "count").summary(F.col(vec_col))
                      .alias("s")).first()["s"]
     m, var = int(stats["count"]), stats["variance"].toArray()
@@ -166,7 +165,8 @@ def svd(df: DataFrame, vec_col: str, k: int, compute_u: bool = False,
         id_col: str | None = None, u_col: str = "u") -> SVDResult:
     """Truncated SVD of the (un-centred) row matrix. With ``compute_u`` the
     U rows keep ``id_col``."""
-    res = _row_svd(df, vec_col, k)
+    with held(df, [vec_col]) as x:
+        res = _row_svd(x, vec_col, k)
     if compute_u:
         keep = [id_col] if id_col else []
         s = np.where(res.s > 0, res.s, 1.0)

@@ -9,14 +9,13 @@ was never seen in training are dropped at scoring (cold start).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, spread
+from ..session import ensure_checkpoint_dir, held
 
 def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.01,
             seed: int = 0, user: str = "user", item: str = "item", rating: str = "rating",
@@ -30,11 +29,8 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     est = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user,
               itemCol=item, ratingCol=rating, coldStartStrategy="drop",
               checkpointInterval=checkpoint_interval, **kw)
-    r = spread(ratings.select(user, item, rating)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(ratings, [user, item, rating]) as r:
         return est.fit(r)
-    finally:
-        r.unpersist()
 
 
 def als_score(model: ALSModel, pairs: DataFrame) -> DataFrame:

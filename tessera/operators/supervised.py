@@ -12,6 +12,8 @@ regression never decodes its predictions as class labels.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import UnsupportedOperationException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassificationModel,
                                        DecisionTreeClassifier, LogisticRegression)
@@ -22,35 +24,24 @@ from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegr
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from pyspark import StorageLevel
-
-from ..session import ensure_checkpoint_dir, spread
+from ..session import ensure_checkpoint_dir, held
 from .features import vector_indexer
 
 
 def fit_spread(estimator, df: DataFrame, cols: list[str] | None = None):
     """Fit an iterative estimator on a persisted copy of just the columns it
-    reads, spread over the default parallelism when the input has fewer
-    partitions (a no-op for real-scale inputs); released after the fit."""
-    x = df.select(*cols) if cols else df
-    x = spread(x).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    reads (see ``session.held``); released after the fit."""
+    with held(df, cols) as x:
         return estimator.fit(x)
-    finally:
-        x.unpersist()
 
 
 def fit_with_summary(estimator, df: DataFrame, report, cols: list[str] | None = None):
     """Fit, then build an eager report from the fitted model while the
     training rows are still persisted (GLM summary statistics — deviances,
     AIC, standard errors — re-read the training data lazily)."""
-    x = df.select(*cols) if cols else df
-    x = spread(x).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(df, cols) as x:
         model = estimator.fit(x)
         return model, report(model)
-    finally:
-        x.unpersist()
 
 
 def tree_classifier(label: str = "indexedLabel", features: str = "indexedFeatures",
@@ -187,7 +178,8 @@ _STAT = StructType([StructField("stat", StringType()), StructField("term", Strin
 def glm_summary(spark: SparkSession, model: GeneralizedLinearRegressionModel,
                 feature_names: list[str] | None = None) -> DataFrame:
     """Inference summary as ``stat, term, value`` rows: coefficient, std_error,
-    t_value, p_value per term (intercept last, as Spark orders them), then
+    t_value, p_value per term (intercept last, as Spark orders them; NULL
+    where the fit has no standard errors, such as collinear features), then
     dispersion, null_deviance, residual_dof_null, deviance, residual_dof, aic."""
     s = model.summary
     coefs = list(model.coefficients.toArray())
@@ -198,12 +190,16 @@ def glm_summary(spark: SparkSession, model: GeneralizedLinearRegressionModel,
         terms.append("intercept")
         vals.append(model.intercept)
     rows = [("coefficient", t, float(v)) for t, v in zip(terms, vals)]
-    try:
-        for stat, arr in (("std_error", s.coefficientStandardErrors),
-                          ("t_value", s.tValues), ("p_value", s.pValues)):
-            rows += [(stat, t, float(v)) for t, v in zip(terms, arr)]
-    except Exception:  # solver without standard errors (non-IRLS / singular)
-        pass
+    for stat, attr in (("std_error", "coefficientStandardErrors"), ("t_value", "tValues"),
+                       ("p_value", "pValues")):
+        try:
+            arr = list(getattr(s, attr))
+        except (Py4JJavaError, UnsupportedOperationException) as e:
+            # MLlib has none when its solver fell back from the normal equations
+            if "Unsupported" not in str(e) and "No Std. Error" not in str(e):
+                raise
+            arr = [None] * len(terms)
+        rows += [(stat, t, None if v is None else float(v)) for t, v in zip(terms, arr)]
     rows += [("dispersion", None, float(s.dispersion)),
              ("null_deviance", None, float(s.nullDeviance)),
              ("residual_dof_null", None, float(s.residualDegreeOfFreedomNull)),

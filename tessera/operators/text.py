@@ -19,19 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ENGLISH_STOP_WORDS, WORD_SPLIT
-from ..session import spread
 
 
 def words(df: DataFrame, col: str = "value", min_len: int = 1,
           keep: tuple[str, ...] = ()) -> DataFrame:
     """Flat-map of ``col`` into raw tokens (``token``), empties dropped.
     ``min_len`` filters on the raw token length (``length >= min_len``).
-
-    Tokenising is the costly step; an input scanned in fewer splits than the
-    cluster has cores (one big file, one row group) is spread first, a no-op
-    for inputs that already have enough partitions."""
-    src = spread(df.select(*keep, col))
-    tok = src.select(*keep, F.explode(F.split(F.col(col), WORD_SPLIT)).alias("token"))
+    Runs in the partitions of the scan."""
+    tok = df.select(*keep, F.explode(F.split(F.col(col), WORD_SPLIT)).alias("token"))
     cond = F.col("token") != ""
     if min_len > 1:
         cond = cond & (F.length("token") >= min_len)

@@ -11,13 +11,12 @@ Indexers that are not tuned belong outside the CV (see
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, StringType,
                                StructField, StructType)
 
-from ..session import spread
+from ..session import held
 
 
 def param_grid(estimator, **lists) -> list[dict]:
@@ -39,11 +38,8 @@ def cross_validate(estimator, grid: list[dict], evaluator, train: DataFrame, k:
                         numFolds=k, seed=seed, parallelism=parallelism)
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cv.fit(train)
-    finally:
-        train.unpersist()
+    with held(train) as rows:
+        return cv.fit(rows)
 
 
 _REPORT = StructType([StructField("grid_id", IntegerType()), StructField("params", StringType()),
@@ -66,9 +62,3 @@ def cv_report(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
         rows.append((i, p, float(a), float(s), i == best))
     return spark.createDataFrame(rows, _REPORT)
 
-
-def param_value(param_map: dict, name: str):
-    for k, v in param_map.items():
-        if k.name == name:
-            return v
-    raise KeyError(name)

@@ -24,8 +24,8 @@ def _embeddings(spark, sf_dir):
 
 def q_transpose(spark, sf_dir):
     """Transpose of the embedding matrix (rows = dimensions), in long form."""
-    t = LA.transpose(_embeddings(spark, sf_dir), "vec_id", "features")
-    return LA.to_long(t, "id", "features", "i", "j", "v").select(
+    t = LA.transpose_long(_embeddings(spark, sf_dir), "vec_id", "features")
+    return t.select(
         F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"),
         F.round("v", 6).alias("v"))
 

@@ -297,6 +297,7 @@ def _cv_tree(spark, sf_dir, kind: str):
     train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
     cols = ["label", "target", "features", "fold"]
     train = spread(train.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    indexed = None
     try:
         if kind == "classifier":
             prep = SV.fit_preprocessing(train, "features", "label")
@@ -307,13 +308,14 @@ def _cv_tree(spark, sf_dir, kind: str):
             learner = SV.tree_regressor(label="target")
             ev = EV.evaluator("rmse", label="target")
         indexed = prep.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+        indexed.count()
+        train.unpersist()   # from here on only the indexed rows are read
         grid = TU.param_grid(learner, **TREE_GRID)
-        try:
-            cvm = TU.cross_validate(learner, grid, ev, indexed, k=3, fold_col="fold")
-        finally:
-            indexed.unpersist()
+        cvm = TU.cross_validate(learner, grid, ev, indexed, k=3, fold_col="fold")
     finally:
         train.unpersist()
+        if indexed is not None:
+            indexed.unpersist()
     test_metric = ev.evaluate(cvm.bestModel.transform(prep.transform(test)))
     return (TU.cv_report(spark, cvm)
             .withColumn("metric", F.lit(ev.getMetricName()))
@@ -333,8 +335,8 @@ def q_cv_tree_regressor(spark, sf_dir):
 
 def q_tree_report(spark, sf_dir):
     d = labeled_numeric(spark, sf_dir)
-    model = SV.regression_pipeline(SV.tree_regressor(label="target", max_depth=3),
-                                   "features").fit(d)
+    model = SV.fit_spread(SV.regression_pipeline(SV.tree_regressor(label="target", max_depth=3),
+                                                 "features"), d, ["target", "features"])
     return SV.tree_report(spark, model)
 
 
@@ -373,14 +375,13 @@ def q_glm_claims(spark, sf_dir):
     # and the test scoring; all results below are built eagerly, so the join
     # is computed once and released before returning
     d = spread(li.join(p, li.l_partkey == p.p_partkey)).persist(StorageLevel.MEMORY_AND_DISK)
-    out = None
+    out = train = None
     try:
-        train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
-        idx = FT.fit_indexer(train, CLAIM_CATS, "_idx", handle_invalid="keep")
+        rows, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
         feats = CLAIM_NUMS + [c + "_idx" for c in CLAIM_CATS]
-        train = FT.assemble(idx.transform(train), feats, label="label").select(
-            "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        test = FT.assemble(idx.transform(test), feats, label="label")
+        train, test = (FT.assemble(FT.index_columns(x, CLAIM_CATS, "_idx", "keep", fit_on=rows), feats, label="label")
+                       .select("label", "features") for x in (rows, test))
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
         for fam in ("gaussian", "poisson"):
             m = SV.glm(fam, "identity", "label", "features", 10, 0.3).fit(train)
             rmse = EV.regression_metrics(m.transform(test), "label", "prediction").first().rmse
@@ -388,9 +389,10 @@ def q_glm_claims(spark, sf_dir):
                 [("test_rmse", None, float(rmse))], "stat string, term string, value double"))
             rows = rows.withColumn("family", F.lit(fam))
             out = rows if out is None else out.union(rows)
-        train.unpersist()
     finally:
         d.unpersist()
+        if train is not None:
+            train.unpersist()
     return out.select("family", "stat", "term", "value")
 
 

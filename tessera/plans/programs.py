@@ -27,7 +27,7 @@ from ..operators import split as S
 from ..operators import supervised as SV
 from ..operators import text as T
 from ..operators import tuning as TU
-from ..session import spread
+from ..session import held, spread
 from ..sources import (label_features, parse_numeric, read_lines, read_ratings,
                        read_table, write_vectors)
 from ..sources.sinks import preview
@@ -68,36 +68,48 @@ def _split(df: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     return S.key_split(df, "split_key", 0.7, seed)
 
 
+def _indexer_rows(data: DataFrame, train: DataFrame, which: str) -> DataFrame:
+    """The rows that label and vector indexers are fitted on: the training
+    rows, or 'all' (a label that only test rows have is then known)."""
+    if which not in ("train", "all"):
+        raise ValueError(which)
+    return data if which == "all" else train
+
+
 def _tune(spark, train: DataFrame, learner, grid, ev, folds: int, seed: int,
-          label: str | None) -> tuple:
-    """Fit the untuned indexers once on ``train``, persist the indexed rows,
-    cross-validate the bare learner; returns (preprocessing, cv model)."""
+          label: str | None, indexer_rows: DataFrame | None = None) -> tuple:
+    """Fit the untuned indexers once (on ``indexer_rows``, by default
+    ``train``), persist the indexed rows, cross-validate the bare learner;
+    returns (preprocessing, cv model)."""
     train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    indexed = None
     try:
-        prep = SV.fit_preprocessing(train, "features", label)
+        prep = SV.fit_preprocessing(train if indexer_rows is None else indexer_rows, "features", label)
         indexed = prep.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            cvm = TU.cross_validate(learner, grid, ev, indexed, folds, seed, fold_col="fold")
-        finally:
-            indexed.unpersist()
+        indexed.count()
+        train.unpersist()   # from here on only the indexed rows are read
+        cvm = TU.cross_validate(learner, grid, ev, indexed, folds, seed, fold_col="fold")
     finally:
         train.unpersist()
+        if indexed is not None:
+            indexed.unpersist()
     return prep, cvm
 
 
 def tree_classifier_cv(spark: SparkSession, path: str, *, sep: str = ",",
                        label_idx: int = 0, start: int = 1, length: int = 28,
                        header: bool = False, depths=(3, 4, 5), bins=(10, 20, 30),
-                       folds: int = 3, seed: int = 100) -> dict:
+                       folds: int = 3, seed: int = 100, fit_indexers_on: str = "train") -> dict:
     """Decision-tree classifier tuned by k-fold CV on AUC (indexed-label
-    space); test accuracy / AUC of the refit best model; its tree report."""
+    space); test accuracy / AUC of the refit best model; its tree report.
+    ``fit_indexers_on='all'`` fits the indexers on all rows."""
     data = read_labeled(spark, path, sep, label_idx, start, length, header)
     train, test = _split(data, seed)
     learner = SV.tree_classifier()
     grid = TU.param_grid(learner, maxDepth=list(depths), maxBins=list(bins))
     ev = EV.evaluator("areaUnderROC", label="indexedLabel")
     prep, cvm = _tune(spark, S.key_folds(train, "split_key", folds, seed + 1), learner, grid,
-                      ev, folds, seed, "label")
+                      ev, folds, seed, "label", _indexer_rows(data, train, fit_indexers_on))
     pred = SV.label_decoder(prep).transform(cvm.bestModel.transform(prep.transform(test)))
     return {"cv": TU.cv_report(spark, cvm),
             "test_accuracy": EV.accuracy(pred, "indexedLabel", "prediction"),
@@ -131,19 +143,23 @@ def tree_regressor_cv(spark: SparkSession, path: str, *, sep: str = ",",
 
 def logistic_cv(spark: SparkSession, path: str, *, sep: str = ",", label_idx: int = 0,
                 start: int = 1, length: int = 28, header: bool = False,
-                reg_params=(0.3, 0.6, 0.9), folds: int = 3, seed: int = 100) -> dict:
+                reg_params=(0.3, 0.6, 0.9), folds: int = 3, seed: int = 100,
+                metric: str = "areaUnderROC", fit_indexers_on: str = "train") -> dict:
     """Elastic-net logistic regression (maxIter 10, α 0.8) tuned by CV on
-    accuracy in indexed-label space."""
+    ``metric`` (areaUnderROC or accuracy) in indexed-label space; predictions
+    of the refit best model with their labels decoded."""
     data = read_labeled(spark, path, sep, label_idx, start, length, header)
     train, test = _split(data, seed)
     learner = SV.logistic()
     grid = TU.param_grid(learner, regParam=list(reg_params))
-    ev = EV.evaluator("accuracy", label="indexedLabel")
+    ev = EV.evaluator(metric, label="indexedLabel")
     prep, cvm = _tune(spark, S.key_folds(train, "split_key", folds, seed + 1), learner, grid,
-                      ev, folds, seed, "label")
-    pred = cvm.bestModel.transform(prep.transform(test))
+                      ev, folds, seed, "label", _indexer_rows(data, train, fit_indexers_on))
+    pred = SV.label_decoder(prep).transform(cvm.bestModel.transform(prep.transform(test)))
     return {"cv": TU.cv_report(spark, cvm),
-            "test_accuracy": EV.accuracy(pred, "indexedLabel", "prediction")}
+            "test_accuracy": EV.accuracy(pred, "indexedLabel", "prediction"),
+            "test_auc": EV.auc(pred, "indexedLabel", vector_to_array("probability")[1]),
+            "preview": preview(pred, ["predictedLabel", "label", "features"], 5)}
 
 
 def glm_report(spark: SparkSession, path: str, target: str, *, id_cols=("Row_ID",),
@@ -165,8 +181,7 @@ def glm_report(spark: SparkSession, path: str, target: str, *, id_cols=("Row_ID"
             .withColumn("label", F.col(target).cast("double")))
     train, test = _split(data, seed)
     if cats:
-        model = FT.fit_indexer(train, cats, "_idx", handle_invalid="keep")
-        train, test = model.transform(train), model.transform(test)
+        train, test = (FT.index_columns(x, cats, "_idx", "keep", fit_on=train) for x in (train, test))
     feats = nums + [c + "_idx" for c in cats]
     train = FT.assemble(train, feats, label=target).select("label", "features")
     test = FT.assemble(test, feats, label=target)
@@ -285,12 +300,9 @@ def reduce_cluster_report(spark: SparkSession, path: str, *, k: int = 10,
     singular values of a P-SVD; k-means WSSSE after projecting on P."""
     x = read_matrix(spark, path, sep=" ", header=False, drop_first=False,
                     take_cols=take_cols)
-    x = spread(x.select("features")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        r = CL.reduce_and_cluster(spark, x, k, share, max_iter, seed)
-        sv = LA.svd(x, "features", r["components"])
-    finally:
-        x.unpersist()
+    with held(x, ["features"]) as rows:
+        r = CL.reduce_and_cluster(spark, rows, k, share, max_iter, seed)
+        sv = LA.svd(rows, "features", r["components"])
     top_sv = spark.createDataFrame([(i + 1, float(s)) for i, s in enumerate(sv.s[:top])],
                                    "component int, singular_value double")
     summary = spark.createDataFrame(

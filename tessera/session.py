@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.errors import PySparkNotImplementedError
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults applied only by ``local_session`` (tests, bench, smoke runs).
 # On a cluster the caller's session keeps its own settings.
@@ -37,29 +40,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) do we pick a
-    fresh scratch folder of our own.
+    Only a local session that leaves it unset gets a scratch folder of our
+    own; on a cluster the driver's folders are not the executors', so an
+    unset folder raises there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
     try:  # a folder already given to this SparkContext
         d = spark.sparkContext.getCheckpointDir()
-    except Exception:
-        d = None
-    if not d:
-        global _LOCAL_CKPT
-        if _LOCAL_CKPT is None:
-            _LOCAL_CKPT = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        d = _LOCAL_CKPT
-    return d
+        master = spark.sparkContext.master
+    except PySparkNotImplementedError:  # Spark Connect: no context to ask
+        d, master = None, spark.conf.get("spark.master", "")
+    if d:
+        return d
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    global _LOCAL_CKPT
+    if _LOCAL_CKPT is None:
+        _LOCAL_CKPT = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    return _LOCAL_CKPT
 
 
 _LOCAL_CKPT: str | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point the SparkContext at the shared checkpoint folder.
+    """Point the SparkContext at the shared checkpoint folder (Spark makes it).
 
     Iterative MLlib jobs (ALS, trees with ``checkpointInterval``) cut their
     lineage there, so a lost executor does not replay every iteration.
@@ -67,33 +74,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the checkpoint folder
+    except PySparkNotImplementedError:  # Spark Connect: the server owns the folder
         return d
     if sc.getCheckpointDir() is None:
-        if "://" not in d:
-            os.makedirs(d, exist_ok=True)
         sc.setCheckpointDir(d)
     return d
 
 
-def spread(df, min_partitions: int | None = None, max_growth: int = 8):
-    """Round-robin ``df`` over more partitions when it has fewer than the
-    cluster's default parallelism.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows out evenly over ``partitions`` (default: the session's
+    ``spark.sql.shuffle.partitions``), whatever the layout of the input.
 
-    Used before persisting the input of an iterative fit (trees, CV, k-means,
-    ALS) and before tokenising text: a scan of one big file or row group
-    otherwise runs every later pass in one task. Growth is capped at
-    ``max_growth`` × the current count, so a tiny input on a large cluster
-    is not cut into thousands of empty partitions; inputs that already have
-    enough partitions (any real-scale scan) are returned unchanged, so no
-    extra shuffle happens at scale.
+    For the input of an iterative fit (trees, CV, k-means, ALS), which is read
+    many times: its one exchange costs less than passes over a few unequal
+    scan splits, and fits that depend on the layout give the same result for
+    the same setting. Lazy: nothing runs until the fit.
     """
-    if df.isStreaming:
-        return df
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+@contextmanager
+def held(df: DataFrame, cols: list[str] | None = None) -> Iterator[DataFrame]:
+    """The columns an iterative fit reads, spread and persisted while it runs.
+    A table that the caller has persisted is used as it is, so no rows are
+    held twice."""
+    x = df.select(*cols) if cols else df
+    level = df.storageLevel
+    if level.useMemory or level.useDisk:
+        yield x
+        return
+    x = spread(x).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        have = df.rdd.getNumPartitions()
-        target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism,
-                                       max(have, 1) * max_growth)
-    except Exception:  # no RDD view (Spark Connect): leave partitioning to AQE
-        return df
-    return df.repartition(target) if have < target else df
+        yield x
+    finally:
+        x.unpersist()

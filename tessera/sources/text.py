@@ -27,13 +27,11 @@ def read_lines(spark: SparkSession, path: str | list[str],
     """Text-line scan → ``value STRING``.
 
     ``min_partitions`` mirrors ``textFile(path, n)``: file splitting never goes
-    below the open-cost size, so a small file would stay in one task; we
-    round-robin it over ``n`` partitions when the scan yields fewer.
+    below the open-cost size, so a small file would stay in one task; the
+    lines are dealt out over ``n`` partitions.
     """
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return df.repartition(min_partitions) if min_partitions else df
 
 
 def read_table(spark: SparkSession, path: str | list[str], *,

@@ -13,10 +13,24 @@ def test_string_index_ties_by_string(spark):
     assert out == {10.0: 0.0, 2.0: 1.0, 1.0: 2.0, 3.0: 3.0}
 
 
-def test_cardinality_guard(spark):
-    df = spark.range(100).selectExpr("cast(id as string) as s")
-    with pytest.raises(ValueError):
-        FT.fit_indexer(df, ["s"], max_labels=10)
+def test_label_tables_rank_like_the_indexer(spark):
+    values = ["a"] * 50 + ["b"] * 7 + ["B"] * 7 + [f"x{i % 90}" for i in range(300)]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "s string, i int").repartition(5)
+    model = FT.fit_indexer(df, ["s", "i"])
+    want = {r.i: (r.s_idx, r.i_idx) for r in model.transform(df).collect()}
+    got = FT.index_columns(df, ["s", "i"]).collect()
+    assert {r.i: (r.s_idx, r.i_idx) for r in got} == want and len(got) == len(values)
+
+
+def test_label_tables_null_and_unseen(spark):
+    train = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "s string")
+    test = spark.createDataFrame([("b",), (None,), ("new",)], "s string")
+    keep = FT.index_columns(test, ["s"], handle_invalid="keep", fit_on=train)
+    assert {r.s: r.s_idx for r in keep.collect()} == {"b": 1.0, None: 2.0, "new": 2.0}
+    assert [r.s for r in FT.index_columns(test, ["s"], handle_invalid="skip", fit_on=train).collect()] == ["b"]
+    with pytest.raises(Exception, match="unseen label"):
+        FT.index_columns(test, ["s"], fit_on=train).collect()
+    assert FT.index_columns(train.limit(0), ["s"]).count() == 0
 
 
 def test_vector_indexer_slots(spark):
@@ -24,7 +38,7 @@ def test_vector_indexer_slots(spark):
     df = spark.createDataFrame(rows, "a double, b double, c double")
     v = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
     model = FT.vector_indexer("features", "idx", 4).fit(v)
-    maps = FT.category_maps(model)
+    maps = {int(k): {float(a): int(b) for a, b in m.items()} for k, m in model.categoryMaps.items()}
     assert set(maps) == {0, 2}                     # slot 1 has 5 values → continuous
     assert maps[2] == {0.0: 0, -1.0: 1}            # 0.0 always gets index 0
     assert maps[0] == {5.0: 0, 6.0: 1, 7.0: 2, 8.0: 3}
@@ -33,11 +47,13 @@ def test_vector_indexer_slots(spark):
 
 
 def test_assemble_leak_guard(spark):
-    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, y double, y_idx double")
+    df = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0)], "a double, y double, y_idx double, y_before double")
     with pytest.raises(ValueError):
         FT.assemble(df, ["a", "y_idx"], label="y")
     out = FT.assemble(df, ["a", "y_idx"], label="y", allow_leak=True)
     assert list(out.first().features) == [1.0, 3.0]
+    honest = FT.assemble(df, ["a", "y_before"], label="y")
+    assert list(honest.first().features) == [1.0, 4.0]
 
 
 def test_decode_label(spark):

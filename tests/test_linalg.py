@@ -36,8 +36,35 @@ def test_from_long_sparse_fill(spark):
     df = spark.createDataFrame([(0, 2, 5.0), (1, 0, 1.0)], "i long, j int, v double")
     out = _local(LA.from_long(df, 3))
     assert out.tolist() == [[0.0, 0.0, 5.0], [1.0, 0.0, 0.0]]
-    with pytest.raises(ValueError):
-        LA.from_long(df, 10, max_width=5)
+    wider = _local(LA.from_long(df, 5))
+    assert wider.tolist() == [[0.0, 0.0, 5.0, 0.0, 0.0], [1.0, 0.0, 0.0, 0.0, 0.0]]
+
+
+@pytest.mark.parametrize("entries", [[(0, 0, 1.0), (0, 0, 9.0), (0, 2, 3.0)], [(0, 3, 1.0)]])
+def test_from_long_refuses_repeated_and_outside_positions(spark, entries):
+    df = spark.createDataFrame(entries, "i long, j int, v double")
+    with pytest.raises(Exception, match="repeated or out of range"):
+        LA.from_long(df, 3).collect()
+
+
+def test_from_long_wide_row_with_gaps(spark):
+    from pyspark.sql import functions as F
+    width = 16_000
+    df = spark.range(width).where("id % 3 != 1").select(
+        F.lit(7).alias("i"), F.col("id").cast("int").alias("j"), F.col("id").cast("double").alias("v"))
+    (row,) = _local(LA.from_long(df, width))
+    assert row.tolist() == [float(j) if j % 3 != 1 else 0.0 for j in range(width)]
+
+
+def test_distributed_svd_path_on_wide_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 6)) @ rng.normal(size=(6, 160)) + 0.1 * rng.normal(size=(400, 160))
+    df = _mat(spark, x)
+    wide, full = (LA.pca(df, "features", 5, method=m) for m in ("svd", "cov"))
+    assert np.allclose(wide.explained_variance, full.explained_variance, rtol=1e-6)
+    assert np.allclose(np.abs(wide.pc), np.abs(full.pc), atol=1e-6)
+    r = LA.svd(df, "features", 3)
+    assert np.allclose(r.s, np.linalg.svd(x, compute_uv=False)[:3])
 
 
 def test_pca_ratios_and_methods(spark, mats):

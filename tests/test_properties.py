@@ -90,8 +90,10 @@ def test_string_index_order_matches_rule(spark, values):
 
     from tessera.operators import features as FT
     df = spark.createDataFrame([(v,) for v in values], "s string")
-    labels = FT.fit_indexer(df, ["s"], max_labels=None).labelsArray[0]
+    labels = FT.fit_indexer(df, ["s"]).labelsArray[0]
     counts = Counter(values)
     # frequency descending, ties by the string in code-point order
     expected = sorted(counts, key=lambda v: (-counts[v], v))
     assert list(labels) == expected
+    table = FT.label_table(df, "s").orderBy("idx").collect()
+    assert [(r.label, r.n, r.idx) for r in table] == [(v, counts[v], i) for i, v in enumerate(expected)]

@@ -3,7 +3,10 @@ import subprocess
 import sys
 import textwrap
 
-from tessera.session import checkpoint_dir, spread
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.session import checkpoint_dir, held, spread
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -34,13 +37,43 @@ def test_checkpoint_dir_fallback_when_unset(tmp_path):
     assert "AUC 1.0" in out.stdout, out.stderr[-2000:]
 
 
-def test_spread_only_when_underpartitioned(spark):
-    small = spark.range(10).coalesce(1)
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    big = spark.range(100).repartition(spark.sparkContext.defaultParallelism + 3)
-    assert spread(big) is big
+def test_spread_is_lazy_and_even(spark):
+    df = spark.range(1000).coalesce(1).groupBy((F.col("id") % 7).alias("k")).count()
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    out = spread(df, 5)
+    assert set(tracker.getJobIdsForGroup(None)) == before     # nothing ran
+    assert out.rdd.getNumPartitions() == 5
+    want = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spread(spark.range(10)).rdd.getNumPartitions() == want
+
+
+def test_held_rows_are_not_held_twice(spark):
+    df = spark.range(100)
+    with held(df) as x:
+        assert x.storageLevel.useMemory
+        x.count()
+        before = len(spark.sparkContext._jsc.getPersistentRDDs())
+        with held(x) as y:
+            y.count()
+            assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+        assert x.storageLevel.useMemory
+    assert not x.storageLevel.useMemory
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
 
+    class Session:
+        conf, sparkContext = Conf(), Context()
 
-def test_spread_growth_is_capped(spark):
-    one = spark.range(10).coalesce(1)
-    assert spread(one, max_growth=2).rdd.getNumPartitions() == 2
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

@@ -2,7 +2,6 @@ import uuid
 
 from tessera.operators import text as T
 from tessera.streaming import stream_word_counts
-from tessera.streaming.words import start_to_memory
 
 
 def test_stream_matches_batch(spark, tmp_path):
@@ -10,7 +9,8 @@ def test_stream_matches_batch(spark, tmp_path):
     src.mkdir()
     (src / "a.txt").write_text("Windmill windmill animals\nthe pigs\n")
     name = "wc_" + uuid.uuid4().hex[:8]
-    q = start_to_memory(stream_word_counts(spark, str(src)), name, str(tmp_path / "ck"))
+    q = (stream_word_counts(spark, str(src)).writeStream.outputMode("complete").format("memory")
+         .queryName(name).option("checkpointLocation", str(tmp_path / "ck")).start())
     try:
         q.processAllAvailable()
         (src / "b.txt").write_text("animals pigs pigs\n")
