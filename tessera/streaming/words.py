@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.text import clean_words
-from ..session import checkpoint_dir
 
 
 def stream_word_counts(spark: SparkSession, folder: str, min_len: int = 1,
@@ -22,10 +21,3 @@ def stream_word_counts(spark: SparkSession, folder: str, min_len: int = 1,
     return clean_words(lines, "value", min_len).groupBy("word").agg(
         F.count(F.lit(1)).alias("n"))
 
-
-def start_to_memory(df: DataFrame, name: str, checkpoint: str | None = None):
-    """Run a streaming aggregate into an in-memory table (tests, notebooks).
-    The checkpoint goes under the session's shared checkpoint folder."""
-    ck = checkpoint or f"{checkpoint_dir(df.sparkSession).rstrip('/')}/streams/{name}"
-    return (df.writeStream.outputMode("complete").format("memory").queryName(name)
-            .option("checkpointLocation", ck).start())
