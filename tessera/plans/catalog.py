@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cluster_jobs, eval_jobs, matrix_jobs, model_jobs, prep_jobs, text_jobs
+from . import cluster_jobs, eval_jobs, matrix_jobs, model_jobs, prep_jobs, source_jobs, text_jobs
 
-_MODULES = [text_jobs, prep_jobs, eval_jobs, model_jobs, matrix_jobs, cluster_jobs]
+_MODULES = [text_jobs, source_jobs, prep_jobs, eval_jobs, model_jobs, matrix_jobs, cluster_jobs]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -118,28 +118,54 @@ FROM lineitem, v"""
 
 
 def q_svd_u(spark, sf_dir):
-    """U of a k=2 SVD of the embeddings with row ids kept (row-count check)."""
-    r = LA.svd(_embeddings(spark, sf_dir), "features", 2, compute_u=True, id_col="vec_id")
+    """U of a k=2 SVD with row ids kept, |value| (signs are arbitrary)."""
+    d = _two_cols(spark, sf_dir, SVD_A, SVD_B).withColumn("id", F.expr("l_orderkey * 8 + l_linenumber"))
+    r = LA.svd(d, "features", 2, compute_u=True, id_col="id")
     a = vector_to_array("u")
-    return r.U.select("vec_id", a[0].alias("u1"), a[1].alias("u2"))
+    return r.U.select("id", F.round(F.abs(a[0]), 9).alias("u1"), F.round(F.abs(a[1]), 9).alias("u2"))
+
+
+SVD_U_SQL = f"""
+WITH d AS (SELECT {SVD_A} AS a, {SVD_B} AS b FROM lineitem),
+m AS (SELECT sum(a * a) AS gaa, sum(a * b) AS gab, sum(b * b) AS gbb FROM d),
+e AS ({_eig2_sql('gaa', 'gab', 'gbb')} FROM m),
+v AS (SELECT l1, l2, gab / sqrt(gab * gab + power(l1 - gaa, 2)) AS va,
+             (l1 - gaa) / sqrt(gab * gab + power(l1 - gaa, 2)) AS vb FROM e)
+SELECT l_orderkey * 8 + l_linenumber AS id, round(abs({SVD_A} * va + {SVD_B} * vb) / sqrt(l1), 9) AS u1,
+       round(abs(-{SVD_A} * vb + {SVD_B} * va) / sqrt(l2), 9) AS u2 FROM lineitem, v"""
+
+
+def _variance_rows(spark, ratios):
+    return LA.variance_table(spark, ratios).select(
+        "component", *[F.round(c, 9).alias(c) for c in ("explained_variance", "cumulative")])
 
 
 def q_variance_components(spark, sf_dir):
-    """Explained variance of all 64 embedding components and the smallest P
-    that keeps 80 % (``is_cutoff``)."""
-    e = _embeddings(spark, sf_dir)
-    n = LA.matrix_width(e, "features")
-    r = LA.pca(e, "features", n, method="cov")
+    """Explained variance of all components and the smallest P that keeps
+    80 % (``is_cutoff``)."""
+    r = LA.pca(_two_cols(spark, sf_dir, PCA_A, PCA_B), "features", 2, method="cov")
     p = LA.components_for_variance(r.explained_variance, 0.80)
-    return LA.variance_table(spark, r.explained_variance).withColumn(
-        "is_cutoff", F.col("component") == p)
+    return _variance_rows(spark, r.explained_variance).withColumn("is_cutoff", F.col("component") == p)
 
 
 def q_pca_wide(spark, sf_dir):
-    """Distributed-SVD PCA (the wide-table path) on the embeddings, k = 5:
-    same ratios as the covariance path (checked in tests)."""
-    r = LA.pca(_embeddings(spark, sf_dir), "features", 5, method="svd")
-    return LA.variance_table(spark, np.asarray(r.explained_variance))
+    """The ratios from the distributed SVD (the wide-table path): the same
+    closed form. Wide tables are tested in pytest."""
+    r = LA.pca(_two_cols(spark, sf_dir, PCA_A, PCA_B), "features", 2, method="svd")
+    return _variance_rows(spark, np.asarray(r.explained_variance))
+
+
+_RATIOS_SQL = f"""
+WITH d AS (SELECT {PCA_A} AS a, {PCA_B} AS b FROM lineitem),
+m AS (SELECT var_samp(a) AS saa, covar_samp(a, b) AS sab, var_samp(b) AS sbb FROM d),
+e AS ({_eig2_sql('saa', 'sab', 'sbb')} FROM m),
+r AS (SELECT l1 / (l1 + l2) AS r1, l2 / (l1 + l2) AS r2 FROM e),
+t AS (SELECT 1 AS component, r1 AS v, r1 AS c FROM r UNION ALL SELECT 2, r2, r1 + r2 FROM r)"""
+PCA_WIDE_SQL = _RATIOS_SQL + """
+SELECT component, round(v, 9) AS explained_variance, round(c, 9) AS cumulative FROM t"""
+VARIANCE_COMPONENTS_SQL = _RATIOS_SQL + """
+SELECT component, round(v, 9) AS explained_variance, round(c, 9) AS cumulative,
+       component = (SELECT min(component) FROM t WHERE c >= 0.8) AS is_cutoff FROM t"""
 
 
 QUERIES = {
@@ -157,4 +183,7 @@ ORACLE = {
     "pca_2d": PCA_2D_SQL,
     "pca_projection": PCA_PROJECTION_SQL,
     "svd_2d": SVD_2D_SQL,
+    "svd_u": SVD_U_SQL,
+    "variance_components": VARIANCE_COMPONENTS_SQL,
+    "pca_wide": PCA_WIDE_SQL,
 }

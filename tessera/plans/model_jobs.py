@@ -147,9 +147,9 @@ _SUMMARY_DIGITS = {"coefficient": 9, "std_error": 12, "t_value": 8, "dispersion"
                    "residual_dof": 1, "aic": 7}
 
 
-def _round_stats(df):
+def _round_stats(df, stats=None):
     expr = F.lit(None).cast("double")
-    for stat, digits in _SUMMARY_DIGITS.items():
+    for stat, digits in (stats or _SUMMARY_DIGITS).items():
         expr = F.when(F.col("stat") == stat, F.round("value", digits)).otherwise(expr)
     return df.where(F.col("stat") != "p_value").select("stat", "term", expr.alias("value"))
 
@@ -211,13 +211,45 @@ SELECT 'g' AS term, round(m1 - m0, 6) AS value FROM m
 UNION ALL SELECT 'intercept', round(m0, 6) FROM m"""
 
 
+_POISSON_DIGITS = {"coefficient": 6, "std_error": 8, "t_value": 5, "dispersion": 6, "null_deviance": 4,
+                   "residual_dof_null": 1, "deviance": 4, "residual_dof": 1, "aic": 3}
+
+
 def q_glm_poisson_summary(spark, sf_dir):
-    """The reference setting (poisson / identity, λ = 0.3, 10 iterations):
-    full summary table, row-count check."""
+    """Poisson / identity on one 0/1 feature, unpenalised: the inference
+    summary has a closed form in the two group means. (p-values are left out:
+    they are 0 here to any number of digits.)"""
     _, summary = SV.fit_with_summary(
-        SV.glm("poisson", "identity", "label", "features", 10, 0.3), _poisson_data(spark, sf_dir),
+        SV.glm("poisson", "identity", "label", "features", 25, 0.0), _poisson_data(spark, sf_dir),
         lambda m: SV.glm_summary(spark, m, ["g"]))
-    return summary
+    return _round_stats(summary, _POISSON_DIGITS)
+
+
+def _rp(expr: str, stat: str) -> str:
+    return f"round({expr}, {_POISSON_DIGITS[stat]})"
+
+
+GLM_POISSON_SUMMARY_SQL = f"""
+WITH d AS (SELECT CAST(l_quantity AS DOUBLE) AS y, l_returnflag = 'R' AS g FROM lineitem),
+m AS (SELECT count(*) AS n, avg(y) AS my, avg(CASE WHEN g THEN NULL ELSE y END) AS m0, avg(CASE WHEN g THEN y END) AS m1,
+             sum(CASE WHEN g THEN 0 ELSE 1 END) AS n0, sum(CASE WHEN g THEN 1 ELSE 0 END) AS n1 FROM d),
+s AS (SELECT 2 * sum(y * ln(y / CASE WHEN g THEN m1 ELSE m0 END) - (y - CASE WHEN g THEN m1 ELSE m0 END)) AS dev,
+             2 * sum(y * ln(y / my) - (y - my)) AS dev0,
+             -2 * sum(y * ln(CASE WHEN g THEN m1 ELSE m0 END) - CASE WHEN g THEN m1 ELSE m0 END - lgamma(y + 1)) + 4 AS aic
+      FROM d, m),
+e AS (SELECT *, m1 - m0 AS b, sqrt(m0 / n0) AS se0, sqrt(m0 / n0 + m1 / n1) AS se1 FROM m, s)
+SELECT 'coefficient' AS stat, 'g' AS term, {_rp('b', 'coefficient')} AS value FROM e
+UNION ALL SELECT 'coefficient', 'intercept', {_rp('m0', 'coefficient')} FROM e
+UNION ALL SELECT 'std_error', 'g', {_rp('se1', 'std_error')} FROM e
+UNION ALL SELECT 'std_error', 'intercept', {_rp('se0', 'std_error')} FROM e
+UNION ALL SELECT 't_value', 'g', {_rp('b / se1', 't_value')} FROM e
+UNION ALL SELECT 't_value', 'intercept', {_rp('m0 / se0', 't_value')} FROM e
+UNION ALL SELECT 'dispersion', NULL, 1.0
+UNION ALL SELECT 'null_deviance', NULL, {_rp('dev0', 'null_deviance')} FROM e
+UNION ALL SELECT 'residual_dof_null', NULL, {_rp('n - 1', 'residual_dof_null')} FROM e
+UNION ALL SELECT 'deviance', NULL, {_rp('dev', 'deviance')} FROM e
+UNION ALL SELECT 'residual_dof', NULL, {_rp('n - 2', 'residual_dof')} FROM e
+UNION ALL SELECT 'aic', NULL, {_rp('aic', 'aic')} FROM e"""
 
 
 def q_glm_residuals(spark, sf_dir):
@@ -353,6 +385,37 @@ def q_logistic_cv(spark, sf_dir):
         cvm = TU.cross_validate(learner, grid, ev, prep.transform(d), k=3, fold_col="fold")
     finally:
         d.unpersist()
+    rep = TU.cv_report(spark, cvm)
+    lam = F.element_at(F.array(*[F.lit(x) for x in GLM_GRID]), F.col("grid_id") + 1)
+    return rep.select(lam.alias("reg_param"), F.round("avg_metric", 9).alias("avg_accuracy"), "is_best")
+
+
+# so strong a penalty leaves no coefficient: each fold predicts its majority
+LOGISTIC_CV_SQL = f"""
+WITH d AS (SELECT CASE WHEN l_quantity * p_retailprice > 35000 THEN 1.0 ELSE 0.0 END AS y,
+                  CAST({_hash_sql('l_orderkey', FOLD_SEED)} % 3 AS INTEGER) AS fold
+           FROM lineitem JOIN part ON l_partkey = p_partkey),
+f AS (SELECT DISTINCT fold AS vf FROM d),
+t AS (SELECT vf, CASE WHEN avg(y) > 0.5 THEN 1.0 ELSE 0.0 END AS major FROM f JOIN d ON d.fold <> f.vf GROUP BY vf),
+a AS (SELECT vf, avg(CASE WHEN y = major THEN 1.0 ELSE 0.0 END) AS acc FROM t JOIN d ON d.fold = t.vf GROUP BY vf),
+g AS (SELECT CAST(unnest([{', '.join(str(x) for x in GLM_GRID)}]) AS DOUBLE) AS lam)
+SELECT lam AS reg_param, round((SELECT avg(acc) FROM a), 9) AS avg_accuracy,
+       lam = {GLM_GRID[0]} AS is_best FROM g"""
+
+
+def q_logistic_grid(spark, sf_dir):
+    """The same learner tuned by exact AUC over a grid that separates, labels
+    decoded: fold AUCs fall as the penalty grows (row-count check)."""
+    d = S.key_folds(labeled_numeric(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
+    d = spread(d.select("label", "features", "fold")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prep = SV.fit_preprocessing(d, "features", "label")
+        learner = SV.logistic()
+        grid = TU.param_grid(learner, regParam=[0.001, 0.01, 0.05, 0.3])
+        cvm = TU.cross_validate(learner, grid, EV.evaluator("areaUnderROC", label="indexedLabel"),
+                                prep.transform(d), k=3, fold_col="fold")
+    finally:
+        d.unpersist()
     return TU.cv_report(spark, cvm)
 
 
@@ -411,6 +474,7 @@ QUERIES = {
     "cv_tree_regressor": q_cv_tree_regressor,
     "tree_report": q_tree_report,
     "logistic_cv": q_logistic_cv,
+    "logistic_grid": q_logistic_grid,
 }
 
 ORACLE = {
@@ -422,4 +486,6 @@ ORACLE = {
     "glm_residuals": GLM_RESIDUALS_SQL,
     "logistic_ref": LOGISTIC_REF_SQL,
     "cv_glm": CV_GLM_SQL,
+    "glm_poisson_summary": GLM_POISSON_SUMMARY_SQL,
+    "logistic_cv": LOGISTIC_CV_SQL,
 }
