@@ -65,3 +65,18 @@ def test_cv_report_direction(spark, majority_one):
     rep = TU.cv_report(spark, cvm).collect()
     best = [r for r in rep if r.is_best]
     assert len(best) == 1 and best[0].avg_metric == min(r.avg_metric for r in rep)
+
+
+def test_summary_keeps_rows_without_standard_errors(spark):
+    """Collinear features: MLlib has no standard errors, the rows stay."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+    df = spark.range(60).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") * 1.5 + 1).alias("label"))
+    df = VectorAssembler(inputCols=["x", "x2"], outputCol="features").transform(df.withColumn("x2", F.col("x") * 2))
+    _, rows = SV.fit_with_summary(SV.glm("gaussian", "identity", "label", "features", 10, 0.0), df,
+                                  lambda m: SV.glm_summary(spark, m, ["x", "x2"]), ["label", "features"])
+    got = {(r.stat, r.term): r.value for r in rows.collect()}
+    for stat in ("std_error", "t_value", "p_value"):
+        assert {t for s, t in got if s == stat} == {"x", "x2", "intercept"}
+        assert all(v is None for (s, _), v in got.items() if s == stat)
+    assert got["coefficient", "x"] is not None and got["deviance", None] is not None
