@@ -95,7 +95,33 @@ def q_kmeans_report(spark, sf_dir):
 
 
 def q_reduce_and_cluster(spark, sf_dir):
-    """k = 10 WSSSE on raw embeddings vs on the components keeping 80 %."""
+    """k = 3 WSSSE on raw rows of two columns with planted groups, and on the
+    components that keep 80 % of the variance."""
+    li = table(spark, sf_dir, "lineitem").select(F.expr(PLANTED).cast("double").alias("a"),
+                                                 (F.col("l_tax") * 100).alias("b"))
+    d = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(li)
+    r = CL.reduce_and_cluster(spark, d, 3, 0.80, 250, 1)
+    return spark.createDataFrame(
+        [(r["components"], round(r["wssse_raw"], 2), round(r["wssse_reduced"], 2))],
+        "components int, wssse_raw double, wssse_reduced double")
+
+
+REDUCE_AND_CLUSTER_SQL = f"""
+WITH d AS (SELECT CAST({PLANTED} AS DOUBLE) AS a, l_tax * 100 AS b, l_returnflag AS g FROM lineitem),
+m AS (SELECT var_samp(a) AS saa, covar_samp(a, b) AS sab, var_samp(b) AS sbb FROM d),
+e AS (SELECT *, (saa + sbb) / 2 + sqrt(power((saa - sbb) / 2, 2) + power(sab, 2)) AS l1, saa + sbb AS l FROM m),
+v AS (SELECT l1 / l AS share, sab / sqrt(sab * sab + power(l1 - saa, 2)) AS va,
+             (l1 - saa) / sqrt(sab * sab + power(l1 - saa, 2)) AS vb FROM e),
+p AS (SELECT g, a, b, a * va + b * vb AS p FROM d, v),
+c AS (SELECT g, avg(a) AS ca, avg(b) AS cb, avg(p) AS cp FROM p GROUP BY g)
+SELECT (SELECT CASE WHEN share >= 0.8 THEN 1 ELSE 2 END FROM v) AS components,
+       round(sum(power(a - ca, 2) + power(b - cb, 2)), 2) AS wssse_raw,
+       round(sum(power(p - cp, 2)), 2) AS wssse_reduced FROM p JOIN c USING (g)"""
+
+
+def q_reduce_embeddings(spark, sf_dir):
+    """k = 10 WSSSE on raw embeddings vs on the components keeping 80 %
+    (row-count check)."""
     r = CL.reduce_and_cluster(spark, _embeddings(spark, sf_dir), 10, 0.80, 250, 1)
     return spark.createDataFrame(
         [(r["components"], r["wssse_raw"], r["wssse_reduced"])],
@@ -146,10 +172,29 @@ def q_als_mse(spark, sf_dir):
     return RC.als_mse(scored)
 
 
+def q_als_planted(spark, sf_dir):
+    """Ratings that are a product of a user and an item value: the factors
+    must predict the held-out pairs exactly (error 0 at 3 digits)."""
+    train, test = (d.withColumn("rating", (1 + F.col("user_id") % 5) * (1 + F.col("item_id") % 7) / 5.0)
+                   for d in _als_split(spark, sf_dir))
+    model = RC.als_fit(train, rank=1, max_iter=20, reg=1e-6, seed=ALS_SEED, user="user_id", item="item_id")
+    return RC.als_mse(RC.als_score(model, test)).select("n", F.round("mse", 3).alias("mse"))
+
+
+ALS_PLANTED_SQL = f"""
+WITH r AS ({RATINGS_SQL}),
+s AS (SELECT *, {_PAIR} < {S.split_cut(0.7)} AS is_train FROM r),
+tr AS (SELECT * FROM s WHERE is_train), te AS (SELECT * FROM s WHERE NOT is_train)
+SELECT count(*) AS n, 0.0 AS mse FROM te
+WHERE "user" IN (SELECT "user" FROM tr) AND item IN (SELECT item FROM tr)"""
+
+
 def q_als_factor_map(spark, sf_dir):
-    """PCA-2 map of the item factors, item ids kept."""
-    train, _ = _als_split(spark, sf_dir)
-    model = RC.als_fit(train, seed=ALS_SEED, user="user_id", item="item_id")
+    """PCA-2 map of the item factors of all ratings, item ids kept."""
+    ensure_checkpoint_dir(spark)
+    r = (ratings(spark, sf_dir).withColumnRenamed("user", "user_id")
+         .withColumnRenamed("item", "item_id").checkpoint(eager=True))
+    model = RC.als_fit(r, seed=ALS_SEED, user="user_id", item="item_id")
     a = vector_to_array("projected")
     return RC.factor_map(model, "item", 2).select(F.col("id").alias("item_id"),
                                                   a[0].alias("p1"), a[1].alias("p2"))
@@ -163,11 +208,15 @@ QUERIES = {
     "reduce_and_cluster": q_reduce_and_cluster,
     "als_scorable_pairs": q_als_scorable_pairs,
     "als_mse": q_als_mse,
+    "als_planted": q_als_planted,
     "als_factor_map": q_als_factor_map,
+    "reduce_embeddings": q_reduce_embeddings,
 }
 
 ORACLE = {
     "kmeans_planted": KMEANS_PLANTED_SQL,
     "cluster_extremes": CLUSTER_EXTREMES_SQL,
     "als_scorable_pairs": ALS_SCORABLE_SQL,
+    "als_planted": ALS_PLANTED_SQL,
+    "reduce_and_cluster": REDUCE_AND_CLUSTER_SQL,
 }
