@@ -236,15 +236,17 @@ def read_matrix(spark: SparkSession, path: str, *, sep: str = ",", header: bool
 
 
 def matrix_report(spark: SparkSession, path: str, *, k: int = 2, take_rows: int | None = None,
-                  out_dir: str | None = None, min_partitions: int | None = None) -> dict:
+                  out_dir: str | None = None, min_partitions: int | None = None,
+                  method: str = "cov") -> dict:
     """word × paper table → papers × words (distributed transpose), PCA-k
     with explained variance, un-centred projection (optionally saved as
     comma-joined text), truncated SVD with σ and σ². The transposed table
     is returned persisted (PCA, SVD and projection all read it); the caller
-    unpersists it when done."""
+    unpersists it when done. ``method='svd'`` is for more words than a
+    covariance matrix on the driver can hold."""
     words = read_matrix(spark, path, take_rows=take_rows, min_partitions=min_partitions)
     papers = LA.transpose(words, "id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    r = LA.pca(papers, "features", k)
+    r = LA.pca(papers, "features", k, method)
     projected = LA.project_pca(papers, "features", r, out="projected").select("id", "projected")
     if out_dir:
         write_vectors(projected, "projected", out_dir)
@@ -294,14 +296,14 @@ def recommend_report(spark: SparkSession, train_path: str, test_path: str, *,
 
 def reduce_cluster_report(spark: SparkSession, path: str, *, k: int = 10,
                           max_iter: int = 250, take_cols: int = 256, share: float = 0.80,
-                          seed: int = 1, top: int = 5) -> dict:
+                          seed: int = 1, top: int = 5, method: str = "cov") -> dict:
     """Space-separated table, first ``take_cols`` fields: k-means WSSSE on
     raw rows; P components keeping ``share`` of the variance; the top
     singular values of a P-SVD; k-means WSSSE after projecting on P."""
     x = read_matrix(spark, path, sep=" ", header=False, drop_first=False,
                     take_cols=take_cols)
     with held(x, ["features"]) as rows:
-        r = CL.reduce_and_cluster(spark, rows, k, share, max_iter, seed)
+        r = CL.reduce_and_cluster(spark, rows, k, share, max_iter, seed, method=method)
         sv = LA.svd(rows, "features", r["components"])
     top_sv = spark.createDataFrame([(i + 1, float(s)) for i, s in enumerate(sv.s[:top])],
                                    "component int, singular_value double")

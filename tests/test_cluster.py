@@ -41,3 +41,21 @@ def test_reduce_and_cluster(spark):
     assert 1 <= r["components"] <= 64
     assert sum(r["explained_variance"][:r["components"]]) >= 0.8
     assert r["wssse_reduced"] <= r["wssse_raw"] + 1e-9
+
+
+def test_reduce_and_cluster_asks_for_components_step_by_step(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from tessera.operators import linalg as LA
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(150, 3)) @ rng.normal(size=(3, 40)) * 5 + 0.01 * rng.normal(size=(150, 40))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").select(array_to_vector("v").alias("features"))
+    asked = []
+    pca = LA.pca
+    monkeypatch.setattr(LA, "pca", lambda d, c, k, m="cov": asked.append(k) or pca(d, c, k, m))
+    wide = CL.reduce_and_cluster(spark, df, 2, 0.99, 20, 1, method="svd")
+    full = CL.reduce_and_cluster(spark, df, 2, 0.99, 20, 1, method="cov")
+    assert asked == [16, 40] and wide["components"] == full["components"] <= 3
+    assert abs(wide["wssse_reduced"] - full["wssse_reduced"]) < 1e-6 * full["wssse_reduced"]
