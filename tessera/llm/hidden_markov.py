@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import chains
@@ -137,6 +137,18 @@ def train(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
     return model
 
 
+def frequent_words(counts: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, as many whole counts as give at most
+    ``most`` words: a threshold from the histogram of counts, so that no task
+    and not the driver gets more than these words."""
+    words = counts.filter((F.col("c") >= LEAST_COUNT) & (F.octet_length("word") <= LONGEST_CLASS))
+    # a row for each different count
+    down = Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = (words.groupBy("c").agg(F.count("*").alias("n")).withColumn("n", F.sum("n").over(down))
+             .filter(F.col("n") <= most).agg(F.min("c")).first()[0])
+    return words.filter(F.lit(False) if least is None else F.col("c") >= least)
+
+
 def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``df``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score.
@@ -159,8 +171,7 @@ def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_i
     counts = materialise(learn.select("raw").mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
     ends = learn.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = (counts.filter((F.col("c") >= LEAST_COUNT) & (F.octet_length("word") <= LONGEST_CLASS))
-           .orderBy(F.desc("c"), "word").limit(CLASSES).collect())
+    top = frequent_words(counts, CLASSES).orderBy("word").collect()
     model = Model([bytes(r.word) for r in top], [r.c for r in top], ends, total.n + ends, total.v + (ends > 0))
     lookup = spark.sparkContext.broadcast((model.number, model.logs))
 

@@ -144,3 +144,11 @@ def test_edge_cases(spark):
     assert op.hidden_markov_scores(df.limit(0), F.expr(HELD)).count() == 0
     only_held = df.filter(HELD)
     check(op.hidden_markov_scores(only_held, F.expr(HELD)), [(r.doc_id, r.text) for r in only_held.collect()])
+
+
+def test_frequent_words_keep_whole_counts(spark):
+    rows = [(f"w{i}".encode(), c) for i, c in enumerate([9, 8, 8, 5, 5, 5, 4, 3, 3])] + [(b"x" * 65, 99)]
+    df = spark.createDataFrame(rows, "word binary, c long")
+    pick = lambda k: sorted((r.c for r in op.frequent_words(df, k).collect()), reverse=True)
+    assert pick(1) == [9] and pick(2) == [9] and pick(3) == [9, 8, 8] and pick(100) == [9, 8, 8, 5, 5, 5, 4]
+    assert pick(0) == [] and op.frequent_words(df.limit(0), 5).count() == 0
