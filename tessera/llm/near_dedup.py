@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (NOT_SPACE, batches, binary_column, hash_windows, hash_words, join_with_hot, materialise, mix,
@@ -205,18 +205,28 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("v.a", "v.b", F.col("c.a").alias("ca"), F.col("c.b").alias("cb"))
 
 
-def _star_pairs(bands: DataFrame, order: list[F.Column], n_rows: int) -> DataFrame:
-    """(text, leader) of each band key: the leader comes first in ``order``.
-    Each text but the leader gives one pair, whatever the size of the bucket."""
-    leader = F.min(F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), "a", "b", "ca", "cb")).alias("leader")
-    stars = bands.groupBy("key").agg(leader, F.count("*").alias("n"),
-                                     F.min(F.struct("ca", "cb")).alias("x"), F.max(F.struct("ca", "cb")).alias("y"))
-    stars = stars.filter("x != y").select("key", "n", "leader")    # two classes meet here
+def _star_pairs(bands: DataFrame, n_rows: int) -> DataFrame:
+    """(text, leader): each text of a bucket with the bucket's smallest text."""
+    leader = F.min(F.struct("a", "b")).alias("leader")
+    stars = bands.groupBy("key").agg(leader, F.max(F.struct("a", "b")).alias("last"), F.count("*").alias("n"))
+    stars = stars.filter("leader != last").drop("last")
     found = join_with_hot(bands, stars, ["key"], "n", n=n_rows).filter("leader is not null")
-    return (found.filter("leader.ca != ca or leader.cb != cb")
+    return (found.filter("leader.a != a or leader.b != b")
             .select("a", "b", F.col("leader.a").alias("la"), F.col("leader.b").alias("lb")).distinct())
 
 
+def _mixed_pairs(mixed: DataFrame, order: F.Column, n_leaders: int) -> DataFrame:
+    """Pairs of texts of different classes that share a bucket, one of them
+    among the bucket's first ``n_leaders`` in ``order``; larger text first."""
+    place = F.row_number().over(Window.partitionBy("key").orderBy(order, "a", "b"))
+    leaders = (mixed.withColumn("place", place).filter(F.col("place") <= n_leaders)
+               .select("key", "n", F.struct("a", "b").alias("l"), F.struct("ca", "cb").alias("lc")))
+    met = join_with_hot(mixed.drop("n"), leaders, ["key"], "n").filter(F.struct("ca", "cb") != F.col("lc"))
+    own = F.struct("a", "b")
+    return met.select(F.greatest(own, "l").alias("x"), F.least(own, "l").alias("y")).select(
+        "x.a", "x.b", F.col("y.a").alias("la"), F.col("y.b").alias("lb")).distinct()
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``df``: doc_id, class_id, class_size, kept, n_shingles.
 
@@ -230,12 +240,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     Repeated rows are copies. An empty table gives an empty result; other
     columns play no part.
 
-    Copies are collapsed first. A band's bucket of m texts gives m - 1 pairs
-    with its leader. As a text may be similar to others of its bucket but not
-    to the leader, rounds with other leaders follow (by turns: by another
-    hash order; the text with the most links) for buckets in which several
-    classes meet, until two rounds in a row link nothing new. All pairs are
-    checked on the exact shingle counts.
+    Copies are collapsed first. Each text of a band's bucket is compared with
+    the bucket's smallest one. As it may be similar to others but not to that
+    one, rounds with more leaders follow for the buckets in which several
+    classes meet: 16 (those with the most links), then 256, 4096 and so on (those with
+    the lowest hashes). They end when the leaders are all texts of
+    all such buckets, or after two rounds in a row that link nothing new. A
+    text makes at most one pair with each leader. All pairs are checked on the
+    exact shingle counts.
     """
     source = df.select(F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
     docs = materialise(source.mapInArrow(
@@ -243,32 +255,38 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         .withColumn("row", F.monotonically_increasing_id()), "signatures")
     sent = docs.filter("bands is not null")
     n_rows = sent.count() * BANDS
-    bands = sent.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"), F.explode("bands").alias("key"))
-    pairs = materialise(_star_pairs(bands, [], n_rows), "pairs")
+    pairs = materialise(_star_pairs(sent.select("a", "b", F.explode("bands").alias("key")), n_rows), "pairs")
     nodes = pairs.select("a", "b").union(pairs.select("la", "lb")).distinct()
     texts = materialise(sent.select("a", "b", "shingles", "bands").join(nodes, ["a", "b"], "left_semi")
                         .dropDuplicates(["a", "b"]), "candidates")
     links = materialise(_similar(pairs, texts), "links")
-    tested, labels, idle, turn = pairs, components(links), 0, 0
-    bands = texts.select("a", "b", F.explode("bands").alias("key"))
+    tested, labels, idle, n_leaders = pairs, components(links), 0, 1
     n_rows = texts.count() * BANDS
-    while idle < 2 and n_rows:
-        turn += 1
+    while idle < 2:
+        n_leaders *= 16
         degree = (links.select("a", "b").union(links.select("la", "lb")).groupBy("a", "b")
                   .agg((-F.count("*")).alias("few")))
-        known = bands.join(labels, ["a", "b"], "left").join(degree, ["a", "b"], "left").select(
-            "key", "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), F.coalesce("few", F.lit(0)).alias("few"))
-        order = [F.col("few")] if turn % 2 else [F.xxhash64("a", "b", F.lit(turn))]
-        pairs = materialise(_star_pairs(known, order, n_rows).join(tested, ["a", "b", "la", "lb"], "left_anti")
-                            .join(tested.select(F.col("la").alias("a"), F.col("lb").alias("b"), F.col("a").alias("la"), F.col("b").alias("lb")),
-                                  ["a", "b", "la", "lb"], "left_anti"), "pairs")
+        known = texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").join(degree, ["a", "b"], "left").select(
+            "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"),
+            F.coalesce("few", F.lit(0)).alias("few"), F.explode("bands").alias("key"))
+        sizes = known.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("ca", "cb")).alias("x"),
+                                         F.max(F.struct("ca", "cb")).alias("y")).filter("x != y").select("key", "n")
+        mixed = materialise(join_with_hot(known, sizes, ["key"], "n", n=n_rows).filter("n is not null"), "mixed")
+        largest = mixed.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+        if not largest:
+            break
+        order = F.col("few") if n_leaders == 16 else F.xxhash64("a", "b", F.lit(n_leaders))
+        pairs = materialise(_mixed_pairs(mixed, order, n_leaders)
+                            .join(tested, ["a", "b", "la", "lb"], "left_anti"), "pairs")
         more = materialise(_similar(pairs, texts), "links")
         tested = tested.unionByName(pairs)
         if more.isEmpty():
             idle += 1
-            continue
-        idle, links = 0, links.unionByName(more)
-        labels = components(links)
+        else:
+            idle, links = 0, links.unionByName(more)
+            labels = components(links)
+        if n_leaders >= largest:
+            break
 
     # copies of a text, then texts of a class
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
