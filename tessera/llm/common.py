@@ -43,7 +43,7 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage is cut and a lost executor loses nothing."""
     path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,9 @@ for each capture.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
 
@@ -49,7 +51,8 @@ def _header(name: str, value: F.Column) -> F.Column:
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", uri: str = "url", payload: str = "html",
                    date: str = "2024-01-01T00:00:00Z", least_revisit: int = 0) -> None:
-    """Writes the records of all pages below ``path``, through Spark's writer.
+    """Writes the records of all pages below ``path``, through Spark's writer,
+    as gzipped archives of about ``FILE_BYTES`` before compression.
 
     The payload is the column's UTF-8 (null: empty). Of pages with equal
     payloads of at least ``least_revisit`` bytes the one with the largest id
@@ -94,49 +97,65 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", uri: s
     records = rows.select(F.explode(F.array(request, F.when(again, revisit).otherwise(response), metadata)).alias("value"))
     size = rows.agg(F.coalesce(F.avg(F.when(again, 0).otherwise(F.col("n"))), F.lit(0.0))).first()[0]
     # the writer ends each line, that is each record, with the two line ends of the standard
-    (records.write.option("lineSep", CRLF + CRLF)
+    (records.write.option("lineSep", CRLF + CRLF).option("compression", "gzip")
      .option("maxRecordsPerFile", max(3, int(3 * FILE_BYTES / (size + 1200)))).text(path))
 
 
 _RECORD = ("file string, record_id string, type string, uri string, concurrent_to string, refers_to string, "
-           "payload_digest string, headers map<string,string>, block binary")
+           "payload_digest string, payload_bytes long, headers map<string,string>, block binary")
 
 
 def parse_records(data: bytes, file: str = "") -> Iterator[dict]:
-    """Records of an archive, by their declared lengths."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            if not data[at:].strip():
-                return
-            raise ValueError(f"no WARC record at byte {at} of {file}")
-        lines = data[at:end].decode("utf-8", "replace").split(CRLF)[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+    """Records of an archive, plain or gzipped (in one member or many), by
+    their declared lengths."""
+    stream = gzip.GzipFile(fileobj=io.BytesIO(data)) if data.startswith(b"\x1f\x8b") else io.BytesIO(data)
+    while line := stream.readline():
+        if not line.strip():
+            continue                                     # the line ends between records
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record where one should begin in {file}: {line[:40]!r}")
+        headers = {}
+        while (line := stream.readline()).strip():
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            headers[name.strip().lower()] = value.strip()
         size = int(headers["content-length"])
-        block = data[end + 4:end + 4 + size]
+        block = stream.read(size)
         if len(block) < size:
-            raise ValueError(f"a record is cut off at byte {at} of {file}")
+            raise ValueError(f"a record is cut off in {file}")
         yield {"file": file, "record_id": headers.get("warc-record-id"), "type": headers.get("warc-type"),
                "uri": headers.get("warc-target-uri"), "concurrent_to": headers.get("warc-concurrent-to"),
                "refers_to": headers.get("warc-refers-to"), "payload_digest": headers.get("warc-payload-digest"),
-               "headers": headers, "block": block}
-        at = end + 4 + size
-        while data.startswith(b"\r\n", at):
-            at += 2
-
-
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each record of all archives (uncompressed) below ``path``.
-    A task holds one file at a time."""
+               "payload_bytes": None, "headers": headers, "block": block}
+
+
+def _checked(record: dict, keep: bool) -> dict:
+    """A response with its payload's length, its SHA-1 verified if it has one;
+    without the payload unless it is to be kept."""
+    if record["type"] != "response":
+        return record
+    head, split, payload = record["block"].partition(b"\r\n\r\n")
+    if not split:
+        head, payload = b"", record["block"]
+    stated = record["payload_digest"]
+    if stated and stated.startswith("sha1:") and stated[5:] != base64.b32encode(hashlib.sha1(payload).digest()).decode():
+        raise ValueError(f"a payload does not have its digest {stated} in {record['file']}")
+    return record | {"payload_bytes": len(payload)} | ({} if keep else {"block": head + split})
+
+
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """One row for each record of all archives below ``path``; responses are
+    verified against their digests. Without ``payloads`` a response's block is
+    cut behind its HTTP header. A task holds one file as it lies on disk, and
+    the records of a few MB."""
     schema = pa.schema([(n, pa.string()) for n in ("file", "record_id", "type", "uri", "concurrent_to", "refers_to", "payload_digest")]
-                       + [("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary())])
+                       + [("payload_bytes", pa.int64()), ("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for file, data in zip(batch.column("path"), batch.column("content")):
                 held, size = [], 0
                 for r in parse_records(data.as_py(), file.as_py()):
+                    r = _checked(r, payloads)
                     held.append(r | {"headers": list(r["headers"].items())})
                     size += len(r["block"])
                     if size > 4 << 20 or len(held) >= 5000:
@@ -151,15 +170,15 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row for each capture, that is each response or revisit:
-    record_id, type, uri, refers_to, payload_digest, http (header), payload
-    (null for a revisit), requests and metadata (lists of records that name
+    record_id, type, uri, refers_to, payload_digest, payload_bytes, http
+    (header), payload (null for a revisit), requests and metadata (lists of records that name
     it as concurrent, empty if none does). Records concurrent to no capture
     are left out."""
     split = F.expr("position(X'0D0A0D0A' in block)")
     http = F.when(split > 0, F.expr("substring(block, 1, position(X'0D0A0D0A' in block) - 1)").cast("string"))
     body = F.expr("substring(block, position(X'0D0A0D0A' in block) + 4)")
     main = records.filter("type in ('response', 'revisit')").select(
-        "record_id", "type", "uri", "refers_to", "payload_digest", http.alias("http"),
+        "record_id", "type", "uri", "refers_to", "payload_digest", "payload_bytes", http.alias("http"),
         F.when(F.col("type") == "response", F.when(split > 0, body).otherwise(F.col("block"))).alias("payload"))
     side = records.filter("type in ('request', 'metadata') and concurrent_to is not null").groupBy("concurrent_to").agg(
         *(F.collect_list(F.when(F.col("type") == kind, F.struct("record_id", F.col("block").cast("string").alias("block")))).alias(name)
@@ -169,30 +188,16 @@ def assemble(records: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.coalesce(F.col(c), F.expr(none)) for c in ("requests", "metadata")})
 
 
-def _digest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
-        own = [None if p is None else "sha1:" + base64.b32encode(hashlib.sha1(p).digest()).decode()
-               for p in batch.column("payload").to_pylist()]
-        for a, b in zip(own, batch.column("payload_digest").to_pylist()):
-            if a is not None and b is not None and a != b:
-                raise ValueError(f"a payload does not have its digest {b}")
-        sizes = pa.array([None if p is None else len(p) for p in batch.column("payload").to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("record_id", "type", "refers_to", "payload_digest", "page_id", "stated")), sizes],
-            ["record_id", "type", "refers_to", "payload_digest", "page_id", "stated", "payload_bytes"])
-
-
 def captures(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of
     each capture in the archives. Digests of responses are verified; a
     revisit's length is the one its metadata record states."""
     field = lambda name: F.regexp_extract(F.concat_ws(CRLF, "metadata.block"), rf"(?:^|\n){name}: (-?\d+)", 1)
-    rows = assemble(read_records(spark, path)).select(
-        "record_id", "type", "refers_to", "payload_digest", "payload",
+    # payloads are checked where they are read: only the small rest is joined
+    rows = materialise(assemble(read_records(spark, path, payloads=False)).select(
+        "record_id", "type", "refers_to", "payload_digest", "payload_bytes",
         F.nullif(field("page-id"), F.lit("")).cast("long").alias("page_id"),
-        F.nullif(field("payload-length"), F.lit("")).cast("long").alias("stated"))
-    rows = materialise(rows.mapInArrow(
-        _digest, "record_id string, type string, refers_to string, payload_digest string, page_id long, stated long, payload_bytes long"), "captures")
+        F.nullif(field("payload-length"), F.lit("")).cast("long").alias("stated")), "captures")
     first = rows.filter("type = 'response'").select("record_id", F.col("page_id").alias("target"))
     again = rows.filter("type = 'revisit'")
     copies = again.groupBy(F.col("refers_to").alias("record_id")).agg(F.count("*").alias("copies"))

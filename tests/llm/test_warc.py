@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 
 import pytest
@@ -66,7 +67,12 @@ def test_parser():
     record = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
     got = list(op.parse_records(record * 3))
     assert len(got) == 3 and all(r["block"] == block and r["record_id"] == "<urn:x>" for r in got)
+    zipped = gzip.compress(record) + gzip.compress(record * 2)
+    assert [r["block"] for r in op.parse_records(zipped)] == [block] * 3
     with pytest.raises(ValueError):
         list(op.parse_records(record[:-10]))
     with pytest.raises(ValueError):
         list(op.parse_records(b"junk" + record))
+    with pytest.raises(ValueError):
+        op._checked(got[0] | {"payload_digest": "sha1:WRONG"}, True)
+    assert op._checked(got[0], False)["block"] == b"HTTP/1.1 200 OK\r\n\r\n" and op._checked(got[0], False)["payload_bytes"] == 2
