@@ -154,9 +154,10 @@ def train(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                        .join(F.broadcast(sample), "id").select("raw", "toxic"), "labelled")
     n_toxic, n = docs.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
     share = F.abs(F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n - n_toxic + 1)))
-    lexicon = (docs.mapInArrow(_document_counts, "feature string, t long, c long").groupBy("feature")
+    # written first: only the chosen rows come to the driver
+    lexicon = materialise(docs.mapInArrow(_document_counts, "feature string, t long, c long").groupBy("feature")
                .agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") + F.col("c") >= LEAST_DOCS)
-               .orderBy(F.desc(share * F.sqrt(F.least(F.col("t") + F.col("c"), F.lit(100)))), "feature").limit(LEXICON).collect())
+               .orderBy(F.desc(share * F.sqrt(F.least(F.col("t") + F.col("c"), F.lit(100)))), "feature").limit(LEXICON), "lexicon").orderBy("feature").collect()
     tagger = Tagger([(r.feature, r.t, r.c) for r in lexicon], n_toxic, n - n_toxic)
     if not n_toxic or n_toxic == n:
         tagger.score = np.array([-6.0 if not n_toxic else 6.0, 0.0, 0.0])
