@@ -13,7 +13,8 @@ shingles plus about k ln k darts.
 
 Signatures are banded; documents that share a band are compared with the
 band's leader by their exact weighted similarity, and similar ones form
-classes (connected components).
+classes (connected components). Where several classes meet in a band, their
+documents are joined on their rarest shingles, which misses no similar pair.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ BANDS, ROWS = 20, 4              # a pair at 0.8 shares no band with probability
 K = BANDS * ROWS
 MEMO = 200_000                   # texts a task remembers having sent (saves work only)
 SALT_ROWS = 500                  # pairs with one leader that are compared together, about
+SLOTS = 1 << 22                  # counters of element frequencies: an order to search by, no result depends on it
+PART = 1 << 16                   # counters that travel in one row
+SIDE = 2000                      # texts of an element that meet as many others in one task, about
 
 _U = np.uint64
 
@@ -227,6 +231,89 @@ def _mixed_pairs(mixed: DataFrame, order: F.Column, n_leaders: int) -> DataFrame
         "x.a", "x.b", F.col("y.a").alias("la"), F.col("y.b").alias("lb")).distinct()
 
 
+def _frequencies(texts: DataFrame) -> np.ndarray:
+    """How many texts have elements of each of SLOTS hash slots."""
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.uint32)
+        for batch in it:
+            for x in batch.column("shingles"):
+                np.add.at(total, unpack(x.as_py()) % SLOTS, 1)
+        rows = [(p, zstandard.ZstdCompressor(1).compress(own.tobytes())) for p, own in enumerate(total.reshape(-1, PART)) if own.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([d for _, d in rows], pa.binary())],
+                                         ["part", "data"])
+
+    def add(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in it:
+            for p, d in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+                own = np.frombuffer(zstandard.ZstdDecompressor().decompress(d), np.uint32)
+                total[p] = total[p] + own if p in total else own.astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+                                         ["part", "data"])
+
+    out = np.zeros((SLOTS // PART, PART), np.uint64)
+    # the sums have a fixed size
+    for r in (texts.select("shingles").mapInArrow(count, "part int, data binary")
+              .repartition(SLOTS // PART, "part").mapInArrow(add, "part int, data binary").collect()):
+        out[r.part] = np.frombuffer(r.data, np.uint64)
+    return out.ravel()
+
+
+def _prefix_pairs(texts: DataFrame) -> DataFrame:
+    """Pairs of texts (a, b, shingles) of different classes (ca, cb) among
+    which are all that are similar enough.
+
+    Elements are ordered by frequency, rare ones first. The first common
+    element of two similar texts of x and y elements has at least
+    4/9 (x + y) elements from it on in both, so it is in the first fifth (and
+    one) of the larger text and the first ninth (and one) of the smaller one.
+    Texts that share only frequent elements, too few to be similar, have
+    none there and do not meet. An element's texts meet in blocks of SIDE x SIDE."""
+    shared = texts.sparkSession.sparkContext.broadcast(_frequencies(texts))
+
+    def prefixes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency = shared.value
+        for batch in it:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                row, element, place, size = [], [], [], []
+                for i, x in enumerate(part.column("shingles")):
+                    own = unpack(x.as_py())
+                    times = frequency[own % SLOTS]
+                    n = len(own)
+                    first = np.lexsort((own, times))[:n - -(-4 * n // 5) + 1]
+                    # an element that no other text has pairs nothing
+                    keep = np.flatnonzero(times[first] > 1)
+                    row.append(np.full(len(keep), i))
+                    element.append(own[first[keep]].view(np.int32))
+                    place.append(keep)
+                    size.append(np.full(len(keep), n))
+                own = part.select(["a", "b", "ca", "cb"]).take(pa.array(np.concatenate(row)))
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(np.concatenate(element)), pa.array(np.concatenate(place), pa.int32()),
+                     pa.array(np.concatenate(size), pa.int32())], ["a", "b", "ca", "cb", "element", "place", "n"])
+
+    rows = materialise(texts.select("a", "b", "ca", "cb", "shingles").mapInArrow(
+        prefixes, "a long, b long, ca long, cb long, element int, place int, n int")
+        .withColumn("small", F.expr("9L * (n - place) >= 8L * n")), "prefixes")
+    label = F.struct("ca", "cb")
+    groups = rows.groupBy("element").agg(F.count("*").alias("n_large"), F.sum(F.col("small").cast("long")).alias("n_small"),
+                                         F.min(label).alias("x"), F.max(label).alias("y"))
+    groups = materialise(groups.filter("n_small > 0 and x != y").select(
+        "element", "n_large", F.ceil(F.col("n_large") / SIDE).alias("k_large"), F.ceil(F.col("n_small") / SIDE).alias("k_small")), "elements")
+    rows = join_with_hot(rows, groups, ["element"], "n_large").filter("n_large is not null")
+    deal = lambda k: F.pmod(F.xxhash64("a", "b"), F.col(k))
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
+    large = rows.withColumn("p", deal("k_large")).withColumn("q", every("k_small")).drop("small", "n_large", "k_large", "k_small")
+    small = rows.filter("small").withColumn("q", deal("k_small")).withColumn("p", every("k_large")).select(
+        "element", "p", "q", F.col("a").alias("la"), F.col("b").alias("lb"), F.col("ca").alias("lca"), F.col("cb").alias("lcb"),
+        F.col("place").alias("lplace"), F.col("n").alias("ln"))
+    met = large.join(small, ["element", "p", "q"]).filter(
+        "(ca != lca or cb != lcb) and struct(ln, la, lb) < struct(n, a, b)"
+        " and 9L * least(n - place, ln - lplace) >= 4L * (n + ln)")
+    return met.select("a", "b", "la", "lb").distinct()
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``df``: doc_id, class_id, class_size, kept, n_shingles.
 
@@ -242,12 +329,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     Copies are collapsed first. Each text of a band's bucket is compared with
     the bucket's smallest one. As it may be similar to others but not to that
-    one, rounds with more leaders follow for the buckets in which several
-    classes meet: 16 (those with the most links), then 256, 4096 and so on (those with
-    the lowest hashes). They end when the leaders are all texts of
-    all such buckets, or after two rounds in a row that link nothing new. A
-    text makes at most one pair with each leader. All pairs are checked on the
-    exact shingle counts.
+    one, all texts of buckets in which several classes meet are joined on
+    their rarest shingles (``_prefix_pairs``), which finds every similar pair
+    among them. All pairs are checked on the exact shingle counts.
     """
     source = df.select(F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
     docs = materialise(source.mapInArrow(
@@ -260,33 +344,17 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     texts = materialise(sent.select("a", "b", "shingles", "bands").join(nodes, ["a", "b"], "left_semi")
                         .dropDuplicates(["a", "b"]), "candidates")
     links = materialise(_similar(pairs, texts), "links")
-    tested, labels, idle, n_leaders = pairs, components(links), 0, 1
-    n_rows = texts.count() * BANDS
-    while idle < 2:
-        n_leaders *= 16
-        degree = (links.select("a", "b").union(links.select("la", "lb")).groupBy("a", "b")
-                  .agg((-F.count("*")).alias("few")))
-        known = texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").join(degree, ["a", "b"], "left").select(
-            "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"),
-            F.coalesce("few", F.lit(0)).alias("few"), F.explode("bands").alias("key"))
-        sizes = known.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("ca", "cb")).alias("x"),
-                                         F.max(F.struct("ca", "cb")).alias("y")).filter("x != y").select("key", "n")
-        mixed = materialise(join_with_hot(known, sizes, ["key"], "n", n=n_rows).filter("n is not null"), "mixed")
-        largest = mixed.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-        if not largest:
-            break
-        order = F.col("few") if n_leaders == 16 else F.xxhash64("a", "b", F.lit(n_leaders))
-        pairs = materialise(_mixed_pairs(mixed, order, n_leaders)
-                            .join(tested, ["a", "b", "la", "lb"], "left_anti"), "pairs")
-        more = materialise(_similar(pairs, texts), "links")
-        tested = tested.unionByName(pairs)
-        if more.isEmpty():
-            idle += 1
-        else:
-            idle, links = 0, links.unionByName(more)
-            labels = components(links)
-        if n_leaders >= largest:
-            break
+    labels = components(links)
+    known = texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").select(
+        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), F.explode("bands").alias("key"))
+    sizes = known.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("ca", "cb")).alias("x"),
+                                     F.max(F.struct("ca", "cb")).alias("y")).filter("x != y").select("key", "n")
+    met = join_with_hot(known, sizes, ["key"], "n", n=texts.count() * BANDS).filter("n is not null")
+    mixed = materialise(texts.select("a", "b", "shingles").join(met.select("a", "b", "ca", "cb").distinct(), ["a", "b"]), "mixed")
+    pairs = materialise(_prefix_pairs(mixed), "pairs")
+    more = materialise(_similar(pairs, texts), "links")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
 
     # copies of a text, then texts of a class
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")

@@ -98,6 +98,38 @@ def test_star_and_chain_families(spark):
     check(op.near_duplicates(df), rows)
 
 
+def test_pairs_hidden_in_a_boilerplate_bucket(spark):
+    """Documents with 86-87% of one template's shingles, mutually below 0.8,
+    and few pairs above it that meet in buckets of several hundred texts."""
+    rnd = random.Random(5)
+    template = [f"t{i}" for i in range(200)]
+    rows = []
+    for i in range(900):
+        rows.append((i, " ".join([*template, *(f"u{i}_{k}" for k in range(30 + i % 3))])))
+    for i in range(0, 60, 2):
+        # shares the template and part of the own words with document i
+        own = rows[i][1].split()
+        rows.append((1000 + i, " ".join(own[:222] + [f"v{i}_{k}" for k in range(8)])))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame([Row(doc_id=i, text=t) for i, t in rows], "doc_id long, text string").repartition(4)
+    expected = brute(rows)
+    assert sum(size == 2 for _, _, size in expected) == 60 and max(size for _, _, size in expected) == 2
+    check(op.near_duplicates(df), rows)
+
+
+def test_prefix_pairs_do_not_meet_on_boilerplate(spark):
+    """Dissimilar texts of one template make no pairs, the similar ones all."""
+    rng = np.random.default_rng(6)
+    common = rng.integers(0, 2 ** 32, 860, dtype=np.uint64).astype(np.uint32)
+    bags = [np.unique(np.concatenate((common, rng.integers(0, 2 ** 32, 140, dtype=np.uint64).astype(np.uint32)))) for _ in range(400)]
+    bags += [np.unique(np.concatenate((x[:-40], rng.integers(0, 2 ** 32, 40, dtype=np.uint64).astype(np.uint32)))) for x in bags[:20]]
+    rows = [(i, 0, i, 0, op.pack(x)) for i, x in enumerate(bags)]
+    df = spark.createDataFrame(rows, "a long, b long, ca long, cb long, shingles binary").repartition(4)
+    got = {tuple(sorted((r.a, r.la))) for r in op._prefix_pairs(df).collect()}
+    similar = {(i, j) for j in range(len(bags)) for i in range(j) if op.similarity(bags[i], bags[j]) >= op.SIMILARITY}
+    assert len(similar) == 20 and similar <= got and len(got) < 1000
+
+
 def test_edge_cases(spark):
     words = [f"w{i}" for i in range(80)]
     near = " ".join([*words[:40], "edit", *words[40:]])
