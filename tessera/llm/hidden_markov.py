@@ -1,7 +1,9 @@
 """Operator 5: a hidden Markov language model.
 
-Latent states emit word classes: each frequent word is a class, all other
-words (rare and unknown ones) share one, as does the end of a text. Within
+Latent states emit word classes: each word of LEAST_COUNT occurrences is a
+class, all other words (rare and unknown ones) share one, the end of a text is
+one. The most frequent classes are numbered and broadcast; the emissions of
+the others stay in a Spark table, which is joined to the texts in each pass. Within
 the shared class a word has its add-one probability among the rare words,
 which does not depend on the state; so it leaves the recursion and is summed
 by a join. Training is Baum-Welch: each pass collects expected counts in the
@@ -11,6 +13,7 @@ whole text, which gives its exact probability under the model.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,18 +23,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import chains
-from .common import batches, binary_column, materialise, text_bytes
+from .common import batches, binary_column, join_with_hot, materialise, text_bytes
 
 STATES = 8
 PASSES = 4
-CLASSES = 60_000            # frequent words at most: bounds what is broadcast
-LEAST_COUNT = 4             # of a frequent word
-LONGEST_CLASS = 64          # bytes of a frequent word
+CLASSES = 60_000            # words whose emissions are broadcast, at most; those of others are joined
+LEAST_COUNT = 4             # of a word with emissions of its own
+LONGEST_CLASS = 64          # bytes of a word that is broadcast
 PRIOR = 2000.0              # pseudo-tokens a state's emissions take from the corpus
 RARE, END = 0, 1
 MAX_COUNTED = 300_000       # words a task counts before it sends them on
 HELD_TOKENS = 3_000_000     # tokens a task works on together
-PART = 4096                 # classes whose counts travel in one row
+WEIGHTS = [f"x{s}" for s in range(STATES)]
 
 
 def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,39 +56,98 @@ def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield send()
 
 
+def _pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        weights = np.stack([batch.column(x).to_numpy() for x in WEIGHTS], axis=1).astype("<f4")
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("c"), pa.array([x.tobytes() for x in weights], pa.binary())],
+                                         ["id", "c", "weights"])
+
+
 class Model:
     """Start, transition and emission probabilities (classes × states)."""
 
-    def __init__(self, words: list[bytes], counts: list[int], ends: int, n: int, v: int, seed: int = 11):
+    def __init__(self, words: list[bytes], counts: list[int], ends: int, n: int, v: int, seed: int = 11,
+                 tail_n: int = 0, tail_v: int = 0):
         self.number = {w: i + 2 for i, w in enumerate(words)}
         self.logs = np.zeros(len(words) + 2)                 # log10(c + 1) of each class
         self.logs[2:] = np.log10(np.array(counts, float) + 1)
         self.logs[END] = np.log10(ends + 1)
         self.ends, self.n, self.v = ends, n, v
-        self.rare_n = n - ends - sum(counts)
-        self.rare_v = v - len(words) - (ends > 0)
+        self.rare_n = n - ends - sum(counts) - tail_n
+        self.rare_v = v - len(words) - (ends > 0) - tail_v
         base = np.concatenate(([self.rare_n + 1.0, ends + 1.0], counts))
-        self.base = base / base.sum()
+        self.unit = base.sum() + tail_n
+        self.base = base / self.unit
         rng = np.random.default_rng(seed)
         self.emit = self.base[:, None] * np.exp(rng.normal(size=(len(base), STATES)))
-        self.emit /= self.emit.sum(axis=0)
+        self.total = self.emit.sum(axis=0)                   # of all weights of a state; emissions are weight / total
+        self.emit /= self.total
+        self.tail = self.uses = None
         self.start = np.full(STATES, 1 / STATES)
         self.step = np.full((STATES, STATES), 0.1 / (STATES - 1))
         np.fill_diagonal(self.step, 0.9)
 
-    def update(self, start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> None:
-        """Probabilities from expected counts; emissions shrink towards the corpus."""
+    def attach(self, words: DataFrame, uses: DataFrame) -> None:
+        """Words (word, id, c) that are not broadcast, and their places in
+        texts: uses (row, place, id)."""
+        even = lambda *x: (F.shiftrightunsigned(F.xxhash64("word", *map(F.lit, x)), 11) + 1) * 2.0 ** -53
+        normal = lambda s: F.sqrt(-2 * F.ln(even(s, 0))) * F.cos(even(s, 1) * (2 * np.pi))
+        self.tail = materialise(words.select("id", "c", *((F.col("c") / float(self.unit) * F.exp(normal(s))).alias(x)
+                                                          for s, x in enumerate(WEIGHTS))), "emissions")
+        self.uses = uses
+        total = self.total + np.array(self.tail.agg(*(F.sum(x) for x in WEIGHTS)).first(), float)
+        self.emit *= self.total / total
+        self.total = total
+
+    def placed(self, encoded: DataFrame) -> DataFrame:
+        """Encoded texts with the weights of their words that are not broadcast."""
+        if self.tail is None:
+            return encoded
+        tail = self.tail.mapInArrow(_pack, "id long, c long, weights binary")
+        own = join_with_hot(self.uses, tail, ["id"], "c", n=self.n)
+        own = own.groupBy("row").agg(F.collect_list(F.struct("place", "id", "weights")).alias("tail"))
+        return encoded.join(own, "row", "left")
+
+    def update(self, start: np.ndarray, step: np.ndarray, emit: np.ndarray, total: np.ndarray | None = None,
+               tail: DataFrame | None = None) -> None:
+        """Probabilities from expected counts; emissions shrink towards the
+        corpus. ``total``: expected tokens of each state, ``tail``: (id and
+        WEIGHTS) expected counts of words that are not broadcast."""
         self.start = (start + 1) / (start + 1).sum()
         self.step = (step + 1) / (step + 1).sum(axis=1, keepdims=True)
         emit = emit + PRIOR * self.base[:, None]
-        self.emit = emit / emit.sum(axis=0)
-
-
-def _held(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
-    """Encoded texts in portions: table, class numbers, and where each text's begin."""
+        self.total = emit.sum(axis=0) if total is None else total + PRIOR
+        self.emit = emit / self.total
+        if tail is not None:
+            # a word without rows keeps the prior
+            sums = tail.select("id", *(F.col(x).alias(f"new_{x}") for x in WEIGHTS))
+            self.tail = materialise(self.tail.select("id", "c").join(sums, "id", "left").select(
+                "id", "c", *((F.coalesce(f"new_{x}", F.lit(0.0)) + PRIOR / float(self.unit) * F.col("c")).alias(x) for x in WEIGHTS)), "emissions")
+
+
+def _held(it: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Encoded texts in portions: table, class numbers, where each text's
+    begin; ids and weights of the words numbered from ``size`` on."""
     for table in batches(it, 2 * HELD_TOKENS, "classes"):
         raw, off = binary_column(table["classes"])
-        yield table, np.frombuffer(raw.tobytes(), "<u2"), off // 2
+        classes, off = np.frombuffer(raw.tobytes(), "<u2"), off // 2
+        ids, weights = np.zeros(0, np.int64), np.zeros((0, STATES))
+        if "tail" in table.column_names:
+            lists = table["tail"].combine_chunks()
+            count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            uses = lists.flatten()
+            ids = uses.field("id").to_numpy()
+            weights = np.frombuffer(binary_column(uses.field("weights"))[0].tobytes(), "<f4").reshape(-1, STATES).astype(float)
+            # the words of a text that are not broadcast, by place: their number or RARE
+            n = table["n_other"].to_numpy()
+            first = np.cumsum(n) - n
+            numbers = np.full(int(n.sum()), RARE, np.int64)
+            numbers[np.repeat(first, count) + uses.field("place").to_numpy()] = size + np.arange(len(ids))
+            places, ends = binary_column(table["places"])
+            own = np.frombuffer(places.tobytes(), "<i4") + np.repeat(first, np.diff(ends) // 4)
+            classes = classes.astype(np.int64)
+            classes[classes == RARE] = numbers[own]
+        yield table, classes, off, ids, weights
 
 
 def train(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
@@ -93,13 +155,17 @@ def train(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
     spark = encoded.sparkSession
     size = len(model.base)
     for _ in range(passes):
-        shared = spark.sparkContext.broadcast((model.start, model.step, model.emit))
+        shared = spark.sparkContext.broadcast((model.start, model.step, model.emit, model.total))
+        columns = ["id", *WEIGHTS]
 
         def expect(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            start, step, emit = shared.value
+            start, step, known, total = shared.value
             starts, steps, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, size))
-            for _, classes, off in _held(it):
+            tokens = np.zeros(STATES)
+            for _, classes, off, ids, weights in _held(it, size):
                 count = np.diff(off)
+                emit = np.concatenate((known, weights / total))
+                own = np.zeros((STATES, len(emit)))
                 for group in chains.groups(count):
                     lay = chains.Layout(off[:-1][group], count[group])
                     seen = classes[lay.source]
@@ -109,31 +175,35 @@ def train(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
                     steps += chains.pairs(alpha, beta, step, fit, scale, lay)
                     alpha *= beta
                     starts += alpha[:lay.begin[1]].sum(axis=0)
+                    tokens += alpha.sum(axis=0)
                     for s in range(STATES):
-                        emits[s] += np.bincount(seen, alpha[:, s], size)
-            parts = [(-1, np.concatenate((starts, steps.ravel())).tobytes())]
-            parts += [(a // PART, np.ascontiguousarray(emits[:, a:a + PART].T, np.float32).tobytes()) for a in range(0, size, PART)]
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([d for _, d in parts], pa.binary())],
-                                             ["part", "data"])
-
-        def add(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total: dict[int, np.ndarray] = {}
-            for batch in it:
-                for p, d in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
-                    own = np.frombuffer(d, np.float64 if p < 0 else np.float32)
-                    total[p] = total[p] + own if p in total else own.astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
-                                             ["part", "data"])
-
-        # the sums have the size of the model, which is bounded
-        sums = (encoded.select("classes").mapInArrow(expect, "part int, data binary")
-                .repartition(max(1, size // PART), "part").mapInArrow(add, "part int, data binary").collect())
-        found = {r.part: np.frombuffer(r.data) for r in sums}
+                        own[s] += np.bincount(seen, alpha[:, s], len(emit))
+                emits += own[:, :size]
+                if len(ids):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(x) for x in own[:, size:])], columns)
+            # what is broadcast has ids below 0: classes, then start, step and tokens
+            seen = np.append(np.flatnonzero(emits.any(axis=0)), size + np.arange(STATES + 2))
+            sums = np.concatenate((emits.T, starts[None], steps, tokens[None]))[seen]
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - seen), *(pa.array(x) for x in np.ascontiguousarray(sums.T))], columns)
+
+        wanted = ["classes"] + ["n_other", "places", "tail"] * (model.tail is not None)
+        counts = model.placed(encoded).select(*wanted).mapInArrow(expect, "id long, " + ", ".join(f"{x} double" for x in WEIGHTS))
+        counts = counts.groupBy("id").agg(*(F.sum(x).alias(x) for x in WEIGHTS))
+        if model.tail is not None:
+            counts = materialise(counts, "expected")
+        # these rows have the size of what is broadcast, which is bounded
+        known = counts.filter("id < 0").toArrow()
+        found = np.zeros((size + STATES + 2, STATES))
+        found[-1 - known["id"].to_numpy()] = np.stack([known[x].to_numpy() for x in WEIGHTS], axis=1)
         shared.destroy()
-        if -1 not in found:
+        if not known.num_rows:
             break
-        emit = np.concatenate([found[p].reshape(-1, STATES) for p in sorted(found) if p >= 0])
-        model.update(found[-1][:STATES], found[-1][STATES:].reshape(STATES, STATES), emit)
+        model.update(found[size], found[size + 1:-1], found[:size], found[-1],
+                     None if model.tail is None else counts.filter("id >= 0"))
+        # the shuffles of a finished pass are removed when the driver drops its plans
+        del counts
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return model
 
 
@@ -161,18 +231,21 @@ def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_i
     rows count, and are scored, each. With nothing to learn from all
     probabilities are those of the prior. Other columns play no part.
 
-    All counts are over all training texts. The model's size is bounded
-    (CLASSES × STATES) and broadcast; counts of other words are joined, and
-    none of them is a hot key among the training words, as hot words are classes.
+    All counts are over all training texts, and every word of LEAST_COUNT
+    occurrences has emissions. Those of the CLASSES most frequent words are
+    broadcast; emissions and counts of all others are joined.
     """
     spark = df.sparkSession
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("raw")).withColumn("held_out", held_out)
     learn = source.filter("not held_out")
-    counts = materialise(learn.select("raw").mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
+    counts = materialise(learn.select("raw").mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+                         .withColumn("id", F.monotonically_increasing_id()), "words")
     ends = learn.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = frequent_words(counts, CLASSES).orderBy("word").collect()
-    model = Model([bytes(r.word) for r in top], [r.c for r in top], ends, total.n + ends, total.v + (ends > 0))
+    modelled = counts.filter(F.col("c") >= LEAST_COUNT).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    model = Model([bytes(r.word) for r in top], [r.c for r in top], ends, total.n + ends, total.v + (ends > 0),
+                  tail_n=modelled.n - sum(r.c for r in top), tail_v=modelled.v - len(top))
     lookup = spark.sparkContext.broadcast((model.number, model.logs))
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,35 +254,47 @@ def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_i
         for table in batches(it, 4 << 20, "raw"):
             buf, off = binary_column(table["raw"])
             data = buf.tobytes().lower()
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for a, b in zip(off[:-1], off[1:]):
                 words = data[a:b].split()
                 own = np.array([get(w, RARE) for w in words] + [END], "<u2")
-                rare = Counter([words[i] for i in np.flatnonzero(own == RARE)])
+                others = [words[i] for i in np.flatnonzero(own == RARE)]
+                rare = Counter(others)
+                place = {w: i for i, w in enumerate(rare)}
                 common = own[own != RARE]
-                for x, y in zip(out, (own.tobytes(), len(common), float(logs[common].sum()), list(rare), list(rare.values()))):
+                for x, y in zip(out, (own.tobytes(), len(common), float(logs[common].sum()), list(rare), list(rare.values()),
+                                      np.array([place[w] for w in others], "<i4").tobytes(), len(rare))):
                     x.append(y)
             yield pa.RecordBatch.from_arrays(
                 [*(table[c].combine_chunks() for c in ("doc_id", "held_out")), pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.float64()), pa.array(out[3], pa.list_(pa.binary())), pa.array(out[4], pa.list_(pa.int32()))],
-                ["doc_id", "held_out", "classes", "n_common", "logs", "rare", "times"])
+                 pa.array(out[2], pa.float64()), pa.array(out[3], pa.list_(pa.binary())), pa.array(out[4], pa.list_(pa.int32())),
+                 pa.array(out[5], pa.binary()), pa.array(out[6], pa.int64())],
+                ["doc_id", "held_out", "classes", "n_common", "logs", "rare", "times", "places", "n_other"])
 
     encoded = materialise(source.mapInArrow(
-        encode, "doc_id long, held_out boolean, classes binary, n_common long, logs double, rare array<binary>, times array<int>")
+        encode, "doc_id long, held_out boolean, classes binary, n_common long, logs double, rare array<binary>, times array<int>, places binary, n_other long")
         .withColumn("row", F.monotonically_increasing_id()), "classes")
+    # words that are not broadcast: their counts, joined by word
+    others = encoded.select("row", F.posexplode(F.arrays_zip("rare", "times")).alias("place", "x")).select(
+        "row", "place", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    others = materialise(join_with_hot(others, counts, ["word"], "c", n=model.n).filter("c is not null").drop("word"), "others")
+    if modelled.v > len(top):
+        words = counts.filter(F.col("c") >= LEAST_COUNT).join(frequent_words(counts, CLASSES).select("id"), "id", "left_anti")
+        model.attach(words, others.filter(F.col("c") >= LEAST_COUNT).select("row", "place", "id"))
     model = train(encoded.filter("not held_out"), model)
-    # rare words: their counts, joined by word and summed by text
-    rare = encoded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
-        "row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    rare = (rare.join(counts, "word").groupBy("row")
-            .agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare_logs"), F.sum("times").alias("n_rare_known")))
+    own_logs = F.col("times") * F.log10(F.col("c") + 1)
+    rare = others.groupBy("row").agg(
+        F.sum(own_logs).alias("other_logs"), F.sum("times").alias("n_other_known"),
+        F.sum(F.when(F.col("c") < LEAST_COUNT, own_logs)).alias("rare_logs"),
+        F.sum(F.when(F.col("c") >= LEAST_COUNT, F.col("times"))).alias("n_tail"))
     known_end = int(ends > 0)
-    shared = spark.sparkContext.broadcast((model.start, model.step, model.emit))
+    shared = spark.sparkContext.broadcast((model.start, model.step, model.emit, model.total))
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, step, emit = shared.value
-        for table, classes, off in _held(it):
+        start, step, known, total = shared.value
+        for table, classes, off, _, weights in _held(it, len(known)):
             count = np.diff(off)
+            emit = np.concatenate((known, weights / total))
             logs = np.zeros(len(count))
             for group in chains.groups(count):
                 lay = chains.Layout(off[:-1][group], count[group])
@@ -218,15 +303,16 @@ def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_i
             kept = table.select(["doc_id", "held_out", "n_common", "logs", "row"])
             yield from kept.append_column("n_tokens", pa.array(count, pa.int64())).append_column("path", pa.array(logs)).to_batches()
 
-    scored = encoded.select("doc_id", "held_out", "classes", "n_common", "logs", "row").mapInArrow(
+    wanted = ["doc_id", "held_out", "classes", "n_common", "logs", "row"] + ["n_other", "places", "tail"] * (model.tail is not None)
+    scored = model.placed(encoded).select(*wanted).mapInArrow(
         score, "doc_id long, held_out boolean, n_common long, logs double, row long, n_tokens long, path double")
-    n_rare = F.col("n_tokens") - F.col("n_common")
+    n_rare = F.col("n_tokens") - F.col("n_common") - F.coalesce("n_tail", F.lit(0))
     rare_logs = F.coalesce("rare_logs", F.lit(0.0))
     return scored.join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("n_common") - (1 - known_end) + F.coalesce("n_rare_known", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("n_common") - (1 - known_end) + F.coalesce("n_other_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("logs") + rare_logs - F.col("n_tokens") * float(np.log10(model.n + model.v + 1))).alias("base_score"),
+        (F.col("logs") + F.coalesce("other_logs", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(model.n + model.v + 1))).alias("base_score"),
         (F.col("path") + rare_logs - n_rare * float(np.log10(model.rare_n + model.rare_v + 1))).alias("score"))
 
 

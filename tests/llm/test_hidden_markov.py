@@ -137,6 +137,39 @@ def test_exact_score(spark, monkeypatch):
         assert got[i].score == pytest.approx(out, rel=1e-9)
 
 
+@pytest.mark.parametrize("most", [0, 6])
+def test_words_beyond_the_broadcast_have_emissions(spark, monkeypatch, most):
+    monkeypatch.setattr(op, "CLASSES", most)
+    models = []
+    train, attach = op.train, op.Model.attach
+    monkeypatch.setattr(op, "train", lambda *a: models.append(train(*a)) or models[-1])
+    monkeypatch.setattr(op.Model, "attach", lambda m, words, uses: setattr(m, "words", words) or attach(m, words, uses))
+    rng = np.random.default_rng(4)
+    long = "y" * 70
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{k}" for k in rng.integers(0, 25, 40)) + f" {long} once{i}") for i in range(80)]
+    df = spark.createDataFrame([Row(doc_id=i, text=t) for i, t in rows]).repartition(3)
+    got = {r.doc_id: r for r in check(op.hidden_markov_scores(df, F.expr(HELD)), rows)}
+    m = models[0]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    c = Counter(w for i, t in rows if not held(i) for w in t.split())
+    tail = sorted(tuple(r) for r in m.tail.select("c", *op.WEIGHTS).collect())
+    assert [r[0] for r in tail] == sorted(x for w, x in c.items() if x >= op.LEAST_COUNT and w.encode() not in m.number)
+    assert np.allclose(m.emit.sum(axis=0) + np.array([r[1:] for r in tail]).sum(axis=0) / m.total, 1, atol=1e-4)
+    # the exact recursion with the emissions of the table
+    name = {r.id: bytes(r.word).decode() for r in m.words.collect()}
+    own = {name[r.id]: np.array([r[x] for x in op.WEIGHTS]) / m.total for r in m.tail.collect()}
+    assert long in own and max((p.max() / p.min() for p in own.values())) > 1.5
+    for i, t in rows[:40]:
+        a, out = None, 0.0
+        for w in [*t.split(), None]:
+            k = 1 if w is None else m.number.get(w.encode(), 0)
+            p = own[w] if w in own else m.emit[k] * ((c[w] + 1) / (m.rare_n + m.rare_v + 1) if k == 0 else 1)
+            a = m.start * p if a is None else (a @ m.step) * p
+            out += math.log10(a.sum())
+            a = a / a.sum()
+        assert got[i].score == pytest.approx(out, rel=1e-6)
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (None, "a b"), (None, "a b"), (4, "word " * 50_000), (5, "Ä b\x0bC"), (6, "x" * 100_000), (8, "unseen a")]
     df = spark.createDataFrame([Row(doc_id=i, text=t, c="x", row=1, word=None) for i, t in rows], "doc_id long, text string, c string, row int, word int")
