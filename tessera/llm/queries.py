@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, exact_dedup, hidden_markov, near_dedup, sentence_pieces, sharding, substring_dedup,
-               token_counts, toxicity, warc)
+from . import (alignment, chat, decontaminate, exact_dedup, hidden_markov, near_dedup, ranked_search, sentence_pieces,
+               sharding, substring_dedup, token_counts, toxicity, warc)
 
 QUERIES = {
     "op1_token_counts": token_counts.q_token_counts,
@@ -16,10 +16,15 @@ QUERIES = {
     "op8_near_dedup": near_dedup.q_near_dedup,
     "op9_warc": warc.q_warc,
     "op10_toxicity": toxicity.q_toxicity,
+    "op11_alignment": alignment.q_alignment,
+    "op12_chat": chat.q_chat,
+    "op13_ranked_search": ranked_search.q_ranked_search,
 }
 
 # DuckDB twins, where SQL can express the result
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.SQL_EXACT_DEDUP,
     "op9_warc": warc.SQL_WARC,
+    "op12_chat": chat.SQL_CHAT,
+    "op13_ranked_search": ranked_search.SQL_RANKED_SEARCH,
 }
