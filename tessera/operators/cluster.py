@@ -70,6 +70,32 @@ def with_cost(spark: SparkSession, model: KMeansModel, df: DataFrame,
             .withColumn("sq_dist", squared_distance("_x", "center")).drop("_x", "center"))
 
 
+def audit(spark: SparkSession, model: KMeansModel, df: DataFrame, features: str = "features",
+          tol: float = 1e-3) -> DataFrame:
+    """Is the model a fixed point of Lloyd's steps on ``df``? One row for each
+    centre: ``cluster, size, nearest`` (no member is closer to another
+    centre), ``shift`` (how far the centre lies from the mean of its members)
+    and ``fixed`` (shift within ``tol`` of the centre's own length, 1 at
+    least). Every row is compared with the k broadcast centres; the mean of a
+    dimension is one sum. Centres without members have size 0."""
+    centers = cluster_centers(spark, model)
+    every = [[float(x) for x in c] for c in model.clusterCenters()]
+    table = spark.createDataFrame([(i, every) for i in range(len(every))], "cluster int, all array<array<double>>")
+    rows = assign(model, df.select(features)).select("cluster", vector_to_array(features).alias("x")).join(F.broadcast(table), "cluster")
+    distance = lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+    own = distance(F.element_at("all", F.col("cluster") + 1))
+    least = F.array_min(F.transform("all", distance))
+    rows = rows.select("cluster", "x", (own <= least * (1 + 1e-9) + 1e-12).alias("near"))
+    near = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min("near").alias("nearest"))
+    mean = rows.select("cluster", F.posexplode("x").alias("j", "v")).groupBy("cluster", "j").agg(F.avg("v").alias("m"))
+    # k x width means against as many coordinates
+    off = centers.select("cluster", F.posexplode("center").alias("j", "c")).join(mean, ["cluster", "j"], "left").groupBy("cluster").agg(
+        F.sqrt(F.sum((F.col("c") - F.col("m")) ** 2)).alias("shift"), F.sqrt(F.sum(F.col("c") ** 2)).alias("length"))
+    return off.join(near, "cluster", "left").select(
+        "cluster", F.coalesce("size", F.lit(0)).alias("size"), F.coalesce("nearest", F.lit(True)).alias("nearest"), "shift",
+        F.coalesce(F.col("shift") <= tol * F.greatest("length", F.lit(1.0)), F.lit(True)).alias("fixed"))
+
+
 def wssse(spark: SparkSession, model: KMeansModel, df: DataFrame,
           features: str = "features", by=()) -> DataFrame:
     """Within-set sum of squared errors of ``df`` (any rows, not only the

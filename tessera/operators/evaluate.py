@@ -12,10 +12,12 @@ one half), computed without a global sort or a single-task window:
    checkpointed to the shared checkpoint folder, so the input (often a
    model's predictions) is computed exactly once and the later branches
    re-read a small table instead of re-running its lineage;
-2. distinct scores are cut into ~``buckets`` ranges at approximate
-   quantiles (one bounded list of split points on the driver);
-3. running negative count inside each (group, range) by a window, plus an
-   offset per (group, range) from a table of (#groups × #ranges) rows.
+2. they are range-partitioned by (group, score) into ``buckets`` ranges of
+   about equal size, whatever the groups' sizes and wherever their scores lie
+   (a group with scores in a narrow band is cut there as finely as any);
+3. running negative count inside each (range, group) by a window, summed up
+   there; the ranges before a group's own add an offset, from a table of at
+   most #groups + #ranges rows.
 
 The float-returning ``evaluate`` wraps Spark's own evaluators.
 """
@@ -24,7 +26,6 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,34 +71,21 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
                   _c(label).cast("double").alias("_y"))
     # only scored, labelled rows can be ranked
     s = s.where(F.col("_s").isNotNull() & F.col("_y").isNotNull())
-    d = (s.groupBy(*by, "_s")
-         .agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1.0) - F.col("_y")).alias("_neg"))
-         .checkpoint(eager=True))
-    probs = [i / nb for i in range(1, nb)]
-    # finer than the ranges, so that their size follows their number
-    qs = d.approxQuantile("_s", probs, 1 / (4 * nb)) if probs else []
-    cuts = sorted({q for q in qs if q == q})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    d = Bucketizer(splits=splits, inputCol="_s", outputCol="_b",
-                   handleInvalid="keep").transform(d)
-    w_in = (Window.partitionBy(*by, "_b").orderBy("_s")
-            .rowsBetween(Window.unboundedPreceding, -1))
-    d = d.withColumn("_below", F.coalesce(F.sum("_neg").over(w_in), F.lit(0.0)))
-    tot = d.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bneg"))
-    w_off = (Window.partitionBy(*by).orderBy("_b")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    off = tot.select(*[F.col(c).alias("_k_" + c) for c in by], F.col("_b").alias("_k_b"),
-                     F.coalesce(F.sum("_bneg").over(w_off), F.lit(0.0)).alias("_off"))
-    # null-safe on the group keys: a NULL group is a group like any other
-    cond = F.col("_b") == F.col("_k_b")
-    for c in by:
-        cond = cond & F.col(c).eqNullSafe(F.col("_k_" + c))
-    j = d.join(off, cond).drop(*["_k_" + c for c in by], "_k_b")
-    num = F.sum(F.col("_pos") * (F.col("_off") + F.col("_below") + F.lit(0.5) * F.col("_neg")))
+    d = s.groupBy(*by, "_s").agg(F.sum("_y").alias("_pos"), F.sum(F.lit(1.0) - F.col("_y")).alias("_neg"))
+    order = [F.col(c) for c in by] + [F.col("_s")]
+    # the range of a row is fixed by the checkpoint: its partition number is not computed again
+    d = d.repartitionByRange(nb, *order).withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
+    below = Window.partitionBy("_p", *by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_below", F.coalesce(F.sum("_neg").over(below), F.lit(0.0)))
+    parts = d.groupBy("_p", *by).agg(
+        F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"),
+        F.sum(F.col("_pos") * (F.col("_below") + F.lit(0.5) * F.col("_neg"))).alias("_inner"))
+    # a group has a row for each range it reaches into
+    earlier = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_off", F.coalesce(F.sum("_neg").over(earlier), F.lit(0.0)))
+    num = F.sum(F.col("_inner") + F.col("_pos") * F.col("_off"))
     den = F.sum("_pos") * F.sum("_neg")
-    return j.groupBy(*by).agg(F.when(den > 0, num / den).alias("auc"))
+    return parts.groupBy(*by).agg(F.when(den > 0, num / den).alias("auc"))
 
 
 def evaluate(predictions: DataFrame, metric: str, label: str = "label",

@@ -46,26 +46,27 @@ def fit_with_summary(estimator, df: DataFrame, report, cols: list[str] | None =
 def tree_classifier(label: str = "indexedLabel", features: str = "indexedFeatures",
                     max_depth: int = 5, max_bins: int = 32, impurity: str = "gini",
                     seed: int = 0, cache_node_ids: bool = False,
-                    checkpoint_interval: int = 10) -> DecisionTreeClassifier:
+                    checkpoint_interval: int = 10, leaf_col: str = "") -> DecisionTreeClassifier:
     """``cache_node_ids`` (with checkpoints every ``checkpoint_interval``
-    levels in the shared checkpoint folder) pays off for deep trees only."""
+    levels in the shared checkpoint folder) pays off for deep trees only.
+    ``leaf_col`` names a column for the number of the leaf a row ends in."""
     if cache_node_ids:
         ensure_checkpoint_dir(SparkSession.active())
     return DecisionTreeClassifier(labelCol=label, featuresCol=features, maxDepth=max_depth,
                                   maxBins=max_bins, impurity=impurity, seed=seed,
-                                  cacheNodeIds=cache_node_ids,
+                                  cacheNodeIds=cache_node_ids, leafCol=leaf_col,
                                   checkpointInterval=checkpoint_interval)
 
 
 def tree_regressor(label: str = "label", features: str = "indexedFeatures",
                    max_depth: int = 5, max_bins: int = 32, seed: int = 0,
                    cache_node_ids: bool = False,
-                   checkpoint_interval: int = 10) -> DecisionTreeRegressor:
+                   checkpoint_interval: int = 10, leaf_col: str = "") -> DecisionTreeRegressor:
     if cache_node_ids:
         ensure_checkpoint_dir(SparkSession.active())
     return DecisionTreeRegressor(labelCol=label, featuresCol=features, maxDepth=max_depth,
                                  maxBins=max_bins, seed=seed, cacheNodeIds=cache_node_ids,
-                                 checkpointInterval=checkpoint_interval)
+                                 leafCol=leaf_col, checkpointInterval=checkpoint_interval)
 
 
 def logistic(label: str = "indexedLabel", features: str = "indexedFeatures",
@@ -155,10 +156,12 @@ def find_stage(model, kind):
 _KV = StructType([StructField("key", StringType()), StructField("value", StringType())])
 
 
-def tree_report(spark: SparkSession, model) -> DataFrame:
+def tree_report(spark: SparkSession, model, feature_names: list[str] | None = None) -> DataFrame:
     """``key, value`` rows: impurity, maxBins, maxDepth, depth, numNodes,
-    numFeatures, debug string — for classification *and* regression trees
-    (taken from a fitted pipeline or the tree itself)."""
+    numFeatures, debug string, one rule for each leaf and the whole tree as a
+    SQL expression — for classification *and* regression trees (taken from a
+    fitted pipeline or the tree itself)."""
+    from . import trees
     tree = find_stage(model, (DecisionTreeClassificationModel, DecisionTreeRegressionModel))
     if tree is None:
         raise ValueError("no decision tree in model")
@@ -167,6 +170,11 @@ def tree_report(spark: SparkSession, model) -> DataFrame:
             ("maxBins", str(tree.getMaxBins())), ("maxDepth", str(tree.getMaxDepth())),
             ("depth", str(tree.depth)), ("numNodes", str(tree.numNodes)),
             ("numFeatures", str(tree.numFeatures)), ("debugString", tree.toDebugString)]
+    nodes = trees.tree_nodes(tree)
+    for leaf, rule, prediction, _, n in trees.rules(nodes, feature_names):
+        rows.append((f"rule {leaf}", f"if {rule} then {prediction!r} ({n} rows)"))
+    slots = [f"`{c}`" for c in feature_names] if feature_names else (lambda i: f"features[{i}]")
+    rows.append(("sql", trees.tree_case(nodes, slots)))
     return spark.createDataFrame(rows, _KV)
 
 

@@ -42,7 +42,7 @@ def cross_validate(estimator, grid: list[dict], evaluator, train: DataFrame, k:
         return cv.fit(rows)
 
 
-_REPORT = StructType([StructField("grid_id", IntegerType()), StructField("params", StringType()),
+REPORT = StructType([StructField("grid_id", IntegerType()), StructField("params", StringType()),
                       StructField("avg_metric", DoubleType()),
                       StructField("std_metric", DoubleType()),
                       StructField("is_best", BooleanType())])
@@ -60,5 +60,5 @@ def cv_report(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
     for i, (m, a, s) in enumerate(zip(maps, avg, std)):
         p = ", ".join(f"{k.name}={v}" for k, v in sorted(m.items(), key=lambda kv: kv[0].name))
         rows.append((i, p, float(a), float(s), i == best))
-    return spark.createDataFrame(rows, _REPORT)
+    return spark.createDataFrame(rows, REPORT)
 

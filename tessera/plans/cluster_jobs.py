@@ -84,6 +84,47 @@ def q_kmeans_embeddings(spark, sf_dir):
     return CL.cluster_sizes(CL.assign(model, d))
 
 
+def q_kmeans_audit(spark, sf_dir):
+    """k = 10 on the 64-d embeddings, run to its fixed point: all members are
+    nearest to their own centre, all centres are the means of their members,
+    and the sizes add up to all rows."""
+    d = _embeddings(spark, sf_dir)
+    model = CL.kmeans(d, 10, max_iter=300, seed=1, tol=1e-9)
+    a = CL.audit(spark, model, d)
+    return a.agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("n"), F.min("nearest").alias("nearest"), F.min("fixed").alias("fixed"))
+
+
+KMEANS_AUDIT_SQL = "SELECT CAST(10 AS BIGINT) AS k, count(*) AS n, TRUE AS nearest, TRUE AS fixed FROM embeddings"
+
+
+def q_kmeans_report_audit(spark, sf_dir):
+    """The clustering report (k = 5) with its parts recomputed from the
+    assigned rows: sizes of the extremes, distance of their centres, the
+    within-cluster error from plain sums."""
+    d = _embeddings(spark, sf_dir)
+    model = CL.kmeans(d, 5, max_iter=300, seed=1, tol=1e-9)
+    sizes = CL.cluster_sizes(CL.assign(model, d))
+    report = CL.center_distances(CL.cluster_extremes(sizes), CL.cluster_centers(spark, model))
+    mean = CL.assign(model, d).select("cluster", F.posexplode(vector_to_array("features")).alias("j", "v")).groupBy("cluster", "j").agg(
+        F.avg("v").alias("m"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"), F.count(F.lit(1)).alias("size"))
+    ends = mean.join(F.broadcast(report.select("largest", "smallest", "distance", "largest_size", "smallest_size")),
+                     F.col("cluster").isin(F.col("largest"), F.col("smallest")))
+    gap = ends.groupBy("j", "distance", "largest_size", "smallest_size").agg(
+        (F.max(F.when(F.col("cluster") == F.col("largest"), F.col("m"))) - F.max(F.when(F.col("cluster") == F.col("smallest"), F.col("m")))).alias("g"),
+        F.max("size").alias("most"), F.min("size").alias("least"))
+    distance = gap.groupBy("distance", "largest_size", "smallest_size").agg(
+        F.sqrt(F.sum(F.col("g") ** 2)).alias("d"), F.max("most").alias("most"), F.min("least").alias("least"))
+    error = mean.agg(F.sum(F.col("q") - F.col("s") * F.col("m")).alias("e")).first()["e"]
+    cost = CL.wssse(spark, model, d).select("wssse", "n").first()
+    return distance.select(
+        F.lit(cost["n"]).cast("long").alias("n"), (F.abs(F.col("d") - F.col("distance")) <= 1e-6 * F.col("d")).alias("distance_ok"),
+        ((F.col("most") == F.col("largest_size")) & (F.col("least") == F.col("smallest_size"))).alias("sizes_ok"),
+        F.lit(bool(abs(error - cost["wssse"]) <= 1e-6 * error)).alias("error_ok"))
+
+
+KMEANS_REPORT_AUDIT_SQL = "SELECT count(*) AS n, TRUE AS distance_ok, TRUE AS sizes_ok, TRUE AS error_ok FROM embeddings"
+
+
 def q_kmeans_report(spark, sf_dir):
     """The clustering-report program on the embeddings: k = 5, 100
     iterations; largest / smallest cluster, their sizes and the distance
@@ -151,9 +192,10 @@ def _als_scored(spark, sf_dir):
 
 
 def q_als_scorable_pairs(spark, sf_dir):
-    """Held-out (user, item, rating) pairs the model can score: pairs with a
-    user or item unseen in training are dropped (cold start)."""
-    _, scored = _als_scored(spark, sf_dir)
+    """Held-out (user, item, rating) pairs a model can score: pairs with a
+    user or item unseen in training are left out (cold start). No fit:
+    ``als_planted`` counts what a fitted model itself scores."""
+    scored = RC.scorable_pairs(*_als_split(spark, sf_dir), "user_id", "item_id")
     return scored.select("user_id", "item_id", F.round("rating", 6).alias("rating"))
 
 
@@ -177,7 +219,7 @@ def q_als_planted(spark, sf_dir):
     must predict the held-out pairs exactly (error 0 at 3 digits)."""
     train, test = (d.withColumn("rating", (1 + F.col("user_id") % 5) * (1 + F.col("item_id") % 7) / 5.0)
                    for d in _als_split(spark, sf_dir))
-    model = RC.als_fit(train, rank=1, max_iter=20, reg=1e-6, seed=ALS_SEED, user="user_id", item="item_id")
+    model = RC.als_fit(train, rank=1, max_iter=20, reg=1e-6, seed=ALS_SEED, user="user_id", item="item_id", nonnegative=True)
     return RC.als_mse(RC.als_score(model, test)).select("n", F.round("mse", 3).alias("mse"))
 
 
@@ -185,10 +227,63 @@ ALS_PLANTED_SQL = f"""
 WITH r AS ({RATINGS_SQL}),
 s AS (SELECT *, {_PAIR} < {S.split_cut(0.7)} AS is_train FROM r),
 tr AS (SELECT * FROM s WHERE is_train), te AS (SELECT * FROM s WHERE NOT is_train)
-SELECT count(*) AS n, 0.0 AS mse FROM te
+SELECT count(*) AS n, CAST(0 AS DOUBLE) AS mse FROM te
 WHERE "user" IN (SELECT "user" FROM tr) AND item IN (SELECT item FROM tr)"""
 
 
+ALS_REG = 0.01
+
+
+def q_als_audit(spark, sf_dir):
+    """The reference setting (rank 10, 10 iterations, λ 0.01) audited: the
+    normal equations of every user and item are rebuilt from the training
+    ratings. All users, the side that is solved last, must be solved; no
+    exact solution may be worse than the returned factors."""
+    train, _ = _als_split(spark, sf_dir)
+    model = RC.als_fit(train, rank=10, max_iter=10, reg=ALS_REG, seed=ALS_SEED, user="user_id", item="item_id")
+    audit = RC.als_audit(model, train, ALS_REG, "user_id", "item_id")
+    return audit.select("side", "n", "known", F.when(F.col("side") == "user", F.col("solved") == F.col("n")).alias("solved"), "bounded")
+
+
+ALS_AUDIT_SQL = f"""
+WITH r AS ({RATINGS_SQL}),
+tr AS (SELECT * FROM r WHERE {_PAIR} < {S.split_cut(0.7)})
+SELECT 'user' AS side, count(DISTINCT "user") AS n, count(DISTINCT "user") AS known, TRUE AS solved,
+       count(DISTINCT "user") AS bounded FROM tr
+UNION ALL SELECT 'item', count(DISTINCT item), count(DISTINCT item), NULL, count(DISTINCT item) FROM tr"""
+
+
+def q_als_normal_equations(spark, sf_dir):
+    """Σ v vᵀ and Σ r v of every user over known partner vectors: here each
+    item's price and size, so that SQL has the same sums."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("id"), F.array(
+        F.lit(1.0), F.col("p_retailprice"), F.col("p_size").cast("double")).alias("features"))
+    eq = RC.normal_equations(ratings(spark, sf_dir), part, 3)
+    return eq.select("id", "n", *(F.round(F.col("a")[k], 4).alias(f"a{k}") for k in range(6)),
+                     *(F.round(F.col("b")[k], 4).alias(f"b{k}") for k in range(3)))
+
+
+_EQ = ["CAST(1 AS DOUBLE)", "p_retailprice", "CAST(p_size AS DOUBLE)"]
+ALS_NORMAL_EQUATIONS_SQL = f"""
+WITH r AS ({RATINGS_SQL})
+SELECT "user" AS id, count(*) AS n,
+       {', '.join(f'round(sum({a} * {b}), 4) AS a{k}' for k, (a, b) in enumerate((_EQ[i], _EQ[j]) for i in range(3) for j in range(i, 3)))},
+       {', '.join(f'round(sum(rating * {a}), 4) AS b{k}' for k, a in enumerate(_EQ))}
+FROM r JOIN part ON item = p_partkey GROUP BY id"""
+
+
+def q_als_factor_map_audit(spark, sf_dir):
+    """The map of the item factors against the factors themselves, by sums
+    that no rotation or sign of the axes changes."""
+    ensure_checkpoint_dir(spark)
+    r = (ratings(spark, sf_dir).withColumnRenamed("user", "user_id")
+         .withColumnRenamed("item", "item_id").checkpoint(eager=True))
+    return RC.map_audit(RC.als_fit(r, seed=ALS_SEED, user="user_id", item="item_id"), "item", 2)
+
+
+ALS_FACTOR_MAP_AUDIT_SQL = "SELECT count(DISTINCT l_partkey) AS n, TRUE AS uncorrelated, TRUE AS top_variance FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
 def q_als_factor_map(spark, sf_dir):
     """PCA-2 map of the item factors of all ratings, item ids kept."""
     ensure_checkpoint_dir(spark)
@@ -205,18 +300,28 @@ QUERIES = {
     "cluster_extremes": q_cluster_extremes,
     "kmeans_embeddings": q_kmeans_embeddings,
     "kmeans_report": q_kmeans_report,
+    "kmeans_audit": q_kmeans_audit,
+    "kmeans_report_audit": q_kmeans_report_audit,
     "reduce_and_cluster": q_reduce_and_cluster,
     "als_scorable_pairs": q_als_scorable_pairs,
     "als_mse": q_als_mse,
     "als_planted": q_als_planted,
     "als_factor_map": q_als_factor_map,
+    "als_audit": q_als_audit,
+    "als_normal_equations": q_als_normal_equations,
+    "als_factor_map_audit": q_als_factor_map_audit,
     "reduce_embeddings": q_reduce_embeddings,
 }
 
 ORACLE = {
     "kmeans_planted": KMEANS_PLANTED_SQL,
     "cluster_extremes": CLUSTER_EXTREMES_SQL,
+    "kmeans_audit": KMEANS_AUDIT_SQL,
+    "kmeans_report_audit": KMEANS_REPORT_AUDIT_SQL,
     "als_scorable_pairs": ALS_SCORABLE_SQL,
     "als_planted": ALS_PLANTED_SQL,
+    "als_audit": ALS_AUDIT_SQL,
+    "als_normal_equations": ALS_NORMAL_EQUATIONS_SQL,
+    "als_factor_map_audit": ALS_FACTOR_MAP_AUDIT_SQL,
     "reduce_and_cluster": REDUCE_AND_CLUSTER_SQL,
 }

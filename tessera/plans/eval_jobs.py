@@ -57,6 +57,17 @@ def q_auc(spark, sf_dir):
     return EV.auc(d, "label", "score").select(F.round("auc", 12).alias("auc"))
 
 
+BAND = "CASE WHEN l_returnflag = 'A' THEN 0.5 + l_extendedprice * 1e-12 ELSE l_extendedprice END"
+
+
+def q_auc_band(spark, sf_dir):
+    """AUC for each return flag, where all scores of one flag lie within a
+    band of 1e-6: ranges follow the rows, not the width of the scores."""
+    d = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", (F.col("l_quantity") > 25).cast("double").alias("label"), F.expr(BAND).alias("score"))
+    return EV.auc(d, "label", "score", by=["l_returnflag"]).select("l_returnflag", F.round("auc", 12).alias("auc"))
+
+
 def _auc_sql(src: str, by: str | None) -> str:
     part = f"PARTITION BY {by} " if by else ""
     sel = f"{by}, " if by else ""
@@ -73,6 +84,7 @@ QUERIES = {
     "accuracy": q_accuracy,
     "auc_by_group": q_auc_by_group,
     "auc": q_auc,
+    "auc_band": q_auc_band,
 }
 
 ORACLE = {
@@ -89,6 +101,8 @@ SELECT l_linestatus, CAST(count(*) AS BIGINT) AS n,
 FROM lineitem GROUP BY l_linestatus""",
     "auc_by_group": _auc_sql("SELECT l_linestatus, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END "
                              "AS label, l_discount AS score FROM lineitem", "l_linestatus"),
+    "auc_band": _auc_sql(f"SELECT l_returnflag, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END AS label, {BAND} AS score "
+                         "FROM lineitem", "l_returnflag"),
     "auc": _auc_sql("SELECT CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS label, "
                     "o_totalprice AS score FROM orders", None),
 }

@@ -168,7 +168,104 @@ SELECT component, round(v, 9) AS explained_variance, round(c, 9) AS cumulative,
        component = (SELECT min(component) FROM t WHERE c >= 0.8) AS is_cutoff FROM t"""
 
 
+# --- blocked transpose ------------------------------------------------------------
+
+TILE = 128
+
+
+def q_transpose_tiles(spark, sf_dir):
+    """Transpose of the embedding matrix in row form, by tiles: each output
+    row is a part, at most 128 wide, of one dimension (in millionths)."""
+    tiles = LA.to_tiles(_embeddings(spark, sf_dir), "vec_id", "features", TILE)
+    rows = LA.tile_rows(LA.transpose_tiles(tiles), TILE)
+    whole = F.transform("part", lambda v: F.round(v * 1000000).cast("bigint").cast("string"))
+    return rows.select("id", F.col("col_block").alias("block"), F.array_join(whole, ",").alias("cells"))
+
+
+TRANSPOSE_TILES_SQL = f"""
+SELECT CAST(pos - 1 AS BIGINT) AS id, CAST(vec_id // {TILE} AS BIGINT) AS block,
+       string_agg(CAST(CAST(round(CAST(e AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY vec_id) AS cells
+FROM (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY ALL"""
+
+
+# --- wide tables: the distributed solver, audited --------------------------------
+
+AUDIT_K = 5
+
+
+def _wide(spark, sf_dir):
+    """192 columns: the embeddings and the products of their neighbouring and
+    next-but-one components (beyond 100 columns the solver is distributed)."""
+    e = F.col("embedding").cast("array<double>")
+    n = F.size("embedding")
+    apart = lambda k: F.transform(e, lambda x, i: x * F.element_at(e, F.pmod(i + k, n) + 1))
+    d = table(spark, sf_dir, "embeddings").select("vec_id", F.concat(e, apart(1), apart(2)).alias("x"))
+    return d.select("vec_id", "x", array_to_vector("x").alias("features"))
+
+
+_WIDE_SQL = """
+SELECT vec_id, generate_subscripts(embedding, 1) AS j, unnest(embedding) AS a, unnest(list_concat(embedding[2:], embedding[:1])) AS b,
+       unnest(list_concat(embedding[3:], embedding[:2])) AS c FROM embeddings"""
+
+
+def q_svd_wide_audit(spark, sf_dir):
+    """Truncated SVD of the 192 columns (k = 5): every component's residuals
+    within 1e-6, the squared sum of all cells, and how many U rows there are."""
+    d = _wide(spark, sf_dir)
+    r = LA.svd(d, "features", AUDIT_K, compute_u=True, id_col="vec_id")
+    cells = d.agg(F.round(F.sum(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)), 4).alias("squares")).first().squares
+    a = LA.svd_audit(d, "features", r)
+    return a.select("component", "eigen_ok", "v_ok", "u_ok", F.lit(cells).alias("squares"), F.lit(r.U.count()).cast("long").alias("u_rows"))
+
+
+SVD_WIDE_AUDIT_SQL = f"""
+WITH w AS ({_WIDE_SQL}),
+s AS (SELECT round(sum(CAST(a AS DOUBLE) * a + power(CAST(a AS DOUBLE) * b, 2) + power(CAST(a AS DOUBLE) * c, 2)), 4) AS squares FROM w),
+n AS (SELECT count(*) AS u_rows FROM embeddings)
+SELECT CAST(unnest(range(1, {AUDIT_K + 1})) AS INTEGER) AS component, TRUE AS eigen_ok, TRUE AS v_ok, TRUE AS u_ok, squares, u_rows FROM s, n"""
+
+
+def q_pca_wide_audit(spark, sf_dir):
+    """PCA (k = 5) of the 192 columns by the distributed solver: residuals
+    against the covariance, and total variance."""
+    d = _wide(spark, sf_dir)
+    a = LA.pca_audit(d, "features", LA.pca(d, "features", AUDIT_K, method="svd"))
+    total = (d.select(F.posexplode("x").alias("j", "v")).groupBy("j").agg(F.var_samp("v").alias("v"))
+             .agg(F.round(F.sum("v"), 8).alias("v")).first().v)
+    return a.select("component", "eigen_ok", "v_ok", "u_ok", F.lit(total).alias("variance"))
+
+
+PCA_WIDE_AUDIT_SQL = f"""
+WITH w AS ({_WIDE_SQL}),
+v AS (SELECT var_samp(a) + var_samp(CAST(a AS DOUBLE) * b) + var_samp(CAST(a AS DOUBLE) * c) AS v FROM w GROUP BY j),
+t AS (SELECT round(sum(v), 8) AS variance FROM v)
+SELECT CAST(unnest(range(1, {AUDIT_K + 1})) AS INTEGER) AS component, TRUE AS eigen_ok, TRUE AS v_ok, TRUE AS u_ok, variance FROM t"""
+
+
+def q_variance_embeddings(spark, sf_dir):
+    """All 64 principal components of the embeddings: each a solution, their
+    shares falling and adding up to 1; the 80 % cut-off lies among them."""
+    d = _embeddings(spark, sf_dir)
+    r = LA.pca(d, "features", 64, method="cov")
+    p = LA.components_for_variance(r.explained_variance, 0.80)
+    t = LA.variance_table(spark, r.explained_variance).join(LA.pca_audit(d, "features", r), "component")
+    share = F.col("explained_variance")
+    return t.agg(F.count(F.lit(1)).alias("components"), F.min(F.col("eigen_ok") & F.col("v_ok") & F.col("u_ok")).alias("solved"),
+                 F.round(F.sum(share), 9).alias("total"), F.lit(bool(np.all(np.diff(r.explained_variance) <= 1e-12))).alias("falling"),
+                 (F.min(F.when(F.col("component") == p, F.col("cumulative"))) >= 0.8).alias("reached"),
+                 (F.coalesce(F.max(F.when(F.col("component") == p - 1, F.col("cumulative"))), F.lit(0.0)) < 0.8).alias("smallest"))
+
+
+VARIANCE_EMBEDDINGS_SQL = """
+SELECT CAST(max(len(embedding)) AS BIGINT) AS components, TRUE AS solved, 1.0::DOUBLE AS total, TRUE AS falling, TRUE AS reached,
+       TRUE AS smallest FROM embeddings"""
+
+
 QUERIES = {
+    "transpose_tiles": q_transpose_tiles,
+    "svd_wide_audit": q_svd_wide_audit,
+    "pca_wide_audit": q_pca_wide_audit,
+    "variance_embeddings": q_variance_embeddings,
     "transpose": q_transpose,
     "pca_2d": q_pca_2d,
     "pca_projection": q_pca_projection,
@@ -179,6 +276,10 @@ QUERIES = {
 }
 
 ORACLE = {
+    "transpose_tiles": TRANSPOSE_TILES_SQL,
+    "svd_wide_audit": SVD_WIDE_AUDIT_SQL,
+    "pca_wide_audit": PCA_WIDE_AUDIT_SQL,
+    "variance_embeddings": VARIANCE_EMBEDDINGS_SQL,
     "transpose": TRANSPOSE_SQL,
     "pca_2d": PCA_2D_SQL,
     "pca_projection": PCA_PROJECTION_SQL,

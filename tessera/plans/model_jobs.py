@@ -21,6 +21,7 @@ from ..operators import evaluate as EV
 from ..operators import features as FT
 from ..operators import split as S
 from ..operators import supervised as SV
+from ..operators import trees as TR
 from ..operators import tuning as TU
 from ..session import spread
 from .prep_jobs import FOLD_SEED, SPLIT_SEED, _hash_sql
@@ -142,7 +143,7 @@ c AS (SELECT cxy / (vx * (1 + 0.3 / sqrt(vy))) AS b1, mx, my FROM m)
 SELECT 'x' AS term, round(b1, 9) AS value FROM c
 UNION ALL SELECT 'intercept', round(my - b1 * mx, 9) FROM c"""
 
-_SUMMARY_DIGITS = {"coefficient": 9, "std_error": 12, "t_value": 8, "dispersion": 9,
+_SUMMARY_DIGITS = {"coefficient": 9, "std_error": 12, "t_value": 8, "p_value": 8, "dispersion": 9,
                    "null_deviance": 5, "residual_dof_null": 1, "deviance": 5,
                    "residual_dof": 1, "aic": 7}
 
@@ -151,12 +152,28 @@ def _round_stats(df, stats=None):
     expr = F.lit(None).cast("double")
     for stat, digits in (stats or _SUMMARY_DIGITS).items():
         expr = F.when(F.col("stat") == stat, F.round("value", digits)).otherwise(expr)
-    return df.where(F.col("stat") != "p_value").select("stat", "term", expr.alias("value"))
+    return df.select("stat", "term", expr.alias("value"))
+
+
+def _p_normal(t: str) -> str:
+    """2 (1 - Φ(|t|)) by the series φ(t) Σ t^(2k+1) / (2k+1)!!."""
+    z = f"greatest(abs({t}), 1e-300)"
+    term = "exp((2 * k + 1) * ln(z) - lgamma(2 * k + 2) + k * ln(2) + lgamma(k + 1))"
+    series = f"(SELECT sum({term}) FROM (SELECT {z} AS z, unnest(range(0, 200)) AS k))"
+    return f"CASE WHEN abs({t}) > 8 THEN 0.0 ELSE 1 - 2 * exp(-({t}) * ({t}) / 2) / sqrt(2 * pi()) * {series} END"
+
+
+def _p_student(t: str, dof: str, steps: int = 2000) -> str:
+    """Two-sided tail of Student's t by Simpson's rule over its density."""
+    density = (f"exp(lgamma((v + 1) / 2) - lgamma(v / 2) - ln(v * pi()) / 2 - (v + 1) / 2 * ln(1 + power(z * k / {steps}, 2) / v))")
+    weight = f"CASE WHEN k IN (0, {steps}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+    area = (f"(SELECT sum({weight} * {density}) * max(z) / {3 * steps} FROM (SELECT abs({t}) AS z, CAST({dof} AS DOUBLE) AS v, "
+            f"unnest(range(0, {steps + 1})) AS k))")
+    return f"CASE WHEN abs({t}) > 40 THEN 0.0 ELSE 1 - 2 * {area} END"
 
 
 def q_glm_gaussian_summary(spark, sf_dir):
-    """Unpenalised gaussian fit: the full inference summary (p-values are
-    produced by ``glm_summary`` but have no SQL twin)."""
+    """Unpenalised gaussian fit: the full inference summary."""
     d = _lineitem_xy(spark, sf_dir)
     _, summary = SV.fit_with_summary(
         SV.glm("gaussian", "identity", "label", "features", 10, 0.0), d,
@@ -164,29 +181,54 @@ def q_glm_gaussian_summary(spark, sf_dir):
     return _round_stats(summary)
 
 
-def _r(expr: str, stat: str) -> str:
-    return f"round({expr}, {_SUMMARY_DIGITS[stat]})"
+_WEAK_DIGITS = {**_SUMMARY_DIGITS, "null_deviance": 3, "deviance": 3, "aic": 5}
 
 
-GLM_GAUSSIAN_SUMMARY_SQL = f"""
-WITH d AS ({_XY_SQL}), m AS ({_moments_sql()}),
+def _ols_summary_sql(xy: str, term: str = "x", digits: dict[str, int] = _SUMMARY_DIGITS) -> str:
+    def _r(expr: str, stat: str) -> str:
+        return f"round({expr}, {digits[stat]})"
+
+    return f"""
+WITH d AS ({xy}), m AS ({_moments_sql()}),
 c AS (SELECT n, mx, my, cxy / vx AS b1, my - cxy / vx * mx AS b0, vx * n AS sxx FROM m),
 r AS (SELECT sum(power(y - b0 - b1 * x, 2)) AS rss, sum(power(y - my, 2)) AS tss
       FROM d, c),
 s AS (SELECT c.*, rss, tss, rss / (n - 2) AS disp FROM c, r),
-e AS (SELECT *, sqrt(disp / sxx) AS se1, sqrt(disp * (1.0 / n + mx * mx / sxx)) AS se0 FROM s)
-SELECT 'coefficient' AS stat, 'x' AS term, {_r('b1', 'coefficient')} AS value FROM e
-UNION ALL SELECT 'coefficient', 'intercept', {_r('b0', 'coefficient')} FROM e
-UNION ALL SELECT 'std_error', 'x', {_r('se1', 'std_error')} FROM e
-UNION ALL SELECT 'std_error', 'intercept', {_r('se0', 'std_error')} FROM e
-UNION ALL SELECT 't_value', 'x', {_r('b1 / se1', 't_value')} FROM e
-UNION ALL SELECT 't_value', 'intercept', {_r('b0 / se0', 't_value')} FROM e
-UNION ALL SELECT 'dispersion', NULL, {_r('disp', 'dispersion')} FROM e
-UNION ALL SELECT 'null_deviance', NULL, {_r('tss', 'null_deviance')} FROM e
-UNION ALL SELECT 'residual_dof_null', NULL, {_r('n - 1', 'residual_dof_null')} FROM e
-UNION ALL SELECT 'deviance', NULL, {_r('rss', 'deviance')} FROM e
-UNION ALL SELECT 'residual_dof', NULL, {_r('n - 2', 'residual_dof')} FROM e
-UNION ALL SELECT 'aic', NULL, {_r('n * (ln(2 * pi() * rss / n) + 1) + 2 + 4', 'aic')} FROM e"""
+e AS (SELECT *, sqrt(disp / sxx) AS se1, sqrt(disp * (1.0 / n + mx * mx / sxx)) AS se0 FROM s),
+t AS (SELECT *, b1 / se1 AS t1, b0 / se0 AS t0 FROM e),
+p AS (SELECT *, {_p_student('t1', 'n - 2')} AS p1, {_p_student('t0', 'n - 2')} AS p0 FROM t)
+SELECT 'coefficient' AS stat, '{term}' AS term, {_r('b1', 'coefficient')} AS value FROM p
+UNION ALL SELECT 'coefficient', 'intercept', {_r('b0', 'coefficient')} FROM p
+UNION ALL SELECT 'std_error', '{term}', {_r('se1', 'std_error')} FROM p
+UNION ALL SELECT 'std_error', 'intercept', {_r('se0', 'std_error')} FROM p
+UNION ALL SELECT 't_value', '{term}', {_r('t1', 't_value')} FROM p
+UNION ALL SELECT 't_value', 'intercept', {_r('t0', 't_value')} FROM p
+UNION ALL SELECT 'p_value', '{term}', {_r('p1', 'p_value')} FROM p
+UNION ALL SELECT 'p_value', 'intercept', {_r('p0', 'p_value')} FROM p
+UNION ALL SELECT 'dispersion', NULL, {_r('disp', 'dispersion')} FROM p
+UNION ALL SELECT 'null_deviance', NULL, {_r('tss', 'null_deviance')} FROM p
+UNION ALL SELECT 'residual_dof_null', NULL, {_r('n - 1', 'residual_dof_null')} FROM p
+UNION ALL SELECT 'deviance', NULL, {_r('rss', 'deviance')} FROM p
+UNION ALL SELECT 'residual_dof', NULL, {_r('n - 2', 'residual_dof')} FROM p
+UNION ALL SELECT 'aic', NULL, {_r('n * (ln(2 * pi() * rss / n) + 1) + 2 + 4', 'aic')} FROM p"""
+
+
+GLM_GAUSSIAN_SUMMARY_SQL = _ols_summary_sql(_XY_SQL)
+
+
+def q_glm_weak_summary(spark, sf_dir):
+    """The same on a feature that says next to nothing (tax): p-values well
+    inside (0, 1)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_extendedprice") / 1000.0).alias("label"), (F.col("l_tax") * 100).alias("x"))
+    d = VectorAssembler(inputCols=["x"], outputCol="features").transform(li)
+    _, summary = SV.fit_with_summary(
+        SV.glm("gaussian", "identity", "label", "features", 10, 0.0), d,
+        lambda m: SV.glm_summary(spark, m, ["tax"]), ["label", "features"])
+    return _round_stats(summary, _WEAK_DIGITS)
+
+
+GLM_WEAK_SUMMARY_SQL = _ols_summary_sql("SELECT l_extendedprice / 1000.0 AS y, l_tax * 100 AS x FROM lineitem", "tax", _WEAK_DIGITS)
 
 
 def _poisson_data(spark, sf_dir):
@@ -211,14 +253,13 @@ SELECT 'g' AS term, round(m1 - m0, 6) AS value FROM m
 UNION ALL SELECT 'intercept', round(m0, 6) FROM m"""
 
 
-_POISSON_DIGITS = {"coefficient": 6, "std_error": 8, "t_value": 5, "dispersion": 6, "null_deviance": 4,
+_POISSON_DIGITS = {"coefficient": 6, "std_error": 8, "t_value": 5, "p_value": 7, "dispersion": 6, "null_deviance": 4,
                    "residual_dof_null": 1, "deviance": 4, "residual_dof": 1, "aic": 3}
 
 
 def q_glm_poisson_summary(spark, sf_dir):
     """Poisson / identity on one 0/1 feature, unpenalised: the inference
-    summary has a closed form in the two group means. (p-values are left out:
-    they are 0 here to any number of digits.)"""
+    summary has a closed form in the two group means."""
     _, summary = SV.fit_with_summary(
         SV.glm("poisson", "identity", "label", "features", 25, 0.0), _poisson_data(spark, sf_dir),
         lambda m: SV.glm_summary(spark, m, ["g"]))
@@ -244,6 +285,8 @@ UNION ALL SELECT 'std_error', 'g', {_rp('se1', 'std_error')} FROM e
 UNION ALL SELECT 'std_error', 'intercept', {_rp('se0', 'std_error')} FROM e
 UNION ALL SELECT 't_value', 'g', {_rp('b / se1', 't_value')} FROM e
 UNION ALL SELECT 't_value', 'intercept', {_rp('m0 / se0', 't_value')} FROM e
+UNION ALL SELECT 'p_value', 'g', {_rp(_p_normal('b / se1'), 'p_value')} FROM e
+UNION ALL SELECT 'p_value', 'intercept', {_rp(_p_normal('m0 / se0'), 'p_value')} FROM e
 UNION ALL SELECT 'dispersion', NULL, 1.0
 UNION ALL SELECT 'null_deviance', NULL, {_rp('dev0', 'null_deviance')} FROM e
 UNION ALL SELECT 'residual_dof_null', NULL, {_rp('n - 1', 'residual_dof_null')} FROM e
@@ -252,6 +295,60 @@ UNION ALL SELECT 'residual_dof', NULL, {_rp('n - 2', 'residual_dof')} FROM e
 UNION ALL SELECT 'aic', NULL, {_rp('aic', 'aic')} FROM e"""
 
 
+def q_glm_poisson_reference(spark, sf_dir):
+    """Poisson / identity in the reference setting, λ = 0.3 and 10 iterations:
+    the whole summary, p-values included."""
+    _, summary = SV.fit_with_summary(
+        SV.glm("poisson", "identity", "label", "features", 10, 0.3), _poisson_data(spark, sf_dir),
+        lambda m: SV.glm_summary(spark, m, ["g"]))
+    return _round_stats(summary, _POISSON_DIGITS)
+
+
+def _wls_sql(w0: str, w1: str, ridge: str) -> str:
+    """Columns of one weighted ridge step on the 0/1 feature, from the counts
+    n, sums s and squares q of its two groups with weights w0 and w1."""
+    return f"""SELECT *, cxy / ({ridge}) AS b1, my - cxy / ({ridge}) * mx AS b0 FROM (
+    SELECT *, s1 * w1 / w - mx * my AS cxy, mx - mx * mx AS vx FROM (
+    SELECT *, n1 * w1 / w AS mx, (s0 * w0 + s1 * w1) / w AS my FROM (
+    SELECT *, n0 * w0 + n1 * w1 AS w FROM (SELECT *, {w0} AS w0, {w1} AS w1 FROM """
+
+
+# the steps of iteratively reweighted least squares as a recursive query: the
+# first fit has weight 1 and a penalty on the standardised scale, each further
+# one the inverse of the last means as weights and the penalty as it is
+GLM_POISSON_REFERENCE_SQL = f"""
+WITH RECURSIVE d AS (SELECT CAST(l_quantity AS DOUBLE) AS y, l_returnflag = 'R' AS g FROM lineitem),
+a AS (SELECT count(*) AS n, avg(y) AS my0, CAST(count(*) FILTER (NOT g) AS DOUBLE) AS n0, CAST(count(*) FILTER (g) AS DOUBLE) AS n1,
+        sum(y) FILTER (NOT g) AS s0, sum(y) FILTER (g) AS s1, var_pop(y) AS vy FROM d),
+it AS (
+  SELECT 0 AS i, b0, b1, CAST(NULL AS DOUBLE) AS o0, CAST(NULL AS DOUBLE) AS o1 FROM (
+    {_wls_sql('1.0', '1.0', 'vx * (1 + 0.3 / sqrt(vy))')} a)))))
+  UNION ALL
+  SELECT i + 1, x0, x1, b0, b1 FROM (SELECT i, p0 AS b0, p1 AS b1, b0 AS x0, b1 AS x1 FROM (
+    {_wls_sql('1.0 / p0', '1.0 / (p0 + p1)', 'vx + 0.3')} (SELECT a.*, i, it.b0 AS p0, it.b1 AS p1 FROM it, a
+      WHERE i < 10 AND (o0 IS NULL OR greatest(abs(it.b0 - o0), abs(it.b1 - o1)) >= 1e-6))))))))),
+f AS (SELECT a.*, b0, b1, o0, o1, n0 / o0 AS u0, n1 / (o0 + o1) AS u1 FROM it, a WHERE i = (SELECT max(i) FROM it)),
+h AS (SELECT *, u0 + u1 AS w, u1 / (u0 + u1) AS mx, b0 + b1 AS m1 FROM f),
+e AS (SELECT *, sqrt(1 / ((mx - mx * mx + 0.3) * w)) AS se1, sqrt((mx + 0.3) / ((mx - mx * mx + 0.3) * w)) AS se0 FROM h),
+v AS (SELECT 2 * sum(y * ln(y / CASE WHEN g THEN m1 ELSE b0 END) - (y - CASE WHEN g THEN m1 ELSE b0 END)) AS dev,
+        2 * sum(y * ln(y / my0) - (y - my0)) AS dev0,
+        -2 * sum(y * ln(CASE WHEN g THEN m1 ELSE b0 END) - CASE WHEN g THEN m1 ELSE b0 END - lgamma(y + 1)) + 4 AS aic FROM d, e)
+SELECT 'coefficient' AS stat, 'g' AS term, {_rp('b1', 'coefficient')} AS value FROM e
+UNION ALL SELECT 'coefficient', 'intercept', {_rp('b0', 'coefficient')} FROM e
+UNION ALL SELECT 'std_error', 'g', {_rp('se1', 'std_error')} FROM e
+UNION ALL SELECT 'std_error', 'intercept', {_rp('se0', 'std_error')} FROM e
+UNION ALL SELECT 't_value', 'g', {_rp('b1 / se1', 't_value')} FROM e
+UNION ALL SELECT 't_value', 'intercept', {_rp('b0 / se0', 't_value')} FROM e
+UNION ALL SELECT 'p_value', 'g', {_rp(_p_normal('b1 / se1'), 'p_value')} FROM e
+UNION ALL SELECT 'p_value', 'intercept', {_rp(_p_normal('b0 / se0'), 'p_value')} FROM e
+UNION ALL SELECT 'dispersion', NULL, 1.0
+UNION ALL SELECT 'null_deviance', NULL, {_rp('dev0', 'null_deviance')} FROM v
+UNION ALL SELECT 'residual_dof_null', NULL, {_rp('n - 1', 'residual_dof_null')} FROM e
+UNION ALL SELECT 'deviance', NULL, {_rp('dev', 'deviance')} FROM v
+UNION ALL SELECT 'residual_dof', NULL, {_rp('n - 2', 'residual_dof')} FROM e
+UNION ALL SELECT 'aic', NULL, {_rp('aic', 'aic')} FROM v"""
+
+
 def q_glm_residuals(spark, sf_dir):
     """Deviance residuals of the reference-setting gaussian fit (= y − ŷ)."""
     d = _lineitem_xy(spark, sf_dir)
@@ -329,28 +426,15 @@ def _cv_tree(spark, sf_dir, kind: str):
     train, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
     cols = ["label", "target", "features", "fold"]
     train = spread(train.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
-    indexed = None
     try:
-        if kind == "classifier":
-            prep = SV.fit_preprocessing(train, "features", "label")
-            learner = SV.tree_classifier()
-            ev = EV.evaluator("areaUnderROC", label="indexedLabel")
-        else:
-            prep = SV.fit_preprocessing(train, "features")
-            learner = SV.tree_regressor(label="target")
-            ev = EV.evaluator("rmse", label="target")
-        indexed = prep.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-        indexed.count()
-        train.unpersist()   # from here on only the indexed rows are read
-        grid = TU.param_grid(learner, **TREE_GRID)
-        cvm = TU.cross_validate(learner, grid, ev, indexed, k=3, fold_col="fold")
+        label, metric = ("indexedLabel", "areaUnderROC") if kind == "classifier" else ("target", "rmse")
+        prep = SV.fit_preprocessing(train, "features", "label" if kind == "classifier" else None)
+        cv = TR.cross_validate_trees(prep.transform(train), kind, label, "indexedFeatures", TREE_GRID["maxDepth"],
+                                     TREE_GRID["maxBins"], metric, 3, "fold")
     finally:
         train.unpersist()
-        if indexed is not None:
-            indexed.unpersist()
-    test_metric = ev.evaluate(cvm.bestModel.transform(prep.transform(test)))
-    return (TU.cv_report(spark, cvm)
-            .withColumn("metric", F.lit(ev.getMetricName()))
+    test_metric = EV.evaluator(metric, label=label).evaluate(cv.best.transform(prep.transform(test)))
+    return (cv.report(spark).withColumn("metric", F.lit(metric))
             .withColumn("test_metric", F.when(F.col("is_best"), F.lit(test_metric))))
 
 
@@ -369,7 +453,96 @@ def q_tree_report(spark, sf_dir):
     d = labeled_numeric(spark, sf_dir)
     model = SV.fit_spread(SV.regression_pipeline(SV.tree_regressor(label="target", max_depth=3),
                                                  "features"), d, ["target", "features"])
-    return SV.tree_report(spark, model)
+    return SV.tree_report(spark, model, NUMERIC_FEATURES)
+
+
+# --- trees as data: columns with fewer values than bins, so that every midpoint
+# --- is a candidate and SQL can grow the same tree
+
+RULE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+RULE_LABEL = "l_extendedprice / 1000.0"
+
+
+def _rule_rows(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *RULE_FEATURES, F.expr(RULE_LABEL).alias("label"))
+    return VectorAssembler(inputCols=RULE_FEATURES, outputCol="features").transform(li)
+
+
+def _rule_tree(spark, sf_dir):
+    d = _rule_rows(spark, sf_dir)
+    learner = SV.tree_regressor(label="label", features="features", max_depth=2, max_bins=64)
+    return d, TR.tree_nodes(SV.fit_spread(learner, d, ["label", "features"]))
+
+
+def q_tree_rules(spark, sf_dir):
+    """The depth-2 regression tree as data: each leaf's rule in SQL terms, its
+    rows and its prediction."""
+    _, nodes = _rule_tree(spark, sf_dir)
+    return TR.tree_rules(spark, nodes, RULE_FEATURES).select("leaf", "n", F.round("prediction", 6).alias("prediction"))
+
+
+def q_tree_case(spark, sf_dir):
+    """Every row scored by the tree's SQL expression on plain columns (no
+    model, no vector): its leaf and prediction."""
+    d, nodes = _rule_tree(spark, sf_dir)
+    return d.select("l_orderkey", "l_linenumber", F.expr(TR.tree_case(nodes, RULE_FEATURES, "id")).cast("bigint").alias("leaf"),
+                    F.round(F.expr(TR.tree_case(nodes, RULE_FEATURES)), 6).alias("prediction"))
+
+
+def _split_sql(rows: str, k: int, node: str) -> str:
+    """CTEs of the best split of each (vf, node) of ``rows`` (node is a
+    column): b{k} with feature f and threshold thr, rows{k} with the child."""
+    value = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(RULE_FEATURES)) + " END"
+    union = " UNION ALL ".join(f"SELECT vf, {node} AS node, {i} AS f, {c} AS x, y FROM {rows}" for i, c in enumerate(RULE_FEATURES))
+    return f"""
+v{k} AS (SELECT vf, node, f, x, count(*) AS c, sum(y) AS s, sum(y * y) AS ss FROM ({union}) GROUP BY ALL),
+c{k} AS (SELECT vf, node, f, x, lead(x) OVER w AS nx, sum(c) OVER w AS cl, sum(s) OVER w AS sl, sum(ss) OVER w AS ssl,
+         sum(c) OVER t AS ct, sum(s) OVER t AS st, sum(ss) OVER t AS sst FROM v{k}
+         WINDOW w AS (PARTITION BY vf, node, f ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                t AS (PARTITION BY vf, node, f)),
+b{k} AS (SELECT vf, node, f, (x + nx) / 2 AS thr FROM (SELECT *, row_number() OVER (PARTITION BY vf, node
+           ORDER BY ssl - sl * sl / cl + (sst - ssl) - (st - sl) * (st - sl) / (ct - cl), f, x) AS place
+           FROM (SELECT vf, node, f, x, nx, cl, sl, ssl, ct, st, sst FROM c{k} WHERE nx IS NOT NULL)) WHERE place = 1),
+rows{k} AS (SELECT r.*, 2 * r.{node} + CASE WHEN {value} <= thr THEN 0 ELSE 1 END AS node{k}
+          FROM {rows} r JOIN b{k} b ON r.vf = b.vf AND r.{node} = b.node)"""
+
+
+TREE_DEPTH2_CTE = f"""
+WITH rows0 AS (SELECT 0 AS vf, 1 AS node0, l_orderkey, l_linenumber, {', '.join(RULE_FEATURES)}, {RULE_LABEL} AS y FROM lineitem),
+{_split_sql('rows0', 1, 'node0')}, {_split_sql('rows1', 2, 'node1')},
+leaf AS (SELECT node2, count(*) AS n, avg(y) AS p FROM rows2 GROUP BY node2)"""
+
+TREE_RULES_SQL = TREE_DEPTH2_CTE + """
+SELECT CAST(node2 AS BIGINT) AS leaf, n, round(p, 6) AS prediction FROM leaf"""
+
+TREE_CASE_SQL = TREE_DEPTH2_CTE + """
+SELECT l_orderkey, l_linenumber, CAST(node2 AS BIGINT) AS leaf, round(p, 6) AS prediction FROM rows2 JOIN leaf USING (node2)"""
+
+
+def q_cv_tree_depth(spark, sf_dir):
+    """3-fold CV (key folds) of the tree depth, 1 and 2 read off one depth-2
+    tree for each fold: average RMSE of each depth."""
+    d = S.key_folds(_rule_rows(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
+    cv = TR.cross_validate_trees(d.select("label", "features", "fold"), "regressor", "label", "features", [1, 2], [64], "rmse")
+    return cv.report(spark).select((F.col("grid_id") + 1).alias("max_depth"), F.round("avg_metric", 8).alias("avg_rmse"), "is_best")
+
+
+CV_TREE_DEPTH_SQL = f"""
+WITH d AS (SELECT l_orderkey, l_linenumber, {', '.join(RULE_FEATURES)}, {RULE_LABEL} AS y,
+                  CAST({_hash_sql('l_orderkey', FOLD_SEED)} % 3 AS INTEGER) AS fold FROM lineitem),
+rows0 AS (SELECT vf, 1 AS node0, d.* FROM (SELECT DISTINCT fold AS vf FROM d) JOIN d ON d.fold <> vf),
+{_split_sql('rows0', 1, 'node0')}, {_split_sql('rows1', 2, 'node1')},
+p1 AS (SELECT vf, node1, avg(y) AS p FROM rows1 GROUP BY ALL),
+p2 AS (SELECT vf, node2, avg(y) AS p FROM rows2 GROUP BY ALL),
+t0 AS (SELECT fold AS vf, 1 AS node0, d.* FROM d),
+t1 AS (SELECT t0.*, 2 * node0 + CASE WHEN CASE f {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(RULE_FEATURES))} END <= thr THEN 0 ELSE 1 END AS node1
+       FROM t0 JOIN b1 ON t0.vf = b1.vf),
+t2 AS (SELECT t1.*, 2 * node1 + CASE WHEN CASE f {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(RULE_FEATURES))} END <= thr THEN 0 ELSE 1 END AS node2
+       FROM t1 JOIN b2 ON t1.vf = b2.vf AND t1.node1 = b2.node),
+e AS (SELECT vf, 1 AS max_depth, sqrt(avg(power(y - p, 2))) AS rmse FROM t1 JOIN p1 USING (vf, node1) GROUP BY vf
+      UNION ALL SELECT vf, 2, sqrt(avg(power(y - p, 2))) FROM t2 JOIN p2 USING (vf, node2) GROUP BY vf),
+a AS (SELECT max_depth, avg(rmse) AS m FROM e GROUP BY max_depth)
+SELECT max_depth, round(m, 8) AS avg_rmse, m = min(m) OVER () AS is_best FROM a"""
 
 
 def q_logistic_cv(spark, sf_dir):
@@ -442,8 +615,9 @@ def q_glm_claims(spark, sf_dir):
     try:
         rows, test = S.key_split(d, "l_orderkey", 0.7, SPLIT_SEED)
         feats = CLAIM_NUMS + [c + "_idx" for c in CLAIM_CATS]
-        train, test = (FT.assemble(FT.index_columns(x, CLAIM_CATS, "_idx", "keep", fit_on=rows), feats, label="label")
-                       .select("label", "features") for x in (rows, test))
+        labels = FT.fit_labels(rows, CLAIM_CATS)
+        train, test = (FT.assemble(labels.transform(x, "_idx", "keep"), feats, label="label").select("label", "features")
+                       for x in (rows, test))
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         for fam in ("gaussian", "poisson"):
             m = SV.glm(fam, "identity", "label", "features", 10, 0.3).fit(train)
@@ -467,12 +641,17 @@ QUERIES = {
     "glm_gaussian_summary": q_glm_gaussian_summary,
     "glm_poisson": q_glm_poisson,
     "glm_poisson_summary": q_glm_poisson_summary,
+    "glm_poisson_reference": q_glm_poisson_reference,
+    "glm_weak_summary": q_glm_weak_summary,
     "glm_residuals": q_glm_residuals,
     "logistic_ref": q_logistic_ref,
     "cv_glm": q_cv_glm,
     "cv_tree_classifier": q_cv_tree_classifier,
     "cv_tree_regressor": q_cv_tree_regressor,
     "tree_report": q_tree_report,
+    "tree_rules": q_tree_rules,
+    "tree_case": q_tree_case,
+    "cv_tree_depth": q_cv_tree_depth,
     "logistic_cv": q_logistic_cv,
     "logistic_grid": q_logistic_grid,
 }
@@ -486,6 +665,11 @@ ORACLE = {
     "glm_residuals": GLM_RESIDUALS_SQL,
     "logistic_ref": LOGISTIC_REF_SQL,
     "cv_glm": CV_GLM_SQL,
+    "tree_rules": TREE_RULES_SQL,
+    "tree_case": TREE_CASE_SQL,
+    "cv_tree_depth": CV_TREE_DEPTH_SQL,
     "glm_poisson_summary": GLM_POISSON_SUMMARY_SQL,
+    "glm_poisson_reference": GLM_POISSON_REFERENCE_SQL,
+    "glm_weak_summary": GLM_WEAK_SUMMARY_SQL,
     "logistic_cv": LOGISTIC_CV_SQL,
 }

@@ -18,7 +18,7 @@ from ..constants import ENGLISH_STOP_WORDS
 from ..functions.columns import with_row_index
 from ..operators import text as T
 from ..session import checkpoint_dir
-from ..sources import read_lines, read_ratings, read_table, write_vectors
+from ..sources import first_rows, preview, read_lines, read_ratings, read_table, write_vectors
 from .programs import read_labeled
 from .tables import table
 
@@ -106,6 +106,37 @@ LINE_POSITIONS_SQL = """
 SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, CAST(o_orderkey AS BIGINT) AS o_orderkey FROM orders"""
 
 
+FIRST_ROWS = 1000
+
+
+def q_first_rows(spark, sf_dir):
+    """The first 1000 lines of a folder of many files, which needs the first
+    files only."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    path = _scratch(spark, "first-rows")
+    _lines(o.repartitionByRange(24, "o_orderkey").sortWithinPartitions("o_orderkey"), ",", ["o_orderkey"]).write.text(path)
+    rows = first_rows(spark, path, FIRST_ROWS)
+    return rows.select("position", F.col("value").cast("bigint").alias("o_orderkey"))
+
+
+FIRST_ROWS_SQL = f"""
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, CAST(o_orderkey AS BIGINT) AS o_orderkey
+FROM orders ORDER BY o_orderkey LIMIT {FIRST_ROWS}"""
+
+
+def q_preview_lines(spark, sf_dir):
+    """A preview holds no more rows than asked for, and only rows of the
+    table, whole."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    head = preview(o, ["o_orderkey", "o_custkey"], 20)
+    known = head.join(o.select("o_orderkey", F.col("o_custkey").alias("c")), "o_orderkey", "left")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("orders"),
+                     F.min(F.col("o_custkey") == F.col("c")).alias("whole"))
+
+
+PREVIEW_LINES_SQL = "SELECT least(count(*), 20) AS n, least(count(*), 20) AS orders, TRUE AS whole FROM orders"
+
+
 def q_ml_tokens(spark, sf_dir):
     """The ML text pipeline (regex tokenizer, stop-word remover) on documents:
     number of tokens left and a checksum of their space-joined string."""
@@ -128,6 +159,8 @@ QUERIES = {
     "csv_table": q_csv_table,
     "rating_lines": q_rating_lines,
     "line_positions": q_line_positions,
+    "first_rows": q_first_rows,
+    "preview_lines": q_preview_lines,
     "ml_tokens": q_ml_tokens,
 }
 
@@ -137,5 +170,7 @@ ORACLE = {
     "csv_table": CSV_TABLE_SQL,
     "rating_lines": RATING_LINES_SQL,
     "line_positions": LINE_POSITIONS_SQL,
+    "first_rows": FIRST_ROWS_SQL,
+    "preview_lines": PREVIEW_LINES_SQL,
     "ml_tokens": ML_TOKENS_SQL,
 }

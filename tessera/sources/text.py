@@ -1,6 +1,7 @@
 """Scans of text-based inputs, all expressed as DataFrame reads.
 
 * ``read_lines``   — plain text, one ``value`` row per line.
+* ``first_rows``   — the first n rows in file order, reading a prefix of the files.
 * ``read_table``   — CSV with header / delimiter / schema, optional null drop.
 * ``parse_numeric``— split a line and cast every field to double, strictly.
 * ``read_ratings`` — ``user::item::rating::timestamp`` lines, exactly 4 fields.
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.columns import with_row_index
+
 
 def read_lines(spark: SparkSession, path: str | list[str],
                min_partitions: int | None = None) -> DataFrame:
@@ -34,6 +37,30 @@ def read_lines(spark: SparkSession, path: str | list[str],
     return df.repartition(min_partitions) if min_partitions else df
 
 
+def first_rows(spark: SparkSession, path: str | list[str], n: int, format: str = "text",
+               position: str = "position", **options) -> DataFrame:
+    """The first ``n`` rows of a folder of files, in the order of file paths
+    and places in the files, with their 0-based ``position``.
+
+    Only a prefix of the files is read: the rows of the first file are
+    counted, then of the next two, four, ... until there are ``n``; then these
+    files alone are scanned. What is read follows ``n``, not the folder: at
+    most about twice the files that hold the rows, and these twice. (The
+    driver lists file names, as Spark does for any scan.)"""
+    reader = spark.read.format(format).options(**options)
+    files = sorted(reader.load(path).inputFiles())
+    known, taken, step = 0, 0, 1
+    while taken < len(files) and known < n:
+        known += reader.load(files[taken:taken + step]).count()
+        taken, step = taken + step, step * 2
+    whole = reader.load(path)
+    if n <= 0 or not files:
+        return whole.withColumn(position, F.lit(0).cast("long")).limit(0)
+    # an inferred schema stays that of the whole folder
+    rows = spark.read.format(format).options(**options).schema(whole.schema).load(files[:taken])
+    return with_row_index(rows, position).where(F.col(position) < n)
+
+
 def read_table(spark: SparkSession, path: str | list[str], *,
                schema: StructType | str | None = None, sep: str = ",",
                header: bool = True, infer_schema: bool = False,

@@ -60,3 +60,17 @@ def test_reduce_and_cluster_asks_for_components_step_by_step(spark, monkeypatch)
     assert asked == [16, 40] and wide["components"] == full["components"] <= 3
     assert np.allclose(wide["explained_variance"], full["explained_variance"][:16], atol=1e-9)
     assert wide["wssse_raw"] == full["wssse_raw"]
+
+
+def test_audit_of_a_fixed_point_and_of_an_early_stop(spark):
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in rnd.normal(size=(2000, 2))], "x double, y double")
+    v = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(df)
+    done = CL.audit(spark, CL.kmeans(v, 6, 500, seed=1, tol=1e-12), v).collect()
+    assert len(done) == 6 and sum(r["size"] for r in done) == 2000
+    assert all(r.nearest and r.fixed and r.shift < 1e-6 for r in done)
+    early = CL.audit(spark, CL.kmeans(v, 6, 1, seed=1, init="random"), v, tol=1e-6).collect()
+    assert all(r.nearest for r in early) and not all(r.fixed for r in early)
+    moved = CL.audit(spark, CL.kmeans(v, 6, 500, seed=1), v.limit(100), tol=1e-6).collect()
+    assert sum(r["size"] for r in moved) == 100

@@ -59,3 +59,21 @@ def test_auc_null_group_and_null_scores(spark):
     got = {r.grp: r.auc for r in EV.auc(df, "label", "score", by=["grp"]).collect()}
     assert got[None] == pytest.approx(brute_auc([(1, 0.9), (0, 0.1), (1, 0.4), (0, 0.4)]))
     assert got["g"] == 0.0
+
+
+def test_auc_of_a_group_in_a_narrow_band(spark):
+    """Ranges follow rows: a group within 1e-9 is cut like one over thousands."""
+    rnd = random.Random(9)
+    rows = [("wide", float(rnd.random() < 0.3), rnd.random() * 1e6) for _ in range(1500)]
+    rows += [("narrow", float(rnd.random() < 0.6), 0.5 + rnd.random() * 1e-9) for _ in range(1500)]
+    rows += [(f"g{i}", float(i % 2), float(rnd.randrange(3))) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, label double, score double")
+    got = {r.g: r.auc for r in EV.auc(df, "label", "score", by=["g"], buckets=16).collect()}
+    for g in ("wide", "narrow"):
+        assert got[g] == pytest.approx(brute_auc([(y, s) for x, y, s in rows if x == g]), abs=1e-12)
+    assert got["g1"] is None and len(got) == 202
+    # the widest range of (group, score) rows is near the mean
+    d = df.groupBy("g", "score").count().repartitionByRange(16, "g", "score")
+    from pyspark.sql import functions as F
+    sizes = [r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3 * sum(sizes) / 16

@@ -60,3 +60,55 @@ def test_decode_label(spark):
     df = spark.createDataFrame([(0.0,), (1.0,)], "prediction double")
     out = FT.decode_label(df, ["b", "a"]).collect()
     assert [r.predictedLabel for r in out] == ["b", "a"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_columns_cold_labels_like_the_indexer(spark):
+    """35 columns of nearly distinct labels: one model, two exchanges of rows."""
+    n = 3000
+    rows = [(i % 1500, *(f"{(i * (k + 3)) % (1200 + k)}" if (i + k) % 17 else None for k in range(35))) for i in range(n)]
+    rows = [(f"{r[0]}", *r[1:]) for r in rows]
+    cols = [f"c{k}" for k in range(36)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)).repartition(4)
+    whole = df.na.fill("none")
+    model = FT.fit_indexer(whole, cols)
+    want = sorted(tuple(r) for r in model.transform(whole).collect())
+    labels = FT.fit_labels(whole, cols)
+    got = labels.transform(whole)
+    assert got.columns == cols + [c + "_idx" for c in cols]
+    assert sorted(tuple(r) for r in got.collect()) == want
+    kept = labels.transform(df, handle_invalid="keep")
+    assert kept.count() == n and kept.where(f"c1 is null and c1_idx != {labels.sizes[1][1]}").count() == 0
+
+
+def test_equal_rows_and_clashing_names_keep_their_number(spark):
+    rows = [("x" if i < 3000 else f"u{i % 2500}", 1.5, [i % 2], "k") for i in range(6000)] + [("u1", 1.5, [1], "k")] * 5
+    df = spark.createDataFrame(rows, "s string, col double, row array<int>, label string")
+    model = FT.fit_labels(df, ["s", "label"])
+    assert model.sizes[0][2] == 1 and model.sizes[0][1] > 1       # a hot label and cold ones
+    out = model.transform(df)
+    assert out.columns == ["s", "col", "row", "label", "s_idx", "label_idx"]
+    assert out.count() == len(rows)
+    want = {r.label: r.idx for r in model.labels("s").collect()}
+    assert all(r.s_idx == want[r.s] and r.label_idx == 0.0 for r in out.collect())
+    assert out.groupBy("s", "row").count().count() == df.groupBy("s", "row").count().count()
+
+
+def test_hot_labels_only_need_no_exchange(spark):
+    df = spark.createDataFrame([(f"v{i % 20}", i) for i in range(500)], "s string, i int")
+    out = FT.fit_labels(df, ["s"]).transform(df)
+    plan = _plan(out)
+    assert "hashpartitioning" not in plan.replace("BroadcastExchange", "")
+    assert out.count() == 500
+
+
+def test_one_model_for_train_and_test(spark):
+    train = spark.createDataFrame([("a", "p")] * 3 + [("b", "q")] * 2, "s string, t string")
+    test = spark.createDataFrame([("b", "p"), ("c", None)], "s string, t string")
+    model = FT.fit_labels(train, ["s", "t"])
+    assert [(r.s_idx, r.t_idx) for r in model.transform(test, handle_invalid="keep").orderBy("s").collect()] == [(1.0, 0.0), (2.0, 2.0)]
+    assert [r.s for r in model.transform(test, handle_invalid="skip").collect()] == ["b"]
+    assert model.transform(test.limit(0)).count() == 0

@@ -111,3 +111,46 @@ def test_to_long(spark):
     df = _mat(spark, [[1.0, 2.0]])
     rows = sorted(tuple(r) for r in LA.to_long(df, "id", "features").collect())
     assert rows == [(0, 0, 1.0), (0, 1, 2.0)]
+
+
+@pytest.mark.parametrize("n,m,tile", [(1, 1, 4), (7, 5, 4), (8, 4, 4), (13, 9, 4), (6, 20, 7)])
+def test_tiles_transpose_like_numpy(spark, n, m, tile):
+    x = np.arange(n * m, dtype=float).reshape(n, m) + 0.5
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(n)], "id long, v array<double>").repartition(3)
+    tiles = LA.to_tiles(df, "id", "v", tile)
+    assert all(len(r.cells) <= tile and len(c) <= tile for r in tiles.collect() for c in r.cells)
+    for form, want in ((tiles, x), (LA.transpose_tiles(tiles), x.T)):
+        got = np.full(want.shape, np.nan)
+        for r in LA.tile_rows(form, tile).collect():
+            got[r.id, r.col_block * tile:r.col_block * tile + len(r.part)] = r.part
+        assert (got == want).all()
+    back = LA.transpose_tiles(LA.transpose_tiles(tiles))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, tiles.collect()))
+
+
+def test_tiles_with_absent_and_repeated_ids(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (3, [4.0, 5.0, 6.0])], "id long, v array<double>")
+    cells = {(r.row_block, r.col_block): r.cells for r in LA.to_tiles(df, "id", "v", 2, n_rows=5).collect()}
+    assert cells == {(0, 0): [[0, 0], [1, 2]], (0, 1): [[0], [3]], (1, 0): [[0, 0], [4, 5]], (1, 1): [[0], [6]]}
+    with pytest.raises(Exception, match="repeated"):
+        LA.to_tiles(df.union(df), "id", "v", 2).collect()
+    assert LA.to_tiles(df.limit(0), "id", "v", 2).count() == 0
+
+
+def test_audits_see_right_and_wrong_decompositions(spark):
+    rnd = np.random.default_rng(8)
+    x = rnd.normal(size=(300, 130)) @ np.diag(np.linspace(3, 0.1, 130)) + rnd.normal(size=130)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, a array<double>").select(
+        "id", array_to_vector("a").alias("v"))
+    res = LA.svd(df, "v", 4)
+    good = LA.svd_audit(df, "v", res).collect()
+    assert all(r.eigen_ok and r.v_ok and r.u_ok for r in good)
+    assert [r.value for r in good] == pytest.approx((np.linalg.svd(x)[1][:4] ** 2).tolist())
+    for method in ("cov", "svd"):
+        p = LA.pca(df, "v", 4, method)
+        assert all(r.eigen_ok and r.v_ok and r.u_ok for r in LA.pca_audit(df, "v", p).collect())
+        # components of the rows as they are, not centred, are no principal components
+        wrong = LA.PCAResult(res.V, p.explained_variance)
+        assert not all(r.eigen_ok for r in LA.pca_audit(df, "v", wrong).collect())
+    turned = LA.SVDResult(res.s, res.V + 1e-3)
+    assert not any(r.v_ok for r in LA.svd_audit(df, "v", turned).collect())

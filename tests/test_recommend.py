@@ -1,4 +1,7 @@
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
 
 from tessera.operators import recommend as RC
 
@@ -18,3 +21,78 @@ def test_rank1_and_cold_start(spark):
     assert f.count() == 15 and f.first().features is not None
     mp = RC.factor_map(m, "item", 2)
     assert mp.count() == 15 and set(mp.columns) == {"id", "projected"}
+
+
+def _ratings(spark, n=400, seed=2):
+    rnd = np.random.default_rng(seed)
+    rows = {(int(rnd.zipf(1.6)) % 40, int(rnd.integers(0, 25))): float(rnd.integers(1, 6)) for _ in range(n)}
+    return spark.createDataFrame([(u, i, r) for (u, i), r in rows.items()], "user int, item int, rating double")
+
+
+def test_normal_equations_by_hand(spark):
+    ratings = _ratings(spark)
+    rows = ratings.collect()
+    rnd = np.random.default_rng(1)
+    vectors = {i: rnd.normal(size=3) for i in range(0, 25, 2)}      # odd items have no factors
+    partners = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "id int, features array<double>")
+    got = {r.id: r for r in RC.normal_equations(ratings, partners, 3).collect()}
+    assert set(got) == {r.user for r in rows if r.item in vectors}
+    for u, r in got.items():
+        own = [(x.rating, vectors[x.item]) for x in rows if x.user == u and x.item in vectors]
+        a = sum(np.outer(v, v) for _, v in own)
+        assert r.n == len(own) and r.rr == pytest.approx(sum(x * x for x, _ in own))
+        assert r.a == pytest.approx(a[np.triu_indices(3)].tolist()) and r.b == pytest.approx(sum(x * v for x, v in own).tolist())
+
+
+def test_audit_of_a_fit_and_of_spoilt_factors(spark):
+    ratings = _ratings(spark)
+    model = RC.als_fit(ratings, rank=4, max_iter=5, reg=0.05, seed=1)
+    users, items = ratings.select("user").distinct().count(), ratings.select("item").distinct().count()
+    audit = {r.side: r for r in RC.als_audit(model, ratings, 0.05).collect()}
+    assert (audit["user"].n, audit["user"].known, audit["user"].solved, audit["user"].not_better) == (users,) * 4
+    assert audit["item"].n == audit["item"].known == audit["item"].bounded == items
+    # the items were solved against other users: a further half step changes them
+    assert audit["item"].solved < items and audit["item"].improvable > 0
+    # a wrong penalty, and wrong factors, are seen
+    wrong = {r.side: r for r in RC.als_audit(model, ratings, 0.5).collect()}
+    assert wrong["user"].solved == 0
+    equations = RC.normal_equations(ratings, model.itemFactors, 4)
+    spoilt = model.userFactors.withColumn("features", F.transform("features", lambda x: x * 1.01))
+    assert RC.with_residual(equations, spoilt, 4, 0.05).where("residual <= 1e-5").count() == 0
+
+
+def test_fold_in_gives_new_users_the_factors_of_a_fit(spark):
+    ratings = _ratings(spark)
+    model = RC.als_fit(ratings, rank=4, max_iter=5, reg=0.05, seed=1)
+    new = ratings.where("user < 5").withColumn("user", F.col("user") + 1000)
+    equations = RC.normal_equations(new, model.itemFactors, 4)
+    made = {r.id - 1000: r.features for r in RC.fold_in(equations, 4, 0.05).collect()}
+    known = {r.id: r.features for r in model.userFactors.collect()}
+    assert made and all(v == pytest.approx(known[u], rel=1e-3, abs=1e-4) for u, v in made.items())
+    solved = RC.with_residual(equations, RC.fold_in(equations, 4, 0.05), 4, 0.05)
+    assert solved.where("residual > 1e-9").count() == 0
+    empty = RC.normal_equations(new.limit(0), model.itemFactors, 4)
+    assert RC.fold_in(empty, 4, 0.05).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4, 11])
+def test_planted_products_at_several_seeds(spark, seed):
+    rnd = np.random.default_rng(5)
+    pairs = {(int(rnd.zipf(1.4)) % 300, int(rnd.integers(0, 120))) for _ in range(3000)}
+    rows = [(u, i, (1 + u % 5) * (1 + i % 7) / 5.0, float(rnd.random())) for u, i in sorted(pairs)]
+    df = spark.createDataFrame(rows, "user int, item int, rating double, h double")
+    train, test = df.where("h < 0.7"), df.where("h >= 0.7")
+    model = RC.als_fit(train, rank=1, max_iter=20, reg=1e-6, seed=seed, nonnegative=True)
+    r = RC.als_mse(RC.als_score(model, test)).first()
+    assert r.n == RC.scorable_pairs(train, test).count() > 0 and r.mse < 1e-6
+
+
+def test_map_audit_sees_a_wrong_map(spark, monkeypatch):
+    model = RC.als_fit(_ratings(spark), rank=4, max_iter=3, reg=0.05, seed=1)
+    assert tuple(RC.map_audit(model).first())[1:] == (True, True)
+    right = RC.factor_map(model)
+    turned = right.select("id", array_to_vector(F.transform(vector_to_array("projected"), lambda x, i: x + i)).alias("projected"))
+    skewed = turned.select("id", array_to_vector(F.array(vector_to_array("projected")[0], vector_to_array("projected")[0]
+                                                         + vector_to_array("projected")[1])).alias("projected"))
+    monkeypatch.setattr(RC, "factor_map", lambda *a: skewed)
+    assert tuple(RC.map_audit(model).first())[1:] == (False, False)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+import tessera.sources as SRC
 from tessera.sources import (label_features, parse_numeric, preview, read_lines,
                              read_ratings, read_table, write_vectors)
 from tessera.sources.sinks import vectors_as_text
@@ -121,3 +122,25 @@ def test_vector_text_uses_jvm_double_format(spark):
     df = spark.createDataFrame([([1e-05, 1234567.0, -0.5],)], "v array<double>")
     # same text as the JVM's Double.toString, as the reference's mkString gives
     assert vectors_as_text(df, "v").first().value == "1.0E-5,1234567.0,-0.5"
+
+
+def test_first_rows_read_a_prefix_of_the_files(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"part-{i:02d}.txt").write_text("".join(f"{i}:{k}\n" for k in range(10 if i != 3 else 0)))
+    every = [f"{i}:{k}" for i in range(12) for k in range(10) if i != 3]
+    for n in (0, 1, 9, 10, 11, 35, 110, 500):
+        got = SRC.first_rows(spark, str(tmp_path), n).orderBy("position").collect()
+        assert [(r.position, r.value) for r in got] == list(enumerate(every[:n]))
+    few = SRC.first_rows(spark, str(tmp_path), 15)
+    assert len(set(few.inputFiles())) == 3                  # 1 + 2 of 12
+
+
+def test_first_rows_of_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).repartitionByRange(8, "id").sortWithinPartitions("id").write.parquet(path)
+    got = SRC.first_rows(spark, path, 300, "parquet").orderBy("position").collect()
+    assert [r.id for r in got] == list(range(300))
+    csv = str(tmp_path / "c")
+    spark.range(100).selectExpr("id", "id * 2 as twice").repartitionByRange(4, "id").sortWithinPartitions("id").write.option("header", True).csv(csv)
+    got = SRC.first_rows(spark, csv, 30, "csv", header=True, inferSchema=True).orderBy("position").collect()
+    assert [(r.id, r.twice) for r in got] == [(i, 2 * i) for i in range(30)]
