@@ -47,11 +47,33 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` written with a number for each row, and the number's column,
+    whose name no column of ``df`` has. Decisions that go back by this number
+    meet the row they were made for, whatever its id."""
+    name = "_row"
+    while name in df.columns:
+        name += "_"
+    return materialise(df.withColumn(name, F.monotonically_increasing_id()), tag), name
+
+
 def text_bytes(col: str = "text") -> F.Column:
     """The whole text in UTF-8; null counts as empty."""
     return F.coalesce(F.col(col).cast("binary"), F.lit(b""))
 
 
+def packed(df: DataFrame, cols: list[str], raw: str, most_bytes: int, most_rows: int, tag: str) -> DataFrame:
+    """The rows of a query table in blocks of about ``most_bytes`` of ``raw``
+    and ``most_rows`` rows at most (a longer row makes its block longer):
+    block, rows (array of ``cols``). Rows are dealt by number, so the blocks
+    do not depend on how many partitions there are."""
+    rows = materialise(df.select(*cols).withColumn("row", F.monotonically_increasing_id()), tag)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length(raw)), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
+    parts = max(1, -(-size.b // most_bytes), -(-size.n // most_rows))
+    blocks = rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(parts)).alias("block"))
+    return blocks.agg(F.collect_list(F.struct(*cols)).alias("rows"))
+
+
 def binary_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A binary Arrow column without nulls → (bytes, offsets), not copied."""
     if isinstance(col, pa.ChunkedArray):

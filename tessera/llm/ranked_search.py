@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, batches, binary_column, hash_words, materialise, ragged, text_bytes, words_of
+from .common import ALNUM, LOWER, batches, binary_column, hash_words, materialise, packed, ragged, text_bytes, words_of
 
 K = 50
-ITEM_BYTES = 4 << 20             # item texts searched together (a longer one alone)
+ITEM_BYTES = 4 << 20             # item texts searched together, about
 ITEM_ROWS = 2000
 BLOCK_BYTES = 8 << 20            # document texts of one block, about
 LEAF = 16                        # documents of a leaf
@@ -80,33 +80,31 @@ class Items:
 
 
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """Items and their terms, a row for at most ITEM_BYTES of texts."""
+    """Items and their terms, a row for about ITEM_BYTES of texts."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(it, ITEM_BYTES, "raw", ITEM_ROWS):
-            raw, off = binary_column(table["raw"])
-            buf = LOWER[raw]
-            start, end, first = words_of(buf, off, ALNUM)
-            data, hashes = buf.tobytes(), hash_words(buf, start, end)
-            words = [data[a:b] for a, b in zip(start.tolist(), end.tolist())]
-            place = {w: i for i, w in enumerate(dict.fromkeys(w for _, w in sorted(zip(hashes.tolist(), words))))}
-            of_term = dict(zip(words, hashes.tolist()))
-            terms = [sorted({place[w] for w in words[a:b]}) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-            flat = np.array([t for x in terms for t in x], "<i8")
-            heads = np.cumsum([0, *map(len, terms)]).astype("<i8")
-            ends = np.cumsum([0, *map(len, place)]).astype("<i8")
-            blob = lambda x: pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([table["id"].to_pylist()], pa.list_(pa.int64())), blob(heads), blob(flat),
-                 blob(np.array([of_term[w] for w in place], "<u8")), blob(b"".join(place)), blob(ends)],
-                ["item_id", "first", "term", "hashes", "data", "offset"])
-
-    rows = materialise(items.select(F.col(item_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
-                       .withColumn("row", F.monotonically_increasing_id()), "items")
-    size = rows.agg(F.sum(F.octet_length("raw")).alias("b"), F.count("*").alias("n")).first()
-    parts = max(1, -(-(size.b or 0) // ITEM_BYTES), -(-size.n // ITEM_ROWS))
-    return materialise(rows.repartition(parts, "row").select("id", "raw").mapInArrow(
-        run, "item_id array<long>, first binary, term binary, hashes binary, data binary, offset binary")
-        .withColumn("block", F.monotonically_increasing_id()), "item-blocks")
+        for batch in it:
+            for at, block in enumerate(batch.column("block").to_pylist()):
+                ids, texts = batch.column("rows").slice(at, 1).flatten().flatten()
+                raw, off = binary_column(texts)
+                buf = LOWER[raw]
+                start, end, first = words_of(buf, off, ALNUM)
+                data, hashes = buf.tobytes(), hash_words(buf, start, end)
+                words = [data[a:b] for a, b in zip(start.tolist(), end.tolist())]
+                place = {w: i for i, w in enumerate(dict.fromkeys(w for _, w in sorted(zip(hashes.tolist(), words))))}
+                of_term = dict(zip(words, hashes.tolist()))
+                terms = [sorted({place[w] for w in words[a:b]}) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                flat = np.array([t for x in terms for t in x], "<i8")
+                heads = np.cumsum([0, *map(len, terms)]).astype("<i8")
+                ends = np.cumsum([0, *map(len, place)]).astype("<i8")
+                blob = lambda x: pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())), blob(heads), blob(flat),
+                     blob(np.array([of_term[w] for w in place], "<u8")), blob(b"".join(place)), blob(ends)],
+                    ["block", "item_id", "first", "term", "hashes", "data", "offset"])
+
+    rows = items.select(F.col(item_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
+    return materialise(packed(rows, ["id", "raw"], "raw", ITEM_BYTES, ITEM_ROWS, "items").mapInArrow(
+        run, "block long, item_id array<long>, first binary, term binary, hashes binary, data binary, offset binary"), "item-blocks")
 
 
 def document_blocks(df: DataFrame, shared, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -152,8 +150,8 @@ def term_weights(blocks: DataFrame, n_items_terms: int, n_docs: int) -> np.ndarr
 
     df = np.zeros(n_items_terms, np.int64)
     # a row for each term of the item block at most
-    for r in blocks.select("term").mapInArrow(run, "t long, df long").groupBy("t").agg(F.sum("df").alias("df")).toLocalIterator():
-        df[r.t] = r.df
+    found = blocks.select("term").mapInArrow(run, "t long, df long").groupBy("t").agg(F.sum("df").alias("df")).toArrow()
+    df[found["t"].to_numpy()] = found["df"].to_numpy()
     return np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * x + 1))) for x in df.tolist()], np.int64)
 
 
@@ -358,7 +356,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = K, doc_id: str = "
     spark = docs.sparkSession
     blocks_of_items = item_blocks(items, item_id, text)
     out = None
-    for i in [r.block for r in blocks_of_items.select("block").toLocalIterator()]:
+    for i in [r.block for r in blocks_of_items.select("block").collect()]:
         own = Items.of(blocks_of_items.filter(F.col("block") == i).first())
         blocks = document_blocks(docs, spark.sparkContext.broadcast(own), doc_id, text)
         size = blocks.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("t")).first()
@@ -369,7 +367,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = K, doc_id: str = "
         first = materialise(_ranked(_search(blocks.filter(seeds), state(np.zeros(len(own.item_id), np.int64)), k), k), "ranked")
         # kth scores: one row for each item of the block
         weakest = np.zeros(len(own.item_id), np.int64)
-        for r in first.filter(F.col("rank") == k).toLocalIterator():
+        for r in first.filter(F.col("rank") == k).collect():
             weakest[r.item] = r.score
         second = _search(blocks.filter(~seeds), state(weakest), k)
         ids = pa.table({"item": np.arange(len(own.item_id)), "item_id": pa.array(own.item_id, mask=own.null_id)})
