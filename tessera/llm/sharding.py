@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, text_bytes
-
-CODE_BYTES = 7   # of a string, behind the prefix that all values share
+from ..functions.columns import with_rank
+from .common import join_with_hot, materialise, scratch, text_bytes
 
 
 def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
@@ -51,24 +50,27 @@ def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def _codes(df: DataFrame, dims: list[str]) -> list[F.Column]:
-    """Each dimension as a number in the column's own order (null stays null)."""
+def _coded(df: DataFrame, dims: list[str], names: list[str]) -> DataFrame:
+    """Adds each dimension as a number in the column's own order (null stays
+    null): strings and binaries by the rank of their distinct values, dates and
+    times by their seconds, all else by value. Values that many rows share are
+    broadcast, the others joined (``join_with_hot``)."""
     kinds = {f.name: f.dataType for f in df.schema}
-    texts = [d for d in dims if isinstance(kinds[d], T.StringType)]
-    ends = df.agg(*(f(d).alias(f"{k}{i}") for i, d in enumerate(texts)
-                    for k, f in (("a", F.min), ("b", F.max)))).first() if texts else None
-    out = []
-    for d in dims:
-        if d not in texts:
-            out.append(F.col(d).cast("double"))
-            continue
-        i = texts.index(d)
-        a, b = (ends[f"{k}{i}"] or "" for k in "ab")
-        a, b = a.encode(), b.encode()
-        same = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
-        part = F.substring(F.col(d).cast("binary"), same + 1, CODE_BYTES)
-        out.append(F.conv(F.rpad(F.hex(part), 2 * CODE_BYTES, "0"), 16, 10).cast("double"))
-    return out
+    n = None
+    for d, name in zip(dims, names):
+        if isinstance(kinds[d], (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            df = df.withColumn(name, F.col(d).cast("timestamp").cast("double"))
+        elif not isinstance(kinds[d], (T.StringType, T.BinaryType)):
+            df = df.withColumn(name, F.col(d).cast("double"))
+        else:
+            n = df.count() if n is None else n
+            value, null = F.col(d).cast("binary"), F.col(d).isNull()
+            df = df.withColumn("_curve_key", F.when(null, F.lit(b"")).otherwise(F.concat(F.lit(b"="), value)))
+            values = with_rank(df.groupBy("_curve_key").agg(F.count("*").alias("_curve_size")), [F.asc("_curve_key")], "_curve_rank")
+            values = values.select("_curve_key", "_curve_size", F.when(
+                F.octet_length("_curve_key") > 0, F.col("_curve_rank").cast("double")).alias(name))
+            df = join_with_hot(df, values, ["_curve_key"], "_curve_size", n=n).drop("_curve_key", "_curve_size")
+    return df
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int = 8, law: str = "rows",
@@ -79,7 +81,8 @@ def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int = 8, law: str =
     ``rows``: counts of any two shards are at most one apart. ``bytes``: the
     curve is cut where the running sum of ``size`` passes each share of the
     total, so no shard is off by more than one row's size. ``dims`` may be
-    numbers, strings or dates; null is a cell of its own, the lowest. Equal
+    numbers, booleans, strings, binaries, dates or times; each distinct string
+    has a code of its own, in order; null is a cell of its own, the lowest. Equal
     places are ordered by the columns ``tie``; rows equal in these as well
     (repeated rows) get neighbouring slots in any order. An empty table gives
     an empty result. Columns already named like an output are replaced; names
@@ -95,8 +98,9 @@ def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int = 8, law: str =
         raise ValueError("law is 'rows', or 'bytes' with a size column")
     df = df.drop("curve", "shard", "slot", "law")
     bits = bits or min(10, 62 // len(dims))
-    codes = _codes(df, dims)
-    names = [f"_code{i}" for i in range(len(dims))]
+    names = [f"_curve_code{i}" for i in range(len(dims))]
+    df = _coded(df, dims, names)
+    codes = [F.col(x) for x in names]
     grid = [k / (1 << bits) for k in range(1 << bits)]
     found = df.agg(*(F.percentile_approx(c, grid, 10 * (1 << bits)).alias(n) for n, c in zip(names, codes)),
                    *(F.count_if(c.isNull()).alias(f"{n}_nulls") for n, c in zip(names, codes))).first()
@@ -114,7 +118,7 @@ def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int = 8, law: str =
                 cells.append((level << bits) // max(len(own) + nulls[i], 1))
             yield pd.Series(hilbert_index(cells, bits))
 
-    placed = df.withColumn("curve", place(F.struct(*(c.alias(n) for n, c in zip(names, codes)))))
+    placed = df.withColumn("curve", place(F.struct(*names))).drop(*names)
     order = ["curve", *tie]
     placed = materialise(placed.repartitionByRange(*order).sortWithinPartitions(*order)
                          .withColumn("_curve_at", F.monotonically_increasing_id()), "curve")
@@ -150,10 +154,19 @@ def write_shards(sharded: DataFrame, path: str) -> None:
      .write.partitionBy("shard").parquet(path))
 
 
+def read_shards(spark, path: str, schema: T.StructType, shards: list[int] | None = None) -> DataFrame:
+    """The rows of written shards; of ``shards`` only their folders are read."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows if shards is None else rows.filter(F.col("shard").isin(*shards))
+
+
 def q_sharding(spark, sf_dir: str) -> DataFrame:
     raw = text_bytes()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "doc_id", "lang", "source", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
-    out = hilbert_shards(docs, ["lang", "source", "size"], tie=("text_crc32", "doc_id"))
+    path = scratch(spark, "shards")
+    sharded = hilbert_shards(docs, ["lang", "source", "size"], tie=("text_crc32", "doc_id"))
+    write_shards(sharded, path)
+    out = read_shards(spark, path, sharded.schema)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"), "curve")

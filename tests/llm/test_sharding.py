@@ -39,6 +39,47 @@ def test_query(spark):
     assert keys == sorted(keys)
 
 
+def test_cells_of_the_query_recomputed(spark):
+    """Every row's place on the curve, from ranks and quantiles in numpy."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    bits, n = 10, len(docs)
+    cells = {}
+    columns = [[r.lang for r in docs], [r.source for r in docs], [len((r.text or "").encode()) + 1 for r in docs]]
+    for i, values in enumerate(columns):
+        some = sorted({v for v in values if v is not None})
+        code = [None if v is None else float(some.index(v)) for v in values]
+        if i == 2:
+            code = [float(v) for v in values]
+        known = np.sort([c for c in code if c is not None])
+        cuts = np.unique([known[max(int(np.ceil(k / (1 << bits) * len(known))) - 1, 0)] for k in range(1 << bits)])
+        nulls = int(None in code)
+        level = [0 if c is None else max(int(np.searchsorted(cuts, c, side="right")) - 1, 0) + nulls for c in code]
+        cells[i] = (np.array(level) << bits) // max(len(cuts) + nulls, 1)
+    want = dict(zip((r.doc_id for r in docs), op.hilbert_index([cells[i] for i in range(3)], bits).tolist()))
+    assert {r.doc_id: r.curve for r in op.q_sharding(spark, SF).collect()} == want and n == len(want)
+
+
+def test_sources_with_long_common_prefixes_are_told_apart(spark, tmp_path):
+    names = ["books", "commoncrawl-2019", "commoncrawl-2020", "wiki"]
+    df = spark.createDataFrame([Row(i=i, source=names[i % 4]) for i in range(2000)])
+    sharded = op.hilbert_shards(df, ["source"], 4, tie=("i",))
+    rows = sharded.collect()
+    assert all(len({r.source for r in rows if r.shard == s}) == 1 for s in range(4))
+    op.write_shards(sharded, str(tmp_path / "s"))
+    one = op.read_shards(spark, str(tmp_path / "s"), sharded.schema, [rows[0].shard])
+    assert {r.source for r in one.collect()} == {rows[0].source} and "PartitionFilters: [" in one._jdf.queryExecution().toString()
+
+
+def test_dates_times_and_booleans(spark):
+    df = spark.sql("SELECT id, date_add(date'2020-01-01', cast(id % 50 as int)) AS d, timestamp_seconds(id * 37 % 1000) AS t, "
+                   "id % 2 = 0 AS b, if(id % 7 = 0, null, to_binary(cast(id % 3 as string), 'utf-8')) AS x FROM range(600)")
+    rows = op.hilbert_shards(df, ["d", "t", "b", "x"], 8, tie=("id",)).collect()
+    assert len(rows) == 600
+    check_slots(rows, 8)
+    single = sorted(op.hilbert_shards(df, ["d"], 8, tie=("id",)).collect(), key=lambda r: (r.shard, r.slot))
+    assert [r.d for r in single] == sorted(r.d for r in single)
+
+
 def test_bytes_law(spark):
     df = spark.createDataFrame([Row(i=i, size=(i * 7919) % 97 + 1, lang="abc"[i % 3]) for i in range(500)])
     rows = op.hilbert_shards(df, ["lang", "size"], 8, "bytes", "size", tie=("i",)).collect()
