@@ -27,8 +27,8 @@ from . import chains
 from .common import batches, binary_column, materialise, text_bytes
 
 SAMPLE = 20_000             # labelled rows learned from, at most (the lowest hashes of their ids)
-LEXICON = 20_000            # features, at most
-LEAST_DOCS = 3              # labelled documents a feature occurs in
+LEAST_DOCS = 3              # labelled documents a feature occurs in; every such feature is kept
+PARTS = 16                  # sums of the model's size that a pass brings together
 STEMS = (6, 5, 4)           # letters
 SURE = 0.8                  # share of toxic documents from which a feature labels its tokens
 PASSES = 12                 # of gradient ascent
@@ -49,10 +49,9 @@ def _decode(raw: bytes) -> str:
 class Tagger:
     """Lexicon, weights of the CRF and of the document score."""
 
-    def __init__(self, lexicon: list[tuple[str, int, int]], n_toxic: int, n_clean: int):
-        self.number = {f: i + 1 for i, (f, _, _) in enumerate(lexicon)}       # 0: no feature
-        t = np.array([0.0] + [x[1] for x in lexicon])
-        c = np.array([0.0] + [x[2] for x in lexicon])
+    def __init__(self, lexicon: list[str], toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
+        self.number = {f: i + 1 for i, f in enumerate(lexicon)}               # 0: no feature
+        t, c = (np.concatenate(([0.0], x)) for x in (toxic, clean))
         self.sure = (t + 0.5) / (t + c + 1) >= SURE
         self.sure[0] = False
         odds = np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1))
@@ -153,12 +152,11 @@ def train(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     docs = materialise(df.select(F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
                        .join(F.broadcast(sample), "id").select("raw", "toxic"), "labelled")
     n_toxic, n = docs.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
-    share = F.abs(F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n - n_toxic + 1)))
-    # written first: only the chosen rows come to the driver
+    # every feature of enough sampled documents: bounded by the sample
     lexicon = materialise(docs.mapInArrow(_document_counts, "feature string, t long, c long").groupBy("feature")
-               .agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") + F.col("c") >= LEAST_DOCS)
-               .orderBy(F.desc(share * F.sqrt(F.least(F.col("t") + F.col("c"), F.lit(100)))), "feature").limit(LEXICON), "lexicon").orderBy("feature").collect()
-    tagger = Tagger([(r.feature, r.t, r.c) for r in lexicon], n_toxic, n - n_toxic)
+                          .agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") + F.col("c") >= LEAST_DOCS), "lexicon")
+    lexicon = lexicon.orderBy("feature").toArrow()
+    tagger = Tagger(lexicon["feature"].to_pylist(), lexicon["t"].to_numpy(), lexicon["c"].to_numpy(), n_toxic, n - n_toxic)
     if not n_toxic or n_toxic == n:
         tagger.score = np.array([-6.0 if not n_toxic else 6.0, 0.0, 0.0])
         return tagger
@@ -209,7 +207,7 @@ def train(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([pa.array([wanted.tobytes()], pa.binary())], ["wanted"])
 
         # one vector of the model's size for each of a bounded number of partitions
-        slopes = encoded.select("seen", "toxic").coalesce(64).mapInArrow(slope, "wanted binary").collect()
+        slopes = encoded.select("seen", "toxic").coalesce(PARTS).mapInArrow(slope, "wanted binary").collect()
         total = sum(np.frombuffer(r.wanted) for r in slopes)
         shared.destroy()
         weights = np.concatenate((tagger.weight, [tagger.bias], tagger.start, tagger.step.ravel()))
@@ -252,7 +250,7 @@ def score(df: DataFrame, tagger: Tagger, text: str = "text", out: str = "toxicit
     Null and empty texts have no tokens; their score is that of no sign of
     toxicity. Rows, repeated ones too, are scored one by one from the text
     alone. All columns pass through, those named like an output are replaced.
-    Narrow: no shuffle; the broadcast model is bounded by LEXICON.
+    Narrow: no shuffle; the broadcast model is bounded by the training sample.
     """
     shared = df.sparkSession.sparkContext.broadcast(tagger)
     kept = [c for c in df.columns if c not in (out, spans)]

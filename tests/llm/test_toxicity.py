@@ -71,10 +71,23 @@ def test_learning_edge_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(200) if i % 4]
 
 
+def test_every_feature_of_enough_documents_is_kept(spark):
+    docs, labels = small(spark)
+    tagger = op.train(docs, labels)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    known = {r.doc_id for r in labels.collect() if r.toxic is not None}
+    count = {}
+    for i, t in rows:
+        if i in known:
+            for f in {f for w in set(op._WORD.findall((t or "").lower())) for f in op.features(w)}:
+                count[f] = count.get(f, 0) + 1
+    assert set(tagger.number) == {f for f, n in count.items() if n >= op.LEAST_DOCS}
+
+
 def test_gradient_of_the_chain():
     """Marginals against all taggings of a short text."""
     import itertools
-    tagger = op.Tagger([("a", 5, 1), ("b", 1, 5)], 10, 10)
+    tagger = op.Tagger(["a", "b"], np.array([5, 1]), np.array([1, 5]), 10, 10)
     tagger.step, tagger.start = np.array([[0.3, -0.2], [0.1, 0.9]]), np.array([0.2, -0.1])
     seen = np.array([1, 0, 2, 1])
     got = tagger.marginals(seen, np.array([0]), np.array([4]))
