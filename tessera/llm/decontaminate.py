@@ -11,6 +11,7 @@ stepping to a sampled suffix. Spans of hits are merged for removal.
 
 from __future__ import annotations
 
+import pickle
 import math
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, batches, binary_column, hash_words, materialise, ragged, text_bytes, words_of
+from .common import ALNUM, LOWER, batches, binary_column, hash_words, materialise, numbered, packed, ragged, text_bytes, words_of
 
 PHRASE = 10                      # words
 SHARD_BYTES = 8 << 20            # of text in an index
@@ -292,6 +293,22 @@ def _pass(work: DataFrame, p: Phrases, key: str, kind: str, only_hits: bool) ->
     return work.select(key, "raw").mapInArrow(run, f"{key} {kind}, {_FOUND}")
 
 
+def phrase_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """``block, data``: the phrases of at most QUERY_BYTES of items (a longer
+    item alone), built in tasks and written; the driver lists the blocks and
+    passes them on one at a time."""
+    def build(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for at, block in enumerate(batch.column("block").to_pylist()):
+                items, texts = (c.to_pylist() for c in batch.column("rows").slice(at, 1).flatten().flatten())
+                data = pickle.dumps(Phrases(list(zip(items, texts))))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "data"])
+
+    rows = benchmark.select(F.col(item_id).cast("string").alias("item"), text_bytes(text).alias("raw"))
+    blocks = packed(rows, ["item", "raw"], "raw", QUERY_BYTES, max(QUERY_BYTES, 1), "benchmark")
+    return materialise(blocks.mapInArrow(build, "block long, data binary"), "phrases")
+
+
 def contamination(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row for each row of ``df``: doc_id, n_words, spans, items.
@@ -311,25 +328,16 @@ def contamination(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", t
     takes more passes, whose hits are joined by row number.
     """
     df, kind = df.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("raw")), dict(df.dtypes)[doc_id]
-    queries = benchmark.select(F.col(item_id).cast("string"), text_bytes(item_text))
-
-    def blocks() -> Iterator[list[tuple[str | None, bytes]]]:
-        held, size = [], 0
-        for item, t in queries.toLocalIterator():
-            if held and size + len(t) > QUERY_BYTES:
-                yield held
-                held, size = [], 0
-            held.append((item, bytes(t)))
-            size += len(t)
-        yield held
-
-    rest = blocks()
-    first, second = next(rest), next(rest, None)
-    if second is None:
-        return _pass(df, Phrases(first), "doc_id", kind, False)
+    blocks = phrase_blocks(benchmark, item_id, item_text)
+    numbers = [r.block for r in blocks.select("block").collect()]
+
+    def phrases(block: int) -> Phrases:
+        return pickle.loads(blocks.filter(F.col("block") == block).first().data)
+
+    if len(numbers) < 2:
+        return _pass(df, phrases(numbers[0]) if numbers else Phrases([]), "doc_id", kind, False)
     rows = materialise(df.withColumn("row", F.monotonically_increasing_id()), "contamination")
-    parts = [materialise(_pass(rows, Phrases(b), "row", "long", True), "contamination-pass")
-             for b in (first, second, *rest)]
+    parts = [materialise(_pass(rows, phrases(b), "row", "long", True), "contamination-pass") for b in numbers]
     hits = parts[0]
     for p in parts[1:]:
         hits = hits.unionByName(p)
@@ -356,10 +364,13 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` without the documents in which a benchmark phrase occurs, all
-    columns. Rows with a null id go if any such row is contaminated."""
-    bad = contamination(df, benchmark, doc_id, text).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_bad")).distinct()
-    return df.join(bad, df[doc_id].eqNullSafe(bad["_bad"]), "left_anti")
+    """``df`` without the rows in whose text a benchmark phrase occurs, all
+    columns. Each row is decided by itself, whatever its id (null and repeated
+    ids too); null and empty texts stay, as does all of an empty table or
+    beside an empty benchmark."""
+    rows, row = numbered(df, "benchmark-rows")
+    bad = contamination(rows, benchmark, row, text).filter(F.size("spans") > 0).select(F.col("doc_id").alias(row))
+    return rows.join(bad, row, "left_anti").drop(row)
 
 
 def q_decontaminate(spark, sf_dir: str) -> DataFrame:

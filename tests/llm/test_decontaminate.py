@@ -85,6 +85,16 @@ def test_planted_and_edge_cases(spark, monkeypatch, query_bytes):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, _ in docs if i is not None and i not in bad)
 
 
+def test_rows_of_one_id_are_judged_one_by_one(spark):
+    item = " ".join(f"b{i}" for i in range(12))
+    rows = [(None, item), (None, "clean"), (None, None), (7, "clean too"), (7, f"x {item} y"), (8, item)]
+    df = spark.createDataFrame([Row(doc_id=i, text=t, _row=0, _bad="b") for i, t in rows], "doc_id long, text string, _row int, _bad string")
+    bench = spark.createDataFrame([Row(item_id=1, text=item)], "item_id long, text string")
+    left = op.drop_contaminated(df, bench)
+    assert left.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == [(7, "clean too"), (None, "clean"), (None, None)]
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([Row(doc_id=1, text="a b")], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
