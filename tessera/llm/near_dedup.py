@@ -12,7 +12,7 @@ Jaccard similarity. The planes are cut into weight regions [2^v - 1,
 shingles plus about k ln k darts.
 
 Signatures are banded; documents that share a band are compared with the
-band's leader by their exact weighted similarity, and similar ones form
+band's leaders by their exact weighted similarity, and similar ones form
 classes (connected components). Where several classes meet in a band, their
 documents are joined on their rarest shingles, which misses no similar pair.
 """
@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (NOT_SPACE, batches, binary_column, hash_windows, hash_words, join_with_hot, materialise, mix,
-                     text_bytes, words_of)
+                     numbered, text_bytes, words_of)
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4              # a pair at 0.8 shares no band with probability 3e-5
 K = BANDS * ROWS
+LEADERS = 3                      # of a bucket, that all its texts are compared with
 MEMO = 200_000                   # texts a task remembers having sent (saves work only)
 SALT_ROWS = 500                  # pairs with one leader that are compared together, about
 SLOTS = 1 << 22                  # counters of element frequencies: an order to search by, no result depends on it
@@ -158,9 +159,9 @@ def _sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed.append(pack(np.unique(repeated[ends[first[i]]:ends[first[i + 1]]])))
             bands.append(band[i])
         yield pa.RecordBatch.from_arrays(
-            [table["id"].combine_chunks(), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(np.maximum(n_words - SHINGLE + 1, n_words > 0)),
+            [table["row"].combine_chunks(), table["id"].combine_chunks(), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(np.maximum(n_words - SHINGLE + 1, n_words > 0)),
              pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            ["doc_id", "a", "b", "n_shingles", "shingles", "bands"])
+            ["row", "doc_id", "a", "b", "n_shingles", "shingles", "bands"])
 
 
 def _compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,13 +177,15 @@ def _compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs (text a, b; leader la, lb) those similar enough. Pairs of
-    a hot leader are dealt to several tasks, each with a copy of its shingles."""
-    salts = pairs.groupBy("la", "lb").agg(F.ceil(F.count("*") / SALT_ROWS).alias("n"))
-    leaders = (salts.join(texts.select(F.col("a").alias("la"), F.col("b").alias("lb"), F.col("shingles").alias("leader_shingles")),
-                          ["la", "lb"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n") - 1))))
-    members = (pairs.join(texts.select("a", "b", "shingles"), ["a", "b"])
-               .join(salts, ["la", "lb"]).withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.col("n"))).drop("n"))
+    """Of the pairs (text a, b; leader la, lb; written) those similar enough.
+    Pairs of a hot leader are dealt to several tasks, each with a copy of its
+    shingles; the deal is made before any shingles are joined to a pair."""
+    salts = materialise(pairs.groupBy("la", "lb").agg(F.count("*").alias("times"))
+                        .withColumn("n", F.ceil(F.col("times") / SALT_ROWS)), "leaders")
+    leaders = (salts.drop("times").join(texts.select(F.col("a").alias("la"), F.col("b").alias("lb"), F.col("shingles").alias("leader_shingles")),
+                                        ["la", "lb"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n") - 1))))
+    dealt = join_with_hot(pairs, salts, ["la", "lb"], "times").withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.col("n")))
+    members = dealt.drop("n", "times").join(texts.select("a", "b", "shingles"), ["a", "b"])
     return members.join(leaders.drop("n"), ["la", "lb", "salt"]).select(
         "a", "b", "la", "lb", "shingles", "leader_shingles").mapInArrow(_compare, "a long, b long, la long, lb long")
 
@@ -210,17 +213,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _star_pairs(bands: DataFrame, n_rows: int) -> DataFrame:
-    """(text, leader): each text of a bucket with the bucket's smallest text."""
-    leader = F.min(F.struct("a", "b")).alias("leader")
-    stars = bands.groupBy("key").agg(leader, F.max(F.struct("a", "b")).alias("last"), F.count("*").alias("n"))
-    stars = stars.filter("leader != last").drop("last")
-    found = join_with_hot(bands, stars, ["key"], "n", n=n_rows).filter("leader is not null")
-    return (found.filter("leader.a != a or leader.b != b")
-            .select("a", "b", F.col("leader.a").alias("la"), F.col("leader.b").alias("lb")).distinct())
+    """(text, leader): each text of a bucket with the bucket's leaders, its
+    first texts in LEADERS different orders. Texts that are not similar to one
+    leader often are to another, which leaves fewer mixed buckets."""
+    order = [F.struct("a", "b"), *(F.struct(F.xxhash64("a", "b", F.lit(i)).alias("h"), "a", "b") for i in range(1, LEADERS))]
+    stars = bands.groupBy("key").agg(*(F.min(x).alias(f"x{i}") for i, x in enumerate(order)), F.max(order[0]).alias("last"),
+                                     F.count("*").alias("n")).filter("x0 != last")
+    leaders = F.array_distinct(F.array(*(F.struct(F.col(f"x{i}.a").alias("la"), F.col(f"x{i}.b").alias("lb")) for i in range(LEADERS))))
+    stars = stars.select("key", "n", leaders.alias("leaders"))
+    found = join_with_hot(bands, stars, ["key"], "n", n=n_rows).filter("leaders is not null")
+    return found.select("a", "b", F.inline("leaders")).filter("la != a or lb != b").distinct()
 
 
 def _frequencies(texts: DataFrame) -> np.ndarray:
-    """How many texts have elements of each of SLOTS hash slots."""
+    """How many texts have elements of each of SLOTS hash slots, as eighths
+    of a power of two in one byte (0: at most one text). All texts must only
+    order their elements alike, so steps do no harm."""
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.uint32)
         for batch in it:
@@ -236,14 +244,15 @@ def _frequencies(texts: DataFrame) -> np.ndarray:
             for p, d in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
                 own = np.frombuffer(zstandard.ZstdDecompressor().decompress(d), np.uint32)
                 total[p] = total[p] + own if p in total else own.astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+        step = lambda x: np.minimum(8 * np.log2(np.maximum(x, 1)), 255).astype(np.uint8).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([step(x) for x in total.values()], pa.binary())],
                                          ["part", "data"])
 
-    out = np.zeros((SLOTS // PART, PART), np.uint64)
-    # the sums have a fixed size
+    out = np.zeros((SLOTS // PART, PART), np.uint8)
+    # SLOTS bytes, whatever the input
     for r in (texts.select("shingles").mapInArrow(count, "part int, data binary")
               .repartition(SLOTS // PART, "part").mapInArrow(add, "part int, data binary").collect()):
-        out[r.part] = np.frombuffer(r.data, np.uint64)
+        out[r.part] = np.frombuffer(r.data, np.uint8)
     return out.ravel()
 
 
@@ -271,7 +280,7 @@ def _prefix_pairs(texts: DataFrame) -> DataFrame:
                     n = len(own)
                     first = np.lexsort((own, times))[:n - -(-4 * n // 5) + 1]
                     # an element that no other text has pairs nothing
-                    keep = np.flatnonzero(times[first] > 1)
+                    keep = np.flatnonzero(times[first] > 0)
                     row.append(np.full(len(keep), i))
                     element.append(own[first[keep]].view(np.int32))
                     place.append(keep)
@@ -302,8 +311,9 @@ def _prefix_pairs(texts: DataFrame) -> DataFrame:
     return met.select("a", "b", "la", "lb").distinct()
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``df``: doc_id, class_id, class_size, kept, n_shingles.
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """One row for each row of ``df``: doc_id, class_id, class_size, kept, n_shingles
+    (and ``row``, if ``df`` has a column of row numbers of that name).
 
     Two texts are linked if the weighted Jaccard similarity of their five-word
     shingle counts is at least 0.8 (words are separated by ASCII white space
@@ -316,15 +326,15 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     columns play no part.
 
     Copies are collapsed first. Each text of a band's bucket is compared with
-    the bucket's smallest one. As it may be similar to others but not to that
-    one, all texts of buckets in which several classes meet are joined on
+    a few leaders of the bucket. As it may be similar to others but not to
+    them, all texts of buckets in which several classes meet are joined on
     their rarest shingles (``_prefix_pairs``), which finds every similar pair
     among them. All pairs are checked on the exact shingle counts.
     """
-    source = df.select(F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
+    source = df.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+                       F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
     docs = materialise(source.mapInArrow(
-        _sign, "doc_id long, a long, b long, n_shingles long, shingles binary, bands array<long>")
-        .withColumn("row", F.monotonically_increasing_id()), "signatures")
+        _sign, "row long, doc_id long, a long, b long, n_shingles long, shingles binary, bands array<long>"), "signatures")
     sent = docs.filter("bands is not null")
     n_rows = sent.count() * BANDS
     pairs = materialise(_star_pairs(sent.select("a", "b", F.explode("bands").alias("key")), n_rows), "pairs")
@@ -355,15 +365,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     groups = materialise(groups.select("a", "b", "n", "head", "class_size"), "members")
     rows = docs.select("doc_id", "row", "a", "b", "n_shingles")
     return join_with_hot(rows, groups, ["a", "b"], "n").select(
-        "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept"), "n_shingles")
+        "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept"), "n_shingles",
+        *([F.col("row").alias(row)] if row else []))
 
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one document of each class, all columns. Rows that share an
-    id stay or go together."""
-    gone = near_duplicates(df, doc_id, text).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = gone.filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return df.join(gone, df[doc_id].eqNullSafe(gone["_gone"]), "left_anti")
+    """``df`` with one document of each class of ``near_duplicates``, all
+    columns: one with the smallest id, null ids after all others.
+
+    Rows are decided by number, so of a class with null or repeated ids one
+    row stays too. Texts without words (null and empty ones among them) are
+    one class. An empty table stays empty; other columns play no part."""
+    rows, number = numbered(df, "near-rows")
+    gone = near_duplicates(rows, doc_id, text, number).filter("not kept").select(number)
+    return rows.join(gone, number, "left_anti").drop(number)
 
 
 def q_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -47,3 +47,21 @@ def test_stages_against_brute_force(spark):
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "sentence_pieces"]
     assert all(re.fullmatch(r"\w+", n) for n, _ in corpus_pipeline.STAGES)
+
+
+def test_stages_with_null_ids_and_any_column_names(spark):
+    """Each filtering stage but toxicity, on rows of null and repeated ids and
+    with columns that the operators use inside; and on no rows."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, item), (None, None), (3, "g h"), (3, "g h"), (3, f"x {item}")]
+    names = ["_row", "_id", "_sha", "_gone", "_bad", "key", "raw"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names)
+    df = spark.createDataFrame([(*r, *names) for r in rows], schema)
+    want = {"exact_dedup": 5, "near_dedup": 4, "decontamination": 5}
+    for name, stage in corpus_pipeline.STAGES:
+        if name in want:
+            out = stage(spark, df, SF)
+            got = out.collect()
+            assert out.columns == df.columns and len(got) == want[name], name
+            assert all(tuple(r)[2:] == tuple(names) for r in got)
+            assert stage(spark, df.limit(0), SF).collect() == []
