@@ -2,7 +2,12 @@
 
 Each stage takes all documents that the stage before it kept and is written
 as Parquet, which the next one reads. All but the last return the columns of
-``documents``.
+``documents``, whatever their names.
+
+Rows are judged one by one, so null and repeated ids do no harm; repeated rows
+are copies of each other. Null texts count as empty: clean, without benchmark
+phrases, and equal to each other, so that one of them stays. An empty table
+stays empty.
 """
 
 from __future__ import annotations
@@ -15,28 +20,32 @@ from tessera.llm.common import materialise
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5 (operator 10). Labels train
-    the model (those of its training part) and are never read for a score."""
+    the model (those of its training part) and are never read for a score;
+    without any toxic label all documents stay."""
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id (operator 4)."""
+    """Of equal texts the document with the largest id (operator 4); null ids
+    are smaller than any, of rows that repeat id and text one stays."""
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the
-    smallest id (operator 8)."""
+    smallest id (operator 8); null ids come after all others."""
     return near_dedup.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no phrase of the benchmark occurs (operator 7)."""
+    """Documents in which no phrase of the benchmark occurs (operator 7); with
+    an empty benchmark all stay."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, decoded back as a check (operator 2)."""
+    """Token ids of each document, decoded back as a check (operator 2); an
+    empty text has none."""
     return sentence_pieces.encoded_digest(docs, sentence_pieces.Vocabulary())
 
 
