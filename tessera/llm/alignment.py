@@ -16,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +40,18 @@ LONG_RUN = 4096                  # texts with such long words or gaps go to the
 
 @dataclass
 class Tokenizer:
-    """``encode`` texts to lists of ids; ``table`` has the bytes of each id."""
-    encode: Callable[[list[str]], list[list[int]]]
+    """``encode`` a text to ids; ``table`` has the bytes of each id."""
+    encode: Callable[[str], Sequence[int]]
     table: list[bytes]
 
 
+# tokenizers are built once in each worker, not in each task
+@lru_cache(4)
 def byte_level(raw: bytes) -> Tokenizer:
     """A byte-level BPE file of the ``tokenizers`` library; special tokens in
     texts are plain text. Where ids follow the order of merges, as is usual,
     texts go to the faster ``tiktoken`` with the same vocabulary."""
     import tiktoken
-    from tokenizers import Tokenizer as Library
 
     doc = json.loads(raw)
     symbols = byte_symbols()
@@ -58,8 +61,6 @@ def byte_level(raw: bytes) -> Tokenizer:
     for piece, i in vocab.items():
         if i not in special:
             table[i] = bytes(symbols[c] for c in piece)
-    library = Library.from_str(raw.decode())
-    library.encode_special_tokens = True
     split = doc.get("pre_tokenizer") or {}
     merges = [m if isinstance(m, str) else " ".join(m) for m in doc["model"]["merges"]]
     by_merge = [vocab[m.replace(" ", "", 1)] for m in merges]
@@ -67,22 +68,25 @@ def byte_level(raw: bytes) -> Tokenizer:
              and split.get("use_regex", True) and not split.get("add_prefix_space"))
     fast = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_SPLIT, special_tokens={}, mergeable_ranks={
         t: i for i, t in enumerate(table) if t}) if plain else None
-
     long_run = re.compile(rf"\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        out = []
-        for t in texts:
-            # long runs take the fast library time that grows with their square
-            if fast is None or (len(t) > LONG_RUN and long_run.search(t)):
-                out.append(library.encode(t, add_special_tokens=False).ids)
-            else:
-                out.append(fast.encode_ordinary(t))
-        return out
+    @lru_cache(1)
+    def library():
+        from tokenizers import Tokenizer as Library
+        own = Library.from_str(raw.decode())
+        own.encode_special_tokens = True
+        return own
+
+    def encode(text: str) -> Sequence[int]:
+        # long runs take the fast library time that grows with their square
+        if fast is None or (len(text) > LONG_RUN and long_run.search(text)):
+            return library().encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
 
     return Tokenizer(encode, table)
 
 
+@lru_cache(4)
 def pieces(raw: bytes) -> Tokenizer:
     """A SentencePiece model; U+2581 stands for a space, <0xHH> for a byte."""
     import sentencepiece
@@ -95,7 +99,7 @@ def pieces(raw: bytes) -> Tokenizer:
             table.append(bytes([int(piece[3:-1], 16)]))
         else:
             table.append(b"" if model.is_control(i) else piece.replace("▁", " ").encode())
-    return Tokenizer(lambda texts: model.encode(texts, num_threads=1), table)
+    return Tokenizer(model.encode, table)
 
 
 def identity_map(a: list[bytes], b: list[bytes]) -> np.ndarray:
@@ -153,8 +157,8 @@ def encoded_blocks(df: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES
             raw = table["raw"].to_pylist()
             texts = [t.decode("utf-8", "replace") for t in raw]
             some = [i for i, t in enumerate(texts) if t]
-            ids_a = dict(zip(some, first.encode([" " + texts[i] for i in some])))
-            ids_b = dict(zip(some, second.encode([texts[i] for i in some])))
+            ids_a = {i: first.encode(" " + texts[i]) for i in some}
+            ids_b = {i: second.encode(texts[i]) for i in some}
             a: list[list[int]] = []
             b: list[list[int]] = []
             for i, t in enumerate(raw):
@@ -164,7 +168,7 @@ def encoded_blocks(df: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES
                     map(second.table.__getitem__, ids_b[i]))
                 a.append(ids_a[i] if whole else [])
                 b.append(ids_b[i] if whole else [])
-            flat = [np.fromiter((k for x in y for k in x), "<u4", sum(map(len, y))) for y in (a, b)]
+            flat = [np.fromiter(chain.from_iterable(y), "<u4", sum(map(len, y))) for y in (a, b)]
             count = [pa.array([[len(x) for x in y]], pa.list_(pa.int64())) for y in (a, b)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([table["id"].to_pylist()], pa.list_(pa.int64())), *count,
