@@ -23,16 +23,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, binary_column, materialise, text_bytes
+from .common import batches, materialise, text_bytes
 from .token_counts import byte_symbols
 
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20       # of each broadcast tokenizer file; checked
-BLOCK_BYTES = 4 << 20            # texts encoded and kept together, about
+BLOCK_BYTES = 1 << 20            # texts encoded and kept together, about
 # the split of byte-level tokenizers of this family (fixed value)
 BYTE_LEVEL_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_RUN = 4096                  # texts with such long words or gaps go to the slower, linear library
@@ -144,10 +145,21 @@ def link(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray, s
     return Links(la, lb, alone & (same[la] == lb), both, i[both] + 1, j[both] + 1, end)
 
 
+def _pack(ids: list[list[int]]) -> bytes:
+    """All ids, byte planes apart (the high ones are nearly empty), compressed."""
+    flat = np.fromiter(chain.from_iterable(ids), "<u4", sum(map(len, ids)))
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _ids(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 def encoded_blocks(df: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES, doc_id: str = "doc_id",
                    text: str = "text") -> DataFrame:
-    """Texts encoded by both tokenizers, a row for some MB of texts: block,
-    doc_id, n_a, n_b (arrays), and all ids of A and of B (binary)."""
+    """Texts encoded by both tokenizers, a row for about a MB of texts: block,
+    doc_id, n_a, n_b (arrays), and all ids of A and of B (packed)."""
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast((_model_bytes(a_path), _model_bytes(b_path)))
 
@@ -168,11 +180,10 @@ def encoded_blocks(df: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES
                     map(second.table.__getitem__, ids_b[i]))
                 a.append(ids_a[i] if whole else [])
                 b.append(ids_b[i] if whole else [])
-            flat = [np.fromiter(chain.from_iterable(y), "<u4", sum(map(len, y))) for y in (a, b)]
             count = [pa.array([[len(x) for x in y]], pa.list_(pa.int64())) for y in (a, b)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([table["id"].to_pylist()], pa.list_(pa.int64())), *count,
-                 *(pa.array([x.tobytes()], pa.binary()) for x in flat)], ["doc_id", "n_a", "n_b", "a", "b"])
+                 *(pa.array([_pack(y)], pa.binary()) for y in (a, b))], ["doc_id", "n_a", "n_b", "a", "b"])
 
     rows = df.select(F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
     return materialise(rows.mapInArrow(run, "doc_id array<long>, n_a array<long>, n_b array<long>, a binary, b binary")
@@ -182,7 +193,7 @@ def encoded_blocks(df: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES
 def _unpack(batch: pa.RecordBatch, row: int) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     get = lambda c: batch.column(c).slice(row, 1)
     n = [get(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n_a", "n_b")]
-    ids = [np.ascontiguousarray(binary_column(get(c))[0]).view("<u4").astype(np.int64) for c in ("a", "b")]
+    ids = [_ids(batch.column(c)[row].as_py()) for c in ("a", "b")]
     return get("doc_id").flatten().to_pylist(), *n, *ids
 
 
