@@ -173,11 +173,12 @@ def _compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if leader != held[0]:
                 held = (leader, unpack(leader))
             keep.append(similarity(unpack(x.as_py()), held[1]) >= SIMILARITY)
-        yield batch.select(["a", "b", "la", "lb"]).filter(pa.array(keep, pa.bool_()))
+        yield batch.drop_columns(["shingles", "leader_shingles"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs (text a, b; leader la, lb; written) those similar enough.
+    """Of the pairs (text a, b; leader la, lb; written) those similar enough,
+    with all their columns of numbers.
     Pairs of a hot leader are dealt to several tasks, each with a copy of its
     shingles; the deal is made before any shingles are joined to a pair."""
     salts = materialise(pairs.groupBy("la", "lb").agg(F.count("*").alias("times"))
@@ -187,7 +188,7 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     dealt = join_with_hot(pairs, salts, ["la", "lb"], "times").withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.col("n")))
     members = dealt.drop("n", "times").join(texts.select("a", "b", "shingles"), ["a", "b"])
     return members.join(leaders.drop("n"), ["la", "lb", "salt"]).select(
-        "a", "b", "la", "lb", "shingles", "leader_shingles").mapInArrow(_compare, "a long, b long, la long, lb long")
+        *pairs.columns, "shingles", "leader_shingles").mapInArrow(_compare, ", ".join(f"{c} long" for c in pairs.columns))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -212,6 +213,18 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("v.a", "v.b", F.col("c.a").alias("ca"), F.col("c.b").alias("cb"))
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (text a, b; class ca, cb) after links between texts of classes
+    ca, cb and lca, lcb. Any number of links between two classes is one edge
+    of classes, so the components cost no more when all texts of a large
+    class are similar to all of another."""
+    edges = links.select(F.col("ca").alias("a"), F.col("cb").alias("b"), F.col("lca").alias("la"), F.col("lcb").alias("lb")).distinct()
+    new = components(edges).toDF("ca", "cb", "na", "nb")
+    new = materialise(labels.groupBy("ca", "cb").agg(F.count("*").alias("n")).join(new, ["ca", "cb"]), "merged")
+    return materialise(join_with_hot(labels, new, ["ca", "cb"], "n").select(
+        "a", "b", F.coalesce("na", "ca").alias("ca"), F.coalesce("nb", "cb").alias("cb")), "labels")
+
+
 def _star_pairs(bands: DataFrame, n_rows: int) -> DataFrame:
     """(text, leader): each text of a bucket with the bucket's leaders, its
     first texts in LEADERS different orders. Texts that are not similar to one
@@ -256,16 +269,16 @@ def _frequencies(texts: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _prefix_pairs(texts: DataFrame) -> DataFrame:
-    """Pairs of texts (a, b, shingles) of different classes (ca, cb) among
-    which are all that are similar enough.
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """The elements by which texts (a, b, shingles; class ca, cb) may meet
+    similar ones: element, its place in the text, the text's size n.
 
     Elements are ordered by frequency, rare ones first. The first common
     element of two similar texts of x and y elements has at least
     4/9 (x + y) elements from it on in both, so it is in the first fifth (and
-    one) of the larger text and the first ninth (and one) of the smaller one.
-    Texts that share only frequent elements, too few to be similar, have
-    none there and do not meet. An element's texts meet in blocks of SIDE x SIDE."""
+    one) of the larger text and the first ninth (and one, ``small``) of the
+    smaller one. Texts that share only frequent elements, too few to be
+    similar, have none there and do not meet."""
     shared = texts.sparkSession.sparkContext.broadcast(_frequencies(texts))
 
     def prefixes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,14 +303,42 @@ def _prefix_pairs(texts: DataFrame) -> DataFrame:
                     [*own.columns, pa.array(np.concatenate(element)), pa.array(np.concatenate(place), pa.int32()),
                      pa.array(np.concatenate(size), pa.int32())], ["a", "b", "ca", "cb", "element", "place", "n"])
 
-    rows = materialise(texts.select("a", "b", "ca", "cb", "shingles").mapInArrow(
+    return materialise(texts.select("a", "b", "ca", "cb", "shingles").mapInArrow(
         prefixes, "a long, b long, ca long, cb long, element int, place int, n int")
         .withColumn("small", F.expr("9L * (n - place) >= 8L * n")), "prefixes")
+
+
+# the pairs that may be similar and are of different classes, once each
+_MAY_LINK = ("(ca != lca or cb != lcb) and struct(ln, la, lb) < struct(n, a, b)"
+             " and 9L * least(n - place, ln - lplace) >= 4L * (n + ln)")
+_PAIR = ["a", "b", "la", "lb", "ca", "cb", "lca", "lcb"]
+
+
+def _mixed_elements(rows: DataFrame) -> DataFrame:
+    """Elements in which several classes meet, with their smallest text."""
     label = F.struct("ca", "cb")
+    first = F.struct(F.col("n").alias("ln"), F.col("a").alias("la"), F.col("b").alias("lb"), F.col("ca").alias("lca"),
+                     F.col("cb").alias("lcb"), F.col("place").alias("lplace"))
     groups = rows.groupBy("element").agg(F.count("*").alias("n_large"), F.sum(F.col("small").cast("long")).alias("n_small"),
-                                         F.min(label).alias("x"), F.max(label).alias("y"))
-    groups = materialise(groups.filter("n_small > 0 and x != y").select(
-        "element", "n_large", F.ceil(F.col("n_large") / SIDE).alias("k_large"), F.ceil(F.col("n_small") / SIDE).alias("k_small")), "elements")
+                                         F.min(F.when(F.col("small"), first)).alias("first"), F.min(label).alias("x"), F.max(label).alias("y"))
+    return materialise(groups.filter("n_small > 0 and x != y").select(
+        "element", "n_large", F.ceil(F.col("n_large") / SIDE).alias("k_large"), F.ceil(F.col("n_small") / SIDE).alias("k_small"), "first"),
+        "elements")
+
+
+def _first_pairs(rows: DataFrame) -> DataFrame:
+    """Of the pairs of ``_meeting_pairs`` those with an element's smallest
+    text, at most one for each row. Texts of a large group of similar ones
+    become a class by these, so that they need not all meet each other."""
+    groups = _mixed_elements(rows).select("element", "n_large", "first")
+    return join_with_hot(rows, groups, ["element"], "n_large").filter("n_large is not null").select(
+        "*", "first.*").filter(_MAY_LINK).select(*_PAIR).distinct()
+
+
+def _meeting_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of texts of different classes by their prefixes, among which are
+    all that are similar enough. An element's texts meet in blocks of SIDE x SIDE."""
+    groups = _mixed_elements(rows).drop("first")
     rows = join_with_hot(rows, groups, ["element"], "n_large").filter("n_large is not null")
     deal = lambda k: F.pmod(F.xxhash64("a", "b"), F.col(k))
     every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
@@ -305,10 +346,12 @@ def _prefix_pairs(texts: DataFrame) -> DataFrame:
     small = rows.filter("small").withColumn("q", deal("k_small")).withColumn("p", every("k_large")).select(
         "element", "p", "q", F.col("a").alias("la"), F.col("b").alias("lb"), F.col("ca").alias("lca"), F.col("cb").alias("lcb"),
         F.col("place").alias("lplace"), F.col("n").alias("ln"))
-    met = large.join(small, ["element", "p", "q"]).filter(
-        "(ca != lca or cb != lcb) and struct(ln, la, lb) < struct(n, a, b)"
-        " and 9L * least(n - place, ln - lplace) >= 4L * (n + ln)")
-    return met.select("a", "b", "la", "lb").distinct()
+    return large.join(small, ["element", "p", "q"]).filter(_MAY_LINK).select(*_PAIR).distinct()
+
+
+def _prefix_pairs(texts: DataFrame) -> DataFrame:
+    """``_meeting_pairs`` of texts (a, b, shingles; class ca, cb)."""
+    return _meeting_pairs(_prefixes(texts))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
@@ -328,8 +371,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     Copies are collapsed first. Each text of a band's bucket is compared with
     a few leaders of the bucket. As it may be similar to others but not to
     them, all texts of buckets in which several classes meet are joined on
-    their rarest shingles (``_prefix_pairs``), which finds every similar pair
-    among them. All pairs are checked on the exact shingle counts.
+    their rarest shingles: first with the smallest text that has the shingle,
+    then, where several classes are left, with each other (``_meeting_pairs``),
+    which finds every similar pair of different classes. All pairs are checked
+    on the exact shingle counts.
     """
     source = df.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
                        F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("raw"))
@@ -343,16 +388,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
                         .dropDuplicates(["a", "b"]), "candidates")
     links = materialise(_similar(pairs, texts), "links")
     labels = components(links)
-    known = texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").select(
-        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), F.explode("bands").alias("key"))
+    labelled = texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").select(
+        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), "bands")
+    labels = labelled.drop("bands")
+    known = labelled.select("a", "b", "ca", "cb", F.explode("bands").alias("key"))
     sizes = known.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("ca", "cb")).alias("x"),
                                      F.max(F.struct("ca", "cb")).alias("y")).filter("x != y").select("key", "n")
     met = join_with_hot(known, sizes, ["key"], "n", n=texts.count() * BANDS).filter("n is not null")
     mixed = materialise(texts.select("a", "b", "shingles").join(met.select("a", "b", "ca", "cb").distinct(), ["a", "b"]), "mixed")
-    pairs = materialise(_prefix_pairs(mixed), "pairs")
-    more = materialise(_similar(pairs, texts), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    rows = _prefixes(mixed)
+    for some in (_first_pairs, _meeting_pairs):
+        more = materialise(_similar(materialise(some(rows), "pairs"), texts), "links")
+        if not more.isEmpty():
+            labels = _merged(labels, more)
+            rows = rows.drop("ca", "cb").join(labels, ["a", "b"])
 
     # copies of a text, then texts of a class
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")

@@ -131,6 +131,30 @@ def test_prefix_pairs_do_not_meet_on_boilerplate(spark):
     assert len(similar) == 20 and similar <= got and len(got) < 1000
 
 
+def test_links_grow_with_the_rows_of_a_large_group(spark, monkeypatch):
+    """All texts of two classes linked crosswise are one edge of classes, and
+    texts that are all similar become one class by a pair a row at most."""
+    seen, components = [], op.components
+    monkeypatch.setattr(op, "components", lambda edges: seen.append(edges.count()) or components(edges))
+    ids = range(80)
+    labels = spark.createDataFrame([(i, 0, i % 2, 0) for i in ids], "a long, b long, ca long, cb long")
+    links = spark.createDataFrame([(i, 0, j, 0, 0, 0, 1, 0) for i in ids if i % 2 == 0 for j in ids if j % 2],
+                                  "a long, b long, la long, lb long, ca long, cb long, lca long, lcb long")
+    assert {tuple(r) for r in op._merged(labels, links).collect()} == {(i, 0, 0, 0) for i in ids} and seen == [1]
+    rng = np.random.default_rng(8)
+    draw = lambda n: rng.integers(0, 2 ** 32, n, dtype=np.uint64).astype(np.uint32)
+    base = draw(1000)
+    bags = [np.unique(np.concatenate((base[40:], draw(40)))) for _ in ids]
+    texts = spark.createDataFrame([(i, 0, i, 0, op.pack(x)) for i, x in enumerate(bags)],
+                                  "a long, b long, ca long, cb long, shingles binary").repartition(4)
+    rows = op._prefixes(texts)
+    first = op._first_pairs(rows)
+    assert 79 <= first.count() <= rows.count()
+    labels = texts.select("a", "b", "ca", "cb")
+    links = op._similar(first, texts)
+    assert op._merged(labels, links).select("ca").distinct().count() == 1 and links.count() < 80 * 79 // 4
+
+
 def test_edge_cases(spark):
     words = [f"w{i}" for i in range(80)]
     near = " ".join([*words[:40], "edit", *words[40:]])
