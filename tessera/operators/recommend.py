@@ -26,7 +26,10 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, held
+from ..session import ensure_checkpoint_dir
+
+HOT_RATINGS = 100_000    # of an id whose ratings are summed up where they lie
+
 
 def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.01,
             seed: int = 0, user: str = "user", item: str = "item", rating: str = "rating",
@@ -34,7 +37,10 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     """Explicit ALS (rank 10, 10 iterations, λ = 0.01 by default). User and
     item ids must fit in an int; MLlib rejects larger ones. ``nonnegative``
     keeps all factors at 0 or above, which spares users and items of few
-    ratings the stationary points with huge factors of both signs."""
+    ratings the stationary points with huge factors of both signs.
+
+    MLlib reads the ratings once, deals them out to its own blocks and holds
+    those, so they are neither spread nor held before."""
     ensure_checkpoint_dir(ratings.sparkSession)
     kw = {}
     if blocks:
@@ -42,8 +48,7 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     est = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user,
               itemCol=item, ratingCol=rating, coldStartStrategy="drop",
               checkpointInterval=checkpoint_interval, nonnegative=nonnegative, **kw)
-    with held(ratings, [user, item, rating]) as r:
-        return est.fit(r)
+    return est.fit(ratings.select(user, item, rating))
 
 
 def als_score(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -76,16 +81,25 @@ def normal_equations(ratings: DataFrame, partners: DataFrame, rank: int, side: s
     partners (``partners``: id, features). Ratings without a known partner
     take no part.
 
-    One join on the partner, then plain sums, so that a user with a third of
-    all ratings is summed up in each task before the shuffle."""
-    v = partners.select(F.col("id").alias("_partner"), F.col("features").cast("array<double>").alias("_v"))
+    One join on the partner, then plain sums. An id's sums are many times
+    the size of a rating with its factors, and few of its ratings lie in one
+    task after the join: so the ratings are moved to their id and summed up
+    there. Only a user with over HOT_RATINGS ratings is summed up in each task
+    before the shuffle."""
+    v = partners.select(F.col("id").alias("_partner"), F.col("features").alias("_v"))
     rows = ratings.select(F.col(side).alias("id"), F.col(partner).alias("_partner"), F.col(rating).cast("double").alias("_r"))
-    rows = rows.join(v, "_partner").select("id", "_r", *(F.col("_v")[i].alias(f"_v{i}") for i in range(rank)))
-    c = [F.col(f"_v{i}") for i in range(rank)]
-    sums = rows.groupBy("id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("_r") * F.col("_r")).alias("rr"),
-        *(F.sum(c[i] * c[j]).alias(f"a{i}_{j}") for i in range(rank) for j in range(i, rank)),
-        *(F.sum(F.col("_r") * c[i]).alias(f"b{i}") for i in range(rank)))
+    hot = F.broadcast(rows.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_RATINGS).select("id"))
+
+    def summed(own: DataFrame) -> DataFrame:
+        x = own.select("id", "_r", *(F.col("_v")[i].cast("double").alias(f"_v{i}") for i in range(rank)))
+        c = [F.col(f"_v{i}") for i in range(rank)]
+        return x.groupBy("id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("_r") * F.col("_r")).alias("rr"),
+            *(F.sum(c[i] * c[j]).alias(f"a{i}_{j}") for i in range(rank) for j in range(i, rank)),
+            *(F.sum(F.col("_r") * c[i]).alias(f"b{i}") for i in range(rank)))
+
+    cold = summed(rows.join(hot, "id", "left_anti").join(v, "_partner").select("id", "_r", "_v").repartition("id"))
+    sums = cold.unionByName(summed(rows.join(hot, "id", "left_semi").join(v, "_partner")))
     return sums.select("id", "n", F.array(*(f"a{i}_{j}" for i in range(rank) for j in range(i, rank))).alias("a"),
                        F.array(*(f"b{i}" for i in range(rank))).alias("b"), "rr")
 
@@ -97,25 +111,37 @@ def _matrix(rank: int, reg: float) -> list[list[F.Column]]:
     return [[cell(i, j) + (F.lit(reg) * F.col("n") if i == j else F.lit(0.0)) for j in range(rank)] for i in range(rank)]
 
 
-def with_residual(equations: DataFrame, factors_: DataFrame, rank: int, reg: float) -> DataFrame:
-    """Adds to each id's equations its factors x, the largest |(A x - b)_i|
-    relative to the sizes of its terms (``residual``), and the regularised
-    squared error xᵀA x - 2 bᵀx + Σ r² (``loss``)."""
-    rows = equations.join(factors_.select("id", F.col("features").cast("array<double>").alias("x")), "id", "left")
+def _errors(x: str, rank: int, reg: float) -> tuple[F.Column, F.Column]:
+    """``residual`` and ``loss`` (see ``with_residual``) of the factors ``x``
+    beside their equations."""
     total = lambda terms: sum(terms[1:], terms[0])
-    x = [F.col("x")[i] for i in range(rank)]
+    x = [F.col(x)[i] for i in range(rank)]
     a = _matrix(rank, reg)
     product = [total([a[i][j] * x[j] for j in range(rank)]) for i in range(rank)]
     size = [total([F.abs(a[i][j] * x[j]) for j in range(rank)]) + F.abs(F.col("b")[i]) for i in range(rank)]
     off = [F.abs(product[i] - F.col("b")[i]) / F.when(size[i] > 0, size[i]).otherwise(1.0) for i in range(rank)]
     loss = total([x[i] * product[i] - 2 * F.col("b")[i] * x[i] for i in range(rank)]) + F.col("rr")
-    return rows.withColumn("residual", F.greatest(*off) if rank > 1 else off[0]).withColumn("loss", loss)
+    return F.greatest(*off) if rank > 1 else off[0], loss
+
+
+def with_residual(equations: DataFrame, factors_: DataFrame, rank: int, reg: float) -> DataFrame:
+    """Adds to each id's equations its factors x, the largest |(A x - b)_i|
+    relative to the sizes of its terms (``residual``), and the regularised
+    squared error xᵀA x - 2 bᵀx + Σ r² (``loss``)."""
+    rows = equations.join(factors_.select("id", F.col("features").cast("array<double>").alias("x")), "id", "left")
+    residual, loss = _errors("x", rank, reg)
+    return rows.withColumn("residual", residual).withColumn("loss", loss)
 
 
 def fold_in(equations: DataFrame, rank: int, reg: float) -> DataFrame:
     """``id, features``: the least-squares factors of each id's equations, for
     users or items that the model has never seen, or for a further half
     iteration. Batches of small systems are solved in Arrow tasks."""
+    return _solved(equations.select("id", "n", "a", "b"), rank, reg).select("id", "features")
+
+
+def _solved(equations: DataFrame, rank: int, reg: float) -> DataFrame:
+    """The equations with their least-squares factors (``features``)."""
     upper = np.triu_indices(rank)
 
     def solve(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,10 +155,11 @@ def fold_in(equations: DataFrame, rank: int, reg: float) -> DataFrame:
             b = batch.column("b").flatten().to_numpy().reshape(k, rank, 1)
             # without a penalty few ratings leave a system of lower rank
             x = np.linalg.solve(a, b) if reg > 0 else np.linalg.pinv(a, hermitian=True) @ b
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(list(x[:, :, 0]), pa.list_(pa.float64()))], ["id", "features"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(x[:, :, 0]), pa.list_(pa.float64()))],
+                                             [*batch.schema.names, "features"])
 
-    kind = equations.schema["id"].dataType.simpleString()
-    return equations.select("id", "n", "a", "b").mapInArrow(solve, f"id {kind}, features array<double>")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in equations.schema)
+    return equations.mapInArrow(solve, f"{schema}, features array<double>")
 
 
 def als_audit(model: ALSModel, ratings: DataFrame, reg: float, user: str = "user", item: str = "item",
@@ -145,14 +172,16 @@ def als_audit(model: ALSModel, ratings: DataFrame, reg: float, user: str = "user
     MLlib solves the users last, so every user's equations must hold for the
     returned item factors. The items were solved against the users before
     them; how many of them a further half iteration would change says how far
-    the fit still is from its fixed point."""
+    the fit still is from its fixed point.
+
+    A side's equations are made once: the exact solution is added to them,
+    then the returned factors are joined."""
     out = None
     for side, partner, own, other in ((user, item, model.userFactors, model.itemFactors),
                                       (item, user, model.itemFactors, model.userFactors)):
         equations = normal_equations(ratings, other, model.rank, side, partner, rating)
-        now = with_residual(equations, own, model.rank, reg)
-        new = with_residual(equations, fold_in(equations, model.rank, reg), model.rank, reg).select("id", F.col("loss").alias("least"))
-        both = now.join(new, "id")
+        new = _solved(equations.where("id is not null"), model.rank, reg).withColumnRenamed("features", "new")
+        both = with_residual(new, own, model.rank, reg).withColumn("least", _errors("new", model.rank, reg)[1])
         close = F.col("loss") - F.col("least") <= tol * (F.abs("least") + F.lit(tol) * F.col("rr"))
         row = both.agg(F.lit("user" if side == user else "item").alias("side"), F.count(F.lit(1)).alias("n"),
                        F.count("x").alias("known"), F.coalesce(F.sum((F.col("residual") <= tol).cast("long")), F.lit(0)).alias("solved"),

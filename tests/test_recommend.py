@@ -61,6 +61,32 @@ def test_audit_of_a_fit_and_of_spoilt_factors(spark):
     assert RC.with_residual(equations, spoilt, 4, 0.05).where("residual <= 1e-5").count() == 0
 
 
+def test_equations_are_summed_up_where_an_id_has_its_ratings(spark, monkeypatch):
+    """An id's sums do not travel from every task (only those of hot ids do),
+    and an audit makes each side's equations once."""
+    ratings = _ratings(spark)
+    model = RC.als_fit(ratings, rank=4, max_iter=2, reg=0.05, seed=1)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    equations = RC.normal_equations(ratings, model.itemFactors, 4)
+    assert plan(equations).count("RepartitionByExpression") == 1
+    assert plan(RC.als_audit(model, ratings, 0.05)).count("Join Inner, (_partner") == 4
+    rows = lambda df: {r.id: (r.n, [round(x, 6) for x in [*r.a, *r.b, r.rr]]) for r in df.collect()}
+    whole = rows(equations)
+    counts = sorted(n for n, _ in whole.values())
+    monkeypatch.setattr(RC, "HOT_RATINGS", counts[len(counts) // 2])
+    assert counts[0] <= RC.HOT_RATINGS < counts[-1]
+    hot = rows(RC.normal_equations(ratings, model.itemFactors, 4))
+    assert hot.keys() == whole.keys()
+    assert all(hot[k][0] == n and hot[k][1] == pytest.approx(x) for k, (n, x) in whole.items())
+
+
+def test_ratings_are_stored_as_parquet(spark):
+    from tessera.plans import cluster_jobs
+    stored = cluster_jobs._als_ratings(spark, "/root/testdata/sf0.001")
+    assert stored.inputFiles() and all(f.endswith(".parquet") for f in stored.inputFiles())
+    assert {f.split("/")[-2].split("-")[0] for f in stored.inputFiles()} == {"ratings"}
+
+
 def test_fold_in_gives_new_users_the_factors_of_a_fit(spark):
     ratings = _ratings(spark)
     model = RC.als_fit(ratings, rank=4, max_iter=5, reg=0.05, seed=1)
