@@ -34,7 +34,8 @@ from .common import batches, binary_column, text_bytes
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_PIECES = 1_000_000      # of the broadcast vocabulary; checked
-MAX_MEMO = 400_000          # distinct words a task remembers (speed only)
+MAX_MEMO = 200_000          # distinct words in each half of a worker's memo (speed only)
+BATCH = 4 << 20             # bytes of text whose distinct words are sorted together
 MAX_MEMO_WORD = 128         # characters; longer words are encoded each time
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -67,6 +68,36 @@ class Vocabulary:
         self.normal = sorted(set(range(len(self.pieces))) - set(special))
         if any(MARK in self.pieces[i].lstrip(MARK) for i in self.normal):
             raise ValueError("a piece crosses a word boundary")
+        self.tools: tuple[Encoder, Decoder, Memo] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tools": None}
+
+    def in_worker(self) -> tuple[Encoder, Decoder, Memo]:
+        """Encoder, decoder and memo, made once: a worker keeps a broadcast
+        vocabulary, and what was learned with it, from task to task."""
+        if self.tools is None:
+            self.tools = Encoder(self), Decoder(self), Memo()
+        return self.tools
+
+
+class Memo:
+    """Ids of the words met of late, at most about twice MAX_MEMO of them and a
+    batch's: once the new half is full it becomes the old one, from which words
+    move on when they are met again."""
+
+    def __init__(self) -> None:
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, words: set[str]) -> list[str]:
+        """Those of ``words`` not known, sorted; all others are in ``new``."""
+        if len(self.new) > MAX_MEMO:
+            self.old, self.new = self.new, {}
+        words = words.difference(self.new)
+        again = words.intersection(self.old)
+        self.new |= {w: self.old[w] for w in again}
+        return sorted(words - again)
 
 
 class Encoder:
@@ -150,7 +181,7 @@ class Encoder:
     def encode_sorted(self, words: list[str]) -> list[bytes]:
         """Ids (int32 bytes) of each word; ``words`` are sorted."""
         unigram, lengths, fitting, usable = self.v.kind == "unigram", self.lengths, self.fitting, self.usable
-        may_follow, pairs, scores, unk_score = self.may_follow, self.pairs, self.v.scores, self.unk_score
+        may_follow, known, scores, unk_score = self.may_follow, self.pairs.get, self.v.scores, self.unk_score
         # per place of the current word: last piece (-1: unknown character), its
         # length and, for unigram, the best sum
         last, width, best = [-1], [0], [0.0]
@@ -184,9 +215,12 @@ class Encoder:
                         if i is None:
                             continue
                         a = last[j - n]
-                        if a < 0 or (pairs[a, i] if (a, i) in pairs else may_follow(a, i)):
-                            found, size = i, n
-                            break
+                        if a >= 0:
+                            ok = known((a, i))
+                            if not (may_follow(a, i) if ok is None else ok):
+                                continue
+                        found, size = i, n
+                        break
                 last.append(found)
                 width.append(size)
             before = word
@@ -237,8 +271,8 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str =
     Null and empty texts give an empty array. Decoding gives the text back
     but for the mark character itself, which becomes a space. Rows, repeated
     ones too, are handled one by one; all columns pass through, columns named
-    like an output are replaced. Narrow: no shuffle; a task holds one batch
-    and a bounded memo of words.
+    like an output are replaced. Narrow: no shuffle; a task holds one batch,
+    a worker a bounded memo of words.
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     new = [out] + ([decoded] if decoded else [])
@@ -252,18 +286,16 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str =
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        encoder, decoder, memo = Encoder(v), Decoder(v), {}
-        for table in batches(it, 4 << 20, raw):
+        encoder, decoder, known = v.in_worker()
+        for table in batches(it, BATCH, raw):
             buf, off = binary_column(table[raw])
             data = buf.tobytes()
             cut = []
             for i in range(len(off) - 1):
                 s = data[off[i]:off[i + 1]].decode("utf-8", "replace").replace(" ", MARK)
                 cut.append(_WORD.findall((MARK if v.prefix and s else "") + s))
-            if len(memo) > MAX_MEMO:
-                memo = {}
-            new_words = sorted({w for words in cut for w in words}.difference(memo))
-            own = dict(zip(new_words, encoder.encode_sorted(new_words)))
+            new_words = known.missing(set().union(*cut))
+            memo, own = known.new, dict(zip(new_words, encoder.encode_sorted(new_words)))
             memo |= {w: x for w, x in own.items() if len(w) <= MAX_MEMO_WORD}
             own = {w: x for w, x in own.items() if len(w) > MAX_MEMO_WORD}
             parts = []

@@ -82,3 +82,25 @@ def test_edge_cases_and_clashing_columns(spark, library, vocabulary):
     assert op.encode(df.limit(0), vocabulary).count() == 0
     digest = op.encoded_digest(df.select("doc_id", "text"), vocabulary).collect()
     assert all(r.round_trip for r in digest)
+
+
+def test_a_worker_keeps_what_it_learned(spark, library, vocabulary, monkeypatch):
+    import pickle
+
+    copy = pickle.loads(pickle.dumps(vocabulary))
+    encoder, decoder, known = copy.in_worker()
+    assert copy.in_worker() == (encoder, decoder, known) and pickle.loads(pickle.dumps(copy)).tools is None
+    monkeypatch.setattr(op, "MAX_MEMO", 3)
+    # "a" comes in each batch and is encoded once, the words between come once and go
+    times = []
+    for i in range(30):
+        new = known.missing({"a", f"b{i}", f"c{i}"})
+        times += [w for w in new if w == "a"]
+        known.new |= dict(zip(new, encoder.encode_sorted(new)))
+        assert len(known.new) <= 3 + 3 and len(known.old) <= 3 + 3
+    assert times == ["a"]
+    monkeypatch.setattr(op, "BATCH", 40)
+    texts = [f"the word{i % 7} and {'long' * 50}{i % 3} the end" for i in range(40)]
+    df = spark.createDataFrame([Row(doc_id=i, text=t) for i, t in enumerate(texts)]).coalesce(1)
+    got = {r.doc_id: r for r in op.encode(df, vocabulary, decoded="back").collect()}
+    assert all(got[i].piece_ids == library.encode(t) and got[i].back == t for i, t in enumerate(texts))
