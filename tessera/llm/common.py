@@ -6,6 +6,7 @@ tasks, Spark deals the batches out and moves them.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -47,6 +48,13 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Remove the shuffle files of steps that are written: Spark keeps them
+    until the driver drops the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def numbered(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``df`` written with a number for each row, and the number's column,
     whose name no column of ``df`` has. Decisions that go back by this number

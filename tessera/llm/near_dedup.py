@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (NOT_SPACE, batches, binary_column, hash_windows, hash_words, join_with_hot, materialise, mix,
+from .common import (NOT_SPACE, batches, binary_column, free_shuffles, hash_windows, hash_words, join_with_hot, materialise, mix,
                      numbered, text_bytes, words_of)
 
 SHINGLE = 5
@@ -41,6 +41,8 @@ SALT_ROWS = 500                  # pairs with one leader that are compared toget
 SLOTS = 1 << 22                  # counters of element frequencies: an order to search by, no result depends on it
 PART = 1 << 16                   # counters that travel in one row
 SIDE = 2000                      # texts of an element that meet as many others in one task, about
+FEW, FEW_ROWS = 12, 20_000       # partitions of a table of numbers at least, rows of one about
+PAIR_ROWS = 10                   # such rows that a pair with its shingles counts as
 
 _U = np.uint64
 
@@ -181,33 +183,41 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     with all their columns of numbers.
     Pairs of a hot leader are dealt to several tasks, each with a copy of its
     shingles; the deal is made before any shingles are joined to a pair."""
-    salts = materialise(pairs.groupBy("la", "lb").agg(F.count("*").alias("times"))
-                        .withColumn("n", F.ceil(F.col("times") / SALT_ROWS)), "leaders")
+    n = pairs.count()
+    salts = materialise(_few(pairs.groupBy("la", "lb").agg(F.count("*").alias("times"))
+                             .withColumn("n", F.ceil(F.col("times") / SALT_ROWS)), n), "leaders")
     leaders = (salts.drop("times").join(texts.select(F.col("a").alias("la"), F.col("b").alias("lb"), F.col("shingles").alias("leader_shingles")),
                                         ["la", "lb"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n") - 1))))
-    dealt = join_with_hot(pairs, salts, ["la", "lb"], "times").withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.col("n")))
+    dealt = join_with_hot(pairs, salts, ["la", "lb"], "times", n=n).withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.col("n")))
     members = dealt.drop("n", "times").join(texts.select("a", "b", "shingles"), ["a", "b"])
-    return members.join(leaders.drop("n"), ["la", "lb", "salt"]).select(
-        *pairs.columns, "shingles", "leader_shingles").mapInArrow(_compare, ", ".join(f"{c} long" for c in pairs.columns))
+    return _few(members.join(leaders.drop("n"), ["la", "lb", "salt"]).select(
+        *pairs.columns, "shingles", "leader_shingles"), PAIR_ROWS * n).mapInArrow(_compare, ", ".join(f"{c} long" for c in pairs.columns))
+
+
+def _few(df: DataFrame, n: int) -> DataFrame:
+    """``df``, of at most ``n`` rows of a few numbers, in as many partitions
+    as these need: each is a task and a file in all steps that follow."""
+    return df.coalesce(max(FEW, -(-n // FEW_ROWS)))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (a, b, la, lb): each node with the
-    smallest node of its component (ca, cb).
+    """Connected components of edges (a, b, la, lb; written): each node with
+    the smallest node of its component (ca, cb).
 
     Each round takes the smallest label among a node and its neighbours and
     then the label's own label; both shrink the distance to the smallest node,
     so the number of rounds follows the logarithm of the diameter in practice.
     Labels are written to the shared folder after each round."""
+    n = 2 * edges.count()
     node, peer = F.struct("a", "b"), F.struct(F.col("la").alias("a"), F.col("lb").alias("b"))
-    both = materialise(edges.select(node.alias("v"), peer.alias("w"))
-                       .unionByName(edges.select(peer.alias("v"), node.alias("w"))).distinct(), "edges")
-    labels = materialise(both.groupBy("v").agg(F.min("w").alias("least")).select("v", F.least("v", "least").alias("c")), "labels")
+    both = materialise(_few(edges.select(node.alias("v"), peer.alias("w"))
+                            .unionByName(edges.select(peer.alias("v"), node.alias("w"))).distinct(), n), "edges")
+    labels = materialise(_few(both.groupBy("v").agg(F.min("w").alias("least")).select("v", F.least("v", "least").alias("c")), n), "labels")
     while True:
         seen = both.join(labels.select(F.col("v").alias("w"), "c"), "w").groupBy("v").agg(F.min("c").alias("near"))
         step = labels.join(seen, "v").select("v", F.col("c").alias("old"), F.least("c", "near").alias("c"))
         jump = labels.select(F.col("v").alias("c"), F.col("c").alias("further"))
-        step = materialise(step.join(jump, "c").select("v", "old", F.least("c", "further").alias("c")), "labels")
+        step = materialise(_few(step.join(jump, "c").select("v", "old", F.least("c", "further").alias("c")), n), "labels")
         labels = step.drop("old")
         if step.filter("c != old").isEmpty():
             return labels.select("v.a", "v.b", F.col("c.a").alias("ca"), F.col("c.b").alias("cb"))
@@ -215,14 +225,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (text a, b; class ca, cb) after links between texts of classes
-    ca, cb and lca, lcb. Any number of links between two classes is one edge
+    ca, cb and lca, lcb (both written). Any number of links between two classes is one edge
     of classes, so the components cost no more when all texts of a large
     class are similar to all of another."""
     edges = links.select(F.col("ca").alias("a"), F.col("cb").alias("b"), F.col("lca").alias("la"), F.col("lcb").alias("lb")).distinct()
-    new = components(edges).toDF("ca", "cb", "na", "nb")
-    new = materialise(labels.groupBy("ca", "cb").agg(F.count("*").alias("n")).join(new, ["ca", "cb"]), "merged")
-    return materialise(join_with_hot(labels, new, ["ca", "cb"], "n").select(
-        "a", "b", F.coalesce("na", "ca").alias("ca"), F.coalesce("nb", "cb").alias("cb")), "labels")
+    n_texts = labels.count()
+    new = components(materialise(_few(edges, links.count()), "class-edges")).toDF("ca", "cb", "na", "nb")
+    new = materialise(_few(labels.groupBy("ca", "cb").agg(F.count("*").alias("n")).join(new, ["ca", "cb"]), n_texts), "merged")
+    return materialise(_few(join_with_hot(labels, new, ["ca", "cb"], "n", n=n_texts).select(
+        "a", "b", F.coalesce("na", "ca").alias("ca"), F.coalesce("nb", "cb").alias("cb")), n_texts), "labels")
 
 
 def _star_pairs(bands: DataFrame, n_rows: int) -> DataFrame:
@@ -233,7 +244,9 @@ def _star_pairs(bands: DataFrame, n_rows: int) -> DataFrame:
     stars = bands.groupBy("key").agg(*(F.min(x).alias(f"x{i}") for i, x in enumerate(order)), F.max(order[0]).alias("last"),
                                      F.count("*").alias("n")).filter("x0 != last")
     leaders = F.array_distinct(F.array(*(F.struct(F.col(f"x{i}.a").alias("la"), F.col(f"x{i}.b").alias("lb")) for i in range(LEADERS))))
-    stars = stars.select("key", "n", leaders.alias("leaders"))
+    # read several times below
+    stars = materialise(stars.select("key", "n", leaders.alias("leaders")), "stars")
+    free_shuffles(bands.sparkSession)
     found = join_with_hot(bands, stars, ["key"], "n", n=n_rows).filter("leaders is not null")
     return found.select("a", "b", F.inline("leaders")).filter("la != a or lb != b").distinct()
 
@@ -315,15 +328,16 @@ _PAIR = ["a", "b", "la", "lb", "ca", "cb", "lca", "lcb"]
 
 
 def _mixed_elements(rows: DataFrame) -> DataFrame:
-    """Elements in which several classes meet, with their smallest text."""
+    """Elements of rows (written) in which several classes meet, with their
+    smallest text."""
     label = F.struct("ca", "cb")
     first = F.struct(F.col("n").alias("ln"), F.col("a").alias("la"), F.col("b").alias("lb"), F.col("ca").alias("lca"),
                      F.col("cb").alias("lcb"), F.col("place").alias("lplace"))
     groups = rows.groupBy("element").agg(F.count("*").alias("n_large"), F.sum(F.col("small").cast("long")).alias("n_small"),
                                          F.min(F.when(F.col("small"), first)).alias("first"), F.min(label).alias("x"), F.max(label).alias("y"))
-    return materialise(groups.filter("n_small > 0 and x != y").select(
+    return materialise(_few(groups.filter("n_small > 0 and x != y").select(
         "element", "n_large", F.ceil(F.col("n_large") / SIDE).alias("k_large"), F.ceil(F.col("n_small") / SIDE).alias("k_small"), "first"),
-        "elements")
+        rows.count()), "elements")
 
 
 def _first_pairs(rows: DataFrame) -> DataFrame:
@@ -331,8 +345,9 @@ def _first_pairs(rows: DataFrame) -> DataFrame:
     text, at most one for each row. Texts of a large group of similar ones
     become a class by these, so that they need not all meet each other."""
     groups = _mixed_elements(rows).select("element", "n_large", "first")
-    return join_with_hot(rows, groups, ["element"], "n_large").filter("n_large is not null").select(
-        "*", "first.*").filter(_MAY_LINK).select(*_PAIR).distinct()
+    n = rows.count()
+    return _few(join_with_hot(rows, groups, ["element"], "n_large", n=n).filter("n_large is not null").select(
+        "*", "first.*").filter(_MAY_LINK).select(*_PAIR).distinct(), n)
 
 
 def _meeting_pairs(rows: DataFrame) -> DataFrame:
@@ -383,37 +398,42 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     sent = docs.filter("bands is not null")
     n_rows = sent.count() * BANDS
     pairs = materialise(_star_pairs(sent.select("a", "b", F.explode("bands").alias("key")), n_rows), "pairs")
+    free_shuffles(df.sparkSession)
     nodes = pairs.select("a", "b").union(pairs.select("la", "lb")).distinct()
     texts = materialise(sent.select("a", "b", "shingles", "bands").join(nodes, ["a", "b"], "left_semi")
                         .dropDuplicates(["a", "b"]), "candidates")
-    links = materialise(_similar(pairs, texts), "links")
-    labels = components(links)
+    n_texts = texts.count()
+    labels = components(materialise(_similar(pairs, texts), "links"))
+    free_shuffles(df.sparkSession)
     labelled = texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").select(
         "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), "bands")
-    labels = labelled.drop("bands")
+    labels = materialise(_few(labelled.drop("bands"), n_texts), "labels")
     known = labelled.select("a", "b", "ca", "cb", F.explode("bands").alias("key"))
     sizes = known.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("ca", "cb")).alias("x"),
                                      F.max(F.struct("ca", "cb")).alias("y")).filter("x != y").select("key", "n")
-    met = join_with_hot(known, sizes, ["key"], "n", n=texts.count() * BANDS).filter("n is not null")
+    met = join_with_hot(known, materialise(_few(sizes, n_texts * BANDS), "mixed-buckets"), ["key"], "n", n=n_texts * BANDS).filter("n is not null")
     mixed = materialise(texts.select("a", "b", "shingles").join(met.select("a", "b", "ca", "cb").distinct(), ["a", "b"]), "mixed")
     rows = _prefixes(mixed)
     for some in (_first_pairs, _meeting_pairs):
         more = materialise(_similar(materialise(some(rows), "pairs"), texts), "links")
         if not more.isEmpty():
             labels = _merged(labels, more)
-            rows = rows.drop("ca", "cb").join(labels, ["a", "b"])
+            rows = materialise(_few(rows.drop("ca", "cb").join(labels, ["a", "b"]), rows.count()), "prefixes")
+        del more
+        free_shuffles(df.sparkSession)
 
     # copies of a text, then texts of a class
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    n_docs = docs.count()
     groups = docs.groupBy("a", "b").agg(F.min(first).alias("first"), F.count("*").alias("n"))
-    groups = materialise(groups.join(labels, ["a", "b"], "left").select(
-        "a", "b", "n", "first", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")), "groups")
+    groups = materialise(_few(groups.join(labels, ["a", "b"], "left").select(
+        "a", "b", "n", "first", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")), n_docs), "groups")
     classes = groups.groupBy("ca", "cb").agg(F.min("first").alias("head"), F.sum("n").alias("class_size"),
                                              F.count("*").alias("n_texts"))
-    groups = join_with_hot(groups, materialise(classes, "classes"), ["ca", "cb"], "n_texts")
-    groups = materialise(groups.select("a", "b", "n", "head", "class_size"), "members")
+    groups = join_with_hot(groups, materialise(_few(classes, n_docs), "classes"), ["ca", "cb"], "n_texts")
+    groups = materialise(_few(groups.select("a", "b", "n", "head", "class_size"), n_docs), "members")
     rows = docs.select("doc_id", "row", "a", "b", "n_shingles")
-    return join_with_hot(rows, groups, ["a", "b"], "n").select(
+    return join_with_hot(rows, groups, ["a", "b"], "n", n=n_docs).select(
         "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept"), "n_shingles",
         *([F.col("row").alias(row)] if row else []))
 

@@ -170,3 +170,32 @@ def test_edge_cases(spark):
     left = op.drop_near_duplicates(df.withColumn("_row", F.lit("mine")))
     assert left.columns == [*df.columns, "_row"] and {r._row for r in left.collect()} == {"mine"}
     assert sorted(((r.doc_id or 0) for r in left.collect())) == [0, 1, 4, 6, 7, 8, 10]
+
+
+def test_buckets_are_summed_up_once_and_small_tables_stay_small(spark, monkeypatch):
+    written, materialise = {}, op.materialise
+
+    def count(df, name):
+        out = materialise(df, name)
+        written.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(op, "materialise", count)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        words = [f"w{i}" for i in range(60)]
+        texts = [words[:30] + [f"x{i}", f"y{i}"] for i in range(40)] + [[f"z{i}{w}" for w in words[:20]] for i in range(40)] * 2
+        df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+        got = {r.doc_id: r.class_id for r in op.near_duplicates(df).collect()}
+        bands = spark.createDataFrame([(i, i, i % 7) for i in range(50)], "a long, b long, key long")
+        plan = op._star_pairs(bands, 50)._jdf.queryExecution().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert all(got[i] == 0 for i in range(40)) and all(got[i] == got[i + 40] == i for i in range(40, 80))
+    # the leaders are read from the folder, not found anew on each side of the join with hot buckets
+    assert "min(" not in plan
+    assert max(n for k in ("edges", "labels", "leaders", "links", "groups", "classes", "members") for n in written[k]) <= op.FEW
