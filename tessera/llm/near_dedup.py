@@ -405,8 +405,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     n_texts = texts.count()
     labels = components(materialise(_similar(pairs, texts), "links"))
     free_shuffles(df.sparkSession)
-    labelled = texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").select(
-        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), "bands")
+    labelled = materialise(_few(texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").select(
+        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), "bands"), PAIR_ROWS * n_texts), "labelled")
     labels = materialise(_few(labelled.drop("bands"), n_texts), "labels")
     known = labelled.select("a", "b", "ca", "cb", F.explode("bands").alias("key"))
     sizes = known.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("ca", "cb")).alias("x"),
@@ -414,12 +414,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     met = join_with_hot(known, materialise(_few(sizes, n_texts * BANDS), "mixed-buckets"), ["key"], "n", n=n_texts * BANDS).filter("n is not null")
     mixed = materialise(texts.select("a", "b", "shingles").join(met.select("a", "b", "ca", "cb").distinct(), ["a", "b"]), "mixed")
     rows = _prefixes(mixed)
+    merged = False
     for some in (_first_pairs, _meeting_pairs):
+        if merged:
+            rows = materialise(_few(rows.drop("ca", "cb").join(labels, ["a", "b"]), rows.count()), "prefixes")
         more = materialise(_similar(materialise(some(rows), "pairs"), texts), "links")
-        if not more.isEmpty():
+        merged = not more.isEmpty()
+        if merged:
             labels = _merged(labels, more)
-            rows = materialise(_few(rows.drop("ca", "cb").join(labels, ["a", "b"]), rows.count()), "prefixes")
-        del more
         free_shuffles(df.sparkSession)
 
     # copies of a text, then texts of a class
