@@ -12,6 +12,8 @@ by row counts and pytest.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -545,19 +547,34 @@ a AS (SELECT max_depth, avg(rmse) AS m FROM e GROUP BY max_depth)
 SELECT max_depth, round(m, 8) AS avg_rmse, m = min(m) OVER () AS is_best FROM a"""
 
 
-def q_logistic_cv(spark, sf_dir):
-    """Logistic regression (elastic net .8) CV over regParam {.3,.6,.9},
-    accuracy in indexed-label space, 3 key folds."""
+@contextmanager
+def _indexed_folds(spark, sf_dir):
+    """The labelled rows, indexed, with three key folds, in the columns that
+    the fits read: held once, and the rows they come from are released before
+    any fit."""
     d = S.key_folds(labeled_numeric(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
     d = spread(d.select("label", "features", "fold")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = None
     try:
         prep = SV.fit_preprocessing(d, "features", "label")
-        learner = SV.logistic()
-        ev = EV.evaluator("accuracy", label="indexedLabel")
-        grid = TU.param_grid(learner, regParam=[0.3, 0.6, 0.9])
-        cvm = TU.cross_validate(learner, grid, ev, prep.transform(d), k=3, fold_col="fold")
+        rows = prep.transform(d).select("indexedLabel", "indexedFeatures", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+        rows.count()
+        d.unpersist()   # from here on only the indexed rows are read
+        yield rows
     finally:
         d.unpersist()
+        if rows is not None:
+            rows.unpersist()
+
+
+def q_logistic_cv(spark, sf_dir):
+    """Logistic regression (elastic net .8) CV over regParam {.3,.6,.9},
+    accuracy in indexed-label space, 3 key folds."""
+    learner = SV.logistic()
+    ev = EV.evaluator("accuracy", label="indexedLabel")
+    grid = TU.param_grid(learner, regParam=[0.3, 0.6, 0.9])
+    with _indexed_folds(spark, sf_dir) as rows:
+        cvm = TU.cross_validate(learner, grid, ev, rows, k=3, fold_col="fold")
     rep = TU.cv_report(spark, cvm)
     lam = F.element_at(F.array(*[F.lit(x) for x in GLM_GRID]), F.col("grid_id") + 1)
     return rep.select(lam.alias("reg_param"), F.round("avg_metric", 9).alias("avg_accuracy"), "is_best")
@@ -579,16 +596,11 @@ SELECT lam AS reg_param, round((SELECT avg(acc) FROM a), 9) AS avg_accuracy,
 def q_logistic_grid(spark, sf_dir):
     """The same learner tuned by exact AUC over a grid that separates, labels
     decoded: fold AUCs fall as the penalty grows (row-count check)."""
-    d = S.key_folds(labeled_numeric(spark, sf_dir), "l_orderkey", 3, FOLD_SEED, "fold")
-    d = spread(d.select("label", "features", "fold")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        prep = SV.fit_preprocessing(d, "features", "label")
-        learner = SV.logistic()
-        grid = TU.param_grid(learner, regParam=[0.001, 0.01, 0.05, 0.3])
+    learner = SV.logistic()
+    grid = TU.param_grid(learner, regParam=[0.001, 0.01, 0.05, 0.3])
+    with _indexed_folds(spark, sf_dir) as rows:
         cvm = TU.cross_validate(learner, grid, EV.evaluator("areaUnderROC", label="indexedLabel"),
-                                prep.transform(d), k=3, fold_col="fold")
-    finally:
-        d.unpersist()
+                                rows, k=3, fold_col="fold")
     return TU.cv_report(spark, cvm)
 
 
