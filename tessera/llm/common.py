@@ -7,8 +7,9 @@ tasks, Spark deals the batches out and moves them.
 from __future__ import annotations
 
 import gc
+import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,27 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def materialise_rounds(rounds: Iterable[DataFrame], tag: str) -> DataFrame:
+    """As ``materialise``, of tables of one schema that are made and written
+    one after another, so that the shuffles of only one are on disk at a time."""
+    path = None
+    for df in rounds:
+        path = path or scratch(df.sparkSession, tag)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+        spark, schema = df.sparkSession, df.schema
+        del df
+        free_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table of ``materialise`` that nothing reads any more."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(conf).delete(path, True)
+
+
 def numbered(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``df`` written with a number for each row, and the number's column,
     whose name no column of ``df`` has. Decisions that go back by this number

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import (NOT_SPACE, batches, binary_column, free_shuffles, hash_windows, hash_words, join_with_hot, materialise, mix,
-                     numbered, text_bytes, words_of)
+from .common import (NOT_SPACE, batches, binary_column, free_shuffles, hash_windows, hash_words, join_with_hot, materialise,
+                     materialise_rounds, mix, numbered, text_bytes, words_of)
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -43,6 +43,7 @@ PART = 1 << 16                   # counters that travel in one row
 SIDE = 2000                      # texts of an element that meet as many others in one task, about
 FEW, FEW_ROWS = 12, 20_000       # partitions of a table of numbers at least, rows of one about
 PAIR_ROWS = 10                   # such rows that a pair with its shingles counts as
+ROUNDS = 3                       # parts in which buckets, and texts with their shingles, are shuffled one after another
 
 _U = np.uint64
 
@@ -236,6 +237,11 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         "a", "b", F.coalesce("na", "ca").alias("ca"), F.coalesce("nb", "cb").alias("cb")), n_texts), "labels")
 
 
+def _round(key: str, i: int) -> Column:
+    """Whether a row is of round ``i``, by a column of hashes."""
+    return F.pmod(key, F.lit(ROUNDS)) == i
+
+
 def _star_pairs(bands: DataFrame, n_rows: int) -> DataFrame:
     """(text, leader): each text of a bucket with the bucket's leaders, its
     first texts in LEADERS different orders. Texts that are not similar to one
@@ -397,13 +403,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
         _sign, "row long, doc_id long, a long, b long, n_shingles long, shingles binary, bands array<long>"), "signatures")
     sent = docs.filter("bands is not null")
     n_rows = sent.count() * BANDS
-    pairs = materialise(_star_pairs(sent.select("a", "b", F.explode("bands").alias("key")), n_rows), "pairs")
-    free_shuffles(df.sparkSession)
+    bands = sent.select("a", "b", F.explode("bands").alias("key"))
+    pairs = materialise_rounds((_star_pairs(bands.filter(_round("key", i)), n_rows) for i in range(ROUNDS)), "pairs")
+    pairs = materialise(pairs.distinct(), "pairs")
     nodes = pairs.select("a", "b").union(pairs.select("la", "lb")).distinct()
-    texts = materialise(sent.select("a", "b", "shingles", "bands").join(nodes, ["a", "b"], "left_semi")
-                        .dropDuplicates(["a", "b"]), "candidates")
+    texts = materialise_rounds((sent.filter(_round("a", i)).select("a", "b", "shingles", "bands").join(nodes, ["a", "b"], "left_semi")
+                                .dropDuplicates(["a", "b"]) for i in range(ROUNDS)), "candidates")
     n_texts = texts.count()
-    free_shuffles(df.sparkSession)
     labels = components(materialise(_similar(pairs, texts), "links"))
     free_shuffles(df.sparkSession)
     labelled = materialise(_few(texts.select("a", "b", "bands").join(labels, ["a", "b"], "left").select(

@@ -199,3 +199,23 @@ def test_buckets_are_summed_up_once_and_small_tables_stay_small(spark, monkeypat
     # the leaders are read from the folder, not found anew on each side of the join with hot buckets
     assert "min(" not in plan
     assert max(n for k in ("edges", "labels", "leaders", "links", "groups", "classes", "members") for n in written[k]) <= op.FEW
+
+
+def test_rounds_keep_all_classes(spark, monkeypatch):
+    """Buckets and texts come in ROUNDS parts, each written before the next; classes do not depend on how many."""
+    base = [" ".join(f"w{d % 9}x{k}" for k in range(60)) for d in range(40)]
+    rows = [(d, t if d < 9 or d % 2 else t + " end") for d, t in enumerate(base)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts, rounds = [], op.materialise_rounds
+
+    def count(some, tag):
+        some = list(some)
+        parts.append((tag, len(some)))
+        return rounds(some, tag)
+
+    monkeypatch.setattr(op, "materialise_rounds", count)
+    several = sorted(tuple(r) for r in op.near_duplicates(df).collect())
+    assert parts == [("pairs", op.ROUNDS), ("candidates", op.ROUNDS)] and op.ROUNDS > 1
+    monkeypatch.setattr(op, "ROUNDS", 1)
+    assert sorted(tuple(r) for r in op.near_duplicates(df).collect()) == several
+    assert [r[1] for r in several] == [d % 9 for d in range(40)]
