@@ -13,7 +13,6 @@ whole text, which gives its exact probability under the model.
 
 from __future__ import annotations
 
-import gc
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import chains
-from .common import batches, binary_column, join_with_hot, materialise, text_bytes
+from .common import batches, binary_column, discard, free_shuffles, join_with_hot, materialise, materialise_rounds, text_bytes
 
 STATES = 8
 PASSES = 4
@@ -34,6 +33,7 @@ PRIOR = 2000.0              # pseudo-tokens a state's emissions take from the co
 RARE, END = 0, 1
 MAX_COUNTED = 300_000       # words a task counts before it sends them on
 HELD_TOKENS = 3_000_000     # tokens a task works on together
+ROUNDS = 2                  # parts of the texts that a pass joins with weights one after another: bounds its scratch files
 WEIGHTS = [f"x{s}" for s in range(STATES)]
 
 
@@ -95,18 +95,25 @@ class Model:
         self.tail = materialise(words.select("id", "c", *((F.col("c") / float(self.unit) * F.exp(normal(s))).alias(x)
                                                           for s, x in enumerate(WEIGHTS))), "emissions")
         self.uses = uses
+        # what is frequent is broadcast, so only a long word can be hot here
+        self.hot = not self.tail.filter(F.col("c") * 1000 > self.n).isEmpty()
         total = self.total + np.array(self.tail.agg(*(F.sum(x) for x in WEIGHTS)).first(), float)
         self.emit *= self.total / total
         self.total = total
 
-    def placed(self, encoded: DataFrame) -> DataFrame:
-        """Encoded texts with the weights of their words that are not broadcast."""
+    def placed(self, encoded: DataFrame) -> Iterator[DataFrame]:
+        """Encoded texts with the weights of their words that are not
+        broadcast, in ROUNDS parts."""
         if self.tail is None:
-            return encoded
+            yield encoded
+            return
         tail = self.tail.mapInArrow(_pack, "id long, c long, weights binary")
-        own = join_with_hot(self.uses, tail, ["id"], "c", n=self.n)
-        own = own.groupBy("row").agg(F.collect_list(F.struct("place", "id", "weights")).alias("tail"))
-        return encoded.join(own, "row", "left")
+        for i in range(ROUNDS):
+            part = F.pmod("row", F.lit(ROUNDS)) == i
+            uses = self.uses.filter(part)
+            own = join_with_hot(uses, tail, ["id"], "c", n=self.n) if self.hot else uses.join(tail, "id", "left")
+            own = own.groupBy("row").agg(F.collect_list(F.struct("place", "id", "weights")).alias("tail"))
+            yield encoded.filter(part).join(own, "row", "left")
 
     def update(self, start: np.ndarray, step: np.ndarray, emit: np.ndarray, total: np.ndarray | None = None,
                tail: DataFrame | None = None) -> None:
@@ -121,8 +128,10 @@ class Model:
         if tail is not None:
             # a word without rows keeps the prior
             sums = tail.select("id", *(F.col(x).alias(f"new_{x}") for x in WEIGHTS))
-            self.tail = materialise(self.tail.select("id", "c").join(sums, "id", "left").select(
+            before = self.tail
+            self.tail = materialise(before.select("id", "c").join(sums, "id", "left").select(
                 "id", "c", *((F.coalesce(f"new_{x}", F.lit(0.0)) + PRIOR / float(self.unit) * F.col("c")).alias(x) for x in WEIGHTS)), "emissions")
+            discard(before)
 
 
 def _held(it: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -187,10 +196,10 @@ def train(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(-1 - seen), *(pa.array(x) for x in np.ascontiguousarray(sums.T))], columns)
 
         wanted = ["classes"] + ["n_other", "places", "tail"] * (model.tail is not None)
-        counts = model.placed(encoded).select(*wanted).mapInArrow(expect, "id long, " + ", ".join(f"{x} double" for x in WEIGHTS))
-        counts = counts.groupBy("id").agg(*(F.sum(x).alias(x) for x in WEIGHTS))
-        if model.tail is not None:
-            counts = materialise(counts, "expected")
+        add = lambda rows: rows.groupBy("id").agg(*(F.sum(x).alias(x) for x in WEIGHTS))
+        parts = materialise_rounds((add(x.select(*wanted).mapInArrow(expect, "id long, " + ", ".join(f"{x} double" for x in WEIGHTS)))
+                                    for x in model.placed(encoded)), "expected")
+        counts = add(parts)
         # these rows have the size of what is broadcast, which is bounded
         known = counts.filter("id < 0").toArrow()
         found = np.zeros((size + STATES + 2, STATES))
@@ -200,10 +209,9 @@ def train(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
             break
         model.update(found[size], found[size + 1:-1], found[:size], found[-1],
                      None if model.tail is None else counts.filter("id >= 0"))
-        # the shuffles of a finished pass are removed when the driver drops its plans
         del counts
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        discard(parts)
+        free_shuffles(spark)
     return model
 
 
@@ -281,6 +289,7 @@ def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_i
     if modelled.v > len(top):
         words = counts.filter(F.col("c") >= LEAST_COUNT).join(frequent_words(counts, CLASSES).select("id"), "id", "left_anti")
         model.attach(words, others.filter(F.col("c") >= LEAST_COUNT).select("row", "place", "id"))
+    free_shuffles(spark)
     model = train(encoded.filter("not held_out"), model)
     own_logs = F.col("times") * F.log10(F.col("c") + 1)
     rare = others.groupBy("row").agg(
@@ -304,8 +313,9 @@ def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_i
             yield from kept.append_column("n_tokens", pa.array(count, pa.int64())).append_column("path", pa.array(logs)).to_batches()
 
     wanted = ["doc_id", "held_out", "classes", "n_common", "logs", "row"] + ["n_other", "places", "tail"] * (model.tail is not None)
-    scored = model.placed(encoded).select(*wanted).mapInArrow(
+    scored = materialise_rounds((x.select(*wanted).mapInArrow(
         score, "doc_id long, held_out boolean, n_common long, logs double, row long, n_tokens long, path double")
+        for x in model.placed(encoded)), "scored")
     n_rare = F.col("n_tokens") - F.col("n_common") - F.coalesce("n_tail", F.lit(0))
     rare_logs = F.coalesce("rare_logs", F.lit(0.0))
     return scored.join(rare, "row", "left").select(

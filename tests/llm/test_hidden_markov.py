@@ -185,3 +185,26 @@ def test_frequent_words_keep_whole_counts(spark):
     pick = lambda k: sorted((r.c for r in op.frequent_words(df, k).collect()), reverse=True)
     assert pick(1) == [9] and pick(2) == [9] and pick(3) == [9, 8, 8] and pick(100) == [9, 8, 8, 5, 5, 5, 4]
     assert pick(0) == [] and op.frequent_words(df.limit(0), 5).count() == 0
+
+
+def test_scratch_of_passes_is_bounded(spark, monkeypatch):
+    """Weights are joined to a part of the texts at a time; tables of finished passes are gone."""
+    import glob
+    from tessera.session import checkpoint_dir
+    monkeypatch.setattr(op, "CLASSES", 3)
+    parts, rounds = [], op.materialise_rounds
+
+    def count(some, tag):
+        some = list(some)
+        parts.append((tag, len(some)))
+        return rounds(some, tag)
+
+    monkeypatch.setattr(op, "materialise_rounds", count)
+    words = [f"w{i}" for i in range(30)]
+    df = spark.createDataFrame([(d, " ".join(words[(d * 7 + k * k) % 30] for k in range(40))) for d in range(60)], "doc_id long, text string")
+    files = lambda tag: set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/**/{tag}-*", recursive=True))
+    before = {tag: files(tag) for tag in ("emissions", "expected")}
+    got = op.hidden_markov_scores(df, F.col("doc_id") % 7 == 2).collect()
+    assert len(got) == 60 and all(r.n_tokens == 41 and r.score < 0 for r in got)
+    assert parts == [("expected", op.ROUNDS)] * op.PASSES + [("scored", op.ROUNDS)]
+    assert len(files("emissions") - before["emissions"]) == 1 and files("expected") == before["expected"]

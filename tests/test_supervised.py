@@ -80,3 +80,26 @@ def test_summary_keeps_rows_without_standard_errors(spark):
         assert {t for s, t in got if s == stat} == {"x", "x2", "intercept"}
         assert all(v is None for (s, _), v in got.items() if s == stat)
     assert got["coefficient", "x"] is not None and got["deviance", None] is not None
+
+
+def test_logistic_folds_hold_only_what_fits_read(spark, monkeypatch, tmp_path):
+    """One persisted table, of the columns that the fits read, while the grid is fitted."""
+    from tessera.plans import model_jobs as MJ
+    li = [(i, 1 + i % 3, i % 20, float(1 + i % 50), (i % 11) / 100, (i % 9) / 100, 100.0 * (i % 50)) for i in range(600)]
+    spark.createDataFrame(li, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_discount double, "
+                              "l_tax double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 900.0 + 40 * k, k % 7) for k in range(20)],
+                          "p_partkey long, p_retailprice double, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    seen, fit = [], TU.cross_validate
+    held = lambda: {e.getKey() for e in spark.sparkContext._jsc.getPersistentRDDs().entrySet()}
+    before = held()
+
+    def watch(learner, grid, ev, rows, **kw):
+        seen.append((rows.columns, rows.storageLevel.useMemory, len(held() - before)))
+        return fit(learner, grid, ev, rows, **kw)
+
+    monkeypatch.setattr(TU, "cross_validate", watch)
+    assert MJ.q_logistic_grid(spark, str(tmp_path)).count() == 4
+    assert MJ.q_logistic_cv(spark, str(tmp_path)).count() == 3
+    assert seen == [(["indexedLabel", "indexedFeatures", "fold"], True, 1)] * 2
+    assert held() == before
