@@ -102,4 +102,5 @@ def test_logistic_folds_hold_only_what_fits_read(spark, monkeypatch, tmp_path):
     assert MJ.q_logistic_grid(spark, str(tmp_path)).count() == 4
     assert MJ.q_logistic_cv(spark, str(tmp_path)).count() == 3
     assert seen == [(["indexedLabel", "indexedFeatures", "fold"], True, 1)] * 2
-    assert held() == before
+    # tables of other tests may be cleaned up meanwhile
+    assert not held() - before
