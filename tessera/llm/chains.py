@@ -47,35 +47,59 @@ class Layout:
         self.rank[self.begin[time] + rank] = rank
 
 
-def forward(start: np.ndarray, step: np.ndarray, fit: np.ndarray, lay: Layout) -> tuple[np.ndarray, np.ndarray]:
+def forward(start: np.ndarray, step: np.ndarray, fit: np.ndarray, lay: Layout, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Scaled forward weights and the scales; the logarithms of a sequence's
-    scales sum to that of its total weight. ``fit``: steps × states."""
-    alpha, scale = np.empty_like(fit), np.empty(len(fit))
-    before = None
-    for a, b in zip(lay.begin[:-1], lay.begin[1:]):
-        now = (start if before is None else before[:b - a] @ step) * fit[a:b]
-        total = now.sum(axis=1)
-        now /= total[:, None]
-        alpha[a:b], scale[a:b], before = now, total, now
+    scales sum to that of its total weight. ``fit``: steps × states. Weights
+    are scaled at each ``every``-th step and at a sequence's last one, so the
+    product of that many fits must be far from underflow."""
+    alpha, scale, ones = np.empty_like(fit), np.ones(len(fit)), np.ones(fit.shape[1])
+    begin = lay.begin.tolist()
+    last = len(begin) - 2
+    for t in range(last + 1):
+        a, b = begin[t], begin[t + 1]
+        now = alpha[a:b]
+        if t:
+            np.matmul(alpha[before:before + b - a], step, out=now)
+            now *= fit[a:b]
+        else:
+            np.multiply(fit[a:b], start, out=now)
+        # sequences that go on come first
+        due = a if t == last or t % every == every - 1 else a + begin[t + 2] - b
+        if due < b:
+            np.matmul(alpha[due:b], ones, out=scale[due:b])
+            alpha[due:b] /= scale[due:b, None]
+        before = a
     return alpha, scale
 
 
+def backward_and_ahead(step: np.ndarray, fit: np.ndarray, scale: np.ndarray, lay: Layout) -> tuple[np.ndarray, np.ndarray]:
+    """Backward weights, scaled so that alpha * beta are the marginals; and
+    for each step but the first of a sequence fit * beta / scale."""
+    beta, ahead = np.ones_like(fit), fit / scale[:, None]
+    back = step.T.copy()
+    begin = lay.begin.tolist()
+    for t in range(len(begin) - 3, -1, -1):
+        a, m, b = begin[t], begin[t + 1], begin[t + 2]
+        now = ahead[m:b]
+        now *= beta[m:b]
+        np.matmul(now, back, out=beta[a:a + b - m])
+    return beta, ahead
+
+
 def backward(step: np.ndarray, fit: np.ndarray, scale: np.ndarray, lay: Layout) -> np.ndarray:
     """Backward weights, scaled so that alpha * beta are the marginals."""
-    beta = np.ones_like(fit)
-    back = step.T.copy()
-    for t in range(len(lay.active) - 2, -1, -1):
-        a, m, b = lay.begin[t], lay.begin[t + 1], lay.begin[t + 2]
-        beta[a:a + b - m] = (fit[m:b] * beta[m:b] / scale[m:b, None]) @ back
-    return beta
+    return backward_and_ahead(step, fit, scale, lay)[0]
 
 
-def pairs(alpha: np.ndarray, beta: np.ndarray, step: np.ndarray, fit: np.ndarray, scale: np.ndarray, lay: Layout) -> np.ndarray:
+def moves(alpha: np.ndarray, ahead: np.ndarray, step: np.ndarray, lay: Layout) -> np.ndarray:
     """Expected number of each transition, states × states."""
     if len(lay.begin) < 3:
         return np.zeros_like(step)
-    first = lay.begin[1]
     # a place's predecessor: the same sequence one time step earlier
     size = lay.active[1:]
-    earlier = ragged(lay.begin[:len(size)], size)
-    return step * (alpha[earlier].T @ (fit[first:] * beta[first:] / scale[first:, None]))
+    return step * (alpha.take(ragged(lay.begin[:len(size)], size), axis=0).T @ ahead[lay.begin[1]:])
+
+
+def pairs(alpha: np.ndarray, beta: np.ndarray, step: np.ndarray, fit: np.ndarray, scale: np.ndarray, lay: Layout) -> np.ndarray:
+    """Expected number of each transition, from the backward weights."""
+    return moves(alpha, fit * beta / scale[:, None], step, lay)

@@ -208,3 +208,26 @@ def test_scratch_of_passes_is_bounded(spark, monkeypatch):
     assert len(got) == 60 and all(r.n_tokens == 41 and r.score < 0 for r in got)
     assert parts == [("expected", op.ROUNDS)] * op.PASSES + [("scored", op.ROUNDS)]
     assert len(files("emissions") - before["emissions"]) == 1 and files("expected") == before["expected"]
+
+
+def test_blocks_meet_each_word_once(spark, monkeypatch):
+    """Words pass between blocks and shards packed: no row for each text and
+    word, and neither blocks nor shards nor scaling change a score."""
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i * 7 + k * k) % 23}" for k in range(30)) + f" once{i}") for i in range(60)] + [(70, None), (None, "a1 b2")]
+    df = spark.createDataFrame([Row(doc_id=i, text=t) for i, t in rows], "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(op, "CLASSES", 5)
+    made, write = {}, op.materialise
+
+    def keep(some, tag):
+        made[tag] = write(some, tag)
+        return made[tag]
+
+    monkeypatch.setattr(op, "materialise", keep)
+    whole = {r.doc_id: r for r in check(op.hidden_markov_scores(df, F.expr(HELD)), rows)}
+    assert made["others"].count() <= made["classes"].count() <= 4       # of training and other texts, for each partition
+    monkeypatch.setattr(op, "BLOCK", 500)
+    monkeypatch.setattr(op, "PAIRS", 40)
+    monkeypatch.setattr(op, "EVERY", 1)
+    cut = {r.doc_id: r for r in check(op.hidden_markov_scores(df, F.expr(HELD)), rows)}
+    assert made["others"].count() > made["classes"].count() > 8
+    assert all(cut[i].score == pytest.approx(r.score, rel=1e-7) for i, r in whole.items())
