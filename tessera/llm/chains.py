@@ -72,10 +72,11 @@ def forward(start: np.ndarray, step: np.ndarray, fit: np.ndarray, lay: Layout, e
     return alpha, scale
 
 
-def backward_and_ahead(step: np.ndarray, fit: np.ndarray, scale: np.ndarray, lay: Layout) -> tuple[np.ndarray, np.ndarray]:
-    """Backward weights, scaled so that alpha * beta are the marginals; and
-    for each step but the first of a sequence fit * beta / scale."""
-    beta, ahead = np.ones_like(fit), fit / scale[:, None]
+def backward_and_ahead(step: np.ndarray, ahead: np.ndarray, lay: Layout) -> np.ndarray:
+    """Backward weights, scaled so that alpha * beta are the marginals.
+    ``ahead``, fit / scale, is multiplied by them but for the first steps of
+    sequences."""
+    beta = np.ones_like(ahead)
     back = step.T.copy()
     begin = lay.begin.tolist()
     for t in range(len(begin) - 3, -1, -1):
@@ -83,12 +84,12 @@ def backward_and_ahead(step: np.ndarray, fit: np.ndarray, scale: np.ndarray, lay
         now = ahead[m:b]
         now *= beta[m:b]
         np.matmul(now, back, out=beta[a:a + b - m])
-    return beta, ahead
+    return beta
 
 
 def backward(step: np.ndarray, fit: np.ndarray, scale: np.ndarray, lay: Layout) -> np.ndarray:
     """Backward weights, scaled so that alpha * beta are the marginals."""
-    return backward_and_ahead(step, fit, scale, lay)[0]
+    return backward_and_ahead(step, fit / scale[:, None], lay)
 
 
 def moves(alpha: np.ndarray, ahead: np.ndarray, step: np.ndarray, lay: Layout) -> np.ndarray:

@@ -16,9 +16,7 @@ the model.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -28,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import chains
-from .common import batches, binary_column, discard, free_shuffles, materialise, materialise_rounds, ragged, text_bytes
+from .common import LOWER, NOT_SPACE, batches, binary_column, discard, free_shuffles, materialise, materialise_rounds, ragged, text_bytes, words_of
 
 STATES = 8
 PASSES = 4
@@ -37,33 +35,28 @@ LEAST_COUNT = 4             # of a word with emissions of its own
 LONGEST_CLASS = 64          # bytes of a word that is broadcast
 PRIOR = 2000.0              # pseudo-tokens a state's emissions take from the corpus
 RARE, END = 0, 1
-MAX_COUNTED = 300_000       # words a task counts before it sends them on
 BLOCK = 8 << 20             # bytes of texts in a block
 PAIRS = 1_000_000           # of blocks and words that are not broadcast, in a shard of words, about
-PIECE = 512                 # rows of broadcast counts that are added up together
+PIECE = 128                 # rows of broadcast counts that are added up together
 HELD_TOKENS = 3_000_000     # tokens a task works on together
 EVERY = 4                   # steps of a recursion from scaling to scaling
 ROUNDS = 2                  # parts of the texts that a pass joins with weights one after another: bounds its scratch files
 WEIGHTS = [f"x{s}" for s in range(STATES)]
 
 
-def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter[bytes] = Counter()
+def _words(raw: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of texts, and where in them each text begins."""
+    buf, off = binary_column(raw)
+    low = LOWER[buf]
+    starts, ends, first = words_of(low, off, NOT_SPACE)
+    cuts = np.concatenate(([0], np.cumsum(ends - starts)))
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(low[NOT_SPACE[low]])]), first
 
-    def send() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "c"])
 
-    for table in batches(it, 4 << 20, "raw"):
-        buf, off = binary_column(table["raw"])
-        # texts are joined by a space: the same words as one by one
-        data = buf.tobytes().lower()
-        for a, b in zip(off[:-1], off[1:]):
-            held.update(data[a:b].split())
-            if len(held) > MAX_COUNTED:
-                yield send()
-                held.clear()
-    if held:
-        yield send()
+def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in batches(it, BLOCK, "raw"):
+        seen = _words(table["raw"])[0].value_counts()
+        yield pa.RecordBatch.from_arrays([seen.field("values").cast(pa.binary()), seen.field("counts")], ["word", "c"])
 
 
 def _array(col: pa.ChunkedArray, i: int, kind: str) -> np.ndarray:
@@ -306,7 +299,8 @@ def train(encoded: DataFrame, model: Model, passes: int = PASSES) -> Model:
                     seen = classes[lay.source]
                     fit = emit.take(seen, axis=0)
                     alpha, scale = chains.forward(start, step, fit, lay, EVERY)
-                    beta, ahead = chains.backward_and_ahead(step, fit, scale, lay)
+                    ahead = np.divide(fit, scale[:, None], out=fit)
+                    beta = chains.backward_and_ahead(step, ahead, lay)
                     steps += chains.moves(alpha, ahead, step, lay)
                     alpha *= beta
                     starts += alpha[:lay.begin[1]].sum(axis=0)
@@ -395,30 +389,32 @@ def hidden_markov_scores(df: DataFrame, held_out: F.Column, doc_id: str = "doc_i
     lookup = spark.sparkContext.broadcast((model.number, model.logs))
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = {**lookup.value[0], b"": END}.get              # no word is empty
+        known = pa.array(list(lookup.value[0]), pa.large_binary())     # numbered from END + 1 on
         for table in batches(it, BLOCK, "raw"):
-            buf, off = binary_column(table["raw"])
-            data = buf.tobytes().lower()
-            ids, side = table["doc_id"].combine_chunks(), np.array([-1 if x is None else x for x in table["held_out"].to_pylist()])
+            side = np.array([-1 if x is None else x for x in table["held_out"].to_pylist()])
             for held in (False, True, None):
                 rows = np.flatnonzero(side == (-1 if held is None else held))
                 if not len(rows):
                     continue
-                words: list[bytes] = []
-                ends = []
-                for a, b in zip(off[rows].tolist(), off[rows + 1].tolist()):
-                    words += data[a:b].split()
-                    words.append(b"")
-                    ends.append(len(words))
-                own = np.fromiter(map(get, words, repeat(RARE)), "<u2", len(words))
-                others = [words[i] for i in np.flatnonzero(own == RARE).tolist()]
-                place = {w: i for i, w in enumerate(dict.fromkeys(others))}
-                places = np.fromiter(map(place.__getitem__, others), "<i4", len(others))
-                sizes = np.fromiter(map(len, place), "<i4", len(place))
-                packed = (own.tobytes(), np.diff(ends, prepend=0).astype("<i4").tobytes(), places.tobytes(), b"".join(place), sizes.tobytes())
+                own = table.take(pa.array(rows))
+                words, first = _words(own["raw"])
+                words = words.dictionary_encode()
+                number = pc.index_in(words.dictionary, value_set=known).fill_null(-1).to_numpy().astype(np.int64) + END + 1
+                others = np.flatnonzero(number == END)
+                number[others] = RARE
+                place = np.zeros(len(number), "<i4")
+                place[others] = np.arange(len(others))
+                seen = words.indices.to_numpy()
+                count = np.diff(first)
+                # each text's words, then its end
+                classes = np.full(len(seen) + len(rows), END, "<u2")
+                classes[np.arange(len(seen)) + np.repeat(np.arange(len(rows)), count)] = number[seen]
+                places = place[seen[number[seen] == RARE]]
+                data, cuts = binary_column(words.dictionary.take(pa.array(others)))
+                packed = (classes, (count + 1).astype("<i4"), places, data, np.diff(cuts).astype("<i4"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([held], pa.bool_()), pa.ListArray.from_arrays([0, len(rows)], ids.take(pa.array(rows))), *(pa.array([x], pa.binary()) for x in packed),
-                     pa.array([len(place)], pa.int64())],
+                    [pa.array([held], pa.bool_()), pa.ListArray.from_arrays([0, len(rows)], own["doc_id"].combine_chunks()),
+                     *(pa.array([x.tobytes()], pa.binary()) for x in packed), pa.array([len(others)], pa.int64())],
                     ["held_out", "doc_ids", "classes", "counts", "places", "words", "sizes", "n_other"])
 
     encoded = materialise(source.mapInArrow(
