@@ -16,6 +16,7 @@ rebuilds them with grouped sums, so a fit can be audited row by row
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import als_blocks
 
 HOT_RATINGS = 100_000    # of an id whose ratings are summed up where they lie
+MLLIB_RATINGS = 20_000_000   # at most for a fit by MLlib, which builds each of its 10 blocks in one task's heap
 
 
 def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.01,
@@ -39,8 +42,11 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     keeps all factors at 0 or above, which spares users and items of few
     ratings the stationary points with huge factors of both signs.
 
-    MLlib reads the ratings once, deals them out to its own blocks and holds
-    those, so they are neither spread nor held before."""
+    MLlib deals the ratings out to its own blocks and holds those, so they are
+    neither spread nor held before. Over MLLIB_RATINGS of them, ``als_blocks``
+    solves the same equations in blocks of bounded size, from other first
+    factors; a given number of MLlib's ``blocks`` and ``nonnegative`` factors
+    are left to MLlib."""
     ensure_checkpoint_dir(ratings.sparkSession)
     kw = {}
     if blocks:
@@ -48,7 +54,35 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     est = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user,
               itemCol=item, ratingCol=rating, coldStartStrategy="drop",
               checkpointInterval=checkpoint_interval, nonnegative=nonnegative, **kw)
-    return est.fit(ratings.select(user, item, rating))
+    ratings = ratings.select(user, item, rating)
+    if blocks or nonnegative or max_iter < 1 or (n := ratings.count()) <= MLLIB_RATINGS:
+        return est.fit(ratings)
+    return _block_fit(est, ratings, n)
+
+
+def _block_fit(est: ALS, ratings: DataFrame, n: int) -> ALSModel:
+    """The model of ``est`` for ``n`` ratings by ``als_blocks``. Rows that
+    MLlib rejects raise as they do there."""
+    spark = ratings.sparkSession
+
+    def whole(name: str) -> F.Column:
+        c = F.col(name)
+        ok = c.isNotNull() & (c.cast("double") == F.expr(f"try_cast(`{name}` AS int)"))
+        return F.when(ok, c.cast("int")).otherwise(F.raise_error(F.lit(f"ALS only supports non-Null values in Integer range and without fractional part for column {name}")))
+
+    r = F.col(est.getRatingCol()).cast("float")
+    rows = ratings.select(whole(est.getUserCol()).alias("user"), whole(est.getItemCol()).alias("item"),
+                          F.when(r.isNotNull() & ~F.isnan(r), r).otherwise(F.raise_error(F.lit("Ratings MUST NOT be Null or NaN"))).alias("rating"))
+
+    def stored(table: DataFrame, name: str) -> DataFrame:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        table.write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
+    users, items = als_blocks.fit(rows, n, est.getRank(), est.getMaxIter(), est.getRegParam(), est.getSeed(),
+                                  est.getCheckpointInterval(), stored)
+    made = spark.sparkContext._jvm.org.apache.spark.ml.recommendation.ALSModel(est.uid, est.getRank(), users._jdf, items._jdf)
+    return est._copyValues(est._create_model(made))
 
 
 def als_score(model: ALSModel, pairs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from tessera.operators import als_blocks
 from tessera.operators import recommend as RC
 
 
@@ -122,3 +123,96 @@ def test_map_audit_sees_a_wrong_map(spark, monkeypatch):
                                                          + vector_to_array("projected")[1])).alias("projected"))
     monkeypatch.setattr(RC, "factor_map", lambda *a: skewed)
     assert tuple(RC.map_audit(model).first())[1:] == (False, False)
+
+
+# --- fits of more ratings than MLlib's blocks hold -----------------------------
+
+def _fit_by_hand(rows, rank, iters, reg, seed):
+    """ALS id by id from the same first factors."""
+    first = als_blocks._kernels(rank, reg, seed, 1)[2]
+    ids = np.array(sorted({r[0] for r in rows}), np.int32)
+    x = dict(zip(ids.tolist(), first(ids)))
+
+    def solved(side, v):
+        out = {}
+        for k in {r[side] for r in rows}:
+            own = [(v[r[1 - side]].astype(float), float(np.float32(r[2]))) for r in rows if r[side] == k]
+            a = sum(np.outer(y, y) for y, _ in own) + reg * len(own) * np.eye(rank)
+            out[k] = np.linalg.solve(a, sum(y * q for y, q in own)).astype(np.float32)
+        return out
+
+    for _ in range(iters):
+        y = solved(1, x)
+        x = solved(0, y)
+    return x, y
+
+
+@pytest.mark.parametrize("piece, held, sort, interval", [(1 << 19, 1 << 25, 1 << 22, 10), (8, 0, 60, 2)])
+def test_fit_in_blocks_equals_one_by_hand(spark, monkeypatch, piece, held, sort, interval):
+    """In one piece a block and in many, with ids of several pieces, factors
+    in files and a checkpoint; ids may be negative and pairs come twice."""
+    for name, value in (("PIECE", piece), ("HELD", held), ("SORTED", sort)):
+        monkeypatch.setattr(als_blocks, name, value)
+    monkeypatch.setattr(RC, "MLLIB_RATINGS", 0)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    ratings = _ratings(spark).withColumn("user", F.col("user") * 1001 - 5)
+    ratings = ratings.unionByName(ratings.where("item < 3").withColumn("rating", F.col("rating") + 1))
+    rows = [tuple(r) for r in ratings.collect()]
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        model = RC.als_fit(ratings, rank=4, max_iter=5, reg=0.05, seed=1, checkpoint_interval=interval)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    for got, want in zip((model.userFactors, model.itemFactors), _fit_by_hand(rows, 4, 5, 0.05, 1)):
+        got = {r.id: r.features for r in got.collect()}
+        assert got.keys() == want.keys()
+        assert all(v == pytest.approx(want[k].tolist(), rel=1e-4, abs=1e-4) for k, v in got.items())
+    assert model.rank == 4 and RC.als_score(model, ratings.limit(3)).count() == 3
+    assert RC.factor_map(model).count() == len(want)
+
+
+def test_fit_in_blocks_is_audited_and_does_not_hang_on_the_layout(spark, monkeypatch):
+    ratings = _ratings(spark)
+    monkeypatch.setattr(RC, "MLLIB_RATINGS", 0)
+    fit = lambda df: RC.als_fit(df, rank=4, max_iter=3, reg=0.05, seed=1)
+    rows = lambda m: sorted((r.id, *r.features) for r in m.userFactors.collect())
+    model = fit(ratings)
+    audit = {r.side: r for r in RC.als_audit(model, ratings, 0.05).collect()}
+    users, items = ratings.select("user").distinct().count(), ratings.select("item").distinct().count()
+    assert (audit["user"].n, audit["user"].known, audit["user"].solved) == (users,) * 3
+    assert audit["item"].n == audit["item"].known == audit["item"].bounded == items
+    monkeypatch.setattr(als_blocks, "BLOCK", 30)        # more blocks than cores
+    other = rows(fit(ratings.orderBy(F.desc("rating")).repartition(3)))
+    assert [r[0] for r in other] == [r[0] for r in rows(model)]
+    assert np.array(other) == pytest.approx(np.array(rows(model)), rel=1e-5, abs=1e-6)
+
+
+def test_fit_in_blocks_frees_the_factors_it_has_used(spark, monkeypatch):
+    """MLlib keeps the factors that all half iterations have sent until the
+    fit ends."""
+    freed, real = [], als_blocks._free
+    monkeypatch.setattr(als_blocks, "_free", lambda sc, ids: (freed.append(list(ids)), real(sc, ids)))
+    monkeypatch.setattr(RC, "MLLIB_RATINGS", 0)
+    RC.als_fit(_ratings(spark), rank=2, max_iter=4, reg=0.05, seed=1)
+    # the rows sorted for each side; after each half iteration what it has read; at the end the last factors and both sides
+    assert [len(x) for x in freed] == [1, 1, 0, 1, 1, 1, 1, 1, 1, 3]
+    assert len({k for x in freed for k in x}) == 2 + 7 + 2
+
+
+@pytest.mark.parametrize("row", [(None, 1, 1.0), (1, None, 1.0), (1, 1, None), (1, 1, float("nan"))])
+def test_fit_in_blocks_rejects_what_mllib_rejects(spark, monkeypatch, row):
+    ratings = spark.createDataFrame([(1, 2, 1.0), row], "user int, item int, rating double")
+    for most in (20_000_000, 0):
+        monkeypatch.setattr(RC, "MLLIB_RATINGS", most)
+        with pytest.raises(Exception, match="(?i)null"):
+            RC.als_fit(ratings, rank=2, max_iter=1)
+
+
+def test_hash_of_blocks_is_the_same_in_sql_and_numpy(spark):
+    ids = np.array([0, 1, -1, 7, 2**31 - 1, -2**31, 123456], np.int32)
+    x = ids.astype(np.uint32)
+    for _ in range(2):
+        x = (x ^ (x >> np.uint32(16))) * np.uint32(als_blocks.MIX)
+    x = x ^ (x >> np.uint32(16))
+    got = spark.createDataFrame([(int(i),) for i in ids], "id int").select(als_blocks.hashed(F.col("id")).alias("h"))
+    assert [r.h for r in got.collect()] == x.tolist()
