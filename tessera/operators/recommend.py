@@ -158,11 +158,16 @@ def _errors(x: str, rank: int, reg: float) -> tuple[F.Column, F.Column]:
     return F.greatest(*off) if rank > 1 else off[0], loss
 
 
+def _beside(equations: DataFrame, factors_: DataFrame) -> DataFrame:
+    """Each id's equations and its factors x."""
+    return equations.join(factors_.select("id", F.col("features").cast("array<double>").alias("x")), "id", "left")
+
+
 def with_residual(equations: DataFrame, factors_: DataFrame, rank: int, reg: float) -> DataFrame:
     """Adds to each id's equations its factors x, the largest |(A x - b)_i|
     relative to the sizes of its terms (``residual``), and the regularised
     squared error xᵀA x - 2 bᵀx + Σ r² (``loss``)."""
-    rows = equations.join(factors_.select("id", F.col("features").cast("array<double>").alias("x")), "id", "left")
+    rows = _beside(equations, factors_)
     residual, loss = _errors("x", rank, reg)
     return rows.withColumn("residual", residual).withColumn("loss", loss)
 
@@ -208,14 +213,16 @@ def als_audit(model: ALSModel, ratings: DataFrame, reg: float, user: str = "user
     them; how many of them a further half iteration would change says how far
     the fit still is from its fixed point.
 
-    A side's equations are made once: the exact solution is added to them,
-    then the returned factors are joined."""
+    A side's equations are made once. The returned factors are joined where
+    the sums were made, before Python adds the exact solution: after it Spark
+    would move the equations, many times the factors' size, once more."""
     out = None
     for side, partner, own, other in ((user, item, model.userFactors, model.itemFactors),
                                       (item, user, model.itemFactors, model.userFactors)):
         equations = normal_equations(ratings, other, model.rank, side, partner, rating)
-        new = _solved(equations.where("id is not null"), model.rank, reg).withColumnRenamed("features", "new")
-        both = with_residual(new, own, model.rank, reg).withColumn("least", _errors("new", model.rank, reg)[1])
+        new = _solved(_beside(equations.where("id is not null"), own), model.rank, reg).withColumnRenamed("features", "new")
+        residual, loss = _errors("x", model.rank, reg)
+        both = new.withColumn("residual", residual).withColumn("loss", loss).withColumn("least", _errors("new", model.rank, reg)[1])
         close = F.col("loss") - F.col("least") <= tol * (F.abs("least") + F.lit(tol) * F.col("rr"))
         row = both.agg(F.lit("user" if side == user else "item").alias("side"), F.count(F.lit(1)).alias("n"),
                        F.count("x").alias("known"), F.coalesce(F.sum((F.col("residual") <= tol).cast("long")), F.lit(0)).alias("solved"),

@@ -216,3 +216,12 @@ def test_hash_of_blocks_is_the_same_in_sql_and_numpy(spark):
     x = x ^ (x >> np.uint32(16))
     got = spark.createDataFrame([(int(i),) for i in ids], "id int").select(als_blocks.hashed(F.col("id")).alias("h"))
     assert [r.h for r in got.collect()] == x.tolist()
+
+
+def test_audit_joins_the_factors_where_the_sums_were_made(spark):
+    """Not after Python has solved the equations: Spark would move them all."""
+    ratings = _ratings(spark)
+    model = RC.als_fit(ratings, rank=4, max_iter=2, reg=0.05, seed=1)
+    plan = RC.als_audit(model, ratings, 0.05)._jdf.queryExecution().optimizedPlan().toString()
+    seen = [("solve" if "MapInArrow" in line else "join") for line in plan.split("\n") if "MapInArrow" in line or "Join LeftOuter, (id" in line]
+    assert seen == ["solve", "join"] * 2
