@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 1 << 19             # ratings that are solved at once
-SORTED = 1 << 22            # ratings that are sorted by one task
+SORTED = 1 << 21            # ratings that are sorted by one task
 BLOCK = 40_000_000          # ratings of a block, by which there are more blocks than cores
 HELD = 32 << 20             # bytes of partners' factors that a task keeps in memory, not in a file
 MIX = 0x45D9F3B             # of the hash that deals ids to blocks; under 2^31, as SQL has signed products
@@ -111,6 +111,12 @@ def _kernels(rank: int, reg: float, seed: int, blocks: int) -> tuple[Callable, C
     def first(ids: np.ndarray) -> np.ndarray:
         """First factors: normal numbers by hash of seed, id and axis, scaled
         to length 1."""
+        out = np.empty((len(ids), rank), f4)
+        for i in range(0, len(ids), ids_at_once):
+            out[i:i + ids_at_once] = drawn(ids[i:i + ids_at_once])
+        return out
+
+    def drawn(ids: np.ndarray) -> np.ndarray:
         def uniform(salt: int) -> np.ndarray:
             x = (ids.astype(np.int64).view(np.uint64)[:, None] * np.uint64(2 * rank) + np.arange(rank, dtype=np.uint64) + np.uint64(salt * rank))
             x = x * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 0xD1B54A32D192ED03 + 0x632BE59BD9B4E019) % 2**64)
@@ -120,7 +126,7 @@ def _kernels(rank: int, reg: float, seed: int, blocks: int) -> tuple[Callable, C
 
         x = np.sqrt(-2 * np.log1p(-uniform(0))) * np.cos(2 * np.pi * uniform(1))
         size = np.sqrt((x * x).sum(1, keepdims=True))
-        return (x / np.where(size > 0, size, 1)).astype(f4)
+        return x / np.where(size > 0, size, 1)
 
     def store() -> tuple[Callable, Callable]:
         """Factors of the partners of a block: ``add`` them, then ``look`` up

@@ -1,6 +1,7 @@
-"""Matrix-factorisation recommendation (MLlib ALS, explicit feedback).
+"""Matrix-factorisation recommendation (ALS, explicit feedback): MLlib's up to
+MLLIB_RATINGS ratings, ``als_blocks`` for more.
 
-ALS blocks users and items and shuffles factor blocks every half
+MLlib's ALS blocks users and items and shuffles factor blocks every half
 iteration; its lineage is cut every ``checkpoint_interval`` iterations in
 the session's shared checkpoint folder (see ``session.ensure_checkpoint_dir``),
 so a lost executor does not replay the whole run. Pairs whose user or item
